@@ -82,9 +82,9 @@ def weighted_mean(x, w, digits: int, skip_null_weight: bool = False) -> Column:
     Sums are exact decimals; the division is DOUBLE.
     """
     x, w = _c(x), _c(w)
-    num = F.sum(x.cast("decimal(20,6)") * w.cast("decimal(20,6)")).cast("double")
+    num = F.sum(x.cast("decimal(18,6)") * w.cast("decimal(18,6)")).cast("double")
     wsel = F.when(x.isNotNull(), w) if skip_null_weight else w
-    den = F.sum(wsel.cast("decimal(20,6)")).cast("double")
+    den = F.sum(wsel.cast("decimal(18,6)")).cast("double")
     return round_half_up(num / F.when(den == 0, F.lit(None)).otherwise(den), digits)
 
 
