@@ -75,5 +75,5 @@ def densify(entities: DataFrame, facts: DataFrame, keys: Sequence[str], start,
     cond = F.col(f"_s.{day_col}") == F.col(f"_x.{fact_day}")
     for k in keys:
         cond = cond & (F.col(f"_s.{k}") == F.col(f"_x.{k}"))
-    fact_cols = [c for c in facts.columns if c not in keys]
+    fact_cols = [c for c in facts.columns if c not in keys and c != day_col]
     return s.join(f, cond, "left").select("_s.*", *[F.col(f"_x.{c}") for c in fact_cols])

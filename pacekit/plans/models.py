@@ -295,6 +295,48 @@ def with_rolling_load(dense: DataFrame) -> DataFrame:
     return dense.join(rolled.select("athlete_id", "date", *LOAD_SPANS), ["athlete_id", "date"])
 
 
+def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None) -> DataFrame:
+    """The daily mart at per-activity grain with rest days and 7/28-day load.
+
+    Plan (one pass over the rides):
+
+    1. ``daily`` - per-activity rollup of the rides (``persist`` may write it
+       to the shared scratch folder so both uses below read it, instead of
+       parsing and enriching the rides twice);
+    2. per (athlete, day) load totals, left-joined onto the entity x day spine
+       and rolled with RANGE frames - one row per athlete and calendar day, so
+       a hot athlete adds at most one row per day to its window partition;
+    3. the activity rows are joined back on (athlete, day); rest days keep one
+       row with zero counts and ``activity_date`` NULL.
+    """
+    daily = daily_rollup(rides, "activity")
+    if persist is not None:
+        daily = persist(daily)
+    start = daily.select(F.min("activity_date")).scalar()
+    ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
+    day_tss = (daily.groupBy("athlete_id", F.col("activity_date").alias("date"))
+                    .agg(F.sum(F.col("tss_total").cast("decimal(38,6)")).alias("day_tss")))
+    days = densify(ent, day_tss, ["athlete_id"], start, F.lit(as_of).cast("date"),
+                   fact_day="date", day_col="date", carry=["athlete_name"])
+    rolled = rolling_sums(days, ["athlete_id"], "date", "day_tss", LOAD_SPANS) \
+        .select("athlete_id", "athlete_name", "date", *LOAD_SPANS)
+    r, d = rolled.alias("_r"), daily.alias("_d")
+    j = r.join(d, (F.col("_r.athlete_id") == F.col("_d.athlete_id"))
+               & (F.col("_r.date") == F.col("_d.activity_date")), "left")
+    return j.select(
+        "_r.athlete_id", "_r.athlete_name", "_r.date", "_d.activity_id", "_d.activity_name",
+        "_d.activity_date",
+        F.coalesce(F.col("_d.ride_count"), F.lit(0)).cast("long").alias("ride_count"),
+        F.coalesce(F.col("_d.distance_km"), F.lit(0.0)).alias("distance_km"),
+        F.coalesce(F.col("_d.duration_minutes"), F.lit(0.0)).alias("duration_minutes"),
+        *[F.col(f"_d.{c}") for c in MART_MEASURES],
+        F.coalesce(F.col("_d.tss_total"), F.lit(0.0)).alias("tss_total"),
+        "_d.intensity_factor_avg",
+        F.coalesce(F.col("_d.is_high_hr_zone"), F.lit(0)).alias("is_high_hr_zone"),
+        F.coalesce(F.col("_d.is_high_power_zone"), F.lit(0)).alias("is_high_power_zone"),
+        "_r.tss_7d", "_r.tss_28d")
+
+
 def date_dim_between(anchor: DataFrame, day_col: str, pad_end_days: int = 1) -> DataFrame:
     """Calendar from the first to the last day present in ``anchor`` (end exclusive)."""
     b = anchor.agg(F.min(F.col(day_col).cast("date")).alias("start"),

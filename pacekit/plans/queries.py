@@ -23,6 +23,25 @@ from pacekit.plans import marts as D
 from pacekit.plans import models as MD
 from pacekit.session import apply_runtime_conf
 from pacekit.sources import ingest as I
+from pacekit.sources.sinks import materialize, spread
+
+
+_LANDED: dict = {}
+
+
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw landing table, written once per application into the shared folder.
+
+    In production the landing zone is stored JSON documents; here it is derived
+    from ``events`` (see ``analog.landed_activities``) and materialised the
+    same way, so staging parses stored text like it would on a cluster.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        events = spread(A.table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism)
+        df = materialize(spark, A.landed_activities(events), "landed")
+        _LANDED[key] = df.inputFiles()
+    return spark.read.parquet(*_LANDED[key])
 
 
 class Inputs:
@@ -37,7 +56,7 @@ class Inputs:
 
     @cached_property
     def raw(self):
-        return A.landed_activities(self.t("events"))
+        return landed(self.spark, self.sf_dir)
 
     @cached_property
     def staged(self):
@@ -275,9 +294,8 @@ def efficiency_trend(spark, sf_dir):
 
 def mart_full(spark, sf_dir):
     x = Inputs(spark, sf_dir)
-    dense = MD.densified(x.athletes, MD.daily_rollup(x.rides, "activity"), x.rides, A.AS_OF,
-                         "activity")
-    return MD.with_rolling_load(dense)
+    return MD.mart(x.athletes, x.rides, A.AS_OF,
+                   persist=lambda df: materialize(spark, df, "daily_by_activity"))
 
 
 MART_CHECKS = [
