@@ -534,3 +534,32 @@ LEFT JOIN (SELECT user_id AS athlete_id, count(*) AS n FROM events GROUP BY 1) f
   ON f.athlete_id = c.c_custkey
 LEFT JOIN (SELECT athlete_id, count(*) AS n FROM staged GROUP BY 1) l
   ON l.athlete_id = c.c_custkey""", [STAGED])
+
+_RUNS = """
+run1 AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'),
+run2 AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-09 00:00:00')"""
+
+SQL["snapshot_explode"] = _with(_RUNS) + """
+SELECT event_id AS activity_id, value * 1000 AS distance_m,
+  TIMESTAMP '2024-02-01 00:00:00' AS extracted_at_utc,
+  'activities_raw_20240201T000000Z' AS snapshot
+FROM run2"""
+
+SQL["page_union"] = _with(_RUNS) + """
+SELECT user_id AS athlete_id, event_id AS activity_id, 1 AS run FROM run1
+UNION ALL
+SELECT user_id, event_id, 2 FROM run2"""
+
+SQL["csv_summary"] = _q("""
+SELECT activity_id AS ride_id, activity_name AS name, CAST(start_date_utc AS DATE) AS start_date,
+  distance_km, moving_time_min, avg_speed_kmh AS average_speed_kmh, elevation_m,
+  avg_power_w AS average_power, max_power_w AS max_power, avg_hr AS average_hr, max_hr,
+  kilojoules, sport_type
+FROM staged""", [STAGED])
+
+SQL["stream_incremental_upsert"] = """
+SELECT user_id AS athlete_id, event_id AS activity_id,
+  CASE WHEN ts >= TIMESTAMP '2024-01-09 00:00:00' THEN TIMESTAMP '2024-02-01 00:00:00'
+       ELSE TIMESTAMP '2024-01-16 00:00:00' END AS extracted_at_utc,
+  value * 1000 AS distance_m
+FROM events"""

@@ -19,6 +19,7 @@ from pacekit.operators.rolling import load_ratio, rolling_sums
 from pacekit.operators.scd import interval_join, retest_gap, scd2
 from pacekit.operators.upsert import latest_per_key, upsert
 from pacekit.plans import analog as A
+from pacekit.plans import landing as L
 from pacekit.plans import marts as D
 from pacekit.plans import models as MD
 from pacekit.session import apply_runtime_conf
@@ -455,4 +456,8 @@ REGISTRY = {
     "upsert_partial_columns": upsert_partial_columns,
     "stale_entities": stale_entities,
     "load_audit": load_audit,
+    "snapshot_explode": L.snapshot_explode,
+    "page_union": L.page_union,
+    "csv_summary": L.csv_summary,
+    "stream_incremental_upsert": L.stream_incremental_upsert,
 }

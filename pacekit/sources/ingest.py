@@ -103,40 +103,49 @@ def parse_audit(raw: DataFrame, schema: T.StructType = ACTIVITY_DOC) -> DataFram
 
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("extracted_at_utc", T.StringType()),
-    T.StructField("activities", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+    T.StructField("activities", T.ArrayType(T.StringType())),
 ])
 
 
-def read_snapshot(spark: SparkSession, path: str, pattern: str = "activities_raw_*.json",
-                  latest_only: bool = True, key: str = "id") -> DataFrame:
-    """Snapshot files ``{"extracted_at_utc": ..., "activities": [...]}`` -> one row per activity.
+def read_snapshot(spark: SparkSession, path: str, name_pattern: str = r"activities_raw_[^/]*",
+                  latest_only: bool = True, key: str = "$.id", multi_line: bool = False) -> DataFrame:
+    """Snapshot documents ``{"extracted_at_utc": ..., "activities": [...]}`` -> one row per activity.
 
-    ``latest_only`` keeps the file with the lexically greatest name (the name
-    carries the run time); it is picked from the file listing with a window
-    over ``_metadata.file_name``, not by collecting names to the driver.
-    Returns ``(activity_id, extracted_at_utc, payload, file_name)`` with the
-    activity re-serialised to JSON text (non-ASCII kept).
+    Each activity object is read as its raw JSON text (a ``string`` field over
+    a JSON object keeps the text verbatim, non-ASCII included). A snapshot is
+    named by the ``activities_raw_<run>`` part of its file path; with
+    ``latest_only`` only the lexically greatest name is kept, selected with a
+    semi join against a one-row aggregate, so no file list reaches the driver.
+    Use ``require_rows`` to fail loudly when nothing matched.
+    Returns ``(activity_id, extracted_at_utc, payload, snapshot)``.
     """
-    df = (spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", True)
-          .option("pathGlobFilter", pattern).json(path)
-          .select("*", F.col("_metadata.file_name").alias("file_name")))
+    df = (spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", multi_line)
+          .option("recursiveFileLookup", True).json(path)
+          .withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 0)))
+    df = df.filter(F.col("snapshot") != "")
     if latest_only:
-        newest = df.select(F.max("file_name").alias("file_name"))
-        df = df.join(newest, "file_name", "left_semi")
-    act = df.select("file_name", "extracted_at_utc", F.explode("activities").alias("a"))
+        newest = df.agg(F.max("snapshot").alias("snapshot"))
+        df = df.join(newest, "snapshot", "left_semi")
+    act = df.select("snapshot", "extracted_at_utc", F.explode("activities").alias("payload"))
     return act.select(
-        F.col("a")[key].cast("long").alias("activity_id"),
+        F.get_json_object(F.col("payload"), key).cast("long").alias("activity_id"),
         F.to_timestamp(F.col("extracted_at_utc")).alias("extracted_at_utc"),
-        F.to_json(F.col("a")).alias("payload"),
-        "file_name",
-    )
+        "payload", "snapshot")
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """Fail loudly when a source matched nothing (one-row probe, not a count)."""
+    if not df.take(1):
+        raise FileNotFoundError(f"no {what} found")
+    return df
 
 
 def read_pages(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Union of landed page files ``root/athlete_id=<id>/page=<n>/*.json``.
+    """Union of landed page files under ``root`` (e.g. ``root/run=<n>/part-*.json``).
 
-    Partition discovery turns the folder names into ``athlete_id`` and ``page``
-    columns; every file is read in parallel (bag union of the pages).
+    Partition discovery turns ``key=value`` folder names into columns; every
+    file is read in parallel (bag union of the pages). Pass ``schema`` so the
+    documents are never inferred.
     """
     reader = spark.read
     if schema is not None:
