@@ -29,11 +29,11 @@ def rolling_sums(df: DataFrame, keys: Sequence[str], day: str, value: str,
     v = F.coalesce(F.col(value), F.lit(0)) if null_as_zero else F.col(value)
     if decimal_scale is not None:
         v = v.cast(f"decimal(38,{decimal_scale})")
-    out = df
+    cols = {}
     for name, n in spans.items():
         s = F.sum(v).over(w.rangeBetween(-(n - 1), 0))
-        out = out.withColumn(name, s.cast("double") if decimal_scale is not None else s)
-    return out
+        cols[name] = s.cast("double") if decimal_scale is not None else s
+    return df.withColumns(cols)     # one projection -> one Window node for all spans
 
 
 def load_ratio(short_sum: str, long_sum: str, short_days: int = 7, long_days: int = 28,

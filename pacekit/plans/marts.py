@@ -28,10 +28,14 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def zone_share(rides: DataFrame, label: str) -> DataFrame:
-    """Ride count and share per zone label (NULL label = unclassified)."""
+    """Ride count and share per zone label (NULL label = unclassified).
+
+    The total comes from a window over the grouped rows - one row per label,
+    a handful at most - so the rides are scanned once.
+    """
     counts = rides.groupBy(F.col(label).alias("zone_label")).agg(
         F.count(F.lit(1)).alias("rides"))
-    total = rides.select(F.count(F.lit(1))).scalar()
+    total = F.sum("rides").over(Window.partitionBy())
     return counts.withColumn("share", M.round_half_up(F.col("rides") / total, 4))
 
 

@@ -265,7 +265,8 @@ def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: st
     start = rides.select(F.min("activity_date")).scalar()
     ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
     d = densify(ent, daily, ["athlete_id"], start, F.lit(as_of).cast("date"),
-                fact_day="activity_date", day_col="date", carry=["athlete_name"])
+                fact_day="activity_date", day_col="date", carry=["athlete_name"],
+                copartition=_partitions(entities) if grain == "day" else None)
     ids = ["activity_id", "activity_name"] if grain == "activity" else []
     return d.select(
         "athlete_id", "athlete_name", "date", *ids, "activity_date",
@@ -283,6 +284,10 @@ def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: st
 LOAD_SPANS = {"tss_7d": 7, "tss_28d": 28}
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def with_rolling_load(dense: DataFrame) -> DataFrame:
     """Attach 7/28-day load per (athlete, day) to every row of that day.
 
@@ -317,7 +322,8 @@ def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None) -> Dat
     day_tss = (daily.groupBy("athlete_id", F.col("activity_date").alias("date"))
                     .agg(F.sum(F.col("tss_total").cast("decimal(38,6)")).alias("day_tss")))
     days = densify(ent, day_tss, ["athlete_id"], start, F.lit(as_of).cast("date"),
-                   fact_day="date", day_col="date", carry=["athlete_name"])
+                   fact_day="date", day_col="date", carry=["athlete_name"],
+                   copartition=_partitions(entities))
     rolled = rolling_sums(days, ["athlete_id"], "date", "day_tss", LOAD_SPANS) \
         .select("athlete_id", "athlete_name", "date", *LOAD_SPANS)
     r, d = rolled.alias("_r"), daily.alias("_d")

@@ -52,6 +52,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Pin the SQL settings the operators rely on (safe on an existing session)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # let a join on (entity, day) reuse a partitioning by entity (see calendar.densify)
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
