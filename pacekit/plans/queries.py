@@ -27,26 +27,42 @@ from pacekit.sources import ingest as I
 from pacekit.sources.sinks import materialize, spread
 
 
-_LANDED: dict = {}
+_TABLES: dict = {}
+
+
+def session_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A model table written once per application into the shared folder.
+
+    The warehouse materialises its landing table and dimensions as tables;
+    queries then read them instead of re-deriving them at every reference,
+    which also keeps each query plan small. ``build()`` returns the DataFrame
+    to write; its files are spread over at least one file per core.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = materialize(spark, build(), name).inputFiles()
+    return spark.read.parquet(*_TABLES[key])
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw landing table, written once per application into the shared folder.
+    """The raw landing table ``(athlete_id, activity_id, extracted_at_utc, payload)``.
 
     In production the landing zone is stored JSON documents; here it is derived
-    from ``events`` (see ``analog.landed_activities``) and materialised the
-    same way, so staging parses stored text like it would on a cluster.
+    from ``events`` (see ``analog.landed_activities``) and stored the same way,
+    so staging parses stored text like it would on a cluster.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
+    def build():
         events = spread(A.table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism)
-        df = materialize(spark, A.landed_activities(events), "landed")
-        _LANDED[key] = df.inputFiles()
-    return spark.read.parquet(*_LANDED[key])
+        return A.landed_activities(events)
+    return session_table(spark, sf_dir, "landed", build)
 
 
 class Inputs:
-    """Lazily built DataFrames shared by the queries of one (spark, sf_dir)."""
+    """DataFrames shared by the queries of one (spark, sf_dir).
+
+    Dimensions are the stored model tables (``session_table``); the staged
+    activities, facts and rides are lazy plans over them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         apply_runtime_conf(spark)
@@ -55,6 +71,9 @@ class Inputs:
     def t(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
 
+    def _stored(self, name: str, build) -> DataFrame:
+        return session_table(self.spark, self.sf_dir, name, build)
+
     @cached_property
     def raw(self):
         return landed(self.spark, self.sf_dir)
@@ -69,7 +88,7 @@ class Inputs:
 
     @cached_property
     def thresholds(self):
-        return MD.dim_threshold(self.tests)
+        return self._stored("dim_threshold", lambda: MD.dim_threshold(self.tests))
 
     @cached_property
     def history(self):
@@ -77,15 +96,15 @@ class Inputs:
 
     @cached_property
     def athletes(self):
-        return MD.latest_athletes(self.history)
+        return self._stored("dim_athlete", lambda: MD.latest_athletes(self.history))
 
     @cached_property
     def hr_zones(self):
-        return MD.hr_zone_dim(self.history)
+        return self._stored("dim_hr_zones", lambda: MD.hr_zone_dim(self.history))
 
     @cached_property
     def power_zones(self):
-        return MD.power_zone_dim(self.thresholds)
+        return self._stored("dim_power_zones", lambda: MD.power_zone_dim(self.thresholds))
 
     @cached_property
     def fact(self):
@@ -147,13 +166,13 @@ def scd2_threshold(spark, sf_dir):
 
 
 def power_bands(spark, sf_dir):
-    z = Inputs(spark, sf_dir).power_zones
+    z = MD.power_zone_dim(MD.dim_threshold(Inputs(spark, sf_dir).tests))
     return z.withColumn("ftp_pct_low", F.col("ftp_pct_low").cast("double")) \
             .withColumn("ftp_pct_high", F.col("ftp_pct_high").cast("double"))
 
 
 def hr_bands_surrogate_key(spark, sf_dir):
-    z = Inputs(spark, sf_dir).hr_zones
+    z = MD.hr_zone_dim(Inputs(spark, sf_dir).history)
     return z.withColumn("hr_pct_low", F.col("hr_pct_low").cast("double")) \
             .withColumn("hr_pct_high", F.col("hr_pct_high").cast("double"))
 
