@@ -59,8 +59,7 @@ def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "pages")
     r1, r2 = _runs(spark, sf_dir)
     for n, df in ((1, r1), (2, r2)):
-        df.write.mode("overwrite").option("maxRecordsPerFile", PAGE_SIZE) \
-            .json(f"{root}/run={n}")
+        df.write.mode("overwrite").json(f"{root}/run={n}")   # one file per write task
     pages = I.read_pages(spark, root, schema=RAW_RECORD)
     return pages.select("athlete_id", "activity_id", F.col("run").cast("int").alias("run"))
 

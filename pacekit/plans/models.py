@@ -223,12 +223,8 @@ def daily_rollup(rides: DataFrame, grain: str = "activity") -> DataFrame:
         keys += ["activity_id", "activity_name"]
     dur = "duration_minutes"
     aggs = [
-        F.max("power_zone_label").alias("power_zone_label"),
-        F.max("power_zone_name").alias("power_zone_name"),
-        F.max("power_zone_benefit").alias("power_zone_benefit"),
-        F.max("hr_zone_label").alias("hr_zone_label"),
-        F.max("hr_zone_name").alias("hr_zone_name"),
-        F.max("hr_zone_benefit").alias("hr_zone_benefit"),
+        M.max_in_domain(c, [z[f] for z in zones]).alias(c) for c, zones, f in LABEL_DOMAINS
+    ] + [
         F.count(F.lit(1)).alias("ride_count"),
         M.round_half_up(M.exact_sum("distance_km"), 2).alias("distance_km"),
         M.round_half_up(M.exact_sum(dur), 2).alias("duration_minutes"),
@@ -245,11 +241,26 @@ def daily_rollup(rides: DataFrame, grain: str = "activity") -> DataFrame:
         F.max(F.when(F.col("power_zone_number") == 4, 1).otherwise(0)).alias("is_high_power_zone"),
     ]
     if grain == "day":
-        aggs += [F.max_by("power_zone_label", "power_zone_number").alias("power_zone_label_top"),
-                 F.max_by("hr_zone_label", "hr_zone_number").alias("hr_zone_label_top")]
+        aggs += [_label_of_top(POWER_ZONES, "power_zone_number").alias("power_zone_label_top"),
+                 _label_of_top(HR_ZONES, "hr_zone_number").alias("hr_zone_label_top")]
     return rides.groupBy(*keys).agg(*aggs)
 
 
+LABEL_DOMAINS = [("power_zone_label", POWER_ZONES, "zone_label"),
+                 ("power_zone_name", POWER_ZONES, "zone_name"),
+                 ("power_zone_benefit", POWER_ZONES, "training_benefit"),
+                 ("hr_zone_label", HR_ZONES, "zone_label"),
+                 ("hr_zone_name", HR_ZONES, "zone_name"),
+                 ("hr_zone_benefit", HR_ZONES, "training_focus")]
+
+def _label_of_top(zones, number_col: str) -> Column:
+    """Label of the highest zone reached (``max_by(label, number)`` on a fixed band set)."""
+    lookup = F.create_map(*[x for z in zones for x in (F.lit(z["zone_number"]),
+                                                       F.lit(z["zone_label"]))])
+    top = F.max(F.col(number_col))
+    return F.when(top.isNotNull(), F.element_at(lookup, top))
+
+
 MART_MEASURES = ["avg_speed_kmh_wt", "avg_power_w_wt", "normalized_power_wt", "avg_hr_bpm_wt",
                  "power_zone_label", "power_zone_name", "power_zone_benefit", "hr_zone_label",
                  "hr_zone_name", "hr_zone_benefit", "watts_per_bpm_wt", "efficiency_factor_wt"]
