@@ -11,12 +11,14 @@ from pacekit.functions import metrics as M
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
-                    salt_col: str, salt_buckets: int = 32) -> DataFrame:
+                    salt_col: str, salt_buckets: int = 256) -> DataFrame:
     """The first ``k`` rows of each group under ``order`` (which must be total).
 
     Two phases so a hot group never lands whole in one task: first the top
     ``k`` inside (group, hash(salt_col) mod ``salt_buckets``) sub-groups, then
     the top ``k`` of those at most ``k * salt_buckets`` survivors per group.
+    Spark also inserts a map-side ``WindowGroupLimit`` before each exchange,
+    so every map partition ships at most ``k`` rows per (sub-)group.
     The limit is the feature (a top-k report), not a cap to escape skew.
     """
     salt = (F.abs(F.xxhash64(F.col(salt_col))) % salt_buckets).alias("_salt")

@@ -299,18 +299,6 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_rolling_load(dense: DataFrame) -> DataFrame:
-    """Attach 7/28-day load per (athlete, day) to every row of that day.
-
-    The window runs on the per-day totals (<= one row per athlete and day),
-    then the sums are joined back on (athlete_id, date).
-    """
-    day = (dense.groupBy("athlete_id", "date")
-                .agg(F.sum(F.col("tss_total").cast("decimal(38,6)")).alias("day_tss")))
-    rolled = rolling_sums(day, ["athlete_id"], "date", "day_tss", LOAD_SPANS)
-    return dense.join(rolled.select("athlete_id", "date", *LOAD_SPANS), ["athlete_id", "date"])
-
-
 def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None) -> DataFrame:
     """The daily mart at per-activity grain with rest days and 7/28-day load.
 

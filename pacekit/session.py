@@ -66,6 +66,7 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        _require_local(spark)
         base = tempfile.mkdtemp(prefix="pacekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -82,7 +83,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        _require_local(spark)
         base = tempfile.mkdtemp(prefix="pacekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir()
+
+
+def _require_local(spark: SparkSession) -> None:
+    """A machine-local temp folder is only acceptable when everything runs on this machine."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
