@@ -127,12 +127,14 @@ def fact_activities(staged: DataFrame, thresholds: DataFrame, mode: str = "curre
 def fact_power_zone(fact: DataFrame, power_zones: DataFrame) -> DataFrame:
     """Zone of each activity's normalized power under its threshold (inner)."""
     a = fact.filter(F.col("normalized_power").isNotNull() & F.col("ftp_id").isNotNull()) \
-            .select("activity_id", "ftp_id", "normalized_power")
+            .select("activity_id", "athlete_id", "ftp_id", "normalized_power")
+    # athlete_id is implied by ftp_id; keying on it too lets a sort-merge plan
+    # reuse the fact's partitioning by athlete from the threshold lookup
     j = band_join(a, power_zones, "normalized_power",
                   ["watts_low", "watts_high", "zone_number", "zone_label", "zone_name",
                    "training_benefit"],
-                  keys=["ftp_id"], how="inner", low="watts_low", high="watts_high",
-                  open_upper=True)
+                  keys=["athlete_id", "ftp_id"], how="inner", low="watts_low",
+                  high="watts_high", open_upper=True)
     return j.select(
         "activity_id", "ftp_id", F.lit("normalized_power").alias("classification_basis"),
         F.col("normalized_power").cast("decimal(6,2)").cast("double").alias("power_watts"),
@@ -200,10 +202,10 @@ def rides_enriched(fact: DataFrame, thresholds: DataFrame, power_zones: DataFram
                    F.col("zone_label").alias("hr_zone_label"),
                    F.col("zone_name").alias("hr_zone_name"),
                    F.col("training_focus").alias("hr_zone_benefit"))
-    pz = band_join(hr, power_zones.drop("athlete_id"), "normalized_power",
+    pz = band_join(hr, power_zones, "normalized_power",
                    ["zone_number", "zone_label", "zone_name", "training_benefit"],
-                   keys=["ftp_id"], how="left", low="watts_low", high="watts_high",
-                   open_upper=True)
+                   keys=["athlete_id", "ftp_id"], how="left", low="watts_low",
+                   high="watts_high", open_upper=True)
     return pz.select(*hr.columns,
                      F.col("zone_number").alias("power_zone_number"),
                      F.col("zone_label").alias("power_zone_label"),

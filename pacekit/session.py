@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -54,6 +55,10 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     # let a join on (entity, day) reuse a partitioning by entity (see calendar.densify)
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    # split a hot entity's join partition even when a later aggregate reuses the
+    # entity partitioning (AQE then adds the shuffle it needs)
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
