@@ -75,9 +75,9 @@ CSV_SCHEMA = ("ride_id bigint, name string, start_date date, distance_km double,
 
 def csv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the 13-column ride summary as header CSV and read it back."""
-    from pacekit.plans.queries import Inputs
+    from pacekit.plans.queries import inputs
 
-    s = Inputs(spark, sf_dir).staged
+    s = inputs(spark, sf_dir).staged
     out = s.select(F.col("activity_id").alias("ride_id"), F.col("activity_name").alias("name"),
                    F.col("start_date_utc").cast("date").alias("start_date"), "distance_km",
                    "moving_time_min", F.col("avg_speed_kmh").alias("average_speed_kmh"),

@@ -57,6 +57,23 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_table(spark, sf_dir, "landed", build)
 
 
+_INPUTS: dict = {}
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> "Inputs":
+    """The shared ``Inputs`` of this session and data folder.
+
+    DataFrames are immutable lazy plans, so the staged activities, facts and
+    enriched rides are built (and analysed) once per session and reused by
+    every query that reads them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INPUTS:
+        _INPUTS[key] = Inputs(spark, sf_dir)
+    apply_runtime_conf(spark)
+    return _INPUTS[key]
+
+
 class Inputs:
     """DataFrames shared by the queries of one (spark, sf_dir).
 
@@ -128,17 +145,17 @@ def _ntz(c: str):
 # ------------------------------------------------------------------ staging
 
 def stage_json_typed(spark, sf_dir):
-    s = Inputs(spark, sf_dir).parse()
+    s = inputs(spark, sf_dir).parse()
     return s.select(*[_ntz(c) if c in ("start_date_utc", "extracted_at_utc") else F.col(c)
                       for c in s.columns])
 
 
 def parse_audit(spark, sf_dir):
-    return I.parse_audit(Inputs(spark, sf_dir).raw)
+    return I.parse_audit(inputs(spark, sf_dir).raw)
 
 
 def ride_projection(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     r = x.staged.filter(F.col("activity_type") == A.RIDE_TYPE).alias("r")
     a = x.athletes.select("athlete_id", F.col("first_name").alias("athlete_name")).alias("a")
     j = r.join(a, F.col("r.athlete_id") == F.col("a.athlete_id"))
@@ -156,14 +173,14 @@ def dim_date(spark, sf_dir):
 
 
 def inline_values_bands(spark, sf_dir):
-    t = Inputs(spark, sf_dir).tests
+    t = inputs(spark, sf_dir).tests
     return t.select("ftp_id", "athlete_id", "ftp_watts", "ftp_wkg", "test_date", "test_type",
                     F.lit(None).cast("string").alias("test_notes"),
                     F.lit("customer").alias("source"))
 
 
 def scd2_threshold(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     d = MD.dim_threshold(x.tests)
     d = scd2(d, ["athlete_id"], "test_date", tiebreak=["ftp_id"], end_offset_days=0,
              from_col="_vf", to_col="valid_to_exclusive", current_col=None).drop("_vf")
@@ -171,13 +188,13 @@ def scd2_threshold(spark, sf_dir):
 
 
 def power_bands(spark, sf_dir):
-    z = MD.power_zone_dim(MD.dim_threshold(Inputs(spark, sf_dir).tests))
+    z = MD.power_zone_dim(MD.dim_threshold(inputs(spark, sf_dir).tests))
     return z.withColumn("ftp_pct_low", F.col("ftp_pct_low").cast("double")) \
             .withColumn("ftp_pct_high", F.col("ftp_pct_high").cast("double"))
 
 
 def hr_bands_surrogate_key(spark, sf_dir):
-    z = MD.hr_zone_dim(Inputs(spark, sf_dir).history)
+    z = MD.hr_zone_dim(inputs(spark, sf_dir).history)
     return z.withColumn("hr_pct_low", F.col("hr_pct_low").cast("double")) \
             .withColumn("hr_pct_high", F.col("hr_pct_high").cast("double"))
 
@@ -185,11 +202,11 @@ def hr_bands_surrogate_key(spark, sf_dir):
 # ------------------------------------------------------------------ facts
 
 def fact_current_threshold(spark, sf_dir):
-    return Inputs(spark, sf_dir).fact
+    return inputs(spark, sf_dir).fact
 
 
 def fact_as_of_threshold(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     s = x.staged.select("activity_id", "athlete_id",
                         F.col("start_date_utc").cast("date").alias("activity_date"))
     return interval_join(s, x.thresholds, ["athlete_id"], "activity_date",
@@ -197,7 +214,7 @@ def fact_as_of_threshold(spark, sf_dir):
 
 
 def fact_as_of_inclusive(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     s = x.staged.select("activity_id", "athlete_id",
                         F.col("start_date_utc").cast("date").alias("activity_date"))
     return interval_join(s, x.thresholds, ["athlete_id"], "activity_date",
@@ -205,24 +222,24 @@ def fact_as_of_inclusive(spark, sf_dir):
 
 
 def retest_gap_rows(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     s = x.staged.select("activity_id", "athlete_id",
                         F.col("start_date_utc").cast("date").alias("activity_date"))
     return retest_gap(s, x.thresholds, ["athlete_id"], "activity_date")
 
 
 def power_zone_match(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     return MD.fact_power_zone(x.fact, x.power_zones)
 
 
 def hr_efficiency_keyed(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     return MD.fact_hr_efficiency(x.fact, x.thresholds, x.hr_zones)
 
 
 def hr_band_theta(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     ref = x.history.agg(F.max("max_hr").alias("reference_bpm"))
     bands = make_bands(ref, MD.HR_ZONES, MD.HR_TYPES, "reference_bpm", "hr_pct_low",
                        "hr_pct_high", "bpm_low", "bpm_high")
@@ -232,7 +249,7 @@ def hr_band_theta(spark, sf_dir):
 # ------------------------------------------------------------------ aggregation
 
 def weighted_means(spark, sf_dir):
-    r = Inputs(spark, sf_dir).rides
+    r = inputs(spark, sf_dir).rides
     dur = "duration_minutes"
     out = r.groupBy("athlete_id", "activity_date").agg(
         F.count(F.lit(1)).alias("ride_count"),
@@ -252,11 +269,11 @@ def weighted_means(spark, sf_dir):
 
 
 def daily_by_activity(spark, sf_dir):
-    return MD.daily_rollup(Inputs(spark, sf_dir).rides, "activity")
+    return MD.daily_rollup(inputs(spark, sf_dir).rides, "activity")
 
 
 def daily(spark, sf_dir):
-    return MD.daily_rollup(Inputs(spark, sf_dir).rides, "day")
+    return MD.daily_rollup(inputs(spark, sf_dir).rides, "day")
 
 
 def _dense_day(x: Inputs) -> DataFrame:
@@ -264,11 +281,11 @@ def _dense_day(x: Inputs) -> DataFrame:
 
 
 def densified_daily(spark, sf_dir):
-    return _dense_day(Inputs(spark, sf_dir))
+    return _dense_day(inputs(spark, sf_dir))
 
 
 def rolling_load_7_28(spark, sf_dir):
-    d = _dense_day(Inputs(spark, sf_dir)).select("athlete_id", "date", "tss_total")
+    d = _dense_day(inputs(spark, sf_dir)).select("athlete_id", "date", "tss_total")
     return rolling_sums(d, ["athlete_id"], "date", "tss_total", MD.LOAD_SPANS)
 
 
@@ -290,19 +307,19 @@ def load_ratio_label(spark, sf_dir):
 
 
 def zone_share(spark, sf_dir):
-    return D.zone_share(Inputs(spark, sf_dir).rides, "power_zone_label")
+    return D.zone_share(inputs(spark, sf_dir).rides, "power_zone_label")
 
 
 def hr_zone_share(spark, sf_dir):
-    return D.zone_share(Inputs(spark, sf_dir).rides, "hr_zone_label")
+    return D.zone_share(inputs(spark, sf_dir).rides, "hr_zone_label")
 
 
 def monthly_summary(spark, sf_dir):
-    return D.monthly_summary(Inputs(spark, sf_dir).rides)
+    return D.monthly_summary(inputs(spark, sf_dir).rides)
 
 
 def recent_log(spark, sf_dir):
-    r = Inputs(spark, sf_dir).rides
+    r = inputs(spark, sf_dir).rides
     top = D.top_k_per_group(r, ["athlete_id"],
                             [F.col("activity_date").desc(), F.col("activity_id").desc()], 10,
                             salt_col="activity_id")
@@ -312,13 +329,13 @@ def recent_log(spark, sf_dir):
 
 
 def efficiency_trend(spark, sf_dir):
-    return D.efficiency_trend(Inputs(spark, sf_dir).rides)
+    return D.efficiency_trend(inputs(spark, sf_dir).rides)
 
 
 # ------------------------------------------------------------------ mart + quality
 
 def mart_full(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     return MD.mart(x.athletes, x.rides, A.AS_OF,
                    persist=lambda df: materialize(spark, df, "daily_by_activity"))
 
@@ -367,7 +384,7 @@ def duplicate_keys(spark, sf_dir):
 
 
 def orphan_entities(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     rides = x.fact.filter(F.col("activity_type") == A.RIDE_TYPE)
     orphan_rides = rides.join(x.athletes, "athlete_id", "left_anti").agg(
         F.count(F.lit(1)).alias("n"))
@@ -439,7 +456,7 @@ def stale_entities(spark, sf_dir):
 
 
 def load_audit(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = inputs(spark, sf_dir)
     ents = x.t("customer").select(F.col("c_custkey").alias("athlete_id"))
     return I.load_audit(x.raw, x.staged, "athlete_id", entities=ents)
 
