@@ -85,6 +85,38 @@ def quality_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
     return out.withColumn("status", status)
 
 
+def contract_report(df: DataFrame, expected: Mapping[str, str],
+                    primary_key: Sequence[str] = (), severity: str = "error") -> DataFrame:
+    """A declared contract in one report: schema, not-null keys and key uniqueness.
+
+    ``expected`` maps column -> Spark SQL type name (e.g. ``"bigint"``). Missing
+    or mistyped columns and unexpected extra columns are found from the schema
+    alone (no data pass); not-null and uniqueness of ``primary_key`` run as
+    ordinary checks in the same report.
+    """
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rows = []
+    for c, t in expected.items():
+        bad = int(c not in actual or actual[c] != t.lower())
+        rows.append((f"contract_type_{c}", c, "schema", bad, severity))
+    for c in actual:
+        if c not in expected:
+            rows.append((f"contract_extra_{c}", c, "schema", 1, severity))
+    spark = df.sparkSession
+    schema_part = spark.createDataFrame(
+        rows, "check_name string, column_name string, kind string, failures bigint, severity string")
+    present = [c for c in primary_key if c in actual]
+    checks = [{"name": f"contract_not_null_{c}", "kind": "not_null", "column": c,
+               "severity": severity} for c in present]
+    if present:
+        checks.append({"name": "contract_primary_key", "kind": "unique", "columns": present,
+                       "severity": severity})
+    status = (F.when(F.col("failures") == 0, F.lit("pass"))
+               .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
+    out = schema_part.withColumn("status", status)
+    return out.unionByName(quality_report(df, checks)) if checks else out
+
+
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The failing rows of a uniqueness check: key combinations with count > 1."""
     return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows"))

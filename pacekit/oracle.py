@@ -9,7 +9,7 @@ Shared building blocks are CTEs; the derivation rules mirror
 from __future__ import annotations
 
 from pacekit.plans import models as MD
-from pacekit.plans.queries import MART_CHECKS
+from pacekit.plans.queries import MART_CHECKS, MART_CONTRACT, MART_PRIMARY_KEY
 
 
 def RH(expr: str, n: int) -> str:
@@ -563,3 +563,24 @@ SELECT user_id AS athlete_id, event_id AS activity_id,
        ELSE TIMESTAMP '2024-01-16 00:00:00' END AS extracted_at_utc,
   value * 1000 AS distance_m
 FROM events"""
+
+
+def _contract_sql() -> str:
+    schema_rows = " UNION ALL\n".join(
+        f"SELECT 'contract_type_{c}' AS check_name, '{c}' AS column_name, 'schema' AS kind, "
+        f"CAST(0 AS BIGINT) AS failures, 'error' AS severity" for c in MART_CONTRACT)
+    nn = " UNION ALL\n".join(
+        f"SELECT 'contract_not_null_{c}', '{c}', 'not_null', "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT), 'error' FROM mart"
+        for c in MART_PRIMARY_KEY)
+    cols = ", ".join(MART_PRIMARY_KEY)
+    pk = (f"SELECT 'contract_primary_key', '{','.join(MART_PRIMARY_KEY)}', 'unique', "
+          f"CAST((SELECT count(*) FROM (SELECT {cols} FROM mart GROUP BY {cols} "
+          f"HAVING count(*) > 1)) AS BIGINT), 'error'")
+    return _q(f"""SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
+{schema_rows} UNION ALL
+{nn} UNION ALL
+{pk})""", BASE + [MART])
+
+
+SQL["mart_contract"] = _contract_sql()

@@ -379,6 +379,25 @@ def quality_report(spark, sf_dir):
     return Q.quality_report(mart_full(spark, sf_dir), MART_CHECKS)
 
 
+# The mart's declared contract: column types and the declared primary key.
+MART_CONTRACT = {
+    "athlete_id": "bigint", "athlete_name": "string", "date": "date", "activity_id": "bigint",
+    "activity_name": "string", "activity_date": "date", "ride_count": "bigint",
+    "distance_km": "double", "duration_minutes": "double", "avg_speed_kmh_wt": "double",
+    "avg_power_w_wt": "double", "normalized_power_wt": "double", "avg_hr_bpm_wt": "double",
+    "power_zone_label": "string", "power_zone_name": "string", "power_zone_benefit": "string",
+    "hr_zone_label": "string", "hr_zone_name": "string", "hr_zone_benefit": "string",
+    "watts_per_bpm_wt": "double", "efficiency_factor_wt": "double", "tss_total": "double",
+    "intensity_factor_avg": "double", "is_high_hr_zone": "int", "is_high_power_zone": "int",
+    "tss_7d": "double", "tss_28d": "double",
+}
+MART_PRIMARY_KEY = ["athlete_id", "activity_date", "activity_id"]
+
+
+def mart_contract(spark, sf_dir):
+    return Q.contract_report(mart_full(spark, sf_dir), MART_CONTRACT, MART_PRIMARY_KEY)
+
+
 def duplicate_keys(spark, sf_dir):
     return Q.duplicate_keys(mart_full(spark, sf_dir), ["athlete_id", "activity_date"])
 
@@ -492,6 +511,7 @@ REGISTRY = {
     "mart_full": mart_full,
     "quality_report": quality_report,
     "duplicate_keys": duplicate_keys,
+    "mart_contract": mart_contract,
     "orphan_entities": orphan_entities,
     "upsert_latest_wins": upsert_latest_wins,
     "upsert_partial_columns": upsert_partial_columns,

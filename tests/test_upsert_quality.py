@@ -74,3 +74,14 @@ def test_quality_report_counts_and_null_semantics(spark):
         Q.gate(Q.quality_report(df, CHECKS))
     ok = Q.gate(Q.quality_report(df.filter("a = 3"), CHECKS[:1] + CHECKS[3:4]))
     assert {r["status"] for r in ok} == {"pass"}
+
+
+def test_contract_report_schema_nulls_and_key(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (1, "b", None), (None, "c", 1.0)],
+                               "athlete_id bigint, name string, extra double")
+    rep = {r.check_name: r.failures for r in Q.contract_report(
+        df, {"athlete_id": "bigint", "name": "int", "missing": "date"},
+        primary_key=["athlete_id"]).collect()}
+    assert rep["contract_type_athlete_id"] == 0 and rep["contract_type_name"] == 1
+    assert rep["contract_type_missing"] == 1 and rep["contract_extra_extra"] == 1
+    assert rep["contract_not_null_athlete_id"] == 1 and rep["contract_primary_key"] == 1
