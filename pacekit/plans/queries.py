@@ -22,7 +22,7 @@ from pacekit.plans import analog as A
 from pacekit.plans import landing as L
 from pacekit.plans import marts as D
 from pacekit.plans import models as MD
-from pacekit.session import apply_runtime_conf
+from pacekit.session import app_key, apply_runtime_conf, default_parallelism
 from pacekit.sources import ingest as I
 from pacekit.sources.sinks import materialize, spread
 
@@ -38,7 +38,7 @@ def session_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFra
     which also keeps each query plan small. ``build()`` returns the DataFrame
     to write; its files are spread over at least one file per core.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (app_key(spark), sf_dir, name)
     if key not in _TABLES:
         _TABLES[key] = materialize(spark, build(), name).inputFiles()
     return spark.read.parquet(*_TABLES[key])
@@ -52,7 +52,7 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     so staging parses stored text like it would on a cluster.
     """
     def build():
-        events = spread(A.table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism)
+        events = spread(A.table(spark, sf_dir, "events"), default_parallelism(spark))
         return A.landed_activities(events)
     return session_table(spark, sf_dir, "landed", build)
 
@@ -67,7 +67,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> "Inputs":
     enriched rides are built (and analysed) once per session and reused by
     every query that reads them.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     if key not in _INPUTS:
         _INPUTS[key] = Inputs(spark, sf_dir)
     apply_runtime_conf(spark)

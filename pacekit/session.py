@@ -69,12 +69,15 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = _context_checkpoint_dir(spark)
     if not base:
         _require_local(spark)
         base = tempfile.mkdtemp(prefix="pacekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
+            pass
     if base.startswith("file:"):
         base = base[len("file:"):]
     path = os.path.join(base, f"{name or 'run'}-{uuid.uuid4().hex[:12]}")
@@ -97,5 +100,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def _require_local(spark: SparkSession) -> None:
     """A machine-local temp folder is only acceptable when everything runs on this machine."""
-    if not spark.sparkContext.master.startswith("local"):
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001
+        master = spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def _context_checkpoint_dir(spark: SparkSession):
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    """Identifier of the running application (keys per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))

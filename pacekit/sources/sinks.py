@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pacekit.session import scratch_dir
+from pacekit.session import default_parallelism, scratch_dir
 
 
 def spread(df: DataFrame, min_partitions: int) -> DataFrame:
@@ -26,9 +26,11 @@ def spread(df: DataFrame, min_partitions: int) -> DataFrame:
     Large inputs already have many partitions and are left alone (no shuffle);
     a single small file is spread so per-row work (JSON parsing) uses all cores.
     """
-    if df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
-    return df
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(min_partitions) if n < min_partitions else df
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -43,7 +45,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 def materialize(spark: SparkSession, df: DataFrame, name: str,
                 min_partitions: int | None = None) -> DataFrame:
     path = scratch_dir(spark, name)
-    n = min_partitions or spark.sparkContext.defaultParallelism
+    n = min_partitions or default_parallelism(spark)
     write_table(spread(df, n), path)
     return spark.read.parquet(path)
 
