@@ -8,7 +8,8 @@ a literal array - a per-row generator, no join and no shuffle.
 ``band_join`` matches a value to the band containing it:
 
 * keyed (the default): equi-join on the entity keys plus the range as a
-  residual predicate - a hash join, each fact meets only its entity's bands;
+  residual predicate - each fact meets only its entity's bands; a checked-size
+  broadcast, or a salted join for large band tables (``operators.lookup``);
 * unkeyed (``keys=()``): a pure range join. The band side is broadcast only
   after its row count is checked against ``max_broadcast_rows``; above that the
   join is rewritten as an equi-join on value buckets (each band is exploded
@@ -22,6 +23,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pacekit.operators.lookup import DEFAULT_BROADCAST_ROWS, DEFAULT_SALT_BUCKETS, SALT, prepare
+
 
 def band_literals(defs: Sequence[Mapping], types: Mapping[str, str]) -> Column:
     """A literal ``array<struct>`` holding the band definitions."""
@@ -57,12 +60,23 @@ def in_band(value: Column, low: Column, high: Column, open_upper: bool = False,
 def band_join(facts: DataFrame, bands: DataFrame, value: str, band_cols: Sequence[str],
               keys: Sequence[str] = (), how: str = "left", low: str = "low",
               high: str = "high", open_upper: bool = False, extra: Column | None = None,
-              max_broadcast_rows: int = 10_000, bucket_width: int = 10) -> DataFrame:
+              max_broadcast_rows: int | None = None, bucket_width: int = 10,
+              salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Attach the band that contains ``facts[value]``.
 
     ``extra`` is an additional predicate over ``_f``/``_b`` aliases (e.g. a
     validity interval). Returns all fact columns plus ``band_cols``.
+    ``max_broadcast_rows`` bounds the broadcast side: keyed joins default to
+    ``lookup.DEFAULT_BROADCAST_ROWS`` and are salted above it (see
+    ``lookup.prepare``); the un-keyed range join defaults to 10,000 band rows
+    and becomes a bucketed equi-join above it.
     """
+    added = False
+    if keys:
+        limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+        facts, bands, keys, added = prepare(facts, bands, keys, limit, salt_buckets)
+    elif max_broadcast_rows is None:
+        max_broadcast_rows = 10_000
     f, b = facts.alias("_f"), bands.alias("_b")
     cond = in_band(F.col(f"_f.{value}"), F.col(f"_b.{low}"), F.col(f"_b.{high}"), open_upper)
     for k in keys:
@@ -71,7 +85,8 @@ def band_join(facts: DataFrame, bands: DataFrame, value: str, band_cols: Sequenc
         cond = cond & extra
     sel = ["_f.*", *[F.col(f"_b.{c}").alias(c) for c in band_cols]]
     if keys:
-        return f.join(b, cond, how).select(*sel)
+        out = f.join(b, cond, how).select(*sel)
+        return out.drop(SALT) if added else out
     n = bands.limit(max_broadcast_rows + 1).count()
     if n <= max_broadcast_rows:
         return f.join(F.broadcast(b), cond, how).select(*sel)

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pacekit.operators.lookup import DEFAULT_BROADCAST_ROWS, DEFAULT_SALT_BUCKETS, SALT, prepare
+
 
 def scd2(df: DataFrame, keys: Sequence[str], order_col: str,
          tiebreak: Sequence[str] = (), end_offset_days: int = 0,
@@ -53,7 +55,9 @@ def validity_predicate(at: Column, valid_from: Column, valid_to: Column,
 def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
                   dim_cols: Sequence[str], how: str = "inner", end: str = "exclusive",
                   current_only: bool = False, from_col: str = "valid_from",
-                  to_col: str = "valid_to") -> DataFrame:
+                  to_col: str = "valid_to",
+                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                  salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Attach the dimension version in force at ``facts[at]``.
 
     * ``current_only=False`` - the version whose interval contains the date
@@ -61,8 +65,11 @@ def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str
     * ``current_only=True`` - only the open (latest) version, and only for facts
       on or after its start; older facts get NULLs on a left join.
 
-    Returns all fact columns plus ``dim_cols``.
+    Returns all fact columns plus ``dim_cols``. The physical strategy
+    (checked-size broadcast, or salted join above ``max_broadcast_rows``) is
+    chosen by ``lookup.prepare``.
     """
+    facts, dim, keys, added = prepare(facts, dim, keys, max_broadcast_rows, salt_buckets)
     f, d = facts.alias("_f"), dim.alias("_d")
     cond = None
     for k in keys:
@@ -73,7 +80,8 @@ def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str
         cond = cond & vt.isNull() & (at_c >= vf)
     else:
         cond = cond & validity_predicate(at_c, vf, vt, end)
-    return f.join(d, cond, how).select("_f.*", *[F.col(f"_d.{c}").alias(c) for c in dim_cols])
+    out = f.join(d, cond, how).select("_f.*", *[F.col(f"_d.{c}").alias(c) for c in dim_cols])
+    return out.drop(SALT) if added else out
 
 
 def retest_gap(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
@@ -89,6 +97,8 @@ def retest_gap(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str) -
 
 def _match(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str, end: str,
            how: str) -> DataFrame:
+    facts, dim, keys, added = prepare(facts, dim, keys, DEFAULT_BROADCAST_ROWS,
+                                      DEFAULT_SALT_BUCKETS)
     f, d = facts.alias("_f"), dim.alias("_d")
     cond = None
     for k in keys:
@@ -96,4 +106,5 @@ def _match(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str, end:
         cond = c if cond is None else cond & c
     cond = cond & validity_predicate(F.col(f"_f.{at}"), F.col("_d.valid_from"),
                                      F.col("_d.valid_to"), end)
-    return f.join(d, cond, how)
+    out = f.join(d, cond, how)
+    return out.drop(SALT) if added else out

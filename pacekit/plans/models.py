@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacekit.functions import metrics as M
+from pacekit.operators import lookup as L
 from pacekit.operators.bands import band_join, make_bands
 from pacekit.operators.calendar import date_dim, densify
 from pacekit.operators.rolling import rolling_sums
@@ -185,9 +186,16 @@ def rides_enriched(fact: DataFrame, thresholds: DataFrame, power_zones: DataFram
     Same values as left-joining the power-zone and HR-efficiency facts by
     activity id, computed on one stream: the as-of threshold (exclusive end)
     gates the efficiency metrics and HR zone, the current threshold's zone
-    gives the power zone.
+    gives the power zone. When a dimension is over the broadcast bound the
+    rides are salted once, so all lookups share one (athlete, salt)
+    partitioning and a hot athlete is spread over the salt buckets.
     """
     rides = fact.filter(F.col("activity_type") == F.lit(ride_type))
+    dims = (thresholds, power_zones, hr_zones)
+    salted = not all(L.fits(d, L.DEFAULT_BROADCAST_ROWS) for d in dims)
+    if salted:
+        # one salt for all lookups: they then share a (athlete, salt) partitioning
+        rides = L.add_salt(rides)
     asof = interval_join(rides, thresholds.select("athlete_id", "valid_from", "valid_to",
                                                   F.col("ftp_id").alias("asof_ftp_id")),
                          ["athlete_id"], "activity_date", ["asof_ftp_id"], how="left",
@@ -206,11 +214,12 @@ def rides_enriched(fact: DataFrame, thresholds: DataFrame, power_zones: DataFram
                    ["zone_number", "zone_label", "zone_name", "training_benefit"],
                    keys=["athlete_id", "ftp_id"], how="left", low="watts_low",
                    high="watts_high", open_upper=True)
-    return pz.select(*hr.columns,
-                     F.col("zone_number").alias("power_zone_number"),
-                     F.col("zone_label").alias("power_zone_label"),
-                     F.col("zone_name").alias("power_zone_name"),
-                     F.col("training_benefit").alias("power_zone_benefit"))
+    out = pz.select(*hr.columns,
+                    F.col("zone_number").alias("power_zone_number"),
+                    F.col("zone_label").alias("power_zone_label"),
+                    F.col("zone_name").alias("power_zone_name"),
+                    F.col("training_benefit").alias("power_zone_benefit"))
+    return out.drop(L.SALT) if salted else out
 
 
 def daily_rollup(rides: DataFrame, grain: str = "activity") -> DataFrame:

@@ -48,3 +48,27 @@ def test_spine_is_generated_in_place_not_shuffled(spark):
         assert not any(par.startswith("Exchange") for par in _parent_of(p, "Generate")), name
         windows = [ln for ln in p.split("\n") if ln.strip(" :+-").startswith("Window ")]
         assert len(windows) == 1, name        # both spans in one Window node
+
+
+def test_large_dimensions_get_salted_lookups(spark, monkeypatch):
+    """Above the broadcast bound the ride stream is shuffled by (athlete, salt)."""
+    from pyspark.sql import functions as F
+
+    import pacekit.operators.lookup as L
+    from pacekit.plans import analog as A
+    from pacekit.plans import models as MD
+    from pacekit.sources import ingest as I
+
+    monkeypatch.setattr(L, "DEFAULT_BROADCAST_ROWS", 0)
+    ev = A.table(spark, SF, "events").withColumn(        # one hot athlete: every 'view'
+        "user_id", F.when(F.col("event_type") == "view", F.lit(7)).otherwise(F.col("user_id")))
+    cust = A.table(spark, SF, "customer")
+    staged = I.stage_activities(A.landed_activities(ev))
+    thr = MD.dim_threshold(A.threshold_tests(cust))
+    rides = MD.rides_enriched(MD.fact_activities(staged, thr), thr, MD.power_zone_dim(thr),
+                              MD.hr_zone_dim(A.athlete_history(cust)), "view")
+    p = plan(rides)
+    assert "_salt" in p and "_salt" not in rides.columns
+    fact_side = [ln for ln in p.split("\n") if "hashpartitioning(athlete_id" in ln and "_salt" in ln]
+    assert fact_side
+    assert rides.count() == staged.filter("activity_type = 'view'").count()

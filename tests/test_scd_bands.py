@@ -77,3 +77,21 @@ def test_unkeyed_band_join_broadcast_and_bucketed_agree(spark):
                   max_broadcast_rows=0, bucket_width=7)
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.count() == 400
+
+
+def test_salted_lookups_equal_broadcast_lookups(spark):
+    thr = scd2(threshold_rows(spark), ["athlete_id"], "test_date", tiebreak=["ftp_id"],
+               end_offset_days=1)
+    a = interval_join(acts(spark), thr, ["athlete_id"], "activity_date", ["ftp_id"], how="left")
+    b = interval_join(acts(spark), thr, ["athlete_id"], "activity_date", ["ftp_id"], how="left",
+                      max_broadcast_rows=0, salt_buckets=4)       # force the salted plan
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert "_salt" not in b.columns
+    hist = spark.createDataFrame([(10, 200, D(2024, 1, 1))], "athlete_id bigint, max_hr int, added_at date")
+    z = MD.hr_zone_dim(hist)
+    f = spark.range(0, 300).selectExpr("id AS activity_id", "CAST(10 AS BIGINT) AS athlete_id",
+                                       "CAST(id AS DOUBLE) AS avg_hr")
+    x = band_join(f, z, "avg_hr", ["zone_number"], keys=["athlete_id"], low="bpm_low", high="bpm_high")
+    y = band_join(f, z, "avg_hr", ["zone_number"], keys=["athlete_id"], low="bpm_low",
+                  high="bpm_high", max_broadcast_rows=0, salt_buckets=8)
+    assert sorted(map(tuple, x.collect())) == sorted(map(tuple, y.collect())) and y.count() == 300
