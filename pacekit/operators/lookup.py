@@ -68,3 +68,12 @@ def prepare(facts: DataFrame, dim: DataFrame, keys, max_broadcast_rows: int | No
     if fits(dim, max_broadcast_rows):
         return facts, F.broadcast(dim), list(keys), False
     return add_salt(facts, buckets), replicate(dim, keys, buckets), [*keys, SALT], True
+
+
+def lookup(facts: DataFrame, dim: DataFrame, keys, how: str = "inner",
+           max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+           buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Plain equi-join of a fact stream to a dimension with the same strategy."""
+    facts, dim, jkeys, added = prepare(facts, dim, list(keys), max_broadcast_rows, buckets)
+    out = facts.join(dim, jkeys, how)
+    return out.drop(SALT) if added else out

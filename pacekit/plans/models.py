@@ -336,6 +336,9 @@ def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None) -> Dat
                    copartition=_partitions(entities))
     rolled = rolling_sums(days, ["athlete_id"], "date", "day_tss", LOAD_SPANS) \
         .select("athlete_id", "athlete_name", "date", *LOAD_SPANS)
+    # join back on (athlete, day) partitions, not on the athlete-only partitioning
+    # of the window: a hot athlete's activity rows spread over its days
+    rolled = rolled.repartition(_partitions(entities), "athlete_id", "date")
     r, d = rolled.alias("_r"), daily.alias("_d")
     j = r.join(d, (F.col("_r.athlete_id") == F.col("_d.athlete_id"))
                & (F.col("_r.date") == F.col("_d.activity_date")), "left")

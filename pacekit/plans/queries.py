@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pacekit.functions import metrics as M
 from pacekit.operators import quality as Q
 from pacekit.operators.bands import make_bands
+from pacekit.operators.lookup import lookup
 from pacekit.operators.rolling import load_ratio, rolling_sums
 from pacekit.operators.scd import interval_join, retest_gap, scd2
 from pacekit.operators.upsert import latest_per_key, upsert
@@ -156,14 +157,14 @@ def parse_audit(spark, sf_dir):
 
 def ride_projection(spark, sf_dir):
     x = inputs(spark, sf_dir)
-    r = x.staged.filter(F.col("activity_type") == A.RIDE_TYPE).alias("r")
-    a = x.athletes.select("athlete_id", F.col("first_name").alias("athlete_name")).alias("a")
-    j = r.join(a, F.col("r.athlete_id") == F.col("a.athlete_id"))
+    r = x.staged.filter(F.col("activity_type") == A.RIDE_TYPE)
+    a = x.athletes.select("athlete_id", F.col("first_name").alias("athlete_name"))
+    j = lookup(r, a, ["athlete_id"])
     return j.select(
-        "r.activity_id", "r.athlete_id", "a.athlete_name",
-        F.col("r.start_date_utc").cast("date").alias("activity_date"),
-        "r.activity_name", "r.distance_km", "r.moving_time_min", "r.avg_speed_kmh",
-        ((F.col("r.distance_km") >= 25) & (F.col("r.moving_time_min") > 30)).alias("is_long_ride"))
+        "activity_id", "athlete_id", "athlete_name",
+        F.col("start_date_utc").cast("date").alias("activity_date"),
+        "activity_name", "distance_km", "moving_time_min", "avg_speed_kmh",
+        ((F.col("distance_km") >= 25) & (F.col("moving_time_min") > 30)).alias("is_long_ride"))
 
 
 # ------------------------------------------------------------------ dimensions
@@ -403,11 +404,15 @@ def duplicate_keys(spark, sf_dir):
 
 
 def orphan_entities(spark, sf_dir):
+    """Referential checks; rides are first counted per athlete (partial aggregation),
+    so the anti joins see one row per athlete, never a hot athlete's rides."""
     x = inputs(spark, sf_dir)
-    rides = x.fact.filter(F.col("activity_type") == A.RIDE_TYPE)
-    orphan_rides = rides.join(x.athletes, "athlete_id", "left_anti").agg(
+    per_athlete = (x.fact.filter(F.col("activity_type") == A.RIDE_TYPE)
+                   .groupBy("athlete_id").agg(F.count(F.lit(1)).alias("rides")))
+    orphan_rides = per_athlete.join(x.athletes, "athlete_id", "left_anti").agg(
+        F.coalesce(F.sum("rides"), F.lit(0)).alias("n"))
+    idle = x.athletes.join(per_athlete, "athlete_id", "left_anti").agg(
         F.count(F.lit(1)).alias("n"))
-    idle = x.athletes.join(rides, "athlete_id", "left_anti").agg(F.count(F.lit(1)).alias("n"))
     no_threshold = x.athletes.join(x.thresholds, "athlete_id", "left_anti").agg(
         F.count(F.lit(1)).alias("n"))
     return (orphan_rides.select(F.lit("rides_without_athlete").alias("check_name"), "n")
