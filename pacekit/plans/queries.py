@@ -526,4 +526,5 @@ REGISTRY = {
     "page_union": L.page_union,
     "csv_summary": L.csv_summary,
     "stream_incremental_upsert": L.stream_incremental_upsert,
+    "incremental_fact_upsert": L.incremental_fact_upsert,
 }
