@@ -310,12 +310,14 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None) -> DataFrame:
+def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None,
+         daily: DataFrame | None = None) -> DataFrame:
     """The daily mart at per-activity grain with rest days and 7/28-day load.
 
     Plan (one pass over the rides):
 
-    1. ``daily`` - per-activity rollup of the rides (``persist`` may write it
+    1. ``daily`` - per-activity rollup of the rides (given, or built here;
+       ``persist`` may write it
        to the shared scratch folder so both uses below read it, instead of
        parsing and enriching the rides twice);
     2. per (athlete, day) load totals, left-joined onto the entity x day spine
@@ -324,7 +326,8 @@ def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None) -> Dat
     3. the activity rows are joined back on (athlete, day); rest days keep one
        row with zero counts and ``activity_date`` NULL.
     """
-    daily = daily_rollup(rides, "activity")
+    if daily is None:
+        daily = daily_rollup(rides, "activity")
     if persist is not None:
         daily = persist(daily)
     start = daily.select(F.min("activity_date")).scalar()

@@ -138,6 +138,14 @@ class Inputs:
         return MD.rides_enriched(self.fact, self.thresholds, self.power_zones, self.hr_zones,
                                  A.RIDE_TYPE)
 
+    @cached_property
+    def daily_day(self):
+        return MD.daily_rollup(self.rides, "day")
+
+    @cached_property
+    def daily_activity(self):
+        return MD.daily_rollup(self.rides, "activity")
+
 
 def _ntz(c: str):
     return F.col(c).cast("timestamp_ntz").alias(c)
@@ -270,15 +278,15 @@ def weighted_means(spark, sf_dir):
 
 
 def daily_by_activity(spark, sf_dir):
-    return MD.daily_rollup(inputs(spark, sf_dir).rides, "activity")
+    return inputs(spark, sf_dir).daily_activity
 
 
 def daily(spark, sf_dir):
-    return MD.daily_rollup(inputs(spark, sf_dir).rides, "day")
+    return inputs(spark, sf_dir).daily_day
 
 
 def _dense_day(x: Inputs) -> DataFrame:
-    return MD.densified(x.athletes, MD.daily_rollup(x.rides, "day"), x.rides, A.AS_OF, "day")
+    return MD.densified(x.athletes, x.daily_day, x.rides, A.AS_OF, "day")
 
 
 def densified_daily(spark, sf_dir):
@@ -338,7 +346,8 @@ def efficiency_trend(spark, sf_dir):
 def mart_full(spark, sf_dir):
     x = inputs(spark, sf_dir)
     return MD.mart(x.athletes, x.rides, A.AS_OF,
-                   persist=lambda df: materialize(spark, df, "daily_by_activity"))
+                   persist=lambda df: materialize(spark, df, "daily_by_activity"),
+                   daily=x.daily_activity)
 
 
 MART_CHECKS = [
