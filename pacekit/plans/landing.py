@@ -27,11 +27,25 @@ RUN1_END, RUN2_START = "2024-01-16", "2024-01-09"
 PAGE_SIZE = 200   # records per landed page (API page size)
 
 
-def _runs(spark: SparkSession, sf_dir: str):
+def _build_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = A.table(spark, sf_dir, "events")
     r1 = A.landed_activities(ev.filter(F.col("ts") < F.lit(RUN1_END).cast("timestamp_ntz")), RUN1_TS)
     r2 = A.landed_activities(ev.filter(F.col("ts") >= F.lit(RUN2_START).cast("timestamp_ntz")), RUN2_TS)
-    return r1, r2
+    return r1.unionByName(r2)
+
+
+def _landing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both runs' landing rows, stored once per session."""
+    from pacekit.plans.queries import session_table
+
+    return session_table(spark, sf_dir, "landing_runs", lambda: _build_runs(spark, sf_dir))
+
+
+def _runs(spark: SparkSession, sf_dir: str):
+    rows = _landing_runs(spark, sf_dir)
+    at = F.col("extracted_at_utc")
+    return (rows.filter(at == F.lit(RUN1_TS).cast("timestamp")),
+            rows.filter(at == F.lit(RUN2_TS).cast("timestamp")))
 
 
 def _ntz(c):
@@ -41,8 +55,9 @@ def _ntz(c):
 def snapshot_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write both runs as snapshot documents, read back the latest run only."""
     root = scratch_dir(spark, "snapshots")
-    for run, (df, ts) in {"20240116T000000Z": (_runs(spark, sf_dir)[0], RUN1_TS),
-                          "20240201T000000Z": (_runs(spark, sf_dir)[1], RUN2_TS)}.items():
+    r1, r2 = _runs(spark, sf_dir)
+    for run, (df, ts) in {"20240116T000000Z": (r1, RUN1_TS),
+                          "20240201T000000Z": (r2, RUN2_TS)}.items():
         # one document per (athlete, id range of PAGE_SIZE): bounded arrays
         docs = (df.groupBy("athlete_id", (F.col("activity_id") / PAGE_SIZE).cast("long").alias("_p"))
                   .agg(F.collect_list("payload").alias("activities")))
@@ -114,11 +129,10 @@ def incremental_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from pacekit.operators.upsert import upsert
     from pacekit.plans import models as MD
-    from pacekit.plans.queries import inputs, session_table
+    from pacekit.plans.queries import inputs
 
     thr = inputs(spark, sf_dir).thresholds
-    landing = session_table(spark, sf_dir, "landing_runs",
-                            lambda: _runs(spark, sf_dir)[0].unionByName(_runs(spark, sf_dir)[1]))
+    landing = _landing_runs(spark, sf_dir)
 
     def fact_of(batch: DataFrame, run_ts: str) -> DataFrame:
         f = MD.fact_activities(I.stage_activities(batch, A.MIN_START), thr, "current_only")
