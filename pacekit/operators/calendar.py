@@ -64,14 +64,14 @@ def spine(entities: DataFrame, keys: Sequence[str], start, end_inclusive,
 
 def densify(entities: DataFrame, facts: DataFrame, keys: Sequence[str], start,
             end_inclusive, fact_day: str, day_col: str = "date",
-            carry: Sequence[str] = (), copartition: int | None = None) -> DataFrame:
+            carry: Sequence[str] = (), copartition: bool = False) -> DataFrame:
     """Entities x days left-joined to facts on (keys, day).
 
     Fact columns keep their names; the calendar day is ``day_col`` (the fact's
     own day column stays NULL on rest days).
 
-    ``copartition=n`` hash-partitions the *entities* and the *facts* by the
-    entity keys into ``n`` partitions before the join. The spine is generated
+    ``copartition=True`` hash-partitions the *entities* and the *facts* by the
+    entity keys before the join. The spine is generated
     inside those partitions, so the largest intermediate (entities x days) is
     never shuffled: the join and a following per-entity window reuse the
     partitioning (needs ``spark.sql.requireAllClusterKeysForCoPartition=false``,
@@ -80,8 +80,10 @@ def densify(entities: DataFrame, facts: DataFrame, keys: Sequence[str], start,
     entity-only partitioning cannot concentrate a hot entity's raw rows.
     """
     if copartition:
-        entities = entities.repartition(copartition, *keys)
-        facts = facts.repartition(copartition, *keys)
+        # no explicit count: both sides get the session's shuffle partitions and
+        # AQE may coalesce the two co-partitioned stages together
+        entities = entities.repartition(*keys)
+        facts = facts.repartition(*keys)
     s = spine(entities, keys, start, end_inclusive, day_col, carry).alias("_s")
     f = facts.alias("_x")
     cond = F.col(f"_s.{day_col}") == F.col(f"_x.{fact_day}")

@@ -51,9 +51,8 @@ def replicate(dim: DataFrame, keys, buckets: int = DEFAULT_SALT_BUCKETS) -> Data
     planner could otherwise reuse that entity-only partitioning for the facts,
     which would put a hot entity back into one task.
     """
-    n = int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return out.repartition(n, *[F.col(k) for k in keys], F.col(SALT))
+    return out.repartition(*[F.col(k) for k in keys], F.col(SALT))
 
 
 def prepare(facts: DataFrame, dim: DataFrame, keys, max_broadcast_rows: int | None,

@@ -288,7 +288,7 @@ def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: st
     ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
     d = densify(ent, daily, ["athlete_id"], start, F.lit(as_of).cast("date"),
                 fact_day="activity_date", day_col="date", carry=["athlete_name"],
-                copartition=_partitions(entities) if grain == "day" else None)
+                copartition=(grain == "day"))
     ids = ["activity_id", "activity_name"] if grain == "activity" else []
     return d.select(
         "athlete_id", "athlete_name", "date", *ids, "activity_date",
@@ -306,9 +306,6 @@ def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: st
 LOAD_SPANS = {"tss_7d": 7, "tss_28d": 28}
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
 
 def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None,
          daily: DataFrame | None = None) -> DataFrame:
@@ -336,12 +333,12 @@ def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None,
                     .agg(F.sum(F.col("tss_total").cast("decimal(38,6)")).alias("day_tss")))
     days = densify(ent, day_tss, ["athlete_id"], start, F.lit(as_of).cast("date"),
                    fact_day="date", day_col="date", carry=["athlete_name"],
-                   copartition=_partitions(entities))
+                   copartition=True)
     rolled = rolling_sums(days, ["athlete_id"], "date", "day_tss", LOAD_SPANS) \
         .select("athlete_id", "athlete_name", "date", *LOAD_SPANS)
     # join back on (athlete, day) partitions, not on the athlete-only partitioning
     # of the window: a hot athlete's activity rows spread over its days
-    rolled = rolled.repartition(_partitions(entities), "athlete_id", "date")
+    rolled = rolled.repartition("athlete_id", "date")
     r, d = rolled.alias("_r"), daily.alias("_d")
     j = r.join(d, (F.col("_r.athlete_id") == F.col("_d.athlete_id"))
                & (F.col("_r.date") == F.col("_d.activity_date")), "left")

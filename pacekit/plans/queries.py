@@ -494,6 +494,16 @@ def load_audit(spark, sf_dir):
     return I.load_audit(x.raw, x.staged, "athlete_id", entities=ents)
 
 
+def _pinned(fn):
+    """Apply the session settings the operators rely on (UTC, AQE, ...) first:
+    the caller's session may have been built without them."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_runtime_conf(spark)
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 REGISTRY = {
     "stage_json_typed": stage_json_typed,
     "parse_audit": parse_audit,
@@ -537,3 +547,4 @@ REGISTRY = {
     "stream_incremental_upsert": L.stream_incremental_upsert,
     "incremental_fact_upsert": L.incremental_fact_upsert,
 }
+REGISTRY = {name: _pinned(fn) for name, fn in REGISTRY.items()}
