@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pacekit.llm.common import read_table, text_crc32, whole_text
 from pacekit.llm.exact_dedup import exact_dedup
 from pacekit.llm.mixing import mix
+from pacekit.llm.packing import pack_documents
+from pacekit.llm.secret_scan import scan_secrets, span_list
 from pacekit.llm.sharding import shuffle_to_shards
 
 
@@ -15,11 +17,34 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read_table(spark, sf_dir, "documents"))
+    of = {k: F.expr(f"filter(secrets, s -> s.kind = '{k}')") for k in ("assign", "access", "hex", "guess")}
+    base = F.filter("secrets", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id", *[F.size(of[k]).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("secrets")).alias("spans"),
+        F.size(of["guess"]).cast("long").alias("n_guess"),
+        F.array_max(F.transform("secrets", lambda s: s["log10_guesses"])).alias("most_log10_guesses"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(read_table(spark, sf_dir, "documents"), word_tokenizer())
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
+                      "sequence_tokens", "padded_length")
+
+
 def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = whole_text("text")
@@ -32,6 +57,8 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_mix_sources": op7_mix_sources,
+    "op8_pack_windows": op8_pack_windows,
     "op10_shard_rows": op10_shard_rows,
 }
