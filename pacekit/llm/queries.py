@@ -11,6 +11,7 @@ from pacekit.llm.mixing import mix
 from pacekit.llm.packing import pack_documents
 from pacekit.llm.secret_scan import scan_secrets, span_list
 from pacekit.llm.sharding import shuffle_to_shards
+from pacekit.llm.toxicity import score_toxicity
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,10 @@ def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_tokens", "padded_length")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = whole_text("text")
@@ -60,5 +65,6 @@ REGISTRY = {
     "op6_secret_scan": op6_secret_scan,
     "op7_mix_sources": op7_mix_sources,
     "op8_pack_windows": op8_pack_windows,
+    "op9_toxicity": op9_toxicity,
     "op10_shard_rows": op10_shard_rows,
 }
