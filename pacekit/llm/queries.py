@@ -9,11 +9,22 @@ from pacekit.llm.common import read_table, text_crc32, whole_text
 from pacekit.llm.exact_dedup import exact_dedup
 from pacekit.llm.mixing import mix
 from pacekit.llm.packing import pack_documents
+from pacekit.llm.pii import BASE_KINDS, find_personal_data
 from pacekit.llm.secret_scan import scan_secrets, span_list
 from pacekit.llm.sharding import shuffle_to_shards
 from pacekit.llm.toxicity import score_toxicity
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id", *[F.expr(f"size(filter(spans, s -> s.base and s.kind = '{k}'))").cast("long").alias(f"n_{k}")
+                    for k in BASE_KINDS],
+        F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"),
+        F.expr("size(filter(spans, s -> not s.base))").cast("long").alias("n_added"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +72,7 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_personal_data": op1_personal_data,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_mix_sources": op7_mix_sources,
