@@ -66,6 +66,7 @@ MORE = (
 
 SPAN = "struct<kind: int, base: boolean, start: bigint, end: bigint, m: string, ctx: string>"
 CONTEXT_CHARS = 32
+SMOOTHING = 4.0
 
 
 def located(pattern: str, kind: int, base: bool) -> str:
@@ -181,22 +182,26 @@ def estimate_reliabilities(patterns: list[tuple[int, str, int]], rounds: int = 3
 
 
 def span_classifier(sums: list[tuple[str, float, float]]) -> dict[str, float]:
-    """Naive Bayes log odds of each feature from its soft counts (feature, true, false)."""
+    """Naive Bayes log odds of each feature from its soft counts (feature, true, false).
+
+    Both classes are smoothed towards the pooled distribution, so a value that a
+    class has hardly seen speaks for neither.
+    """
     def group(f):
         kind, _, rest = f.partition(":")
         return kind, rest.rstrip("-0123456789")
 
     totals: dict[tuple, list[float]] = {}
     for f, t, n in sums:
-        both = totals.setdefault(group(f), [0.0, 0.0, 0.0])
+        both = totals.setdefault(group(f), [0.0, 0.0])
         both[0] += t
         both[1] += n
-        both[2] += 1
     out = {}
     for f, t, n in sums:
-        st, sn, m = totals[group(f)]
-        out[f] = math.log((t + 1) / (st + m)) - math.log((n + 1) / (sn + m))
-    for (kind, name), (st, sn, _) in totals.items():
+        st, sn = totals[group(f)]
+        pool = SMOOTHING * (t + n) / (st + sn)
+        out[f] = math.log((t + pool) / (st + SMOOTHING)) - math.log((n + pool) / (sn + SMOOTHING))
+    for (kind, name), (st, sn) in totals.items():
         if name == "len":
             out[f"{kind}:prior"] = math.log((st + 1) / (sn + 1))
     return out
