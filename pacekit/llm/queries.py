@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacekit.llm.common import read_table, text_crc32, whole_text
+from pacekit.llm.embedding_dedup import near_vectors
 from pacekit.llm.exact_dedup import exact_dedup
 from pacekit.llm.mixing import mix
 from pacekit.llm.packing import pack_documents
@@ -29,6 +30,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(read_table(spark, sf_dir, "documents"))
     of = {k: F.expr(f"filter(secrets, s -> s.kind = '{k}')") for k in ("assign", "access", "hex", "guess")}
@@ -74,6 +79,7 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_personal_data": op1_personal_data,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_near_vectors": op5_near_vectors,
     "op6_secret_scan": op6_secret_scan,
     "op7_mix_sources": op7_mix_sources,
     "op8_pack_windows": op8_pack_windows,
