@@ -9,6 +9,7 @@ from pacekit.llm.common import read_table, text_crc32, whole_text
 from pacekit.llm.embedding_dedup import near_vectors
 from pacekit.llm.exact_dedup import exact_dedup
 from pacekit.llm.mixing import mix
+from pacekit.llm.ngram_join import jaccard_components
 from pacekit.llm.packing import pack_documents
 from pacekit.llm.pii import BASE_KINDS, find_personal_data
 from pacekit.llm.secret_scan import scan_secrets, span_list
@@ -30,6 +31,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +84,7 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_personal_data": op1_personal_data,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_ngram_join": op4_ngram_join,
     "op5_near_vectors": op5_near_vectors,
     "op6_secret_scan": op6_secret_scan,
     "op7_mix_sources": op7_mix_sources,
