@@ -23,9 +23,9 @@ repeated rows are packed once for each listing; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,25 +40,28 @@ CAPACITY = 2048
 CUT = 256
 WINDOWS = 128
 GROUP_PIECES = 20_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 12 << 20
 CACHE_WORDS = 400_000
 
 
 class WordEncoder:
-    """Token ids of whole texts, the same as the tokenizer gives, at one lookup per word.
+    """Token ids of whole texts, the same as the tokenizer gives.
 
     The tokenizer drops white space and never joins across it, so a text is the
-    concatenation of its words. A word of plain letters, digits and signs is
-    normalised and cut by the tokenizer's published rule and its pieces are
-    cached; any other word, and any text with unusual white space or control
-    characters, goes through the whole tokenizer.
+    concatenation of its words. Texts are split, and words that occur again in a
+    batch are told, by Arrow's kernels. Words of plain letters, digits and signs
+    are lower-cased and cut by the tokenizer's published rule, and each distinct
+    piece is encoded once per worker; any other word, and any text with unusual
+    white space or control characters, goes through the whole tokenizer.
     """
 
-    # The tokenizer's split rule, without its contractions (those words go the long way).
-    PIECES = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-    ODD = re.compile("[\x00-\x08\x0e-\x1f\x85\xa0  -‏ -  ⁠　﻿]")
-    # Letters below U+0250 that NFC leaves alone and that lower-case one to one, digits and ASCII signs.
-    PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-įı-ɏ]*")
+    # Unusual white space and controls, in RE2 syntax.
+    ODD = r"[\x00-\x08\x0e-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2060}\x{3000}\x{feff}]"
+    # Not: letters below U+0250 that NFC leaves alone and that lower-case one to one, digits, ASCII signs
+    # but the apostrophe (the tokenizer's contractions go the long way).
+    NOT_PLAIN = r"[^!-&(-~\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]"
+    # The tokenizer's split rule.
+    PIECES = r"(\pL+|\pN|[^\pL\pN]+)"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -72,48 +75,70 @@ class WordEncoder:
     def long_way(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def word(self, w: str) -> list[int]:
-        if self.PLAIN.fullmatch(w) is None:
-            return self.long_way(w)
-        out, cache = [], self.cache
-        for p in self.PIECES.findall(w.lower()):
-            ids = cache.get(p)
-            if ids is None:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                seen = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
-                ids = cache[p] = [t.id for t in self.model.tokenize(seen)]
-            out += ids
-        return out
+    def piece(self, p: str) -> list[int]:
+        ids = self.cache.get(p)
+        if ids is None:
+            if len(self.cache) >= CACHE_WORDS:
+                self.cache.clear()
+            seen = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
+            ids = self.cache[p] = [t.id for t in self.model.tokenize(seen)]
+        return ids
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words in a row, and the number of ids of each word."""
+        plain = ~pc.match_substring_regex(words, self.NOT_PLAIN).to_numpy(zero_copy_only=False)
+        cut = pc.replace_substring_regex(pc.utf8_lower(words.filter(pa.array(plain))), self.PIECES, r"\1 ")
+        parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(cut))
+        coded = parts.flatten().dictionary_encode()
+        encoded = [self.piece(p) for p in coded.dictionary.to_pylist()]
+        known = len(encoded)
+        encoded += [self.long_way(w) for w in words.filter(pa.array(~plain)).to_pylist()]
+        pieces = np.ones(len(words), np.int64)               # a word taken the long way is one piece
+        pieces[plain] = np.diff(np.asarray(parts.offsets))
+        own = np.repeat(plain, pieces)
+        at = np.empty(len(own), np.int64)
+        at[own] = coded.indices.to_numpy(zero_copy_only=False)
+        at[~own] = known + np.arange(len(own) - int(own.sum()))
+        size = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        pool = np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum()))
+        ids, each = gather(pool, size, at)
+        return ids, counted(each, pieces)
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
-        odd = {i: t for i, t in enumerate(texts.to_pylist()) if self.ODD.search(t)}
-        if odd:
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.ODD).to_numpy(zero_copy_only=False))
+        whole = {int(i): texts[int(i)].as_py() for i in odd}
+        if whole:
             plain = np.ones(len(texts), bool)
-            plain[list(odd)] = False
+            plain[odd] = False
             texts = pc.if_else(pa.array(plain), texts, pa.scalar("", texts.type))
-        words = pc.ascii_split_whitespace(texts)
-        flat = words.flatten().dictionary_encode()
-        encoded = [self.word(w) for w in flat.dictionary.to_pylist()]
-        size = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        pool = np.fromiter((i for e in encoded for i in e), np.uint32, int(size.sum()))
-        first = np.cumsum(size) - size
-        at = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        each = size[at]
-        start = np.cumsum(each) - each
-        ids = pool[np.repeat(first[at] - start, each) + np.arange(int(each.sum()))]
-        ends = np.asarray(words.offsets) - words.offsets[0].as_py()
-        total = np.concatenate([[0], np.cumsum(each)])
-        counts = total[ends[1:]] - total[ends[:-1]]
-        if odd:
+        split = pc.ascii_split_whitespace(texts)
+        flat = split.flatten().dictionary_encode()
+        pool, size = self.words(flat.dictionary)
+        ids, each = gather(pool, size, flat.indices.to_numpy(zero_copy_only=False))
+        counts = counted(each, np.diff(np.asarray(split.offsets)))
+        if whole:
             parts = np.split(ids, np.cumsum(counts)[:-1])
-            for i, t in odd.items():
+            for i, t in whole.items():
                 parts[i] = np.array(self.long_way(t), np.uint32)
             ids, counts = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
         return ids, counts
 
 
+def gather(pool: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``at`` of a pool of runs of ``size``, in a row, and the length of each."""
+    first, each = np.cumsum(size) - size, size[at]
+    shift = first[at] - (np.cumsum(each) - each)
+    return pool[np.repeat(shift, each) + np.arange(int(each.sum()))], each
+
+
+def counted(each: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """Sums of ``each`` over consecutive groups of the given lengths."""
+    total = np.concatenate([[0], np.cumsum(each)])
+    ends = np.concatenate([[0], np.cumsum(groups)])
+    return total[ends[1:]] - total[ends[:-1]]
+
+
 def byte_letters() -> dict[int, str]:
     """The byte-level alphabet by its rule: printable Latin-1 stands for itself, the rest follows U+0100."""
     keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
