@@ -80,3 +80,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                     - F.floor(F.col("_rank") * each + offset)).cast("long"))
     return out.select("doc_id", "source", "size", "source_size", "target",
                       (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  source_col: str = "source", **kw) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Listings of one id with the same source and size are told apart by no more
+    than their place, so they all get the copies of the one that gets most.
+    """
+    taken = (mix(docs, id_col, text_col, source_col, **kw).groupBy("doc_id", "source", "size")
+             .agg(F.max("copies").alias("copies")).filter("copies > 0")
+             .toDF("_id", "_source", "_size", "_copies"))
+    names = docs.columns
+    rows = docs.withColumn("_words", n_words(whole_text(text_col)))
+    cond = (F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
+            & (F.col("_words") == F.col("_size")))
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return rows.join(taken, cond).withColumn("_again", again).select(*names)

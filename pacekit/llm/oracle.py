@@ -37,4 +37,46 @@ SQL = {
                ((floor((rk + 1) * each + u) - floor(rk * each + u))::BIGINT * size)::BIGINT AS taken,
                (floor((rk + 1) * each + u) - floor(rk * each + u))::BIGINT AS copies
         FROM c""",
+    "op2_arc_to_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+        f AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html)
+        SELECT p.page_id, octet_length(encode(p.html))::BIGINT AS payload_bytes,
+               list_aggregate(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((('0x' || substr(p.h, 1 + 5 * (j // 4)::INT, 5))::BIGINT >> (15 - 5 * (j % 4))::INT) & 31)::INT, 1)),
+                   'string_agg', '') AS payload_digest,
+               CASE WHEN p.page_id = f.first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN p.page_id <> f.first_id THEN f.first_id END AS refers_to,
+               '2024-01-01T00:00:00Z' AS date
+        FROM p JOIN f USING (html)""",
+    "op4_ngram_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        s AS (SELECT doc_id, CASE
+                  WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+              FROM d),
+        e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+        p AS (SELECT a.doc_id AS i, b.doc_id AS j, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+              FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT i, j FROM p WHERE 100 * c >= 90 * (na + nb - c)),
+        b AS (SELECT i, j FROM l UNION ALL SELECT j, i FROM l),
+        r(i, j) AS (SELECT i, j FROM b UNION SELECT r.i, b.j FROM r JOIN b ON r.j = b.i)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles,
+               least(s.doc_id, coalesce(min(r.j), s.doc_id)) AS component_id
+        FROM s LEFT JOIN r ON r.i = s.doc_id GROUP BY s.doc_id, s.s""",
+    "op5_near_vectors": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+        n AS (SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS m FROM v),
+        b AS (SELECT a.vec_id AS i, c.vec_id AS j FROM n a JOIN n c ON a.vec_id <> c.vec_id
+              WHERE list_dot_product(a.x, c.x) >= 0.9 * a.m * c.m),
+        r(i, j) AS (SELECT i, j FROM b UNION SELECT r.i, b.j FROM r JOIN b ON r.j = b.i),
+        g AS (SELECT i, count(*) AS n_links FROM b GROUP BY i),
+        m AS (SELECT i, min(j) AS j FROM r GROUP BY i)
+        SELECT v.vec_id, coalesce(g.n_links, 0)::BIGINT AS n_links,
+               least(v.vec_id, coalesce(m.j, v.vec_id)) AS component_id,
+               v.vec_id <= coalesce(m.j, v.vec_id) AS kept
+        FROM v LEFT JOIN g ON g.i = v.vec_id LEFT JOIN m ON m.i = v.vec_id""",
 }

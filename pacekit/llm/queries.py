@@ -15,6 +15,10 @@ from pacekit.llm.pii import BASE_KINDS, find_personal_data
 from pacekit.llm.secret_scan import scan_secrets, span_list
 from pacekit.llm.sharding import shuffle_to_shards
 from pacekit.llm.toxicity import score_toxicity
+from pacekit.llm.warc import convert_pages
+
+PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
+                 "sequence_tokens", "padded_length")
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +31,11 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("size(filter(spans, s -> not s.base))").cast("long").alias("n_added"))
 
 
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = convert_pages(read_table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "date")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -63,8 +72,7 @@ def word_tokenizer() -> str:
 
 def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack_documents(read_table(spark, sf_dir, "documents"), word_tokenizer())
-    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
-                      "sequence_tokens", "padded_length")
+    return out.select(*PIECE_COLUMNS)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +91,7 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_personal_data": op1_personal_data,
+    "op2_arc_to_warc": op2_arc_to_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op5_near_vectors": op5_near_vectors,
