@@ -309,7 +309,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         buckets = max(1, -(-total[0] // docs_per_task))
 
         def members(part: DataFrame) -> DataFrame:
-            text = rows.join(part, "doc_id")
+            # one plan at every size: a broadcast here would only hold while regions are few
+            text = rows.join(part.hint("merge"), "doc_id")
             got = shingled(text, width, None, ("region", "w1", "w2"))
             return got.filter("k1 = w1 and k2 = w2").select(
                 "region", F.col("doc_id").alias("rep"), F.lit(True).alias("home"), "items",
