@@ -107,17 +107,3 @@ def padded_month_name(d) -> Column:
 def day_number(d) -> Column:
     """Days since 1970-01-01; an integer ordering key for RANGE frames."""
     return F.unix_date(_c(d).cast("date"))
-
-
-def max_in_domain(x, domain) -> Column:
-    """``max(x)`` for a string column whose values come from a known finite set.
-
-    Same result as the string ``max`` (lexical order), computed as the max of
-    the value's rank in the sorted domain - an integer, so the aggregate runs
-    as a hash aggregate instead of a sort aggregate. Values outside the domain
-    are not expected (labels come from fixed band definitions).
-    """
-    values = F.array(*[F.lit(v) for v in sorted(set(domain))])
-    rank = F.max(F.array_position(values, _c(x)).cast("int"))
-    # explicit guard: a NULL index must give NULL (all values of the group NULL)
-    return F.when(rank.isNotNull(), F.element_at(values, rank))

@@ -7,13 +7,10 @@ a literal array - a per-row generator, no join and no shuffle.
 
 ``band_join`` matches a value to the band containing it:
 
-* keyed (the default): equi-join on the entity keys plus the range as a
-  residual predicate - each fact meets only its entity's bands; a checked-size
-  broadcast, or a salted join for large band tables (``operators.lookup``);
-* unkeyed (``keys=()``): a pure range join. The band side is broadcast only
-  after its row count is checked against ``max_broadcast_rows``; above that the
-  join is rewritten as an equi-join on value buckets (each band is exploded
-  into the buckets it overlaps), which needs no nested loop.
+* keyed: bands folded per entity, one equi-join, the band picked by a
+  higher-order function (``operators.lookup``);
+* unkeyed (``keys=()``): a pure range join as an equi-join on value buckets
+  (each band is exploded into the buckets it overlaps), never a nested loop.
 """
 
 from __future__ import annotations
@@ -23,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacekit.operators.lookup import DEFAULT_BROADCAST_ROWS, DEFAULT_SALT_BUCKETS, SALT, prepare
+from pacekit.operators.lookup import folded_join
 
 
 def band_literals(defs: Sequence[Mapping], types: Mapping[str, str]) -> Column:
@@ -57,60 +54,58 @@ def in_band(value: Column, low: Column, high: Column, open_upper: bool = False,
     return (value >= low) & upper
 
 
+def band_holds(value: Column, low: str = "low", high: str = "high", open_upper: bool = False,
+               closed_high: bool = False):
+    """Predicate over a folded band: it contains ``value``."""
+    return lambda b: in_band(value, b[low], b[high], open_upper, closed_high)
+
+
 def band_join(facts: DataFrame, bands: DataFrame, value: str, band_cols: Sequence[str],
               keys: Sequence[str] = (), how: str = "left", low: str = "low",
-              high: str = "high", open_upper: bool = False, extra: Column | None = None,
-              max_broadcast_rows: int | None = None, bucket_width: int = 10,
-              salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+              high: str = "high", open_upper: bool = False, closed_high: bool = False,
+              extra=None, extra_cols: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
     """Attach the band that contains ``facts[value]``.
 
-    ``extra`` is an additional predicate over ``_f``/``_b`` aliases (e.g. a
-    validity interval). Returns all fact columns plus ``band_cols``.
-    ``max_broadcast_rows`` bounds the broadcast side: keyed joins default to
-    ``lookup.DEFAULT_BROADCAST_ROWS`` and are salted above it (see
-    ``lookup.prepare``); the un-keyed range join defaults to 10,000 band rows
-    and becomes a bucketed equi-join above it.
+    ``open_upper`` reads a NULL upper bound as unbounded, ``closed_high``
+    includes the upper bound. ``extra`` is one more predicate over a band (a
+    function of the band, e.g. a validity interval) that reads ``extra_cols``.
+    Returns all fact columns plus ``band_cols``.
+
+    Keyed bands are folded per entity and met in one equi-join; without keys the
+    join is an equi-join on value buckets (:func:`bucketed_range_join`).
     """
-    added = False
-    if keys:
-        limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
-        facts, bands, keys, added = prepare(facts, bands, keys, limit, salt_buckets)
-    elif max_broadcast_rows is None:
-        max_broadcast_rows = 10_000
-    f, b = facts.alias("_f"), bands.alias("_b")
-    cond = in_band(F.col(f"_f.{value}"), F.col(f"_b.{low}"), F.col(f"_b.{high}"), open_upper)
-    for k in keys:
-        cond = (F.col(f"_f.{k}") == F.col(f"_b.{k}")) & cond
-    if extra is not None:
-        cond = cond & extra
-    sel = ["_f.*", *[F.col(f"_b.{c}").alias(c) for c in band_cols]]
-    if keys:
-        out = f.join(b, cond, how).select(*sel)
-        return out.drop(SALT) if added else out
-    n = bands.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
-        return f.join(F.broadcast(b), cond, how).select(*sel)
-    return _bucketed_range_join(facts, bands, value, band_cols, how, low, high,
-                                open_upper, extra, bucket_width)
-
-
-def _bucketed_range_join(facts, bands, value, band_cols, how, low, high, open_upper,
-                         extra, width):
-    """Range join as an equi-join on ``floor(value / width)`` buckets."""
-    if open_upper:
-        top = facts.agg(F.max(F.col(value))).first()[0]
-        hi = F.coalesce(F.col(high), F.lit(top if top is not None else 0) + 1)
-    else:
-        hi = F.col(high)
-    b = bands.withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(F.col(low) / width).cast("long"),
-                                        F.floor(hi / width).cast("long"))))
-    f = facts.withColumn("_bucket", F.floor(F.col(value) / width).cast("long"))
-    fa, ba = f.alias("_f"), b.alias("_b")
+    if not keys:
+        return bucketed_range_join(facts, bands, value, band_cols, how, low, high, open_upper,
+                                   closed_high, buckets)
+    inside = band_holds(F.col(value), low, high, open_upper, closed_high)
+    holds = inside if extra is None else (lambda b: inside(b) & extra(b))
+    return folded_join(facts, bands, keys, band_cols, holds, [low, high, *extra_cols], how)
+
+
+def bucketed_range_join(facts, bands, value, band_cols, how="left", low="low", high="high",
+                        open_upper=False, closed_high=False, buckets=1024):
+    """Range join as an equi-join on buckets of the value.
+
+    The range that the bands span is cut into ``buckets`` equal parts (two scalar
+    subqueries inside the plan, nothing is run to build it); values and bounds
+    beyond it fall into the first and the last. The bucket never falls as the
+    value rises, so a band covers the buckets of its bounds and those between:
+    at most ``buckets + 1`` rows per band, whatever its width.
+    """
+    lo = bands.select(F.min(low).cast("double")).scalar()
+    hi = bands.select(F.max(F.coalesce(high, low)).cast("double")).scalar()
+    width = F.greatest((hi - lo) / F.lit(float(buckets)), F.lit(1e-9))
+
+    def bucket(x: Column) -> Column:
+        at = F.floor((x.cast("double") - lo) / width)
+        return F.least(F.greatest(at, F.lit(0)), F.lit(buckets)).cast("int")
+
+    top = F.when(F.col(high).isNull(), F.lit(buckets)).otherwise(bucket(F.col(high)))
+    usable = bands if open_upper else bands.filter(F.col(high).isNotNull())
+    b = usable.filter(F.col(low).isNotNull()).withColumn(
+        "_bucket", F.explode(F.sequence(bucket(F.col(low)), F.greatest(top, bucket(F.col(low))))))
+    fa, ba = facts.withColumn("_bucket", bucket(F.col(value))).alias("_f"), b.alias("_b")
     cond = (F.col("_f._bucket") == F.col("_b._bucket")) & in_band(
-        F.col(f"_f.{value}"), F.col(f"_b.{low}"), F.col(f"_b.{high}"), open_upper)
-    if extra is not None:
-        cond = cond & extra
-    out = fa.join(ba, cond, how)
-    return out.select(*[F.col(f"_f.{c}") for c in facts.columns],
-                      *[F.col(f"_b.{c}").alias(c) for c in band_cols])
+        F.col(f"_f.{value}"), F.col(f"_b.{low}"), F.col(f"_b.{high}"), open_upper, closed_high)
+    return fa.join(ba, cond, how).select(*[F.col(f"_f.{c}") for c in facts.columns],
+                                         *[F.col(f"_b.{c}").alias(c) for c in band_cols])

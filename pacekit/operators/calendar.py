@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacekit.functions.metrics import padded_day_name, padded_month_name
@@ -64,28 +64,30 @@ def spine(entities: DataFrame, keys: Sequence[str], start, end_inclusive,
 
 def densify(entities: DataFrame, facts: DataFrame, keys: Sequence[str], start,
             end_inclusive, fact_day: str, day_col: str = "date",
-            carry: Sequence[str] = (), copartition: int | None = None) -> DataFrame:
-    """Entities x days left-joined to facts on (keys, day).
-
-    Fact columns keep their names; the calendar day is ``day_col`` (the fact's
-    own day column stays NULL on rest days).
-
-    ``copartition=n`` hash-partitions the *entities* and the *facts* by the
-    entity keys into ``n`` partitions before the join. The spine is generated
-    inside those partitions, so the largest intermediate (entities x days) is
-    never shuffled: the join and a following per-entity window reuse the
-    partitioning (needs ``spark.sql.requireAllClusterKeysForCoPartition=false``,
-    set by ``session.apply_runtime_conf``). Use it when the facts are already
-    aggregated to (entity, day) - at most one row per entity and day - so the
-    entity-only partitioning cannot concentrate a hot entity's raw rows.
+            carry: Sequence[str] = ()) -> DataFrame:
+    """Entities x days with the facts of each (entity, day); rest days have NULL facts.
+
+    Same rows as left-joining the facts onto the spine, without joining it: each
+    fact row emits its own day and the rest days up to the entity's next fact day
+    (the first one also the days before it). So only the facts are shuffled,
+    by entity, and a following per-entity window reuses that partitioning. Facts
+    outside ``[start, end_inclusive]`` are left out. Fact columns keep their
+    names; the calendar day is ``day_col``.
+
+    Use it on facts aggregated to (entity, day): an entity then has at most one
+    row per calendar day in its window partition, however hot it is.
     """
-    if copartition:
-        entities = entities.repartition(copartition, *keys)
-        facts = facts.repartition(copartition, *keys)
-    s = spine(entities, keys, start, end_inclusive, day_col, carry).alias("_s")
-    f = facts.alias("_x")
-    cond = F.col(f"_s.{day_col}") == F.col(f"_x.{fact_day}")
-    for k in keys:
-        cond = cond & (F.col(f"_s.{k}") == F.col(f"_x.{k}"))
+    start, end = _col(start).cast("date"), _col(end_inclusive).cast("date")
     fact_cols = [c for c in facts.columns if c not in keys and c != day_col]
-    return s.join(f, cond, "left").select("_s.*", *[F.col(f"_x.{c}") for c in fact_cols])
+    day = F.col(fact_day)
+    inside = facts.select(*keys, *fact_cols).filter((day >= start) & (day <= end))
+    rows = entities.select(*keys, *carry).join(inside, list(keys), "left")
+    w = Window.partitionBy(*keys).orderBy(day)
+    rows = rows.withColumn("_next", F.lead(day).over(w)).withColumn("_nth", F.row_number().over(w))
+    first = F.when(F.col("_nth") == 1, start).otherwise(day)
+    last = F.when(F.col("_next").isNull(), end).otherwise(F.greatest(day, F.date_sub(F.col("_next"), 1)))
+    # an empty calendar (end before start) has no days, where sequence() would count down
+    days = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 DAY")))
+    dense = rows.withColumn(day_col, F.explode(days))
+    own = F.col(day_col) == day
+    return dense.select(*keys, *carry, day_col, *[F.when(own, F.col(c)).alias(c) for c in fact_cols])

@@ -1,79 +1,75 @@
-"""How a fact stream meets a per-entity dimension: broadcast or salted.
-
-A dimension lookup (threshold in force, zone band) is an equi-join on the
-entity plus a range residual. Two physical strategies, chosen from a checked
-size:
-
-* the dimension has at most ``max_broadcast_rows`` rows (counted, so the
-  bound is proven, not estimated) -> explicit broadcast hash join; the facts
-  are not shuffled at all;
-* otherwise -> salted sort-merge join: every fact row gets a deterministic
-  salt in ``[0, buckets)`` and the dimension is replicated once per salt, the
-  salt joins the keys. A hot entity (say a third of all facts) is spread over
-  ``buckets`` partitions instead of one task. Any salt value gives the same
-  matches, so the result does not depend on the salt.
-
-AQE's own skew-join split is not enough here: consecutive lookups on the same
-entity share one shuffle and Spark then chains several joins in one stage,
-which the skew-join rule does not split.
+"""How a fact stream meets a per-entity dimension: one join, one plan for every size.
+
+A dimension is folded to one row per entity that holds its versions or bands
+in an array (a handful per entity: threshold tests, zone bands). The facts meet
+it in a single equi-join on the entity and the row in force is picked by a
+higher-order function. Nothing is counted while the plan is built: AQE
+broadcasts the folded side when its measured size allows and otherwise
+sort-merges and splits a hot entity's fact partition, which it can, because the
+join stands alone in its stage - several dimensions are folded into one row
+(:func:`fold_all`) instead of being joined one after the other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
-DEFAULT_BROADCAST_ROWS = 200_000
-DEFAULT_SALT_BUCKETS = 32
 
+def meet(facts: DataFrame, folded: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join of facts and folded rows on the keys and a hash of the keys.
+
+    The hash adds nothing to the condition, but a side that is already
+    partitioned by the keys (a version window, an earlier step) is then shuffled
+    for this join: AQE splits a skewed fact partition only where both sides of a
+    join come straight from a shuffle. The folded side is small.
+    """
+    kinds = dict(facts.dtypes)
+    d = folded.withColumns({k: F.col(k).cast(kinds[k]) for k in keys}).withColumn("_h", F.xxhash64(*keys))
+    return facts.withColumn("_h", F.xxhash64(*keys)).join(d, [*keys, "_h"], how).drop("_h")
+
+
+def fold(dim: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str = "_versions") -> DataFrame:
+    """One row per entity with its dimension rows as a sorted ``array<struct<cols>>``."""
+    return dim.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
 
-def fits(dim: DataFrame, max_rows: int | None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    if max_rows is None:
-        return False
-    return dim.limit(max_rows + 1).count() <= max_rows
 
+def fold_all(dims: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str]) -> DataFrame:
+    """Several dimensions in one row per entity: an array per dimension, one shuffle for all."""
+    rows = None
+    for name, (dim, cols) in dims.items():
+        part = dim.select(*keys, F.struct(*cols).alias(name))
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    return rows.groupBy(*keys).agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in dims])
 
-def add_salt(facts: DataFrame, buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Deterministic per-row salt (hash of the row), kept if already present."""
-    if SALT in facts.columns:
-        return facts
-    h = F.xxhash64(*[F.col(c) for c in facts.columns])
-    return facts.withColumn(SALT, F.pmod(h, F.lit(buckets)).cast("int"))
 
+def matching(versions: Column, holds: Callable[[Column], Column]) -> Column:
+    """The rows of a folded dimension for which ``holds`` is true (null counts as false)."""
+    return F.filter(versions, lambda v: F.coalesce(holds(v), F.lit(False)))
 
-def replicate(dim: DataFrame, keys, buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """One copy of every dimension row per salt value, hash-partitioned by (keys, salt).
 
-    The explicit partitioning matters: a dimension that comes out of a
-    per-entity window is already partitioned by the entity alone, and the
-    planner could otherwise reuse that entity-only partitioning for the facts,
-    which would put a hot entity back into one task.
+def first_match(versions: Column, holds: Callable[[Column], Column]) -> Column:
+    """The one row in force (the first, should versions overlap), null if there is none."""
+    return F.get(matching(versions, holds), F.lit(0))
+
+
+def folded_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], dim_cols: Sequence[str],
+                holds: Callable[[Column], Column], needs: Sequence[str], how: str = "left") -> DataFrame:
+    """Facts with the ``dim_cols`` of every dimension row of their entity for which ``holds``.
+
+    Same rows as joining the dimension itself on the keys and the condition:
+    ``left`` keeps facts without a match, ``inner`` drops them.
     """
-    n = int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return out.repartition(n, *[F.col(k) for k in keys], F.col(SALT))
-
-
-def prepare(facts: DataFrame, dim: DataFrame, keys, max_broadcast_rows: int | None,
-            buckets: int):
-    """Return ``(facts, dim, keys, added_salt)`` ready for the join."""
-    if not keys:
-        return facts, dim, list(keys), False
-    if SALT in facts.columns:                       # caller salted the stream (same buckets)
-        return facts, replicate(dim, keys, buckets), [*keys, SALT], False
-    if max_broadcast_rows is None:                  # leave the choice to AQE
-        return facts, dim, list(keys), False
-    if fits(dim, max_broadcast_rows):
-        return facts, F.broadcast(dim), list(keys), False
-    return add_salt(facts, buckets), replicate(dim, keys, buckets), [*keys, SALT], True
-
-
-def lookup(facts: DataFrame, dim: DataFrame, keys, how: str = "inner",
-           max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-           buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Plain equi-join of a fact stream to a dimension with the same strategy."""
-    facts, dim, jkeys, added = prepare(facts, dim, list(keys), max_broadcast_rows, buckets)
-    out = facts.join(dim, jkeys, how)
-    return out.drop(SALT) if added else out
+    cols = list(dict.fromkeys([*needs, *dim_cols]))
+    j = meet(facts, fold(dim, keys, cols), keys, "left" if how == "left" else "inner")
+    found = F.transform(matching(F.col("_versions"), holds),
+                        lambda v: F.struct(*[v[c].alias(c) for c in dim_cols]))
+    spread = F.inline_outer(found) if how == "left" else F.inline(found)
+    return j.select(*[F.col(c) for c in facts.columns], spread)
+
+
+def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Plain equi-join to a dimension that is unique on the keys."""
+    return facts.join(dim, list(keys), how)

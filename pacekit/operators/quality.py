@@ -11,10 +11,11 @@ Semantics follow the usual warehouse test conventions: ``accepted_values``,
 ``accepted_range`` (inclusive) and ``expression`` let NULL pass; ``where``
 filters rows first; ``unique`` counts key combinations seen more than once.
 
-All row checks become ``count_if(fail)`` aggregates in a single ``agg`` (map
-side partial sums, one tiny shuffle), then unpivoted with ``stack`` into
-``(check_name, column_name, kind, failures, severity, status)``. Each unique
-check adds one grouped count (partial aggregation again).
+The rows are read once: they are grouped by the finest key that the unique checks
+name, with partial counts of every row check, and all checks are answered from
+those counts (Spark reuses the exchange), unpivoted into
+``(check_name, column_name, kind, failures, severity, status)``. Without unique
+checks it is a single aggregate.
 """
 
 from __future__ import annotations
@@ -56,11 +57,17 @@ def _fail_condition(chk: Mapping) -> Column:
 def quality_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
     row_checks = [c for c in checks if c["kind"] != "unique"]
     uniq_checks = [c for c in checks if c["kind"] == "unique"]
+    fails = [F.sum(F.when(_fail_condition(c), 1).otherwise(0)).cast("long").alias(f"_q{i}")
+             for i, c in enumerate(row_checks)]
+    # one pass: rows are counted per finest key, every check reads those counts
+    finest = list(dict.fromkeys(c for u in uniq_checks for c in u["columns"]))
+    kept = [F.sum(F.when(F.expr(u["where"]) if u.get("where") else F.lit(True), 1).otherwise(0)).cast("long")
+            .alias(f"_u{i}") for i, u in enumerate(uniq_checks)]
+    grouped = df.groupBy(*finest).agg(*fails, *kept) if finest else None
     parts = []
     if row_checks:
-        aggs = [F.sum(F.when(_fail_condition(c), 1).otherwise(0)).cast("long").alias(f"_q{i}")
-                for i, c in enumerate(row_checks)]
-        counted = df.agg(*aggs)
+        counted = df.agg(*fails) if grouped is None else grouped.agg(
+            *[F.sum(f"_q{i}").alias(f"_q{i}") for i in range(len(row_checks))])
         stack_args = ", ".join(
             f"'{c['name']}', '{c.get('column') or ''}', '{c['kind']}', "
             f"coalesce(_q{i}, 0L), '{c.get('severity', 'error')}'"
@@ -68,9 +75,8 @@ def quality_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
         parts.append(counted.selectExpr(
             f"stack({len(row_checks)}, {stack_args}) "
             "as (check_name, column_name, kind, failures, severity)"))
-    for c in uniq_checks:
-        src = df.filter(F.expr(c["where"])) if c.get("where") else df
-        dup = (src.groupBy(*c["columns"]).count().filter(F.col("count") > 1)
+    for i, c in enumerate(uniq_checks):
+        dup = (grouped.groupBy(*c["columns"]).agg(F.sum(f"_u{i}").alias("_n")).filter(F.col("_n") > 1)
                   .agg(F.count(F.lit(1)).cast("long").alias("failures")))
         parts.append(dup.select(F.lit(c["name"]).alias("check_name"),
                                 F.lit(",".join(c["columns"])).alias("column_name"),

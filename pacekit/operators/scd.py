@@ -5,11 +5,10 @@ versions with one window (``lead``) per entity. Versions per entity are few
 (a threshold test every few weeks), so the per-entity window partition stays
 small even when one entity owns a large share of the *facts*.
 
-``interval_join`` is an equi-join on the entity key with the validity range as
-a residual predicate. Spark plans it as a hash join (broadcast when AQE measures
-the dimension side under ``spark.sql.autoBroadcastJoinThreshold``, sort-merge
-otherwise), never as a nested loop. The facts are the streamed side, so AQE can
-split a skewed fact partition of a hot entity.
+``interval_join`` is one equi-join on the entity key to the versions folded into
+an array per entity; the version in force is picked by a higher-order function.
+Spark broadcasts the folded side when its measured size allows and sort-merges
+otherwise, never a nested loop, and splits a hot entity's fact partition.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacekit.operators.lookup import DEFAULT_BROADCAST_ROWS, DEFAULT_SALT_BUCKETS, SALT, prepare
+from pacekit.operators.lookup import fold, folded_join, meet
 
 
 def scd2(df: DataFrame, keys: Sequence[str], order_col: str,
@@ -52,12 +51,18 @@ def validity_predicate(at: Column, valid_from: Column, valid_to: Column,
     return (at >= valid_from) & (valid_to.isNull() | upper)
 
 
+def in_force(at: Column, from_col: str = "valid_from", to_col: str = "valid_to", end: str = "exclusive",
+             current_only: bool = False):
+    """Predicate over a folded version: it is in force at ``at`` (see ``interval_join``)."""
+    if current_only:
+        return lambda v: v[to_col].isNull() & (at >= v[from_col])
+    return lambda v: validity_predicate(at, v[from_col], v[to_col], end)
+
+
 def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
                   dim_cols: Sequence[str], how: str = "inner", end: str = "exclusive",
                   current_only: bool = False, from_col: str = "valid_from",
-                  to_col: str = "valid_to",
-                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                  salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                  to_col: str = "valid_to") -> DataFrame:
     """Attach the dimension version in force at ``facts[at]``.
 
     * ``current_only=False`` - the version whose interval contains the date
@@ -65,46 +70,28 @@ def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str
     * ``current_only=True`` - only the open (latest) version, and only for facts
       on or after its start; older facts get NULLs on a left join.
 
-    Returns all fact columns plus ``dim_cols``. The physical strategy
-    (checked-size broadcast, or salted join above ``max_broadcast_rows``) is
-    chosen by ``lookup.prepare``.
+    Returns all fact columns plus ``dim_cols``. One equi-join to the versions
+    folded per entity (``operators.lookup``).
     """
-    facts, dim, keys, added = prepare(facts, dim, keys, max_broadcast_rows, salt_buckets)
-    f, d = facts.alias("_f"), dim.alias("_d")
-    cond = None
-    for k in keys:
-        c = F.col(f"_f.{k}") == F.col(f"_d.{k}")
-        cond = c if cond is None else cond & c
-    at_c, vf, vt = F.col(f"_f.{at}"), F.col(f"_d.{from_col}"), F.col(f"_d.{to_col}")
-    if current_only:
-        cond = cond & vt.isNull() & (at_c >= vf)
-    else:
-        cond = cond & validity_predicate(at_c, vf, vt, end)
-    out = f.join(d, cond, how).select("_f.*", *[F.col(f"_d.{c}").alias(c) for c in dim_cols])
-    return out.drop(SALT) if added else out
+    if end not in ("exclusive", "inclusive"):
+        raise ValueError("end must be 'exclusive' or 'inclusive'")
+    return folded_join(facts, dim, keys, dim_cols, in_force(F.col(at), from_col, to_col, end, current_only),
+                       [from_col, to_col], how)
 
 
 def retest_gap(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Facts that an exclusive-end join loses but an inclusive-end join keeps.
 
     With ``valid_to = next_start - 1 day`` the day before each new version is
-    such a gap. A semi join (inclusive) followed by an anti join (exclusive),
-    both keyed on the entity, so neither emits fact x version pairs.
+    such a gap. Both conditions are tested on the folded versions in one join,
+    so no fact x version pairs appear.
     """
-    return _match(_match(facts, dim, keys, at, "inclusive", "left_semi"),
-                  dim, keys, at, "exclusive", "left_anti")
-
-
-def _match(facts: DataFrame, dim: DataFrame, keys: Sequence[str], at: str, end: str,
-           how: str) -> DataFrame:
-    facts, dim, keys, added = prepare(facts, dim, keys, DEFAULT_BROADCAST_ROWS,
-                                      DEFAULT_SALT_BUCKETS)
-    f, d = facts.alias("_f"), dim.alias("_d")
-    cond = None
-    for k in keys:
-        c = F.col(f"_f.{k}") == F.col(f"_d.{k}")
-        cond = c if cond is None else cond & c
-    cond = cond & validity_predicate(F.col(f"_f.{at}"), F.col("_d.valid_from"),
-                                     F.col("_d.valid_to"), end)
-    out = f.join(d, cond, how)
-    return out.drop(SALT) if added else out
+    def gap(v):
+        inside = validity_predicate(F.col(at), v["valid_from"], v["valid_to"], "inclusive")
+        return F.struct(inside.alias("i"),
+                        validity_predicate(F.col(at), v["valid_from"], v["valid_to"], "exclusive").alias("e"))
+
+    j = meet(facts, fold(dim, keys, ["valid_from", "valid_to"]), keys, "inner")
+    seen = F.transform("_versions", gap)
+    keep = F.exists(seen, lambda x: x["i"]) & ~F.exists(seen, lambda x: x["e"])
+    return j.filter(keep).select(*facts.columns)

@@ -12,7 +12,8 @@ Parquet has no MERGE, so an upsert is a relational rewrite:
    as ``created_at``), or ``coalesce(new, old)`` (``keep_if_null_cols``).
 
 Both inputs are unique on the keys after step 1, so the join cannot fan out
-and has no hot key. Applying the same batch twice gives the same table.
+and has no hot key. A NULL in a key equals NULL, so applying the same batch twice
+gives the same table. Batch columns that the table lacks are an error.
 The caller writes the result to a *new* location (see ``sinks.write_table``),
 never over the path it is reading.
 """
@@ -43,12 +44,15 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequen
     keep their old value (partial-column upsert). ``touch_col`` is set to
     ``touch_value`` (e.g. the run timestamp) on every row written by ``new``.
     """
+    unknown = [c for c in new.columns if c not in old.columns and c not in order_by]
+    if unknown:
+        raise ValueError(f"the table has no columns {unknown}")
     batch = latest_per_key(new, keys, order_by)
     o = old.withColumn("_in_old", F.lit(True)).alias("_o")
     n = batch.withColumn("_in_new", F.lit(True)).alias("_n")
     cond = None
     for k in keys:
-        c = F.col(f"_o.{k}") == F.col(f"_n.{k}")
+        c = F.col(f"_o.{k}").eqNullSafe(F.col(f"_n.{k}"))
         cond = c if cond is None else cond & c
     j = o.join(n, cond, "full_outer")
     from_new = F.col("_n._in_new").isNotNull()

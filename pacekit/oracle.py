@@ -8,8 +8,82 @@ Shared building blocks are CTEs; the derivation rules mirror
 
 from __future__ import annotations
 
-from pacekit.plans import models as MD
-from pacekit.plans.queries import MART_CHECKS, MART_CONTRACT, MART_PRIMARY_KEY
+# Fixed values, written out here on their own: an error in the code under test cannot hide.
+HR_ZONES = [
+    {"zone_number": 1, "zone_name": "Recovery", "zone_label": "Z1", "hr_pct_low": "0.50", "hr_pct_high": "0.60", "fatigue_risk": "Low", "training_focus": "Easy recovery, circulation"},
+    {"zone_number": 2, "zone_name": "Endurance", "zone_label": "Z2", "hr_pct_low": "0.60", "hr_pct_high": "0.70", "fatigue_risk": "Low", "training_focus": "Aerobic base, endurance"},
+    {"zone_number": 3, "zone_name": "Tempo", "zone_label": "Z3", "hr_pct_low": "0.70", "hr_pct_high": "0.80", "fatigue_risk": "Medium", "training_focus": "Sustainable hard, muscular endurance"},
+    {"zone_number": 4, "zone_name": "Threshold", "zone_label": "Z4", "hr_pct_low": "0.80", "hr_pct_high": "1.00", "fatigue_risk": "High", "training_focus": "Raise threshold, controlled discomfort"},
+]
+POWER_ZONES = [
+    {"zone_number": 1, "zone_name": "Active Recovery", "zone_label": "Z1", "ftp_pct_low": "0.00", "ftp_pct_high": "0.55", "training_benefit": "Recovery, very easy spinning"},
+    {"zone_number": 2, "zone_name": "Endurance", "zone_label": "Z2", "ftp_pct_low": "0.55", "ftp_pct_high": "0.75", "training_benefit": "Aerobic endurance, base fitness"},
+    {"zone_number": 3, "zone_name": "Tempo", "zone_label": "Z3", "ftp_pct_low": "0.75", "ftp_pct_high": "0.90", "training_benefit": "Muscular endurance, steady hard riding"},
+    {"zone_number": 4, "zone_name": "Lactate Threshold", "zone_label": "Z4", "ftp_pct_low": "0.90", "ftp_pct_high": "9.99", "training_benefit": "Increase FTP, sustainable hard efforts"},
+]
+MART_CHECKS = [
+    {"name": "athlete_id_not_null", "kind": "not_null", "column": "athlete_id"},
+    {"name": "ride_count_values", "kind": "accepted_values", "column": "ride_count", "values": [0, 1]},
+    {"name": "distance_km_not_null", "kind": "not_null", "column": "distance_km"},
+    {"name": "distance_km_range", "kind": "accepted_range", "column": "distance_km", "min": 0, "max": 300},
+    {"name": "duration_minutes_not_null", "kind": "not_null", "column": "duration_minutes"},
+    {"name": "duration_minutes_range", "kind": "accepted_range", "column": "duration_minutes", "min": 0, "max": 360},
+    {"name": "avg_speed_range", "kind": "accepted_range", "column": "avg_speed_kmh_wt", "min": 0, "max": 60, "where": "ride_count > 0"},
+    {"name": "avg_power_range", "kind": "accepted_range", "column": "avg_power_w_wt", "min": 0, "max": 500, "where": "ride_count > 0"},
+    {"name": "normalized_power_range", "kind": "accepted_range", "column": "normalized_power_wt", "min": 0, "max": 500, "where": "ride_count > 0"},
+    {"name": "avg_hr_range", "kind": "accepted_range", "column": "avg_hr_bpm_wt", "min": 60, "max": 220, "where": "ride_count > 0"},
+    {"name": "power_zone_label_values", "kind": "accepted_values", "column": "power_zone_label", "values": ["Z1", "Z2", "Z3", "Z4"], "where": "ride_count > 0"},
+    {"name": "hr_zone_label_values", "kind": "accepted_values", "column": "hr_zone_label", "values": ["Z1", "Z2", "Z3", "Z4"], "where": "ride_count > 0"},
+    {"name": "watts_per_bpm_range", "kind": "accepted_range", "column": "watts_per_bpm_wt", "min": 0, "max": 5, "where": "ride_count > 0 and watts_per_bpm_wt is not null"},
+    {"name": "efficiency_factor_range", "kind": "accepted_range", "column": "efficiency_factor_wt", "min": 0, "max": 3, "where": "ride_count > 0 and efficiency_factor_wt is not null"},
+    {"name": "tss_total_not_null", "kind": "not_null", "column": "tss_total"},
+    {"name": "tss_total_range", "kind": "accepted_range", "column": "tss_total", "min": 0, "max": 500},
+    {"name": "intensity_factor_range", "kind": "accepted_range", "column": "intensity_factor_avg", "min": 0, "max": 2, "where": "ride_count > 0 and intensity_factor_avg is not null"},
+    {"name": "is_high_hr_zone_not_null", "kind": "not_null", "column": "is_high_hr_zone"},
+    {"name": "is_high_hr_zone_values", "kind": "accepted_values", "column": "is_high_hr_zone", "values": [0, 1]},
+    {"name": "is_high_power_zone_not_null", "kind": "not_null", "column": "is_high_power_zone"},
+    {"name": "is_high_power_zone_values", "kind": "accepted_values", "column": "is_high_power_zone", "values": [0, 1]},
+    {"name": "tss_7d_not_null", "kind": "not_null", "column": "tss_7d"},
+    {"name": "tss_7d_range", "kind": "accepted_range", "column": "tss_7d", "min": 0, "max": 3500},
+    {"name": "tss_28d_not_null", "kind": "not_null", "column": "tss_28d"},
+    {"name": "tss_28d_range", "kind": "accepted_range", "column": "tss_28d", "min": 0, "max": 14000},
+    {"name": "unique_athlete_activity_date", "kind": "unique", "columns": ["athlete_id", "activity_date"]},
+    {"name": "unique_athlete_date_activity", "kind": "unique", "columns": ["athlete_id", "date", "activity_id"]},
+    {"name": "ride_has_distance", "kind": "expression", "expr": "ride_count = 0 OR distance_km > 0", "severity": "warn"},
+    {"name": "ride_has_duration", "kind": "expression", "expr": "ride_count = 0 OR duration_minutes > 0", "severity": "warn"},
+    {"name": "chronic_ge_acute", "kind": "expression", "expr": "tss_28d >= tss_7d", "severity": "warn"},
+    {"name": "efficiency_factor_positive", "kind": "expression", "expr": "efficiency_factor_wt IS NULL OR efficiency_factor_wt > 0", "severity": "error"},
+]
+MART_CONTRACT = [
+    "athlete_id",
+    "athlete_name",
+    "date",
+    "activity_id",
+    "activity_name",
+    "activity_date",
+    "ride_count",
+    "distance_km",
+    "duration_minutes",
+    "avg_speed_kmh_wt",
+    "avg_power_w_wt",
+    "normalized_power_wt",
+    "avg_hr_bpm_wt",
+    "power_zone_label",
+    "power_zone_name",
+    "power_zone_benefit",
+    "hr_zone_label",
+    "hr_zone_name",
+    "hr_zone_benefit",
+    "watts_per_bpm_wt",
+    "efficiency_factor_wt",
+    "tss_total",
+    "intensity_factor_avg",
+    "is_high_hr_zone",
+    "is_high_power_zone",
+    "tss_7d",
+    "tss_28d"
+]
+MART_PRIMARY_KEY = ["athlete_id", "activity_date", "activity_id"]
 
 
 def RH(expr: str, n: int) -> str:
@@ -109,13 +183,13 @@ HR_DEFS = f"""
 hr_defs AS (
   SELECT zone_number, zone_name, zone_label, CAST(hr_pct_low AS DECIMAL(5,2)) AS hr_pct_low,
     CAST(hr_pct_high AS DECIMAL(5,2)) AS hr_pct_high, fatigue_risk, training_focus
-  FROM {_values(MD.HR_ZONES, _HR_COLS)})"""
+  FROM {_values(HR_ZONES, _HR_COLS)})"""
 
 P_DEFS = f"""
 p_defs AS (
   SELECT zone_number, zone_name, zone_label, CAST(ftp_pct_low AS DECIMAL(5,2)) AS ftp_pct_low,
     CAST(ftp_pct_high AS DECIMAL(5,2)) AS ftp_pct_high, training_benefit
-  FROM {_values(MD.POWER_ZONES, _P_COLS)})"""
+  FROM {_values(POWER_ZONES, _P_COLS)})"""
 
 HRZ = """
 hr_ref AS (
@@ -345,7 +419,8 @@ SELECT ftp_id, athlete_id, ftp_watts, ftp_wkg, test_date, test_type,
 FROM tests""", [TESTS])
 
 SQL["scd2_threshold"] = _q("""
-SELECT *, lead(test_date) OVER (PARTITION BY athlete_id ORDER BY test_date, ftp_id) AS valid_to_exclusive
+SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS created_at,
+  lead(test_date) OVER (PARTITION BY athlete_id ORDER BY test_date, ftp_id) AS valid_to_exclusive
 FROM thr""", [TESTS, THR])
 
 SQL["power_bands"] = _q("""
@@ -360,7 +435,9 @@ SELECT hr_zone_id, athlete_id, zone_number, zone_name, zone_label,
   bpm_low, bpm_high, fatigue_risk, training_focus, valid_from, valid_to, is_current
 FROM hrz""", [ATH, HR_DEFS, HRZ])
 
-SQL["fact_current_threshold"] = _q("SELECT * FROM fact", [STAGED, TESTS, THR, FACT])
+SQL["fact_current_threshold"] = _q("""
+SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS created_at, TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+FROM fact""", [STAGED, TESTS, THR, FACT])
 
 SQL["fact_as_of_threshold"] = _q("""
 SELECT s.activity_id, s.athlete_id, s.activity_date, t.ftp_id, t.ftp_watts
@@ -526,14 +603,63 @@ SELECT entity_id, expires_at, token = '' AS token_missing,
   (token = '' OR 1706659200 >= expires_at) AS is_stale
 FROM e"""
 
-SQL["load_audit"] = _q("""
-SELECT c.c_custkey AS athlete_id, CAST(coalesce(f.n, 0) AS BIGINT) AS fetched,
-  CAST(coalesce(l.n, 0) AS BIGINT) AS upserted, coalesce(l.n, 0) > 0 AS ok
-FROM customer c
-LEFT JOIN (SELECT user_id AS athlete_id, count(*) AS n FROM events GROUP BY 1) f
-  ON f.athlete_id = c.c_custkey
-LEFT JOIN (SELECT athlete_id, count(*) AS n FROM staged GROUP BY 1) l
-  ON l.athlete_id = c.c_custkey""", [STAGED])
+# rows of the dirty landing table: what is wrong with each
+_DIRTY = """
+dirty AS (
+  SELECT event_id, user_id, ts,
+    CASE WHEN event_id % 29 = 0 THEN '$' WHEN event_id % 23 = 0 THEN 'id'
+         WHEN event_id % 19 = 0 THEN 'moving_time' WHEN event_id % 17 = 0 THEN 'start_date' END AS field
+  FROM events)"""
+
+SQL["load_audit"] = _with(_DIRTY) + """,
+f AS (SELECT user_id AS athlete_id, count(*) AS fetched, count(*) FILTER (WHERE field IS NULL) AS upserted,
+             count(field) AS errors FROM dirty GROUP BY 1),
+l AS (SELECT c_custkey AS athlete_id FROM customer WHERE c_acctbal >= 0)
+SELECT coalesce(f.athlete_id, l.athlete_id) AS athlete_id, coalesce(fetched, 0) AS fetched,
+  coalesce(upserted, 0) AS upserted, coalesce(errors, 0) AS errors, l.athlete_id IS NOT NULL AS listed,
+  coalesce(upserted, 0) > 0 AND coalesce(errors, 0) = 0 AS ok
+FROM f FULL OUTER JOIN l ON f.athlete_id = l.athlete_id"""
+
+_FIELDS = ["id", "start_date", "name", "type", "sport_type", "distance", "moving_time", "elapsed_time",
+           "total_elevation_gain", "average_speed", "max_speed", "average_watts", "max_watts", "kilojoules",
+           "weighted_average_watts", "average_cadence", "average_heartrate", "max_heartrate", "$"]
+SQL["parse_audit"] = _with(_DIRTY) + f"""
+SELECT t.field, (SELECT count(*) FROM dirty d WHERE d.field = t.field) AS bad_values
+FROM (VALUES {", ".join(f"('{x}')" for x in _FIELDS)}) t(field)"""
+
+SQL["stage_rejects"] = _with(_DIRTY) + """
+SELECT event_id AS activity_id, user_id AS athlete_id, field,
+  CASE field WHEN 'start_date' THEN 'soon' WHEN 'moving_time' THEN CAST(600 + event_id % 5400 AS VARCHAR) || '.0'
+    WHEN '$' THEN left('{"id":' || CAST(event_id AS VARCHAR) || ',"start_date":"2024', 20) END AS raw_text
+FROM dirty WHERE field IS NOT NULL"""
+
+SQL["stage_dirty_rows"] = _with(_DIRTY) + """
+SELECT event_id AS activity_id, user_id AS athlete_id, ts AS start_date_utc,
+  CAST(600 + event_id % 5400 AS INTEGER) AS moving_time_s
+FROM dirty WHERE field IS NULL AND ts >= TIMESTAMP '2024-01-10 00:00:00'"""
+
+SQL["stage_json_decimal"] = _q("""
+SELECT activity_id, """ + ", ".join(f"CAST(CAST({c} AS DECIMAL(20,6)) AS DOUBLE) AS {c}" for c in (
+    "distance_m", "elevation_m", "avg_power_w", "kilojoules", "avg_hr")) + " FROM staged", [STAGED])
+
+SQL["serialize_nulls"] = """
+SELECT event_id AS activity_id, '{"id":' || CAST(event_id AS VARCHAR) || ',"type":"' || event_type || '","np":'
+  || CASE WHEN event_id % 11 = 0 THEN 'null' ELSE CAST(105 + (event_id * 7) % 120 AS VARCHAR) END || '}' AS payload
+FROM events"""
+
+SQL["values_bands_join"] = _q("""
+SELECT activity_id, moving_time_s, CASE WHEN moving_time_s >= 4200 THEN 'long'
+  WHEN moving_time_s >= 2400 THEN 'medium' WHEN moving_time_s >= 600 THEN 'short' END AS band
+FROM staged""", [STAGED])
+
+SQL["literal_row_union"] = _q("""
+SELECT athlete_id, first_name, max_hr, added_at FROM ath
+UNION ALL SELECT -1, 'nobody', NULL, NULL""", [ATH])
+
+SQL["hr_band_closed_upper"] = _q("""
+SELECT s.activity_id, s.athlete_id, s.avg_hr, z.zone_number
+FROM staged s JOIN hrz z ON z.athlete_id = s.athlete_id AND z.is_current
+  AND s.avg_hr >= z.bpm_low AND s.avg_hr <= z.bpm_high""", [STAGED, ATH, HR_DEFS, HRZ])
 
 _RUNS = """
 run1 AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'),
@@ -550,6 +676,20 @@ SELECT user_id AS athlete_id, event_id AS activity_id, 1 AS run FROM run1
 UNION ALL
 SELECT user_id, event_id, 2 FROM run2"""
 
+SQL["entity_pages"] = _with(_RUNS) + """
+SELECT user_id AS athlete_id, CAST(event_id // 200 AS INTEGER) AS page, event_id AS activity_id,
+  'ride ' || CAST(event_id AS VARCHAR) AS activity_name
+FROM run2"""
+
+SQL["snapshot_rejects"] = """
+SELECT 'activities_raw_20240201T000000Z' AS snapshot, field, n FROM (
+  SELECT 'kept' AS field, count(*) AS n FROM events WHERE event_id % 29 <> 0 AND event_id % 23 <> 0
+  UNION ALL SELECT 'id', count(*) FROM events WHERE event_id % 29 <> 0 AND event_id % 23 = 0)
+WHERE n > 0"""
+
+SQL["full_refresh_layers"] = """
+SELECT event_type, count(*) AS n, 'analytics' AS layer FROM events WHERE value > 10 GROUP BY event_type"""
+
 SQL["csv_summary"] = _q("""
 SELECT activity_id AS ride_id, activity_name AS name, CAST(start_date_utc AS DATE) AS start_date,
   distance_km, moving_time_min, avg_speed_kmh AS average_speed_kmh, elevation_m,

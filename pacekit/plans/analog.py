@@ -76,6 +76,50 @@ def landed_activities(events: DataFrame, extracted_at: str = RUN_TS) -> DataFram
     )
 
 
+def staged_activities(events: DataFrame, extracted_at: str = RUN_TS,
+                      min_start: str | None = MIN_START) -> DataFrame:
+    """The typed staging rows of the same activities, column by column.
+
+    Equal to ``ingest.stage_activities(landed_activities(events))`` (tested);
+    models read this form, so their scans are pruned to the columns they use.
+    """
+    eid = F.col("event_id")
+    k = F.get_json_object(F.col("props"), "$.k").cast("int")
+    moving = (F.lit(600) + eid % 5400).cast("int")
+    dist_m = F.col("value") * F.lit(1000)
+    power = (F.lit(100) + (eid * 7) % 120).cast("double")
+    np_ = F.when(eid % 11 == 0, F.lit(None)).otherwise(F.lit(105) + (eid * 7) % 120).cast("double")
+    hr = F.when(eid % 13 == 0, F.lit(None)).otherwise(F.lit(85) + k).cast("double")
+    start = F.col("ts").cast("timestamp")
+    rows = events if min_start is None else events.filter(
+        F.col("ts") >= F.lit(min_start).cast("timestamp_ntz"))
+    return rows.select(
+        eid.alias("activity_id"), F.col("user_id").alias("athlete_id"), start.alias("start_date_utc"),
+        F.lit(extracted_at).cast("timestamp").alias("extracted_at_utc"),
+        F.concat(F.lit("ride "), eid.cast("string")).alias("activity_name"),
+        F.col("event_type").alias("activity_type"), F.upper(F.col("event_type")).alias("sport_type"),
+        dist_m.alias("distance_m"), moving.alias("moving_time_s"), (moving + 60).alias("elapsed_time_s"),
+        (F.col("value") * F.lit(10)).alias("elevation_m"), (dist_m / moving).alias("avg_speed_mps"),
+        (dist_m / moving * F.lit(1.5)).alias("max_speed_mps"), power.alias("avg_power_w"),
+        (power + 200).alias("max_power_w"), (power * moving / F.lit(1000.0)).alias("kilojoules"),
+        np_.alias("weighted_average_watts"), (F.lit(80) + eid % 15).cast("double").alias("average_cadence"),
+        hr.alias("avg_hr"), (hr + 25).alias("max_hr"),
+        (dist_m / F.lit(1000)).alias("distance_km"), (moving.cast("double") / F.lit(60)).alias("moving_time_min"),
+        (dist_m / moving * F.lit(3.6)).alias("avg_speed_kmh"))
+
+
+def dirty_activities(events: DataFrame) -> DataFrame:
+    """The landing table with values that do not parse: every 17th start date, every 19th
+    moving time (``n.0`` in an integer field), every 23rd id null, every 29th payload cut off."""
+    eid, p = F.col("activity_id"), F.col("payload")
+    bad = (F.when(eid % 29 == 0, F.substring(p, 1, 20))
+           .when(eid % 23 == 0, F.regexp_replace(p, r'"id":\d+', '"id":null'))
+           .when(eid % 19 == 0, F.regexp_replace(p, r'"moving_time":(\d+)', '"moving_time":$1.0'))
+           .when(eid % 17 == 0, F.regexp_replace(p, r'"start_date":"[^"]*"', '"start_date":"soon"'))
+           .otherwise(p))
+    return landed_activities(events).withColumn("payload", bad)
+
+
 def threshold_tests(customer: DataFrame) -> DataFrame:
     c = customer.filter(F.col("c_acctbal") >= 0)
     key = F.col("c_custkey")

@@ -6,20 +6,21 @@ library's readers, so the readers run over data that grows with the tables.
 
 Runs: run 1 lands activities that started before 2024-01-16 (extracted
 2024-01-16); run 2 lands everything from 2024-01-09 on (extracted 2024-02-01),
-so the last week of run 1 is landed again by run 2. The incremental fact
-reads both runs from a landing table stored once per session; the file
-round-trip queries write and read their own files on every call.
+so the last week of run 1 is landed again by run 2. Every query writes and
+reads its own files.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacekit.plans import analog as A
 from pacekit.session import scratch_dir
 from pacekit.sources import ingest as I
-from pacekit.sources.sinks import csv_export, materialize
+from pacekit.sources.sinks import csv_export, layer_database, merge_table, register_view, write_table
 from pacekit.streaming.incremental import RAW_RECORD, read_current, start_incremental_upsert
 
 RUN1_TS, RUN2_TS = "2024-01-16 00:00:00", "2024-02-01 00:00:00"
@@ -34,15 +35,8 @@ def _build_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r1.unionByName(r2)
 
 
-def _landing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both runs' landing rows, stored once per session."""
-    from pacekit.plans.queries import session_table
-
-    return session_table(spark, sf_dir, "landing_runs", lambda: _build_runs(spark, sf_dir))
-
-
 def _runs(spark: SparkSession, sf_dir: str):
-    rows = _landing_runs(spark, sf_dir)
+    rows = _build_runs(spark, sf_dir)
     at = F.col("extracted_at_utc")
     return (rows.filter(at == F.lit(RUN1_TS).cast("timestamp")),
             rows.filter(at == F.lit(RUN2_TS).cast("timestamp")))
@@ -81,6 +75,47 @@ def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("athlete_id", "activity_id", F.col("run").cast("int").alias("run"))
 
 
+def entity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land run 2 as pages per entity, athlete_id=<id>/page=<n>/, and read all pages of all entities."""
+    root = scratch_dir(spark, "entity-pages")
+    _, r2 = _runs(spark, sf_dir)
+    page = (F.col("activity_id") / PAGE_SIZE).cast("int")
+    (r2.select("athlete_id", page.alias("page"), "activity_id", "payload").repartition("athlete_id")
+     .write.partitionBy("athlete_id", "page").json(root))
+    pages = I.read_pages(spark, root, schema=RAW_PAGE)
+    return pages.select(F.col("athlete_id").cast("bigint").alias("athlete_id"), F.col("page").cast("int").alias("page"),
+                        "activity_id", F.get_json_object("payload", "$.name").alias("activity_name"))
+
+
+RAW_PAGE = "activity_id bigint, payload string, athlete_id bigint, page int"
+
+
+def snapshot_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots with records that have no integer id: what the reader leaves out, and how much it keeps."""
+    root = scratch_dir(spark, "dirty-snapshots")
+    dirty = A.dirty_activities(A.table(spark, sf_dir, "events")).filter(F.col("activity_id") % 29 != 0)
+    docs = dirty.groupBy("athlete_id", (F.col("activity_id") / PAGE_SIZE).cast("long").alias("_p")).agg(
+        F.collect_list("payload").alias("activities"))
+    text = F.concat(F.lit('{"extracted_at_utc":"2024-02-01T00:00:00Z","activities":['),
+                    F.array_join("activities", ","), F.lit("]}"))
+    docs.select(text.alias("value")).write.text(f"{root}/activities_raw_20240201T000000Z")
+    kept = I.read_snapshot(spark, root).groupBy("snapshot").agg(F.count(F.lit(1)).alias("n"))
+    left = I.snapshot_rejects(spark, root).groupBy("snapshot", "field").agg(F.count(F.lit(1)).alias("n"))
+    return kept.select("snapshot", F.lit("kept").alias("field"), "n").unionByName(left)
+
+
+def full_refresh_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layered full refresh: a routed table written twice (the second write wins), read through a view."""
+    root = scratch_dir(spark, "layers")
+    e = A.table(spark, sf_dir, "events")
+    path = f"{root}/{layer_database('dwh', 'default')}/activity_types"
+    write_table(e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), path)
+    write_table(e.filter("value > 10").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), path)
+    view = f"activity_types_{uuid.uuid4().hex[:8]}"
+    register_view(spark.read.parquet(path), view)
+    return spark.sql(f"SELECT event_type, n, '{layer_database(None, 'analytics')}' AS layer FROM {view}")
+
+
 CSV_COLUMNS = ["ride_id", "name", "start_date", "distance_km", "moving_time_min",
                "average_speed_kmh", "elevation_m", "average_power", "max_power", "average_hr",
                "max_hr", "kilojoules", "sport_type"]
@@ -92,9 +127,9 @@ CSV_SCHEMA = ("ride_id bigint, name string, start_date date, distance_km double,
 
 def csv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the 13-column ride summary as header CSV and read it back."""
-    from pacekit.plans.queries import inputs
+    from pacekit.plans.queries import Inputs
 
-    s = inputs(spark, sf_dir).staged
+    s = Inputs(spark, sf_dir).staged
     out = s.select(F.col("activity_id").alias("ride_id"), F.col("activity_name").alias("name"),
                    F.col("start_date_utc").cast("date").alias("start_date"), "distance_km",
                    "moving_time_min", F.col("avg_speed_kmh").alias("average_speed_kmh"),
@@ -120,29 +155,32 @@ def stream_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch incremental fact by unique key (activity_id), ``created_at`` kept.
+    """Batch incremental fact by unique key (activity_id), stored by month, ``created_at`` kept.
 
-    Run 1 builds the fact from the landing rows extracted by then; run 2 reads
-    only landing rows newer than the fact's watermark (max ``updated_at``, a
-    scalar subquery) and upserts them: re-landed activities are replaced,
-    ``created_at`` keeps the first insert, ``updated_at`` is the run time.
+    Run 1 creates the keyed table from the landing rows extracted by then; run 2
+    takes only landing rows newer than the table's watermark (max ``updated_at``, a
+    scalar subquery) and merges them: only the months they touch are rewritten,
+    re-landed activities are replaced, ``created_at`` keeps the first insert,
+    ``updated_at`` is the run time.
     """
-    from pacekit.operators.upsert import upsert
     from pacekit.plans import models as MD
-    from pacekit.plans.queries import inputs
+    from pacekit.plans.queries import Inputs
 
-    thr = inputs(spark, sf_dir).thresholds
-    landing = _landing_runs(spark, sf_dir)
+    thr = Inputs(spark, sf_dir).thresholds
+    landing = _build_runs(spark, sf_dir)
+    path = scratch_dir(spark, "fact-activities")
 
     def fact_of(batch: DataFrame, run_ts: str) -> DataFrame:
-        f = MD.fact_activities(I.stage_activities(batch, A.MIN_START), thr, "current_only")
-        ts = F.lit(run_ts).cast("timestamp_ntz")
-        return f.select("activity_id", "athlete_id", "activity_date", "tss",
-                        ts.alias("created_at"), ts.alias("updated_at"))
-
-    # run 1: the fact table as stored after the first load
-    v1 = materialize(spark, fact_of(landing.filter(
-        F.col("extracted_at_utc") <= F.lit(RUN1_TS).cast("timestamp")), RUN1_TS), "fact_run1")
-    watermark = v1.select(F.max("updated_at").cast("timestamp")).scalar()
-    new = fact_of(landing.filter(F.col("extracted_at_utc") > watermark), RUN2_TS)
-    return upsert(v1, new, ["activity_id"], ["updated_at"], insert_only_cols=["created_at"])
+        f = MD.fact_activities(I.stage_activities(batch, A.MIN_START), thr, "current_only", run_ts=run_ts)
+        return f.select("activity_id", "athlete_id", "activity_date", "tss", "created_at", "updated_at",
+                        F.date_format("activity_date", "yyyyMM").cast("int").alias("month"))
+
+    def merge(batch: DataFrame, run_ts: str) -> int:
+        return merge_table(spark, path, fact_of(batch, run_ts), ["activity_id"], ["updated_at"], "month",
+                           insert_only_cols=["created_at"])
+
+    at = F.col("extracted_at_utc")
+    merge(landing.filter(at <= F.lit(RUN1_TS).cast("timestamp")), RUN1_TS)
+    watermark = spark.read.parquet(path).select(F.max("updated_at").cast("timestamp")).scalar()
+    merge(landing.filter(at > watermark), RUN2_TS)
+    return spark.read.parquet(path).drop("month")

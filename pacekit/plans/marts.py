@@ -10,34 +10,26 @@ from pyspark.sql import functions as F
 from pacekit.functions import metrics as M
 
 
-def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
-                    salt_col: str, salt_buckets: int = 256) -> DataFrame:
+def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each group under ``order`` (which must be total).
 
-    Two phases so a hot group never lands whole in one task: first the top
-    ``k`` inside (group, hash(salt_col) mod ``salt_buckets``) sub-groups, then
-    the top ``k`` of those at most ``k * salt_buckets`` survivors per group.
-    Spark also inserts a map-side ``WindowGroupLimit`` before each exchange,
-    so every map partition ships at most ``k`` rows per (sub-)group.
-    The limit is the feature (a top-k report), not a cap to escape skew.
+    Spark turns ``row_number() <= k`` into a map-side ``WindowGroupLimit``: every map
+    task ships at most ``k`` rows per group, so a hot group reaches its task as
+    ``k`` rows per task. The limit is the feature (a top-k report).
     """
-    salt = (F.abs(F.xxhash64(F.col(salt_col))) % salt_buckets).alias("_salt")
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    local = (df.select("*", salt).withColumn("_rn", F.row_number().over(w1))
-               .filter(F.col("_rn") <= k).drop("_rn", "_salt"))
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    return local.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def zone_share(rides: DataFrame, label: str) -> DataFrame:
     """Ride count and share per zone label (NULL label = unclassified).
 
-    The total comes from a window over the grouped rows - one row per label,
-    a handful at most - so the rides are scanned once.
+    The total is a scalar subquery over the same grouped counts, whose exchange
+    Spark reuses, so the rides are scanned once.
     """
     counts = rides.groupBy(F.col(label).alias("zone_label")).agg(
         F.count(F.lit(1)).alias("rides"))
-    total = F.sum("rides").over(Window.partitionBy())
+    total = counts.agg(F.sum("rides")).scalar()
     return counts.withColumn("share", M.round_half_up(F.col("rides") / total, 4))
 
 

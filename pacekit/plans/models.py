@@ -6,14 +6,13 @@ Lineage: landed raw -> ``stage`` -> ``fact_activities`` -> {``fact_power_zone``,
 
 Scale design (the facts are the big side; every dimension is per entity):
 
-* dimension lookups are equi-joins on the entity (athlete / threshold id) with
-  range residuals; AQE broadcasts a dimension when its measured size is under
-  the broadcast threshold and sort-merges otherwise, splitting skewed fact
-  partitions;
-* the mart attaches zones and efficiency to the ride stream with those lookups
-  directly, so the fact never has to be re-joined to itself on activity_id;
+* all dimensions a ride looks up are folded to one row per athlete and met in
+  one equi-join; versions and bands are picked by higher-order functions;
+* the mart attaches zones and efficiency to the ride stream that way, so the
+  fact never has to be re-joined to itself on activity_id;
 * rolling windows run on (athlete, day) rows - at most one row per calendar day
-  per athlete - and are joined back to activity rows on (athlete, day).
+  per athlete; the day spine is generated below the window and never shuffled,
+  and only days with rides meet the activity rows.
 """
 
 from __future__ import annotations
@@ -22,11 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacekit.functions import metrics as M
-from pacekit.operators import lookup as L
-from pacekit.operators.bands import band_join, make_bands
+from pacekit.operators.bands import band_holds, band_join, make_bands
 from pacekit.operators.calendar import date_dim, densify
+from pacekit.operators.lookup import first_match, fold_all, meet
 from pacekit.operators.rolling import rolling_sums
-from pacekit.operators.scd import interval_join, scd2, validity_predicate
+from pacekit.operators.scd import in_force, interval_join, scd2
 from pacekit.operators.upsert import latest_per_key
 
 # The band definitions of the two zone models
@@ -54,15 +53,18 @@ RETEST_AFTER_DAYS = 42   # six weeks
 
 # ---------------------------------------------------------------- dimensions
 
-def dim_threshold(tests: DataFrame, end_offset_days: int = 1) -> DataFrame:
-    """SCD2 over threshold tests: valid_to = next test - 1 day (inclusive end)."""
+def dim_threshold(tests: DataFrame, end_offset_days: int = 1, run_ts: str | None = None) -> DataFrame:
+    """SCD2 over threshold tests: valid_to = next test - 1 day (inclusive end).
+
+    ``run_ts`` adds ``created_at``.
+    """
     d = scd2(tests, ["athlete_id"], "test_date", tiebreak=["ftp_id"],
              end_offset_days=end_offset_days)
     return d.select("ftp_id", "athlete_id", "ftp_watts", "ftp_wkg", "test_date",
                     "valid_from", "valid_to",
                     F.date_add(F.col("test_date"), RETEST_AFTER_DAYS).alias("next_retest_due"),
                     "test_type", F.lit(None).cast("string").alias("test_notes"),
-                    "is_current")
+                    "is_current", *_run_columns(run_ts)[:1])
 
 
 def power_zone_dim(thresholds: DataFrame) -> DataFrame:
@@ -101,18 +103,28 @@ FACT_COLUMNS = ["activity_id", "athlete_id", "activity_date", "ftp_id", "distanc
 
 
 def fact_activities(staged: DataFrame, thresholds: DataFrame, mode: str = "current_only",
-                    end: str = "exclusive") -> DataFrame:
+                    end: str = "exclusive", run_ts: str | None = None) -> DataFrame:
     """One row per activity with the threshold in force and the derived load.
 
     ``mode="current_only"``: only the latest threshold, for activities on/after
     its test day (older activities get NULL threshold, IF and TSS).
     ``mode="as_of"``: the threshold whose interval contains the day.
+    ``run_ts`` adds ``created_at`` and ``updated_at``.
     """
     s = staged.withColumn("activity_date", F.col("start_date_utc").cast("date"))
     j = interval_join(s, thresholds, ["athlete_id"], "activity_date", ["ftp_id", "ftp_watts"],
                       how="left", end=end, current_only=(mode == "current_only"))
+    return j.select(*_fact_columns(), *_run_columns(run_ts))
+
+
+def _run_columns(run_ts: str | None) -> list[Column]:
+    ts = F.lit(run_ts).cast("timestamp_ntz")
+    return [] if run_ts is None else [ts.alias("created_at"), ts.alias("updated_at")]
+
+
+def _fact_columns() -> list:
     np_ = F.col("weighted_average_watts")
-    return j.select(
+    return [
         "activity_id", "athlete_id", "activity_date", "ftp_id", "distance_m", "distance_km",
         M.round_half_up(F.col("moving_time_s") / F.lit(60.0), 2).alias("duration_minutes"),
         "avg_speed_kmh", (F.col("max_speed_mps") * F.lit(3.6)).alias("max_speed_kmh"),
@@ -122,19 +134,17 @@ def fact_activities(staged: DataFrame, thresholds: DataFrame, mode: str = "curre
         M.training_stress("moving_time_s", np_, "ftp_watts").alias("tss"),
         M.nullif_zero(F.col("ftp_watts")).alias("ftp_watts_at_activity"),
         F.col("average_cadence").alias("avg_cadence"), "activity_name", "activity_type",
-    )
+    ]
 
 
 def fact_power_zone(fact: DataFrame, power_zones: DataFrame) -> DataFrame:
     """Zone of each activity's normalized power under its threshold (inner)."""
     a = fact.filter(F.col("normalized_power").isNotNull() & F.col("ftp_id").isNotNull()) \
             .select("activity_id", "athlete_id", "ftp_id", "normalized_power")
-    # athlete_id is implied by ftp_id; keying on it too lets a sort-merge plan
-    # reuse the fact's partitioning by athlete from the threshold lookup
     j = band_join(a, power_zones, "normalized_power",
                   ["watts_low", "watts_high", "zone_number", "zone_label", "zone_name",
                    "training_benefit"],
-                  keys=["athlete_id", "ftp_id"], how="inner", low="watts_low",
+                  keys=["ftp_id"], how="inner", low="watts_low",
                   high="watts_high", open_upper=True)
     return j.select(
         "activity_id", "ftp_id", F.lit("normalized_power").alias("classification_basis"),
@@ -144,82 +154,91 @@ def fact_power_zone(fact: DataFrame, power_zones: DataFrame) -> DataFrame:
         "zone_number", "zone_label", "zone_name", "training_benefit")
 
 
-def _hr_zone_lookup(df: DataFrame, hr_zones: DataFrame, day: str = "activity_date",
-                    require: Column | None = None) -> DataFrame:
-    """Keyed HR band: same athlete, version valid on the day, bpm in band (left)."""
-    extra = validity_predicate(F.col(f"_f.{day}"), F.col("_b.valid_from"), F.col("_b.valid_to"))
-    if require is not None:
-        extra = extra & require
-    return band_join(df, hr_zones, "avg_hr",
-                     ["hr_zone_id", "zone_number", "zone_label", "zone_name", "training_focus"],
-                     keys=["athlete_id"], how="left", low="bpm_low", high="bpm_high", extra=extra)
-
-
 def fact_hr_efficiency(fact: DataFrame, thresholds: DataFrame, hr_zones: DataFrame) -> DataFrame:
     """Threshold valid at the activity (inner, exclusive end) + keyed HR zone + ratios."""
     a = fact.select("activity_id", "athlete_id", "activity_date", "avg_power_w",
                     "normalized_power", "avg_hr")
-    awf = interval_join(a, thresholds, ["athlete_id"], "activity_date", ["ftp_id", "ftp_watts"],
-                        how="inner", end="exclusive")
-    z = _hr_zone_lookup(awf, hr_zones)
+    profile = fold_all({"_thresholds": (thresholds, ["valid_from", "valid_to", "ftp_id"]),
+                        "_hr": (hr_zones, HR_PICK)}, ["athlete_id"])
+    day = F.col("activity_date")
+    j = meet(a, profile, ["athlete_id"], "inner").withColumn("_t", first_match(F.col("_thresholds"), in_force(day)))
+    z = j.filter(F.col("_t").isNotNull()).withColumn("_z", first_match(F.col("_hr"), _hr_holds()))
     return z.select(
-        "activity_id", "ftp_id", "hr_zone_id", "avg_power_w", "normalized_power", "avg_hr",
+        "activity_id", F.col("_t.ftp_id"), F.col("_z.hr_zone_id"), "avg_power_w", "normalized_power", "avg_hr",
         M.watts_per_bpm("avg_power_w", "avg_hr").alias("watts_per_bpm"),
         M.efficiency_factor("normalized_power", "avg_hr").alias("efficiency_factor"),
-        F.col("zone_number").alias("hr_zone_number"))
+        F.col("_z.zone_number").alias("hr_zone_number"))
+
+
+HR_PICK = ["valid_from", "valid_to", "bpm_low", "bpm_high", "hr_zone_id", "zone_number", "zone_label",
+           "zone_name", "training_focus"]
+POWER_PICK = ["ftp_id", "watts_low", "watts_high", "zone_number", "zone_label", "zone_name", "training_benefit"]
+
+
+def _hr_holds():
+    """Keyed HR band: version valid on the day, bpm in band."""
+    valid = in_force(F.col("activity_date"))
+    inside = band_holds(F.col("avg_hr"), "bpm_low", "bpm_high")
+    return lambda z: valid(z) & inside(z)
 
 
 def hr_band_theta(fact: DataFrame, bands: DataFrame) -> DataFrame:
-    """Un-keyed band join against one bounded band set (size-checked broadcast)."""
+    """Un-keyed band join against one band set (equi-join on value buckets)."""
     a = fact.select("activity_id", "avg_hr")
     return band_join(a, bands, "avg_hr", ["zone_number", "bpm_low", "bpm_high"],
-                     keys=(), how="left", low="bpm_low", high="bpm_high",
-                     max_broadcast_rows=64)
+                     keys=(), how="left", low="bpm_low", high="bpm_high")
 
 
 # ---------------------------------------------------------------- mart
 
+def athlete_profile(thresholds: DataFrame, power_zones: DataFrame, hr_zones: DataFrame) -> DataFrame:
+    """Everything a ride looks up, one row per athlete: threshold versions, power bands, HR bands."""
+    return fold_all({
+        "_thresholds": (thresholds, ["valid_from", "valid_to", "ftp_id", "ftp_watts"]),
+        "_power": (power_zones, POWER_PICK), "_hr": (hr_zones, HR_PICK)}, ["athlete_id"])
+
+
+def staged_rides(staged: DataFrame, thresholds: DataFrame, power_zones: DataFrame,
+                 hr_zones: DataFrame, ride_type: str) -> DataFrame:
+    """Enriched rides straight from staging: the fact's threshold and all zones from one join."""
+    s = (staged.filter(F.col("activity_type") == F.lit(ride_type))
+         .withColumn("activity_date", F.col("start_date_utc").cast("date")))
+    j = meet(s, athlete_profile(thresholds, power_zones, hr_zones), ["athlete_id"])
+    now = first_match(F.col("_thresholds"), in_force(F.col("activity_date"), current_only=True))
+    fact = (j.withColumn("_now", now).withColumn("ftp_id", F.col("_now.ftp_id"))
+            .withColumn("ftp_watts", F.col("_now.ftp_watts")))
+    return _enrich(fact.select(*_fact_columns(), "_thresholds", "_power", "_hr"))
+
+
 def rides_enriched(fact: DataFrame, thresholds: DataFrame, power_zones: DataFrame,
                    hr_zones: DataFrame, ride_type: str) -> DataFrame:
-    """Rides with efficiency ratios and power / HR zones attached by lookups.
+    """Rides of a stored fact with efficiency ratios and power / HR zones attached.
 
     Same values as left-joining the power-zone and HR-efficiency facts by
-    activity id, computed on one stream: the as-of threshold (exclusive end)
-    gates the efficiency metrics and HR zone, the current threshold's zone
-    gives the power zone. When a dimension is over the broadcast bound the
-    rides are salted once, so all lookups share one (athlete, salt)
-    partitioning and a hot athlete is spread over the salt buckets.
+    activity id: the as-of threshold (exclusive end) gates the efficiency
+    metrics and HR zone, the current threshold's zone gives the power zone. One
+    join to the athlete's profile, so a hot athlete's rides are split by AQE.
     """
     rides = fact.filter(F.col("activity_type") == F.lit(ride_type))
-    dims = (thresholds, power_zones, hr_zones)
-    salted = not all(L.fits(d, L.DEFAULT_BROADCAST_ROWS) for d in dims)
-    if salted:
-        # one salt for all lookups: they then share a (athlete, salt) partitioning
-        rides = L.add_salt(rides)
-    asof = interval_join(rides, thresholds.select("athlete_id", "valid_from", "valid_to",
-                                                  F.col("ftp_id").alias("asof_ftp_id")),
-                         ["athlete_id"], "activity_date", ["asof_ftp_id"], how="left",
-                         end="exclusive")
+    return _enrich(meet(rides, athlete_profile(thresholds, power_zones, hr_zones), ["athlete_id"]))
+
+
+def _enrich(df: DataFrame) -> DataFrame:
+    day = F.col("activity_date")
+    in_power = band_holds(F.col("normalized_power"), "watts_low", "watts_high", open_upper=True)
+    df = df.withColumn("asof_ftp_id", first_match(F.col("_thresholds"), in_force(day))["ftp_id"])
     has = F.col("asof_ftp_id").isNotNull()
-    eff = (asof.withColumn("watts_per_bpm", F.when(has, M.watts_per_bpm("avg_power_w", "avg_hr")))
-               .withColumn("efficiency_factor",
-                           F.when(has, M.efficiency_factor("normalized_power", "avg_hr"))))
-    hr = _hr_zone_lookup(eff, hr_zones, require=F.col("_f.asof_ftp_id").isNotNull())
-    hr = hr.select(*eff.columns, "hr_zone_id",
-                   F.col("zone_number").alias("hr_zone_number"),
-                   F.col("zone_label").alias("hr_zone_label"),
-                   F.col("zone_name").alias("hr_zone_name"),
-                   F.col("training_focus").alias("hr_zone_benefit"))
-    pz = band_join(hr, power_zones, "normalized_power",
-                   ["zone_number", "zone_label", "zone_name", "training_benefit"],
-                   keys=["athlete_id", "ftp_id"], how="left", low="watts_low",
-                   high="watts_high", open_upper=True)
-    out = pz.select(*hr.columns,
-                    F.col("zone_number").alias("power_zone_number"),
-                    F.col("zone_label").alias("power_zone_label"),
-                    F.col("zone_name").alias("power_zone_name"),
-                    F.col("training_benefit").alias("power_zone_benefit"))
-    return out.drop(L.SALT) if salted else out
+    df = (df.withColumn("watts_per_bpm", F.when(has, M.watts_per_bpm("avg_power_w", "avg_hr")))
+            .withColumn("efficiency_factor", F.when(has, M.efficiency_factor("normalized_power", "avg_hr")))
+            .withColumn("_z", F.when(has, first_match(F.col("_hr"), _hr_holds())))
+            .withColumn("_p", first_match(F.col("_power"), lambda z: (z["ftp_id"] == F.col("ftp_id")) & in_power(z))))
+    keep = [c for c in df.columns if not c.startswith("_")]
+    return df.select(
+        *keep, F.col("_z.hr_zone_id").alias("hr_zone_id"),
+        F.col("_z.zone_number").alias("hr_zone_number"), F.col("_z.zone_label").alias("hr_zone_label"),
+        F.col("_z.zone_name").alias("hr_zone_name"), F.col("_z.training_focus").alias("hr_zone_benefit"),
+        F.col("_p.zone_number").alias("power_zone_number"), F.col("_p.zone_label").alias("power_zone_label"),
+        F.col("_p.zone_name").alias("power_zone_name"), F.col("_p.training_benefit").alias("power_zone_benefit"))
 
 
 def daily_rollup(rides: DataFrame, grain: str = "activity") -> DataFrame:
@@ -233,9 +252,7 @@ def daily_rollup(rides: DataFrame, grain: str = "activity") -> DataFrame:
     if grain == "activity":
         keys += ["activity_id", "activity_name"]
     dur = "duration_minutes"
-    aggs = [
-        M.max_in_domain(c, [z[f] for z in zones]).alias(c) for c, zones, f in LABEL_DOMAINS
-    ] + [
+    aggs = [F.max(c).alias(c) for c in LABELS] + [
         F.count(F.lit(1)).alias("ride_count"),
         M.round_half_up(M.exact_sum("distance_km"), 2).alias("distance_km"),
         M.round_half_up(M.exact_sum(dur), 2).alias("duration_minutes"),
@@ -252,44 +269,20 @@ def daily_rollup(rides: DataFrame, grain: str = "activity") -> DataFrame:
         F.max(F.when(F.col("power_zone_number") == 4, 1).otherwise(0)).alias("is_high_power_zone"),
     ]
     if grain == "day":
-        aggs += [_label_of_top(POWER_ZONES, "power_zone_number").alias("power_zone_label_top"),
-                 _label_of_top(HR_ZONES, "hr_zone_number").alias("hr_zone_label_top")]
+        aggs += [F.max_by("power_zone_label", "power_zone_number").alias("power_zone_label_top"),
+                 F.max_by("hr_zone_label", "hr_zone_number").alias("hr_zone_label_top")]
     return rides.groupBy(*keys).agg(*aggs)
 
 
-LABEL_DOMAINS = [("power_zone_label", POWER_ZONES, "zone_label"),
-                 ("power_zone_name", POWER_ZONES, "zone_name"),
-                 ("power_zone_benefit", POWER_ZONES, "training_benefit"),
-                 ("hr_zone_label", HR_ZONES, "zone_label"),
-                 ("hr_zone_name", HR_ZONES, "zone_name"),
-                 ("hr_zone_benefit", HR_ZONES, "training_focus")]
-
-def _label_of_top(zones, number_col: str) -> Column:
-    """Label of the highest zone reached (``max_by(label, number)`` on a fixed band set)."""
-    lookup = F.create_map(*[x for z in zones for x in (F.lit(z["zone_number"]),
-                                                       F.lit(z["zone_label"]))])
-    top = F.max(F.col(number_col))
-    return F.when(top.isNotNull(), F.element_at(lookup, top))
-
-
+LABELS = ["power_zone_label", "power_zone_name", "power_zone_benefit", "hr_zone_label", "hr_zone_name",
+          "hr_zone_benefit"]
 MART_MEASURES = ["avg_speed_kmh_wt", "avg_power_w_wt", "normalized_power_wt", "avg_hr_bpm_wt",
                  "power_zone_label", "power_zone_name", "power_zone_benefit", "hr_zone_label",
                  "hr_zone_name", "hr_zone_benefit", "watts_per_bpm_wt", "efficiency_factor_wt"]
 
 
-def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: str,
-              grain: str = "activity") -> DataFrame:
-    """Entities x [first ride day .. as_of] left-joined to the daily rows.
-
-    The start is the global first ride day (a scalar subquery, no collect);
-    rest days keep ``activity_date`` NULL and zero counts.
-    """
-    start = rides.select(F.min("activity_date")).scalar()
-    ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
-    d = densify(ent, daily, ["athlete_id"], start, F.lit(as_of).cast("date"),
-                fact_day="activity_date", day_col="date", carry=["athlete_name"],
-                copartition=_partitions(entities) if grain == "day" else None)
-    ids = ["activity_id", "activity_name"] if grain == "activity" else []
+def _with_rest_days(d: DataFrame, ids: list[str]) -> DataFrame:
+    """Mart columns of dense rows: rest days get zero counts, ``activity_date`` stays NULL."""
     return d.select(
         "athlete_id", "athlete_name", "date", *ids, "activity_date",
         F.coalesce(F.col("ride_count"), F.lit(0)).cast("long").alias("ride_count"),
@@ -303,60 +296,53 @@ def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: st
     )
 
 
-LOAD_SPANS = {"tss_7d": 7, "tss_28d": 28}
+def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: str) -> DataFrame:
+    """Entities x [first ride day .. as_of] with the day-grain rows of ``daily``.
+
+    The start is the global first ride day (a scalar subquery, no collect).
+    """
+    start = rides.select(F.min("activity_date")).scalar()
+    ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
+    d = densify(ent, daily, ["athlete_id"], start, F.lit(as_of).cast("date"),
+                fact_day="activity_date", day_col="date", carry=["athlete_name"])
+    return _with_rest_days(d, [])
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+LOAD_SPANS = {"tss_7d": 7, "tss_28d": 28}
 
 
-def mart(entities: DataFrame, rides: DataFrame, as_of: str, persist=None,
-         daily: DataFrame | None = None) -> DataFrame:
+def mart(entities: DataFrame, rides: DataFrame, as_of: str, daily: DataFrame | None = None) -> DataFrame:
     """The daily mart at per-activity grain with rest days and 7/28-day load.
 
-    Plan (one pass over the rides):
-
-    1. ``daily`` - per-activity rollup of the rides (given, or built here;
-       ``persist`` may write it
-       to the shared scratch folder so both uses below read it, instead of
-       parsing and enriching the rides twice);
-    2. per (athlete, day) load totals, left-joined onto the entity x day spine
-       and rolled with RANGE frames - one row per athlete and calendar day, so
-       a hot athlete adds at most one row per day to its window partition;
-    3. the activity rows are joined back on (athlete, day); rest days keep one
-       row with zero counts and ``activity_date`` NULL.
+    1. ``daily`` - per-activity rollup of the rides (given, or built here);
+    2. load per (athlete, day) of days with rides. Rest days add nothing to a
+       RANGE frame, so those days get their rolling sums from the days with
+       rides alone, and meet the activity rows on (athlete, day);
+    3. rest days come from the generated spine, rolled in place: the window
+       sits on the partitioning by athlete that the days were generated in, so
+       the largest intermediate (entities x days) is never shuffled.
     """
     if daily is None:
         daily = daily_rollup(rides, "activity")
-    if persist is not None:
-        daily = persist(daily)
     start = daily.select(F.min("activity_date")).scalar()
+    end = F.lit(as_of).cast("date")
     ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
     day_tss = (daily.groupBy("athlete_id", F.col("activity_date").alias("date"))
-                    .agg(F.sum(F.col("tss_total").cast("decimal(38,6)")).alias("day_tss")))
-    days = densify(ent, day_tss, ["athlete_id"], start, F.lit(as_of).cast("date"),
-                   fact_day="date", day_col="date", carry=["athlete_name"],
-                   copartition=_partitions(entities))
-    rolled = rolling_sums(days, ["athlete_id"], "date", "day_tss", LOAD_SPANS) \
-        .select("athlete_id", "athlete_name", "date", *LOAD_SPANS)
-    # join back on (athlete, day) partitions, not on the athlete-only partitioning
-    # of the window: a hot athlete's activity rows spread over its days
-    rolled = rolled.repartition(_partitions(entities), "athlete_id", "date")
-    r, d = rolled.alias("_r"), daily.alias("_d")
-    j = r.join(d, (F.col("_r.athlete_id") == F.col("_d.athlete_id"))
-               & (F.col("_r.date") == F.col("_d.activity_date")), "left")
-    return j.select(
-        "_r.athlete_id", "_r.athlete_name", "_r.date", "_d.activity_id", "_d.activity_name",
-        "_d.activity_date",
-        F.coalesce(F.col("_d.ride_count"), F.lit(0)).cast("long").alias("ride_count"),
-        F.coalesce(F.col("_d.distance_km"), F.lit(0.0)).alias("distance_km"),
-        F.coalesce(F.col("_d.duration_minutes"), F.lit(0.0)).alias("duration_minutes"),
-        *[F.col(f"_d.{c}") for c in MART_MEASURES],
-        F.coalesce(F.col("_d.tss_total"), F.lit(0.0)).alias("tss_total"),
-        "_d.intensity_factor_avg",
-        F.coalesce(F.col("_d.is_high_hr_zone"), F.lit(0)).alias("is_high_hr_zone"),
-        F.coalesce(F.col("_d.is_high_power_zone"), F.lit(0)).alias("is_high_power_zone"),
-        "_r.tss_7d", "_r.tss_28d")
+                    .agg(F.sum(F.col("tss_total").cast("decimal(38,6)")).alias("day_tss"))
+                    .filter(F.col("date") <= end))
+    active = rolling_sums(ent.join(day_tss, "athlete_id"), ["athlete_id"], "date", "day_tss", LOAD_SPANS)
+    r = active.select("athlete_id", "athlete_name", "date", *LOAD_SPANS).alias("_r")
+    ridden = r.join(daily.alias("_d"), (F.col("_r.athlete_id") == F.col("_d.athlete_id"))
+                    & (F.col("_r.date") == F.col("_d.activity_date")))
+    ridden = ridden.select("_r.*", *[F.col(f"_d.{c}") for c in daily.columns if c != "athlete_id"])
+    days = densify(ent, day_tss.withColumn("ride_day", F.col("date")), ["athlete_id"], start, end,
+                   fact_day="ride_day", day_col="date", carry=["athlete_name"])
+    rest = (rolling_sums(days, ["athlete_id"], "date", "day_tss", LOAD_SPANS)
+            .filter(F.col("ride_day").isNull())
+            .select("athlete_id", "athlete_name", "date", *LOAD_SPANS))
+    every = ridden.unionByName(rest, allowMissingColumns=True)
+    out = _with_rest_days(every.select("*"), ["activity_id", "activity_name", *LOAD_SPANS])
+    return out.select(*[c for c in out.columns if c not in LOAD_SPANS], *LOAD_SPANS)
 
 
 def date_dim_between(anchor: DataFrame, day_col: str, pad_end_days: int = 1) -> DataFrame:

@@ -11,10 +11,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacekit.functions import metrics as M
 from pacekit.operators import quality as Q
-from pacekit.operators.bands import make_bands
+from pacekit.operators.bands import band_join, make_bands
 from pacekit.operators.lookup import lookup
 from pacekit.operators.rolling import load_ratio, rolling_sums
 from pacekit.operators.scd import interval_join, retest_gap, scd2
@@ -23,95 +24,48 @@ from pacekit.plans import analog as A
 from pacekit.plans import landing as L
 from pacekit.plans import marts as D
 from pacekit.plans import models as MD
-from pacekit.session import app_key, apply_runtime_conf, default_parallelism
+from pacekit.session import utc_session
 from pacekit.sources import ingest as I
-from pacekit.sources.sinks import materialize, spread
-
-
-_TABLES: dict = {}
-
-
-def session_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A model table written once per application into the shared folder.
-
-    The warehouse materialises its landing table and dimensions as tables;
-    queries then read them instead of re-deriving them at every reference,
-    which also keeps each query plan small. ``build()`` returns the DataFrame
-    to write; its files are spread over at least one file per core.
-    """
-    key = (app_key(spark), sf_dir, name)
-    if key not in _TABLES:
-        _TABLES[key] = materialize(spark, build(), name).inputFiles()
-    return spark.read.parquet(*_TABLES[key])
-
-
-def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw landing table ``(athlete_id, activity_id, extracted_at_utc, payload)``.
-
-    In production the landing zone is stored JSON documents; here it is derived
-    from ``events`` (see ``analog.landed_activities``) and stored the same way,
-    so staging parses stored text like it would on a cluster.
-    """
-    def build():
-        events = spread(A.table(spark, sf_dir, "events"), default_parallelism(spark))
-        return A.landed_activities(events)
-    return session_table(spark, sf_dir, "landed", build)
-
-
-_INPUTS: dict = {}
-
-
-def inputs(spark: SparkSession, sf_dir: str) -> "Inputs":
-    """The shared ``Inputs`` of this session and data folder.
-
-    DataFrames are immutable lazy plans, so the staged activities, facts and
-    enriched rides are built (and analysed) once per session and reused by
-    every query that reads them.
-    """
-    key = (app_key(spark), sf_dir)
-    if key not in _INPUTS:
-        _INPUTS[key] = Inputs(spark, sf_dir)
-    apply_runtime_conf(spark)
-    return _INPUTS[key]
+from pacekit.sources.literals import literal_row, values_relation
 
 
 class Inputs:
-    """DataFrames shared by the queries of one (spark, sf_dir).
+    """The lazy inputs of one query: nothing is stored, counted or shared between queries.
 
-    The landing table, typed staging and the dimensions are stored model
-    tables (``session_table``), as the warehouse materialises them; facts,
-    rides and marts are lazy plans over them.
+    ``raw`` is the landing table (JSON documents derived from ``events``); the
+    queries about ingestion parse it. The models read the same activities as
+    typed columns (``analog.staged_activities``), so each query scans just the
+    columns it needs.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        apply_runtime_conf(spark)
         self.spark, self.sf_dir = spark, sf_dir
 
     def t(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
 
-    def _stored(self, name: str, build) -> DataFrame:
-        return session_table(self.spark, self.sf_dir, name, build)
-
     @cached_property
     def raw(self):
-        return landed(self.spark, self.sf_dir)
+        return A.landed_activities(self.t("events"))
 
     @cached_property
-    def staged(self):
-        """Typed staging, stored once: the JSON text is parsed a single time."""
-        return self._stored("stg_activities", lambda: self.parse())
+    def dirty(self):
+        return A.dirty_activities(self.t("events"))
 
     def parse(self):
         return I.stage_activities(self.raw, A.MIN_START)
 
+    @cached_property
+    def staged(self):
+        return A.staged_activities(self.t("events"))
+
     @cached_property
     def tests(self):
         return A.threshold_tests(self.t("customer"))
 
     @cached_property
     def thresholds(self):
-        return self._stored("dim_threshold", lambda: MD.dim_threshold(self.tests))
+        return MD.dim_threshold(self.tests)
 
     @cached_property
     def history(self):
@@ -119,15 +73,15 @@ class Inputs:
 
     @cached_property
     def athletes(self):
-        return self._stored("dim_athlete", lambda: MD.latest_athletes(self.history))
+        return MD.latest_athletes(self.history)
 
     @cached_property
     def hr_zones(self):
-        return self._stored("dim_hr_zones", lambda: MD.hr_zone_dim(self.history))
+        return MD.hr_zone_dim(self.history)
 
     @cached_property
     def power_zones(self):
-        return self._stored("dim_power_zones", lambda: MD.power_zone_dim(self.thresholds))
+        return MD.power_zone_dim(self.thresholds)
 
     @cached_property
     def fact(self):
@@ -135,8 +89,8 @@ class Inputs:
 
     @cached_property
     def rides(self):
-        return MD.rides_enriched(self.fact, self.thresholds, self.power_zones, self.hr_zones,
-                                 A.RIDE_TYPE)
+        return MD.staged_rides(self.staged, self.thresholds, self.power_zones, self.hr_zones,
+                               A.RIDE_TYPE)
 
     @cached_property
     def daily_day(self):
@@ -154,17 +108,47 @@ def _ntz(c: str):
 # ------------------------------------------------------------------ staging
 
 def stage_json_typed(spark, sf_dir):
-    s = inputs(spark, sf_dir).parse()
+    s = Inputs(spark, sf_dir).parse()
     return s.select(*[_ntz(c) if c in ("start_date_utc", "extracted_at_utc") else F.col(c)
                       for c in s.columns])
 
 
 def parse_audit(spark, sf_dir):
-    return I.parse_audit(inputs(spark, sf_dir).raw)
+    return I.parse_audit(Inputs(spark, sf_dir).dirty)
+
+
+def stage_rejects(spark, sf_dir):
+    return I.stage_rejects(Inputs(spark, sf_dir).dirty)
+
+
+def stage_dirty_rows(spark, sf_dir):
+    """The rows that staging keeps of a landing table with bad values."""
+    s = I.stage_activities(Inputs(spark, sf_dir).dirty, "2024-01-10")
+    return s.select("activity_id", "athlete_id", _ntz("start_date_utc"), "moving_time_s")
+
+
+DECIMAL_DOC = T.StructType([T.StructField(f.name, T.DecimalType(20, 6) if f.dataType == T.DoubleType() else f.dataType)
+                            for f in I.ACTIVITY_DOC.fields])
+
+
+def stage_json_decimal(spark, sf_dir):
+    """Payload numbers as DECIMAL(20,6)."""
+    s = I.stage_activities(Inputs(spark, sf_dir).raw, A.MIN_START, DECIMAL_DOC)
+    return s.select("activity_id", *[F.col(c).cast("double").alias(c) for c in
+                                     ("distance_m", "elevation_m", "avg_power_w", "kilojoules", "avg_hr")])
+
+
+def serialize_nulls(spark, sf_dir):
+    """Records as JSON text, null fields written out."""
+    e = A.table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return e.select(eid.alias("activity_id"), I.serialize_record(
+        eid.alias("id"), F.col("event_type").alias("type"),
+        F.when(eid % 11 != 0, 105 + (eid * 7) % 120).alias("np")).alias("payload"))
 
 
 def ride_projection(spark, sf_dir):
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     r = x.staged.filter(F.col("activity_type") == A.RIDE_TYPE)
     a = x.athletes.select("athlete_id", F.col("first_name").alias("athlete_name"))
     j = lookup(r, a, ["athlete_id"])
@@ -182,28 +166,28 @@ def dim_date(spark, sf_dir):
 
 
 def inline_values_bands(spark, sf_dir):
-    t = inputs(spark, sf_dir).tests
+    t = Inputs(spark, sf_dir).tests
     return t.select("ftp_id", "athlete_id", "ftp_watts", "ftp_wkg", "test_date", "test_type",
                     F.lit(None).cast("string").alias("test_notes"),
                     F.lit("customer").alias("source"))
 
 
 def scd2_threshold(spark, sf_dir):
-    x = inputs(spark, sf_dir)
-    d = MD.dim_threshold(x.tests)
+    x = Inputs(spark, sf_dir)
+    d = MD.dim_threshold(x.tests, run_ts=A.RUN_TS)
     d = scd2(d, ["athlete_id"], "test_date", tiebreak=["ftp_id"], end_offset_days=0,
              from_col="_vf", to_col="valid_to_exclusive", current_col=None).drop("_vf")
     return d
 
 
 def power_bands(spark, sf_dir):
-    z = MD.power_zone_dim(MD.dim_threshold(inputs(spark, sf_dir).tests))
+    z = MD.power_zone_dim(MD.dim_threshold(Inputs(spark, sf_dir).tests))
     return z.withColumn("ftp_pct_low", F.col("ftp_pct_low").cast("double")) \
             .withColumn("ftp_pct_high", F.col("ftp_pct_high").cast("double"))
 
 
 def hr_bands_surrogate_key(spark, sf_dir):
-    z = MD.hr_zone_dim(inputs(spark, sf_dir).history)
+    z = MD.hr_zone_dim(Inputs(spark, sf_dir).history)
     return z.withColumn("hr_pct_low", F.col("hr_pct_low").cast("double")) \
             .withColumn("hr_pct_high", F.col("hr_pct_high").cast("double"))
 
@@ -211,11 +195,12 @@ def hr_bands_surrogate_key(spark, sf_dir):
 # ------------------------------------------------------------------ facts
 
 def fact_current_threshold(spark, sf_dir):
-    return inputs(spark, sf_dir).fact
+    x = Inputs(spark, sf_dir)
+    return MD.fact_activities(x.staged, x.thresholds, "current_only", run_ts=A.RUN_TS)
 
 
 def fact_as_of_threshold(spark, sf_dir):
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     s = x.staged.select("activity_id", "athlete_id",
                         F.col("start_date_utc").cast("date").alias("activity_date"))
     return interval_join(s, x.thresholds, ["athlete_id"], "activity_date",
@@ -223,7 +208,7 @@ def fact_as_of_threshold(spark, sf_dir):
 
 
 def fact_as_of_inclusive(spark, sf_dir):
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     s = x.staged.select("activity_id", "athlete_id",
                         F.col("start_date_utc").cast("date").alias("activity_date"))
     return interval_join(s, x.thresholds, ["athlete_id"], "activity_date",
@@ -231,24 +216,24 @@ def fact_as_of_inclusive(spark, sf_dir):
 
 
 def retest_gap_rows(spark, sf_dir):
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     s = x.staged.select("activity_id", "athlete_id",
                         F.col("start_date_utc").cast("date").alias("activity_date"))
     return retest_gap(s, x.thresholds, ["athlete_id"], "activity_date")
 
 
 def power_zone_match(spark, sf_dir):
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     return MD.fact_power_zone(x.fact, x.power_zones)
 
 
 def hr_efficiency_keyed(spark, sf_dir):
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     return MD.fact_hr_efficiency(x.fact, x.thresholds, x.hr_zones)
 
 
 def hr_band_theta(spark, sf_dir):
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     ref = x.history.agg(F.max("max_hr").alias("reference_bpm"))
     bands = make_bands(ref, MD.HR_ZONES, MD.HR_TYPES, "reference_bpm", "hr_pct_low",
                        "hr_pct_high", "bpm_low", "bpm_high")
@@ -258,7 +243,7 @@ def hr_band_theta(spark, sf_dir):
 # ------------------------------------------------------------------ aggregation
 
 def weighted_means(spark, sf_dir):
-    r = inputs(spark, sf_dir).rides
+    r = Inputs(spark, sf_dir).rides
     dur = "duration_minutes"
     out = r.groupBy("athlete_id", "activity_date").agg(
         F.count(F.lit(1)).alias("ride_count"),
@@ -278,23 +263,23 @@ def weighted_means(spark, sf_dir):
 
 
 def daily_by_activity(spark, sf_dir):
-    return inputs(spark, sf_dir).daily_activity
+    return Inputs(spark, sf_dir).daily_activity
 
 
 def daily(spark, sf_dir):
-    return inputs(spark, sf_dir).daily_day
+    return Inputs(spark, sf_dir).daily_day
 
 
 def _dense_day(x: Inputs) -> DataFrame:
-    return MD.densified(x.athletes, x.daily_day, x.rides, A.AS_OF, "day")
+    return MD.densified(x.athletes, x.daily_day, x.rides, A.AS_OF)
 
 
 def densified_daily(spark, sf_dir):
-    return _dense_day(inputs(spark, sf_dir))
+    return _dense_day(Inputs(spark, sf_dir))
 
 
 def rolling_load_7_28(spark, sf_dir):
-    d = _dense_day(inputs(spark, sf_dir)).select("athlete_id", "date", "tss_total")
+    d = _dense_day(Inputs(spark, sf_dir)).select("athlete_id", "date", "tss_total")
     return rolling_sums(d, ["athlete_id"], "date", "tss_total", MD.LOAD_SPANS)
 
 
@@ -316,40 +301,38 @@ def load_ratio_label(spark, sf_dir):
 
 
 def zone_share(spark, sf_dir):
-    return D.zone_share(inputs(spark, sf_dir).rides, "power_zone_label")
+    return D.zone_share(Inputs(spark, sf_dir).rides, "power_zone_label")
 
 
 def hr_zone_share(spark, sf_dir):
-    return D.zone_share(inputs(spark, sf_dir).rides, "hr_zone_label")
+    return D.zone_share(Inputs(spark, sf_dir).rides, "hr_zone_label")
 
 
 def monthly_summary(spark, sf_dir):
-    return D.monthly_summary(inputs(spark, sf_dir).rides)
+    return D.monthly_summary(Inputs(spark, sf_dir).rides)
 
 
 def recent_log(spark, sf_dir):
-    r = inputs(spark, sf_dir).rides
+    r = Inputs(spark, sf_dir).rides
     top = D.top_k_per_group(r, ["athlete_id"],
-                            [F.col("activity_date").desc(), F.col("activity_id").desc()], 10,
-                            salt_col="activity_id")
+                            [F.col("activity_date").desc(), F.col("activity_id").desc()], 10)
     return top.select("athlete_id", "rank", "activity_id", "activity_date", "activity_name",
                       "distance_km", "duration_minutes", "tss", "power_zone_label",
                       "hr_zone_label", "watts_per_bpm")
 
 
 def efficiency_trend(spark, sf_dir):
-    return D.efficiency_trend(inputs(spark, sf_dir).rides)
+    return D.efficiency_trend(Inputs(spark, sf_dir).rides)
 
 
 # ------------------------------------------------------------------ mart + quality
 
 def mart_full(spark, sf_dir):
-    x = inputs(spark, sf_dir)
-    return MD.mart(x.athletes, x.rides, A.AS_OF,
-                   persist=lambda df: materialize(spark, df, "daily_by_activity"),
-                   daily=x.daily_activity)
+    x = Inputs(spark, sf_dir)
+    return MD.mart(x.athletes, x.rides, A.AS_OF, daily=x.daily_activity)
 
 
+# The declared tests of the daily mart (limits, labels, expressions).
 MART_CHECKS = [
     {"name": "athlete_id_not_null", "kind": "not_null", "column": "athlete_id"},
     {"name": "ride_count_values", "kind": "accepted_values", "column": "ride_count", "values": [0, 1]},
@@ -415,7 +398,7 @@ def duplicate_keys(spark, sf_dir):
 def orphan_entities(spark, sf_dir):
     """Referential checks; rides are first counted per athlete (partial aggregation),
     so the anti joins see one row per athlete, never a hot athlete's rides."""
-    x = inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir)
     per_athlete = (x.fact.filter(F.col("activity_type") == A.RIDE_TYPE)
                    .groupBy("athlete_id").agg(F.count(F.lit(1)).alias("rides")))
     orphan_rides = per_athlete.join(x.athletes, "athlete_id", "left_anti").agg(
@@ -489,17 +472,46 @@ def stale_entities(spark, sf_dir):
 
 
 def load_audit(spark, sf_dir):
-    x = inputs(spark, sf_dir)
-    ents = x.t("customer").select(F.col("c_custkey").alias("athlete_id"))
-    return I.load_audit(x.raw, x.staged, "athlete_id", entities=ents)
+    """Audit of a load with bad values; customers in debt are loaded but not listed."""
+    x = Inputs(spark, sf_dir)
+    ents = x.t("customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("athlete_id"))
+    return I.load_audit(x.dirty, I.stage_activities(x.dirty, None), "athlete_id", entities=ents,
+                        rejects=I.stage_rejects(x.dirty))
+
+
+VALUE_BANDS = [("short", 600, 2400), ("medium", 2400, 4200), ("long", 4200, None)]
+
+
+def values_bands_join(spark, sf_dir):
+    """Activities against a VALUES list of duration bands."""
+    bands = values_relation(spark, VALUE_BANDS, "band string, low int, high int")
+    a = Inputs(spark, sf_dir).staged.select("activity_id", "moving_time_s")
+    return band_join(a, bands, "moving_time_s", ["band"], open_upper=True)
+
+
+def literal_row_union(spark, sf_dir):
+    """A literal one-row athlete table beside the athletes."""
+    a = Inputs(spark, sf_dir).athletes.select("athlete_id", "first_name", "max_hr", "added_at")
+    one = literal_row(spark, "athlete_id bigint, first_name string, max_hr int, added_at date",
+                      athlete_id=-1, first_name="nobody")
+    return a.unionByName(one)
+
+
+def hr_band_closed_upper(spark, sf_dir):
+    """Keyed heart-rate bands of the newest athlete version, upper bound included."""
+    x = Inputs(spark, sf_dir)
+    a = x.staged.select("activity_id", "athlete_id", "avg_hr")
+    z = x.hr_zones.filter("is_current")
+    return band_join(a, z, "avg_hr", ["zone_number"], keys=["athlete_id"], how="inner",
+                     low="bpm_low", high="bpm_high", closed_high=True)
 
 
 def _pinned(fn):
-    """Apply the session settings the operators rely on (UTC, AQE, ...) first:
-    the caller's session may have been built without them."""
+    """Build the query's plan with the session time zone at UTC, then put it back:
+    the zone is bound into casts when a DataFrame is made."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_runtime_conf(spark)
-        return fn(spark, sf_dir)
+        with utc_session(spark):
+            return fn(spark, sf_dir)
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     return run
 
@@ -507,6 +519,12 @@ def _pinned(fn):
 REGISTRY = {
     "stage_json_typed": stage_json_typed,
     "parse_audit": parse_audit,
+    "stage_rejects": stage_rejects,
+    "stage_dirty_rows": stage_dirty_rows,
+    "stage_json_decimal": stage_json_decimal,
+    "serialize_nulls": serialize_nulls,
+    "values_bands_join": values_bands_join,
+    "literal_row_union": literal_row_union,
     "ride_projection": ride_projection,
     "dim_date": dim_date,
     "inline_values_bands": inline_values_bands,
@@ -520,6 +538,7 @@ REGISTRY = {
     "power_zone_match": power_zone_match,
     "hr_efficiency_keyed": hr_efficiency_keyed,
     "hr_band_theta": hr_band_theta,
+    "hr_band_closed_upper": hr_band_closed_upper,
     "weighted_means": weighted_means,
     "daily_by_activity": daily_by_activity,
     "daily": daily,
@@ -543,6 +562,9 @@ REGISTRY = {
     "load_audit": load_audit,
     "snapshot_explode": L.snapshot_explode,
     "page_union": L.page_union,
+    "entity_pages": L.entity_pages,
+    "snapshot_rejects": L.snapshot_rejects,
+    "full_refresh_layers": L.full_refresh_layers,
     "csv_summary": L.csv_summary,
     "stream_incremental_upsert": L.stream_incremental_upsert,
     "incremental_fact_upsert": L.incremental_fact_upsert,

@@ -16,9 +16,9 @@ folder) when the setting is absent, i.e. in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,20 +45,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_runtime_conf(spark)
     return spark
 
 
-def apply_runtime_conf(spark: SparkSession) -> None:
-    """Pin the SQL settings the operators rely on (safe on an existing session)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # let a join on (entity, day) reuse a partitioning by entity (see calendar.densify)
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    # split a hot entity's join partition even when a later aggregate reuses the
-    # entity partitioning (AQE then adds the shuffle it needs)
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+@contextmanager
+def utc_session(spark: SparkSession):
+    """The session time zone is UTC inside the block; the caller's value comes back after it."""
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    if before != "UTC":
+        spark.conf.set(key, "UTC")
+    try:
+        yield
+    finally:
+        if before != "UTC":
+            spark.conf.set(key, before)
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
@@ -78,24 +79,7 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
             spark.sparkContext.setCheckpointDir(base)
         except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
             pass
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, f"{name or 'run'}-{uuid.uuid4().hex[:12]}")
-    return path
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable: reuse the configured folder."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        _require_local(spark)
-        base = tempfile.mkdtemp(prefix="pacekit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
-    return spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name or 'run'}-{uuid.uuid4().hex[:12]}"
 
 
 def _require_local(spark: SparkSession) -> None:
@@ -113,18 +97,3 @@ def _context_checkpoint_dir(spark: SparkSession):
         return spark.sparkContext.getCheckpointDir()
     except Exception:  # noqa: BLE001
         return None
-
-
-def app_key(spark: SparkSession) -> str:
-    """Identifier of the running application (keys per-session caches)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Activity document fields and their parse types (strict: a non-integer text
-# in an INT field parses to NULL and is reported by ``parse_audit``).
+# Activity document fields and their parse types (strict: a document with e.g.
+# a non-integer value in an INT field is not staged, see ``stage_rejects``).
 ACTIVITY_DOC = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("start_date", T.TimestampType()),
@@ -55,19 +55,27 @@ def record_guard(df: DataFrame, payload: str = "payload", id_path: str = "$.id")
     return df.filter(F.get_json_object(F.col(payload), id_path).isNotNull())
 
 
+def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Raw columns with the typed document ``_d``; ``_d._bad`` is set where a value does not parse."""
+    doc = F.from_json(F.col("payload"), T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]),
+                      {**JSON_OPTIONS, "columnNameOfCorruptRecord": "_bad"})
+    return raw.withColumn("_d", doc)
+
+
 def stage_activities(raw: DataFrame, min_start: str | None = "2024-01-01",
                      schema: T.StructType = ACTIVITY_DOC) -> DataFrame:
     """Typed flat projection of the raw activity documents.
 
     One ``from_json`` per row replaces one JSON lookup per field; missing keys
-    and JSON nulls become NULL. Unit conversions: km = m / 1000, minutes =
-    seconds / 60, km/h = m/s * 3.6. ``min_start`` keeps activities that start
-    on or after that day, written as a range on the timestamp so it can reach
-    the scan, instead of ``year(ts) >= y``.
+    and JSON nulls become NULL. A document with a value that does not parse, or
+    without an id, is not staged: :func:`stage_rejects` has it, field by field.
+    Unit conversions: km = m / 1000, minutes = seconds / 60, km/h = m/s * 3.6.
+    ``min_start`` keeps activities that start on or after that day, written as
+    a range on the timestamp so it can reach the scan, instead of
+    ``year(ts) >= y``.
     """
-    doc = F.from_json(F.col("payload"), schema, JSON_OPTIONS)
-    parsed = record_guard(raw).select("activity_id", "athlete_id", "extracted_at_utc",
-                                      doc.alias("_d"))
+    parsed = _parsed(raw, schema).filter(F.col("_d").isNotNull() & F.col("_d._bad").isNull()
+                                         & F.col("_d.id").isNotNull())
     out = parsed.select(
         "activity_id", "athlete_id",
         F.col("_d.start_date").alias("start_date_utc"),
@@ -82,23 +90,52 @@ def stage_activities(raw: DataFrame, min_start: str | None = "2024-01-01",
     return out
 
 
-def parse_audit(raw: DataFrame, schema: T.StructType = ACTIVITY_DOC) -> DataFrame:
-    """Per field: documents where the key is present and non-null but parses to NULL.
+def stage_rejects(raw: DataFrame, schema: T.StructType = ACTIVITY_DOC) -> DataFrame:
+    """What staging left out: ``(activity_id, athlete_id, field, raw_text)``.
 
-    This is the strictness report that a lenient ``from_json`` would otherwise
-    hide (e.g. ``"moving_time": "3600.0"`` for an INT field). One pass, one
-    aggregate row unpivoted to (field, bad_values).
+    One row per value that is present but does not parse to its type, one with
+    field ``id`` for a document whose id is missing or null, one with field ``$``
+    and the whole text for a payload that is no JSON object. Only documents that
+    the typed parse flags are looked at again.
     """
-    doc = F.from_json(F.col("payload"), schema, JSON_OPTIONS)
-    p = raw.select(F.col("payload"), doc.alias("_d"))
-    aggs = []
+    suspect = _parsed(raw, schema).filter(
+        F.col("_d").isNull() | F.col("_d._bad").isNotNull() | F.col("_d.id").isNull())
+    texts = suspect.withColumn("_t", F.from_json("payload", T.MapType(T.StringType(), T.StringType())))
+    fields = []
     for f in schema.fields:
-        present = F.get_json_object(F.col("payload"), f"$.{f.name}").isNotNull()
-        aggs.append(F.sum(F.when(present & F.col(f"_d.{f.name}").isNull(), 1).otherwise(0))
-                    .cast("long").alias(f.name))
-    counted = p.agg(*aggs)
-    args = ", ".join(f"'{f.name}', coalesce(`{f.name}`, 0L)" for f in schema.fields)
-    return counted.selectExpr(f"stack({len(schema.fields)}, {args}) as (field, bad_values)")
+        text = F.try_element_at("_t", F.lit(f.name))
+        bad = text.isNotNull() & F.col(f"_d.{f.name}").isNull()
+        if f.name == "id":
+            bad = F.col("_t").isNotNull() & F.col("_d.id").isNull()
+        fields.append(F.when(bad, F.struct(F.lit(f.name).alias("field"), text.alias("raw_text"))))
+    whole = F.when(F.col("_t").isNull(), F.struct(F.lit("$").alias("field"), F.col("payload").alias("raw_text")))
+    each = F.explode(F.array_compact(F.array(*fields, whole)))
+    return texts.select("activity_id", "athlete_id", each.alias("r")).select("activity_id", "athlete_id", "r.*")
+
+
+class RejectedRowsError(RuntimeError):
+    pass
+
+
+def require_clean(rejects: DataFrame, most: int = 0) -> DataFrame:
+    """Fail loudly when more than ``most`` values were rejected; names the fields."""
+    by_field = {r["field"]: r["n"] for r in rejects.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(by_field.values()) > most:
+        raise RejectedRowsError(f"rejected values by field: {by_field}")
+    return rejects
+
+
+def parse_audit(raw: DataFrame, schema: T.StructType = ACTIVITY_DOC) -> DataFrame:
+    """Per field: how many documents have a value that staging rejects (zero rows included)."""
+    names = raw.sparkSession.createDataFrame([(f.name,) for f in schema.fields] + [("$",)], "field string")
+    counts = stage_rejects(raw, schema).groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(counts, "field", "left").select(
+        "field", F.coalesce("n", F.lit(0)).cast("long").alias("bad_values"))
+
+
+def serialize_record(*cols) -> Column:
+    """A record as JSON text with its null fields written out."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
 SNAPSHOT_SCHEMA = T.StructType([
@@ -107,37 +144,57 @@ SNAPSHOT_SCHEMA = T.StructType([
 ])
 
 
-def read_snapshot(spark: SparkSession, path: str, name_pattern: str = r"activities_raw_[^/]*",
-                  latest_only: bool = True, key: str = "$.id", multi_line: bool = False) -> DataFrame:
+def _snapshot_documents(spark: SparkSession, path: str, name_pattern: str, latest_only: bool) -> DataFrame:
+    """(snapshot, text, doc): every document of the chosen snapshots."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+             .select(F.regexp_extract("path", f"^.*?({name_pattern})", 1).alias("name"),
+                     F.regexp_extract("path", f"^(.*?{name_pattern}[^/]*)", 1).alias("root"))
+             .filter("name <> ''"))                       # the listing alone: no content is read
+    if latest_only:
+        files = files.withColumn("newest", F.max("name").over(Window.partitionBy())).filter("name = newest")
+    roots = [r["root"] for r in files.select("root").distinct().collect()]
+    if not roots:
+        raise FileNotFoundError(f"no snapshot under {path}")
+    text = (spark.read.text(roots, wholetext=True, recursiveFileLookup=True)
+            .withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 0)))
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    by_line = F.forall(lines, lambda x: F.trim(x).rlike(r"^\{.*\}$"))
+    docs = text.select("snapshot", F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("text"))
+    return docs.withColumn("doc", F.from_json("text", SNAPSHOT_SCHEMA))
+
+
+def read_snapshot(spark: SparkSession, path: str, name_pattern: str = r"activities_raw_[^/.]*",
+                  latest_only: bool = True, key: str = "$.id") -> DataFrame:
     """Snapshot documents ``{"extracted_at_utc": ..., "activities": [...]}`` -> one row per activity.
 
-    Each activity object is read as its raw JSON text (a ``string`` field over
-    a JSON object keeps the text verbatim, non-ASCII included). A snapshot is
-    named by the ``activities_raw_<run>`` part of its file path; with
-    ``latest_only`` only the lexically greatest name is kept, selected with a
-    semi join against a one-row aggregate, so no file list reaches the driver.
-    Use ``require_rows`` to fail loudly when nothing matched.
+    A file is one document (pretty-printed or not) or one per line. Each activity
+    object is read as its raw JSON text (a ``string`` field over a JSON object
+    keeps the text verbatim, non-ASCII included). A snapshot is named by the
+    ``activities_raw_<run>`` part of its path; with ``latest_only`` the listing
+    decides on the greatest name and only its files are read. Raises when there
+    is no snapshot. Records without an integer id and malformed documents are not
+    returned: :func:`snapshot_rejects` has them.
     Returns ``(activity_id, extracted_at_utc, payload, snapshot)``.
     """
-    df = (spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", multi_line)
-          .option("recursiveFileLookup", True).json(path)
-          .withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 0)))
-    df = df.filter(F.col("snapshot") != "")
-    if latest_only:
-        newest = df.agg(F.max("snapshot").alias("snapshot"))
-        df = df.join(newest, "snapshot", "left_semi")
-    act = df.select("snapshot", "extracted_at_utc", F.explode("activities").alias("payload"))
-    return act.select(
-        F.get_json_object(F.col("payload"), key).cast("long").alias("activity_id"),
-        F.to_timestamp(F.col("extracted_at_utc")).alias("extracted_at_utc"),
+    docs = _snapshot_documents(spark, path, name_pattern, latest_only)
+    act = docs.select("snapshot", "doc.extracted_at_utc", F.explode("doc.activities").alias("payload"))
+    out = act.select(
+        F.get_json_object(F.col("payload"), key).try_cast("long").alias("activity_id"),
+        F.try_to_timestamp(F.col("extracted_at_utc")).alias("extracted_at_utc"),
         "payload", "snapshot")
+    return out.filter(F.col("activity_id").isNotNull())
 
 
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Fail loudly when a source matched nothing (one-row probe, not a count)."""
-    if not df.take(1):
-        raise FileNotFoundError(f"no {what} found")
-    return df
+def snapshot_rejects(spark: SparkSession, path: str, name_pattern: str = r"activities_raw_[^/.]*",
+                     latest_only: bool = True, key: str = "$.id") -> DataFrame:
+    """What :func:`read_snapshot` leaves out: ``(snapshot, field, raw_text)``."""
+    docs = _snapshot_documents(spark, path, name_pattern, latest_only)
+    act = docs.select("snapshot", F.explode("doc.activities").alias("raw_text"))
+    no_id = act.filter(F.get_json_object("raw_text", key).try_cast("long").isNull()).select(
+        "snapshot", F.lit("id").alias("field"), "raw_text")
+    broken = docs.filter(F.col("doc.activities").isNull()).select(
+        "snapshot", F.lit("$").alias("field"), F.col("text").alias("raw_text"))
+    return no_id.unionByName(broken)
 
 
 def read_pages(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
@@ -172,19 +229,40 @@ def stale_flag(token: Column, expires_at_epoch: Column, as_of_epoch: int) -> Col
 
 
 def load_audit(fetched: DataFrame, loaded: DataFrame, entity: str,
-               entities: DataFrame | None = None) -> DataFrame:
-    """Per entity: fetched rows, upserted rows, ok flag.
+               entities: DataFrame | None = None, rejects: DataFrame | None = None) -> DataFrame:
+    """Per entity: fetched rows, upserted rows, rejected values, whether it is listed, ok flag.
 
-    ``fetched`` are the records received, ``loaded`` those written after the
-    guard. Both are counted with grouped aggregates (partial counts before the
-    shuffle), then joined on the entity. Entities listed in ``entities`` with
-    nothing fetched appear with zeros.
+    All sides are counted with grouped aggregates (partial counts before the
+    shuffle) and joined in full: a listed entity with nothing fetched appears
+    with zeros, and one that is loaded but not listed appears as not listed.
     """
-    f = fetched.groupBy(entity).agg(F.count(F.lit(1)).alias("fetched"))
-    l_ = loaded.groupBy(entity).agg(F.count(F.lit(1)).alias("upserted"))
-    out = f.join(l_, entity, "full_outer")
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(entity).agg(F.count(F.lit(1)).alias(name))
+
+    out = counted(fetched, "fetched").join(counted(loaded, "upserted"), entity, "full_outer")
+    out = out.join(counted(rejects, "errors"), entity, "full_outer") if rejects is not None \
+        else out.withColumn("errors", F.lit(0))
+    listed = F.lit(True)
     if entities is not None:
-        out = entities.select(entity).join(out, entity, "left")
-    out = (out.withColumn("fetched", F.coalesce(F.col("fetched"), F.lit(0)).cast("long"))
-              .withColumn("upserted", F.coalesce(F.col("upserted"), F.lit(0)).cast("long")))
-    return out.withColumn("ok", F.col("upserted") > 0)
+        out = out.join(entities.select(entity, F.lit(True).alias("_listed")), entity, "full_outer")
+        listed = F.coalesce("_listed", F.lit(False))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("fetched", "upserted", "errors")]
+    return out.select(entity, *counts, listed.alias("listed")).withColumn(
+        "ok", (F.col("upserted") > 0) & (F.col("errors") == 0))
+
+
+class EmptyLoadError(RuntimeError):
+    pass
+
+
+def require_loaded(audit: DataFrame) -> dict:
+    """Totals of an audit; raises when no entity is listed or no row was loaded."""
+    t = audit.agg(F.count_if("listed").alias("entities"), F.sum("fetched").alias("fetched"),
+                  F.sum("upserted").alias("upserted"), F.sum("errors").alias("errors"),
+                  F.count_if(~F.col("ok")).alias("not_ok")).first().asDict()
+    t = {k: v or 0 for k, v in t.items()}
+    if not t["entities"]:
+        raise EmptyLoadError("no entities to load")
+    if not t["upserted"]:
+        raise EmptyLoadError(f"no rows were loaded: {t}")
+    return t

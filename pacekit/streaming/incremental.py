@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pacekit.operators.upsert import latest_per_key
+from pacekit.sources.sinks import drop_folder, materialize
 
 RAW_RECORD = T.StructType([
     T.StructField("athlete_id", T.LongType()),
@@ -38,8 +39,12 @@ def start_incremental_upsert(spark: SparkSession, landing_dir: str, table_path:
                              checkpoint: str, keys: Sequence[str] = ("athlete_id", "activity_id"),
                              order_by: Sequence[str] = ("extracted_at_utc",),
                              schema: T.StructType = RAW_RECORD, file_format: str = "json",
-                             available_now: bool = True):
-    """Start the stream; returns the ``StreamingQuery``."""
+                             available_now: bool = True, compact_every: int = 16):
+    """Start the stream; returns the ``StreamingQuery``.
+
+    Every ``compact_every`` batches the current state is rewritten as one batch,
+    so a reader merges at most that many batches, however long the stream runs.
+    """
     src = spark.readStream.schema(schema).format(file_format).load(landing_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -47,6 +52,8 @@ def start_incremental_upsert(spark: SparkSession, landing_dir: str, table_path:
          .withColumn(BATCH_COL, F.lit(epoch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(table_path))
+        if (epoch_id + 1) % compact_every == 0:
+            compact_in_place(spark, table_path, epoch_id, list(keys), list(order_by))
 
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -67,3 +74,19 @@ def compact(spark: SparkSession, table_path: str, new_path: str, keys: Sequence[
     (read_current(spark, table_path, keys, order_by).withColumn(BATCH_COL, F.lit(0).cast("long"))
      .write.mode("overwrite").partitionBy(BATCH_COL).parquet(new_path))
     return new_path
+
+
+def compact_in_place(spark: SparkSession, table_path: str, epoch_id: int, keys: Sequence[str],
+                     order_by: Sequence[str]) -> None:
+    """Make ``epoch_id`` hold the current state and drop the batches before it.
+
+    The state replaces the newest batch first; older batches then hold nothing
+    that it lacks, so a failure in between (and the batch's retry) loses nothing.
+    """
+    state = materialize(spark, read_current(spark, table_path, keys, order_by), "compacted")
+    older = [r[0] for r in spark.read.parquet(table_path).select(BATCH_COL).distinct().collect()
+             if r[0] < epoch_id]
+    (state.withColumn(BATCH_COL, F.lit(epoch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(table_path))
+    for b in older:
+        drop_folder(spark, f"{table_path}/{BATCH_COL}={b}")

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pacekit.sources import ingest as I
@@ -26,20 +27,46 @@ def raw(spark):
                                        "extracted_at_utc timestamp, payload string")
 
 
-def test_stage_parses_types_missing_keys_and_guard(spark):
+def test_stage_parses_types_and_missing_keys(spark):
     st = {r.activity_id: r for r in I.stage_activities(raw(spark), "2024-01-01").collect()}
-    assert set(st) == {1, 2}
+    assert set(st) == {1}              # 2 has a bad integer, two have no id, 5 is too old
     a = st[1]
     assert a.activity_name == "Zwift – Watopia" and a.moving_time_s == 3600
     assert a.distance_km == 30.0005 and a.moving_time_min == 60.0
     assert a.start_date_utc == dt.datetime(2024, 3, 1, 8, 0) and a.avg_hr is None
-    assert st[2].moving_time_s is None                    # strict INT parse
-    assert st[2].start_date_utc.date() == dt.date(2024, 2, 29)
+    assert {r.activity_id for r in I.stage_activities(raw(spark), None).collect()} == {1, 5}
 
 
-def test_parse_audit_reports_lenient_nulls(spark):
-    audit = {r.field: r.bad_values for r in I.parse_audit(raw(spark)).collect()}
-    assert audit["moving_time"] == 1 and audit["distance"] == 0
+def test_rejects_name_key_field_and_text(spark):
+    broken = raw(spark).limit(1).withColumn("payload", F.lit('{"id": 9, "na')).withColumn("activity_id", F.lit(9))
+    texty = raw(spark).limit(1).withColumn("payload", F.lit(
+        '{"id": "abc", "start_date": "soon", "moving_time": 3600.0}')).withColumn("activity_id", F.lit(10))
+    df = raw(spark).unionByName(broken).unionByName(texty)
+    got = sorted((r.activity_id, r.field, r.raw_text) for r in I.stage_rejects(df).collect() if r.activity_id)
+    assert got == [(2, "moving_time", "3600.0"), (9, "$", '{"id": 9, "na'), (10, "id", "abc"),
+                   (10, "moving_time", "3600.0"), (10, "start_date", "soon")]
+    assert [(r.field, r.raw_text) for r in I.stage_rejects(df).collect() if not r.activity_id] == [("id", None)] * 2
+    audit = {r.field: r.bad_values for r in I.parse_audit(df).collect()}
+    assert audit["moving_time"] == 2 and audit["distance"] == 0 and audit["id"] == 3 and audit["$"] == 1
+    with pytest.raises(I.RejectedRowsError):
+        I.require_clean(I.stage_rejects(df))
+    I.require_clean(I.stage_rejects(df), most=8)
+
+
+def test_direct_staging_equals_parsed_staging(spark):
+    from pacekit.plans import analog as A
+
+    ev = spark.range(40).selectExpr("id AS event_id", "id % 5 AS user_id", "CAST(id * 1.37 AS DOUBLE) AS value",
+                                    "TIMESTAMP_NTZ '2023-12-31 12:00:00' + make_interval(0,0,0,0,id,0,0.25) AS ts",
+                                    "'purchase' AS event_type", "concat('{\"k\": ', id, '}') AS props")
+    a, b = A.staged_activities(ev), I.stage_activities(A.landed_activities(ev), A.MIN_START)
+    assert a.schema == b.schema or [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema]
+    assert sorted(a.collect(), key=str) == sorted(b.collect(), key=str) and a.count() == 28
+
+
+def test_serialize_keeps_nulls(spark):
+    df = spark.createDataFrame([(1, None)], "id int, np double")
+    assert df.select(I.serialize_record("id", "np")).first()[0] == '{"id":1,"np":null}'
 
 
 def test_snapshot_reader_picks_latest_run(spark, tmp_dir):
@@ -55,6 +82,29 @@ def test_snapshot_reader_picks_latest_run(spark, tmp_dir):
                     (4, "activities_raw_20240201T000000Z")]
     assert "é" in snap.first().payload
     assert I.read_snapshot(spark, tmp_dir, latest_only=False).count() == 5
+    files = {f.rsplit("/", 2)[-2] for f in snap.inputFiles()}
+    assert files == {"activities_raw_20240201T000000Z"}            # the older snapshot is not scanned
+
+
+def test_snapshot_reader_takes_any_valid_json_and_rejects_the_rest(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/snap")
+    ids = [{"id": 1}, {"id": "7"}, {"id": "abc"}, {"name": "no id"}, {"id": None}]
+    doc = {"extracted_at_utc": "2024-02-01T00:00:00Z", "activities": ids}
+    with open(f"{tmp_dir}/snap/activities_raw_20240201T000000Z.json", "w") as fh:
+        fh.write(json.dumps(doc, indent=2))
+    rows = I.read_snapshot(spark, f"{tmp_dir}/snap").collect()
+    assert sorted(r.activity_id for r in rows) == [1, 7]
+    left = I.snapshot_rejects(spark, f"{tmp_dir}/snap").collect()
+    assert len(left) == 3 and {r.field for r in left} == {"id"}
+    with open(f"{tmp_dir}/snap/activities_raw_20240301T000000Z.json", "w") as fh:
+        fh.write('{"extracted_at_utc": "2024-03-01T00:00:00Z", "activities": [{"id"')
+    assert I.read_snapshot(spark, f"{tmp_dir}/snap").count() == 0
+    assert [r.field for r in I.snapshot_rejects(spark, f"{tmp_dir}/snap").collect()] == ["$"]
+    os.makedirs(f"{tmp_dir}/none")
+    with open(f"{tmp_dir}/none/other.json", "w") as fh:
+        fh.write("{}")
+    with pytest.raises(FileNotFoundError):
+        I.read_snapshot(spark, f"{tmp_dir}/none")
 
 
 def test_pages_csv_and_audit(spark, tmp_dir):
@@ -66,11 +116,41 @@ def test_pages_csv_and_audit(spark, tmp_dir):
     st = I.stage_activities(r)
     path = S.csv_export(st, f"{tmp_dir}/csv", ["activity_id", "activity_name", "distance_km"])
     back = spark.read.option("header", True).csv(path)
-    assert back.count() == 2 and back.columns == ["activity_id", "activity_name", "distance_km"]
-    audit = I.load_audit(r, st, "athlete_id",
-                         entities=spark.createDataFrame([(7,), (8,)], "athlete_id bigint")).collect()
-    got = {a.athlete_id: (a.fetched, a.upserted, a.ok) for a in audit}
-    assert got == {7: (5, 2, True), 8: (0, 0, False)}
+    assert back.count() == 1 and back.columns == ["activity_id", "activity_name", "distance_km"]
+    ents = spark.createDataFrame([(7,), (8,)], "athlete_id bigint")
+    more = r.limit(1).withColumn("athlete_id", F.lit(99).cast("bigint"))
+    audit = I.load_audit(r.unionByName(more), st, "athlete_id", entities=ents, rejects=I.stage_rejects(r))
+    got = {a.athlete_id: (a.fetched, a.upserted, a.errors, a.listed, a.ok) for a in audit.collect()}
+    assert got == {7: (5, 1, 3, True, False), 8: (0, 0, 0, True, False), 99: (1, 0, 0, False, False)}
+    assert I.require_loaded(audit) == {"entities": 2, "fetched": 6, "upserted": 1, "errors": 3, "not_ok": 3}
+    with pytest.raises(I.EmptyLoadError):
+        I.require_loaded(I.load_audit(r, st, "athlete_id", entities=ents.filter("false")))
+    with pytest.raises(I.EmptyLoadError):
+        I.require_loaded(I.load_audit(r, st.filter("false"), "athlete_id", entities=ents))
+
+
+def test_merge_table_rewrites_only_touched_partitions(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    schema = "id int, v string, created_at int, at int, month int"
+    first = spark.createDataFrame([(1, "a", 1, 1, 202401), (2, "b", 1, 1, 202402), (3, "c", 1, 1, 202403),
+                                   (4, "d", 1, 1, 202405)], schema)
+    keep = {"insert_only_cols": ["created_at"]}
+    assert S.merge_table(spark, path, first, ["id"], ["at"], "month", **keep) == 4
+    files = {m: sorted(os.listdir(f"{path}/month={m}")) for m in (202401, 202402, 202403)}
+    # 2 changes, 4 moves to another month, 5 is new, duplicates in the batch: the latest wins
+    batch = spark.createDataFrame([(2, "b1", 2, 2, 202402), (2, "b2", 2, 3, 202402), (4, "d2", 2, 2, 202402),
+                                   (5, "e", 2, 2, 202404)], schema)
+    for _ in range(2):                                              # applying a batch twice changes nothing
+        assert S.merge_table(spark, path, batch, ["id"], ["at"], "month", **keep) == 3
+        rows = sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "created_at", "month").collect())
+        assert rows == [(1, "a", 1, 202401), (2, "b2", 1, 202402), (3, "c", 1, 202403), (4, "d2", 1, 202402),
+                        (5, "e", 2, 202404)]
+    assert not os.path.exists(f"{path}/month=202405")
+    for m in (202401, 202403):
+        assert sorted(os.listdir(f"{path}/month={m}")) == files[m]
+    assert sorted(os.listdir(f"{path}/month=202402")) != files[202402]
+    with pytest.raises(ValueError):
+        S.merge_table(spark, path, batch.withColumn("id", F.lit(None).cast("int")), ["id"], ["at"], "month")
 
 
 def test_table_view_routing(spark, tmp_dir):
@@ -83,7 +163,6 @@ def test_table_view_routing(spark, tmp_dir):
     assert S.layer_database(None, "analytics") == "analytics"
     S.ensure_database(spark, "pk_staging")
     S.ensure_database(spark, "pk_staging")          # if absent: idempotent
-    assert S.spread(spark.range(10).coalesce(1), 4).rdd.getNumPartitions() == 4
 
 
 def test_streaming_incremental_upsert_is_latest_batch_wins(spark, tmp_dir):
@@ -101,3 +180,16 @@ def test_streaming_incremental_upsert_is_latest_batch_wins(spark, tmp_dir):
     assert read_current(spark, table, ["athlete_id", "activity_id"]).count() == 3
     compact(spark, table, f"{tmp_dir}/compacted", ["athlete_id", "activity_id"])
     assert read_current(spark, f"{tmp_dir}/compacted", ["athlete_id", "activity_id"]).count() == 3
+
+
+def test_compaction_bounds_the_batches(spark, tmp_dir):
+    landing, table, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    for n in range(5):
+        df = raw(spark).filter(F.col("activity_id") > 0).withColumn(
+            "extracted_at_utc", F.lit(f"2024-04-0{n + 1} 00:00:00").cast("timestamp"))
+        df.write.json(f"{landing}/run={n}")
+        start_incremental_upsert(spark, landing, table, ckpt, compact_every=2).awaitTermination()
+    batches = {r[0] for r in spark.read.parquet(table).select("_batch").distinct().collect()}
+    assert batches == {3, 4}
+    cur = read_current(spark, table, ["athlete_id", "activity_id"])
+    assert cur.count() == 3 and cur.filter("extracted_at_utc = '2024-04-05 00:00:00'").count() == 3

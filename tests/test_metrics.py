@@ -59,12 +59,3 @@ def test_padded_names(spark):
     r = df.select(M.padded_day_name("d").alias("a"), M.padded_month_name("d").alias("b")).first()
     assert r.a == "sunday   " and r.b == "january  "
     assert df.select(M.day_number(F.col("d"))).first()[0] == (dt.date(2024, 1, 7) - dt.date(1970, 1, 1)).days
-
-
-def test_max_in_domain_equals_string_max_and_keeps_null(spark):
-    dom = ["Tempo", "Endurance", "Active Recovery", "Lactate Threshold"]
-    df = spark.createDataFrame([(1, None), (1, None), (2, "Tempo"), (2, "Lactate Threshold"),
-                                (2, None), (3, "Endurance")], "g int, x string")
-    got = {r.g: (r.a, r.b) for r in df.groupBy("g").agg(
-        M.max_in_domain("x", dom).alias("a"), F.max("x").alias("b")).collect()}
-    assert all(a == b for a, b in got.values()) and got[1] == (None, None)

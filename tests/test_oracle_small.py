@@ -7,14 +7,20 @@ import pytest
 
 import __spark_entry__ as E
 from pacekit.plans.analog import TABLES
+from pacekit.plans.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
+# the driver's schema names for a result column, Spark type -> DuckDB type
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.9g}")
+        return "nan" if math.isnan(v) else v                      # full precision
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
@@ -37,9 +43,9 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "load_label" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = REGISTRY[name](spark, SF)
     rows = [tuple(norm(v) for v in r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
@@ -47,6 +53,10 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
     assert sorted(dcols) == sorted(df.columns)
+    kinds = dict(zip(dcols, (str(d[1]) for d in cur.description), strict=True))
+    for c, t in df.dtypes:
+        if kinds[c] not in ("HUGEINT", "NULL", '"NULL"'):
+            assert TYPES[t] == kinds[c], (c, t, kinds[c])
     idx = [dcols.index(c) for c in df.columns]
     drows = [tuple(norm(r[i]) for i in idx) for r in cur.fetchall()]
     assert sorted(rows, key=key) == sorted(drows, key=key)

@@ -85,3 +85,14 @@ def test_contract_report_schema_nulls_and_key(spark):
     assert rep["contract_type_athlete_id"] == 0 and rep["contract_type_name"] == 1
     assert rep["contract_type_missing"] == 1 and rep["contract_extra_extra"] == 1
     assert rep["contract_not_null_athlete_id"] == 1 and rep["contract_primary_key"] == 1
+
+
+def test_null_keys_match_and_new_columns_are_an_error(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    new = spark.createDataFrame([(None, "m", 1), (2, "b", 1)], "k int, v string, o int")
+    once = upsert(old, new, ["k"], ["o"])
+    twice = upsert(once, new, ["k"], ["o"])
+    rows = sorted(map(tuple, twice.collect()), key=str)
+    assert rows == sorted(map(tuple, once.collect()), key=str) == [(1, "a"), (2, "b"), (None, "m")]
+    with pytest.raises(ValueError):
+        upsert(old, new.withColumn("extra", new.o), ["k"], ["o"])
