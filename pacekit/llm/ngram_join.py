@@ -7,10 +7,12 @@ twice the threshold replicates nearly every document into nearly every region
 
 1. Regions at distance 0. Equal sets collapse to one. Every set is cut into
    slices by hash ranges (``shingles.SliceKeys``); a pair within the threshold
-   has at least three equal slices, that is, both lie at distance 0 from the
-   same slice pivot. Sets that share a slice key are joined to the key's
-   smallest id; the components of those edges are the regions. No link leaves a
-   region, and unrelated texts hardly ever share one.
+   has several equal slices, that is, both lie at distance 0 from the same
+   slice pivots. Of those keys a set forgoes the most frequent ones (passages
+   that many texts share) as far as a common one is sure to remain. Sets that
+   share a key are joined to the key's smallest id; the components of those
+   edges are the regions. No link leaves a region, and unrelated texts hardly
+   ever share one.
 2. Voronoi regions within. A region picks pivots among its documents, computes
    exact distances, links what lies within the threshold of a pivot, and sends
    each document to its nearest pivot. By the triangle inequality a document
@@ -35,7 +37,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacekit.llm.common import stored, whole_text
@@ -133,28 +135,31 @@ def join_region(sets: list[np.ndarray], home: np.ndarray, percent: int, leaf: in
 
 
 def shingled(docs: DataFrame, width: int, keys: SliceKeys | None, carried: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, carried..., n_shingles, k1, k2, items): items are slice keys, or without ``keys`` the set."""
+    """(doc_id, carried..., n_shingles, k1, k2, items, forgo): items are slice keys, or without ``keys`` the set."""
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in ("doc_id", *carried))
-    schema += ", n_shingles long, k1 long, k2 long, items array<long>"
+    schema += ", n_shingles long, k1 long, k2 long, items array<long>, forgo array<long>"
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text")
             for a, b in slices(texts):
-                size, k1, k2, items = [], [], [], []
+                size, k1, k2, items, forgo = [], [], [], [], []
                 for s in shingle_sets(texts.slice(a, b - a), width):
                     one, two = set_key(s)
                     size.append(len(s))
                     k1.append(one)
                     k2.append(two)
-                    items.append(keys(s) if keys else s.astype(np.int64))
+                    own, may = keys(s) if keys else (s.astype(np.int64), [])
+                    items.append(own)
+                    forgo.append(may)
                 ends = np.cumsum([0, *map(len, items)], dtype=np.int32)
                 rows = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*items, np.empty(0, np.int64)])))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(a, b - a) for c in ("doc_id", *carried)]
-                    + [pa.array(x, pa.int64()) for x in (size, k1, k2)] + [rows],
-                    names=["doc_id", *carried, "n_shingles", "k1", "k2", "items"])
+                    + [pa.array(x, pa.int64()) for x in (size, k1, k2)] + [rows, pa.array(forgo, pa.list_(pa.int64()))],
+                    names=["doc_id", *carried, "n_shingles", "k1", "k2", "items", "forgo"])
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text", *carried).mapInArrow(run, schema)
 
@@ -293,9 +298,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = sets.select("k1", "k2", "n_shingles", F.col("rep").alias("doc_id"))
     keyed = filled.join(first, ["k1", "k2", "n_shingles", "doc_id"], "left_semi").select(
         F.col("doc_id").alias("rep"), F.explode("items").alias("key"))
-    shared = stored(keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n"))
-                    .filter("n > 1").select("key", "pivot"), "jaccard-pivots")
-    near = keyed.join(shared, "key").filter("rep > pivot").select(F.col("rep").alias("u"), F.col("pivot").alias("v"))
+    shared = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "jaccard-shared")
+    met = keyed.join(shared, "key").withColumn("class", F.col("key").bitwiseAND(255))
+    may = filled.join(first, ["k1", "k2", "n_shingles", "doc_id"], "left_semi").select(
+        F.col("doc_id").alias("rep"), "forgo").filter("size(forgo) > 0").select("rep", F.explode(F.transform(
+            F.sequence(F.lit(0), F.size("forgo") - 2, F.lit(2)), lambda i: F.struct(
+                F.get("forgo", i).alias("class"), F.get("forgo", i + 1).alias("may")))).alias("f")).select("rep", "f.*")
+    # every set forgoes its most frequent keys, as far as its class allows: those of shared passages
+    often = F.row_number().over(Window.partitionBy("rep", "class").orderBy(F.col("n").desc(), "key"))
+    kept = met.withColumn("often", often).join(may.distinct(), ["rep", "class"]).filter("often > may")
+    kept = stored(kept.select("rep", "key"), "jaccard-kept")
+    pivots = kept.groupBy("key").agg(F.min("rep").alias("pivot"))
+    near = kept.join(pivots, "key").filter("rep > pivot").select(F.col("rep").alias("u"), F.col("pivot").alias("v"))
     regions = stored(components(near.distinct()).join(
         sets.select(F.col("rep").alias("id"), "k1", "k2"), "id"), "jaccard-regions")
 

@@ -63,26 +63,29 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
 
 
 class SliceKeys:
-    """Keys of which any two sets of Jaccard similarity ``percent`` or more share one.
+    """Keys of which any two sets of Jaccard similarity ``percent`` or more share some.
 
     Sets of about the same size form a class; a pair that links differs in at
     most k elements, where k follows from the class's largest size. Hash ranges
-    cut the sets of a class into k + 3 slices, so at least three slices of a
-    linked pair are equal: seen in one slice, the two lie at distance 0. A set
-    with at most two empty slices leaves those out; one with more keeps them.
-    Classes with k = 0 need no keys: only equal sets link there.
+    cut the sets of a class into k + t slices, so at least t slices of a linked
+    pair are equal: seen in one slice, the two lie at distance 0. A set with e
+    empty slices (e < t) leaves those out and still shares t - e keys, so by
+    the prefix principle it may also forgo its t - e - 1 most frequent keys, if
+    all sets use one order of frequency; one with more empty slices keeps them
+    all. Classes with k = 0 need no keys: only equal sets link there. The low
+    byte of a key is its class.
     """
 
     GROWTH = 1.5
-    SPARE = 3
 
     def __init__(self, percent: int):
         self.percent = percent
-        self.starts, self.slices = [1], []
+        self.starts, self.slices, self.equal = [1], [], []
         while self.starts[-1] < 1 << 40:
             nxt = max(self.starts[-1] * 100 // percent + 2, int(self.starts[-1] * self.GROWTH))
             k = 2 * (nxt - 1) * (100 - percent) // (100 + percent)
-            self.slices.append(k + self.SPARE if k else 0)
+            self.equal.append(3 + k // 6)
+            self.slices.append(k + self.equal[-1] if k else 0)
             self.starts.append(nxt)
 
     def classes(self, n: int) -> list[int]:
@@ -90,19 +93,23 @@ class SliceKeys:
         c = int(np.searchsorted(self.starts, n, side="right")) - 1
         return [c, c + 1] if 100 * n >= self.percent * self.starts[c + 1] else [c]
 
-    def __call__(self, s: np.ndarray) -> np.ndarray:
-        out = []
+    def __call__(self, s: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """(keys, [class, how many keys it may forgo, ...])."""
+        out, forgo = [], []
         with np.errstate(over="ignore"):
             for c in self.classes(len(s)) if len(s) else ():
-                m = self.slices[c]
+                m, t = self.slices[c], self.equal[c]
                 if not m:
                     continue
                 piece = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)     # ascending, as s is
                 at = np.flatnonzero(np.diff(piece, prepend=np.uint64(m)))
                 content = np.add.reduceat(mix(s ^ np.uint64(0xD6E8FEB86659FD93)), at)
                 salt = np.uint64(c << 32)
-                out.append(mix(content + mix(piece[at] + salt)))
-                if m - len(at) >= self.SPARE:
-                    empty = np.setdiff1d(np.arange(m, dtype=np.uint64), piece[at])
-                    out.append(mix(mix(empty + salt) ^ MULTIPLIER))
-        return np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64)
+                keys = mix(content + mix(piece[at] + salt))
+                empty = m - len(at)
+                if empty >= t:
+                    none = np.setdiff1d(np.arange(m, dtype=np.uint64), piece[at])
+                    keys = np.concatenate([keys, mix(mix(none + salt) ^ MULTIPLIER)])
+                out.append(keys & ~np.uint64(255) | np.uint64(c))
+                forgo += [c, max(0, t - empty - 1)]
+        return (np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64)), forgo

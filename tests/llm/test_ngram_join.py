@@ -74,7 +74,7 @@ def test_linked_sets_share_a_slice_key(percent):
                     i = len(np.intersect1d(sets[a], sets[b]))
                     if 0 < i < len(sets[a]) + len(sets[b]) - i and 100 * i >= percent * (len(sets[a]) + len(sets[b]) - i):
                         hit += 1
-                        assert set(keys(sets[a])) & set(keys(sets[b]))
+                        assert set(keys(sets[a])[0].tolist()) & set(keys(sets[b])[0].tolist())
     assert hit > 100
 
 
@@ -142,6 +142,19 @@ def test_matches_brute_force(spark, region_docs):
     assert got == brute(rows)
 
 
+def test_shared_passages_at_a_lower_threshold(spark):
+    rng = random.Random(13)
+    passages = [" ".join(f"p{k}x{i}" for i in range(60)) for k in range(3)]
+    texts = []
+    for t in variants(rng, 60, 2, 60, 400):
+        w = t.split()
+        cut = rng.randrange(len(w))
+        texts.append(" ".join([*w[:cut], rng.choice(passages), *w[cut:]]))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs(spark, rows), percent=80).collect()}
+    assert got == brute(rows, 80)
+
+
 def test_chunk_pairs_find_all_links(spark):
     rng = random.Random(5)
     sets = sets_of(variants(rng, 4, 20, 50, 60))
