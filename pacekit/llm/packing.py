@@ -40,8 +40,8 @@ CAPACITY = 2048
 CUT = 256
 WINDOWS = 128
 GROUP_PIECES = 20_000
-BATCH_BYTES = 12 << 20
-CACHE_WORDS = 400_000
+BATCH_BYTES = 8 << 20
+CACHE_WORDS = 200_000
 
 
 class WordEncoder:
@@ -201,6 +201,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                     [batch.column("doc_id").slice(a, b - a), pa.array(counts + 1),
                      pa.array(rows, type=arrow_kind(with_ids))],
                     names=["doc_id", "doc_tokens", "pieces"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     return rows.mapInArrow(run, kind)

@@ -43,6 +43,7 @@ LEXICON_SIZE = 300
 STEMS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.7
 TREES, DEPTH = 20, 3
+BATCH_BYTES = 3 << 20                          # featurize keeps about 100 bytes per word of a batch
 
 # Second-person words of the four languages, and look-alike signs.
 SECOND_PERSON = frozenset("""you your yours yourself u ur tu te toi ton ta tes vous votre vos
@@ -117,7 +118,7 @@ class WordMarks:
     def __call__(self, word: str) -> tuple:
         got = self.cache.get(word)
         if got is None:
-            if len(self.cache) > 300_000:
+            if len(self.cache) > 150_000:
                 self.cache.clear()
             w = core(word)
             masked = INNER_SIGN.search(word) is not None
@@ -182,13 +183,14 @@ def features(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...] =
         marks = WordMarks(lexicon)
         for batch in batches:
             texts = batch.column("text")
-            for a, b in slices(texts):
+            for a, b in slices(texts, BATCH_BYTES):
                 x = featurize(texts.slice(a, b - a), marks)
                 rows = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(a, b - a) for c in ("doc_id", *keep)] + [rows],
                     names=["doc_id", *keep, "features"])
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text", *keep).mapInArrow(run, schema)
 
