@@ -104,6 +104,26 @@ def local_roots(links: np.ndarray) -> np.ndarray:
         root = best
 
 
+def link_forest(x: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float,
+                block: int = 512) -> np.ndarray:
+    """(i, j) edges, a spanning forest of the links between rows ``left`` and rows ``right`` of ``x``."""
+    label, y, out = np.arange(len(x)), x[right].T, [np.empty((0, 2), np.int64)]
+    for s in range(0, len(left), block):
+        part = left[s:s + block]
+        near = x[part] @ y >= threshold
+        for k in np.flatnonzero(near.any(axis=1)).tolist():
+            i, at = part[k], right[near[k]]
+            seen = label[at]
+            if (seen == label[i]).all():
+                continue
+            trees, first = np.unique(seen, return_index=True)
+            out.append(np.column_stack(np.broadcast_arrays(i, at[first[trees != label[i]]])))
+            joined = np.zeros(len(x), bool)
+            joined[trees] = joined[label[i]] = True
+            label[joined[label]] = min(trees[0], label[i])
+    return np.concatenate(out)
+
+
 def leaf_forest(x: np.ndarray, threshold: float, leaf: int = 4 * LEAF, seed: int = 0) -> np.ndarray:
     """(i, j) edges that connect what the links within ``x`` connect; large leaves split again."""
     if len(x) <= leaf:
@@ -203,12 +223,7 @@ def forest_edges(space: DataFrame, dim: int, n: int, threshold: float, trees: in
         if a == b:
             e = leaf_forest(x, threshold)
         else:                                              # two chunks of one leaf: only links across
-            left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
-            links = x[left] @ x[right].T >= threshold
-            i = np.flatnonzero(links.any(axis=1))
-            j = np.flatnonzero(links.any(axis=0))
-            e = np.concatenate([np.column_stack([left[i], right[links[i].argmax(axis=1)]]),
-                                np.column_stack([left[links[:, j].argmax(axis=0)], right[j]])])
+            e = link_forest(x, np.flatnonzero(own == a), np.flatnonzero(own == b), threshold)
         return pa.table({"u": pa.array(rep[e[:, 0]], pa.int64()), "v": pa.array(rep[e[:, 1]], pa.int64())})
 
     routed = space.select("rep", "v").mapInArrow(route, "rep long, v array<double>, tree int, leaf long")
