@@ -136,13 +136,7 @@ def leaf_forest(x: np.ndarray, threshold: float, leaf: int = 4 * LEAF, seed: int
     out = []
     for part in np.split(rows[order], np.flatnonzero(np.diff(nodes[order])) + 1):
         if len(part) == len(x):                            # cannot be split: compare in blocks
-            for a in range(0, len(x), leaf):
-                i, j = np.nonzero(x[a:a + leaf] @ x.T >= threshold)
-                first = np.unique(i, return_index=True)[1]
-                out.append(np.column_stack([i[first] + a, j[first]]))
-                if a:
-                    i, j = np.nonzero(x[a:a + leaf] @ x[:a].T >= threshold)
-                    out.append(np.unique(np.column_stack([i + a, j]), axis=0))
+            out.append(link_forest(x, part, part, threshold))
         else:
             out.append(part[leaf_forest(x[part], threshold, leaf, seed + 1)])
     return np.concatenate(out) if out else np.empty((0, 2), np.int64)

@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 
-from pacekit.llm.embedding_dedup import link_forest, local_roots, near_vectors, unit_rows
+from pacekit.llm.embedding_dedup import leaf_forest, link_forest, local_roots, near_vectors, unit_rows
 
 
 def brute_force(vectors, threshold=0.9):
@@ -48,6 +48,16 @@ def test_links_across_chunks_span_random_graphs():
         assert same_trees(edges, near)
 
 
+def test_leaf_that_cannot_be_split_keeps_every_link():
+    chain = np.column_stack([at([0, 48, 24]), np.zeros(3)])     # 48 is linked to the later 24 only
+    many = np.array([[0.0, 0.0, 2.0 ** k] for k in range(20)])  # one unit vector, 20 classes
+    x = unit_rows(pa.array(np.concatenate([chain, many]).tolist()))
+    tops = [s for s in range(50) if (p := x @ np.random.default_rng(s).standard_normal(3))[:3].max() < p[3]]
+    assert tops
+    for seed in tops:                                           # all others below the cut: no split
+        assert same_trees(leaf_forest(x, 0.9, leaf=8, seed=seed), x @ x.T >= 0.9)
+
+
 def test_small_chunks_and_sample_equal_brute_force(spark):
     rng = np.random.default_rng(8)
     chain = np.column_stack([at(np.arange(0, 15) * 24.0), np.zeros((15, 6))])
