@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacekit.llm.common import read_table, text_crc32, whole_text
+from pacekit.llm.common import read_table, stored, text_crc32, whole_text
 from pacekit.llm.embedding_dedup import near_vectors
 from pacekit.llm.exact_dedup import exact_dedup
 from pacekit.llm.mixing import mix
@@ -80,11 +80,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents").withColumn("_crc", text_crc32(whole_text("text")))
+    sharded = shuffle_to_shards(docs, keys=("doc_id", "_crc")).drop("_crc")
+    out = stored(sharded, "shards", ["shard"])             # whole documents; what follows is read from the shards
     text = whole_text("text")
-    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-                       text_crc32(text).alias("text_crc32"))
-    out = shuffle_to_shards(rows, keys=("doc_id", "text_crc32"))
+    out = out.withColumn("size", (F.octet_length(text) + 1).cast("long")).withColumn("text_crc32", text_crc32(text))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 

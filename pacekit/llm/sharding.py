@@ -8,9 +8,11 @@
    is drawn on the driver and broadcast.
 3. Each partition permutes its rows (ranks of a seeded hash) and cuts the
    permutation by its row of the matrix.
-4. After the exchange each shard is permuted again: a second hash orders the
-   rows, in blocks of about 20,000, and prefix sums over the blocks give gapless
-   slots without sorting a shard in one task.
+4. Each shard is permuted again: a second hash orders the rows, in blocks of
+   about 20,000, and prefix sums over the blocks give gapless slots without
+   sorting a shard in one task.
+5. Steps 1 to 4 see the key columns only. The rows themselves, all columns, meet
+   their shard and slot in one exchange by a hash of the keys.
 
 The law is ``rows``: shard counts are at most one apart. Defined cases: null
 texts have size 1 and the CRC of no bytes; repeated rows are separate listings;
@@ -49,13 +51,25 @@ def shuffle_to_shards(docs: DataFrame, shards: int = 8, keys: tuple[str, ...] =
     ``keys`` are the columns that tell rows apart; rows equal in all of them are
     interchangeable.
     """
-    spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
     names = list(keys)
-    total = docs.select(*names).count()
+    key = F.xxhash64(F.lit(seed + 3), *names)
+    places = placed(docs.select(*names), shards, names, seed, max_partitions).withColumn("_key", key)
+    places = places.groupBy("_key").agg(
+        F.sort_array(F.collect_list(F.struct(*names, "shard", "slot"))).alias("_places"))
+    copy = F.row_number().over(Window.partitionBy("_key").orderBy(*names))
+    return (docs.withColumn("_key", key).withColumn("_copy", copy).join(places, "_key")
+            .withColumn("_place", F.get("_places", F.col("_copy") - 1))
+            .select(*docs.columns, "_place.shard", "_place.slot"))
+
+
+def placed(rows: DataFrame, shards: int, names: list[str], seed: int, max_partitions: int) -> DataFrame:
+    """``rows`` of the key columns ``names`` with their shard and slot."""
+    spark = rows.sparkSession
+    total = rows.count()
     parts = max(1, min(max_partitions, -(-total // PARTITION_ROWS)))
     part = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(parts)).cast("int")
-    rows = docs.withColumn("_part", part)
+    rows = rows.withColumn("_part", part)
     counts = {r["_part"]: r["count"] for r in rows.select("_part").groupBy("_part").count().collect()}
     matrix = communication_matrix([counts.get(p, 0) for p in range(parts)], shards, seed)
     bounds = spark.createDataFrame(

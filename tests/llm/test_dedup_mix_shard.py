@@ -125,3 +125,12 @@ def test_shards_awkward_rows(spark):
     assert len(got) == df.count()
     assert {r.crc for r in got if r.doc_id == 1} == {zlib.crc32(b"")}
     assert shuffle_to_shards(df.filter("false"), keys=("doc_id", "crc")).count() == 0
+
+
+def test_shards_carry_every_column_of_repeated_and_null_rows(spark):
+    df = clashing(awkward(spark)).drop("shard", "slot")
+    df = df.unionAll(df).unionAll(df.filter("doc_id = 4"))
+    got = shuffle_to_shards(df, shards=3, keys=("doc_id", "text"))
+    assert got.columns == [*df.columns, "shard", "slot"]
+    assert Counter(got.select(df.columns).collect()) == Counter(df.collect())
+    assert len(got.select("shard", "slot").distinct().collect()) == df.count()

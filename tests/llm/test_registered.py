@@ -43,6 +43,20 @@ def test_every_operator_is_registered(spark):
     assert {*REGISTRY, "pipeline"} <= set(E.queries())
 
 
+@driver_tables
+def test_shards_hold_whole_documents(spark):
+    out = REGISTRY["op10_shard_rows"](spark, SF)
+    folder = {f.split("/shard=")[0] for f in out.inputFiles()}
+    assert len(folder) == 1                                # the digests are read from the shards
+    shards = spark.read.parquet(*folder)
+    want = spark.read.parquet(f"{SF}/documents.parquet")
+    assert sorted(shards.select(*want.columns).collect()) == sorted(want.collect())
+    kept = {(r.shard, r.slot): r.text for r in shards.collect()}
+    for r in out.collect():
+        text = kept[r.shard, r.slot].encode()
+        assert (r.size, r.text_crc32) == (len(text) + 1, zlib.crc32(text))
+
+
 @driver_tables
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
