@@ -23,6 +23,7 @@ repeated rows are packed once for each listing; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -52,7 +53,8 @@ class WordEncoder:
     batch are told, by Arrow's kernels. Words of plain letters, digits and signs
     are lower-cased and cut by the tokenizer's published rule, and each distinct
     piece is encoded once per worker; any other word, and any text with unusual
-    white space or control characters, goes through the whole tokenizer.
+    white space, control characters or an added token's literal, goes through the
+    whole tokenizer.
     """
 
     # Unusual white space and controls, in RE2 syntax.
@@ -67,7 +69,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([self.ODD, *[f"(?i:{re.escape(t)})" for t in added]])
         self.model = self.tokenizer.model
         self.cache: dict[str, list[int]] = {}
         self.letters = byte_letters()
@@ -106,7 +109,7 @@ class WordEncoder:
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
-        odd = np.flatnonzero(pc.match_substring_regex(texts, self.ODD).to_numpy(zero_copy_only=False))
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
         whole = {int(i): texts[int(i)].as_py() for i in odd}
         if whole:
             plain = np.ones(len(texts), bool)

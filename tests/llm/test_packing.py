@@ -26,6 +26,18 @@ def test_word_encoder_equals_the_tokenizer(enc):
         assert p.tolist() == enc.long_way(t), repr(t)
 
 
+def test_added_tokens_in_texts_are_as_the_untouched_tokenizer_gives(enc):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(word_tokenizer())
+    texts = ["x <|endoftext|> y", "<|startoftext|>a<|endoftext|><|endoftext|>", "x <|ENDOFTEXT|> y", "no token",
+             "<|endoftext |>", "it's <|endoftext|>it's\n\tÉ <|", ""]
+    ids, counts = enc.batch(pa.array(texts))
+    for t, p in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert p.tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+    assert enc.batch(pa.array(texts[:1]))[0].tolist() == [343, 49407, 344]
+
+
 def test_differencing_is_a_partition_with_small_spread():
     rng = np.random.default_rng(0)
     items = np.sort(rng.integers(1, 256, 400))[::-1]
