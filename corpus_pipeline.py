@@ -43,7 +43,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences of at most 2048 tokens (operator 8)."""
-    return pack_documents(docs, word_tokenizer()).select(*PIECE_COLUMNS)
+    return pack_documents(docs, word_tokenizer(), with_ids=True).select(*PIECE_COLUMNS)
 
 
 STAGES = [("toxicity", toxicity), ("exact dedup", exact_dedup), ("n-gram Jaccard join", ngram_join),

@@ -1,8 +1,9 @@
 """Packing token sequences into windows by Karmarkar-Karp multiway differencing.
 
 Texts are tokenized once per batch: the distinct words of a batch are encoded
-by the tokenizer and gathered back, and only piece lengths and checksums leave
-the task, so token ids are never shuffled (``with_ids=True`` keeps them).
+by the tokenizer and gathered back. With ``with_ids=True``, as the registered
+queries have it, the token ids go along into the sequences and the checksums are
+taken from there; without, only piece lengths and checksums leave the task.
 
 A document is cut into full windows and a remainder, the remainder into pieces
 of at most ``cut`` tokens: small pieces are what differencing needs to balance.
@@ -192,17 +193,20 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             texts = batch.column("text")
             for a, b in slices(texts):
                 ids, counts = enc.batch(texts.slice(a, b - a))
-                rows, at = [], 0
-                for n in counts.tolist():
-                    own = np.append(ids[at:at + n], np.uint32(END_ID)).astype("<u4")
-                    at += n
-                    rows.append([
-                        {"start": s, "length": m, "ids_crc32": zlib.crc32(own[s:s + m])}
-                        | ({"ids": own[s:s + m].astype(np.int32)} if with_ids else {})
-                        for s, m in cuts(n + 1, capacity, cut)])
+                first = np.cumsum(counts + 1) - counts - 1
+                tokens = np.full(len(ids) + len(counts), END_ID, "<u4")
+                tokens[np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(len(ids))] = ids
+                own = [cuts(n + 1, capacity, cut) for n in counts.tolist()]
+                each = np.array([len(c) for c in own], np.int64)
+                start, length = np.array(list(chain.from_iterable(own)), np.int64).reshape(-1, 2).T
+                at = np.repeat(first, each) + start
+                fields = [pa.array(start), pa.array(length), pa.array(checksums(tokens, at, length))]
+                if with_ids:                               # the pieces lie in a row in ``tokens``
+                    fields.append(runs(at, pa.array(tokens.view(np.int32))))
+                pieces = pa.StructArray.from_arrays(fields, fields=list(arrow_kind(with_ids).value_type))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(counts + 1),
-                     pa.array(rows, type=arrow_kind(with_ids))],
+                     runs(np.cumsum(each) - each, pieces)],
                     names=["doc_id", "doc_tokens", "pieces"])
             pa.default_memory_pool().release_unused()
 
@@ -210,6 +214,16 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return rows.mapInArrow(run, kind)
 
 
+def checksums(tokens: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """CRC-32 of each run of little-endian ids."""
+    return np.array([zlib.crc32(tokens[a:a + m]) for a, m in zip(at.tolist(), length.tolist(), strict=True)], np.int64)
+
+
+def runs(at: np.ndarray, values: pa.Array) -> pa.ListArray:
+    """Lists that begin ``at`` and cover the values."""
+    return pa.ListArray.from_arrays(pa.array(np.append(at, len(values)).astype(np.int32)), values)
+
+
 def arrow_kind(with_ids: bool) -> pa.DataType:
     fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     return pa.list_(pa.struct(fields + ([("ids", pa.list_(pa.int32()))] if with_ids else [])))
@@ -261,7 +275,8 @@ def pack_items(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS) -> DataFrame:
-    """Give every piece of :func:`token_pieces` its sequence_id and offset."""
+    """Give every piece of :func:`token_pieces` its sequence_id and offset; if it has ids, ids_crc32 is
+    taken from the packed sequence."""
     rows = pieces.select("doc_id", "doc_tokens", F.explode("pieces").alias("p")).select(
         "doc_id", "doc_tokens", "p.*")
     size = pieces.agg(F.sum("doc_tokens").alias("tokens"), F.sum(F.size("pieces")).alias("pieces")).first()
@@ -284,6 +299,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS) ->
         before = np.cumsum(length) - length
         tokens = np.add.reduceat(length, starts)
         table = table.take(pa.array(order))
+        if "ids" in carried:                        # in a row, the sequences one after another
+            packed = table["ids"].combine_chunks().flatten().to_numpy().astype("<u4")
+            table = table.set_column(carried.index("ids_crc32"), "ids_crc32",
+                                     pa.array(checksums(packed, before, length)))
         for name, values in (("sequence_id", key[0].as_py() * (1 << 24) + window),
                              ("offset", before - before[starts][run_of]), ("sequence_tokens", tokens[run_of])):
             table = table.append_column(name, pa.array(values.astype(np.int64)))

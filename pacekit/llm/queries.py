@@ -71,7 +71,7 @@ def word_tokenizer() -> str:
 
 
 def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pack_documents(read_table(spark, sf_dir, "documents"), word_tokenizer())
+    out = pack_documents(read_table(spark, sf_dir, "documents"), word_tokenizer(), with_ids=True)
     return out.select(*PIECE_COLUMNS)
 
 

@@ -4,9 +4,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from pacekit.llm.packing import WordEncoder, cuts, difference, pack_documents, pack_items
-from pacekit.llm.queries import word_tokenizer
+import corpus_pipeline
+from pacekit.llm.packing import WordEncoder, cuts, difference, pack, pack_documents, pack_items, token_pieces
+from pacekit.llm.queries import op8_pack_windows, word_tokenizer
 from tests.llm.helpers import awkward, clashing, docs
 
 
@@ -97,6 +99,24 @@ def test_pack_round_trip(spark, enc):
     assert padded <= tokens * 1.05 + 2048
 
 
+def test_checksums_come_from_the_packed_ids(spark):
+    df = docs(spark, [(i, "the cat sat " * (1 + i * 131 % 900)) for i in range(40)])
+    pieces = token_pieces(df, word_tokenizer(), with_ids=True)
+    lost = pieces.withColumn("pieces", F.transform("pieces", lambda p: p.withField("ids_crc32", F.lit(0).cast("long"))))
+    got = pack(lost).collect()
+    assert got and all(zlib.crc32(np.array(r.ids, "<u4")) == r.ids_crc32 for r in got)
+    want = [(r.doc_id, r.start, r.ids_crc32) for r in pack(token_pieces(df, word_tokenizer())).collect()]
+    assert sorted((r.doc_id, r.start, r.ids_crc32) for r in got) == sorted(want)
+
+
+def test_queries_pack_the_ids(spark, tmp_dir):
+    df = docs(spark, [(1, "a cat"), (2, None)])
+    df.write.parquet(f"{tmp_dir}/documents.parquet")
+    for out in (op8_pack_windows(spark, tmp_dir), corpus_pipeline.packing(spark, df, tmp_dir)):
+        assert " ids#" in out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.count() == 2
+
+
 def test_pack_empty_table(spark):
     assert pack_documents(docs(spark, []), word_tokenizer()).count() == 0
 
