@@ -33,13 +33,14 @@ class Inputs:
     """The lazy inputs of one query: nothing is stored, counted or shared between queries.
 
     ``raw`` is the landing table (JSON documents derived from ``events``); the
-    queries about ingestion parse it. The models read the same activities as
-    typed columns (``analog.staged_activities``), so each query scans just the
-    columns it needs.
+    queries about ingestion parse it, and so do the flagship and the mart
+    (``landed=True``). The other models read the same activities as typed
+    columns (``analog.staged_activities``), so each query scans just the
+    columns it needs; their times exclude staging.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, landed: bool = False):
+        self.spark, self.sf_dir, self.landed = spark, sf_dir, landed
 
     def t(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
@@ -57,7 +58,7 @@ class Inputs:
 
     @cached_property
     def staged(self):
-        return A.staged_activities(self.t("events"))
+        return self.parse() if self.landed else A.staged_activities(self.t("events"))
 
     @cached_property
     def tests(self):
@@ -278,8 +279,8 @@ def densified_daily(spark, sf_dir):
     return _dense_day(Inputs(spark, sf_dir))
 
 
-def rolling_load_7_28(spark, sf_dir):
-    d = _dense_day(Inputs(spark, sf_dir)).select("athlete_id", "date", "tss_total")
+def rolling_load_7_28(spark, sf_dir, landed=False):
+    d = _dense_day(Inputs(spark, sf_dir, landed)).select("athlete_id", "date", "tss_total")
     return rolling_sums(d, ["athlete_id"], "date", "tss_total", MD.LOAD_SPANS)
 
 
@@ -294,7 +295,7 @@ def rolling_orders_range(spark, sf_dir):
 
 
 def load_ratio_label(spark, sf_dir):
-    r = rolling_load_7_28(spark, sf_dir)
+    r = rolling_load_7_28(spark, sf_dir, landed=True)
     ratio, label = load_ratio("tss_7d", "tss_28d")
     return r.select("athlete_id", "date", "tss_7d", "tss_28d", ratio.alias("acwr"),
                     label.alias("load_label"))
@@ -328,7 +329,7 @@ def efficiency_trend(spark, sf_dir):
 # ------------------------------------------------------------------ mart + quality
 
 def mart_full(spark, sf_dir):
-    x = Inputs(spark, sf_dir)
+    x = Inputs(spark, sf_dir, landed=True)
     return MD.mart(x.athletes, x.rides, A.AS_OF, daily=x.daily_activity)
 
 

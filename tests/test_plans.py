@@ -110,3 +110,11 @@ def test_quality_report_scans_the_rides_once_per_branch(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert final.count("ReusedExchange") >= 2, scans
+
+
+def test_flagship_and_mart_parse_the_landed_json(spark):
+    from pacekit.plans.queries import REGISTRY
+
+    for name in ("load_ratio_label", "mart_full"):
+        plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" in plan
