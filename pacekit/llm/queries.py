@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pacekit.llm.byte_bpe import decode_documents, encode_documents
 from pacekit.llm.common import read_table, stored, text_crc32, whole_text
 from pacekit.llm.embedding_dedup import near_vectors
 from pacekit.llm.exact_dedup import exact_dedup
+from pacekit.llm.merkle import FIELDS, build_manifest, fold_path, leaf_hash, proof_text
 from pacekit.llm.mixing import mix
 from pacekit.llm.ngram_join import jaccard_components
 from pacekit.llm.packing import pack_documents
+from pacekit.llm.periodic_runs import find_runs, run_digests, with_planted_runs
 from pacekit.llm.pii import BASE_KINDS, find_personal_data
 from pacekit.llm.secret_scan import scan_secrets, span_list
 from pacekit.llm.sharding import shuffle_to_shards
@@ -89,6 +92,38 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def byte_ranks() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_ranks()
+    coded = encode_documents(read_table(spark, sf_dir, "documents"), ranks)
+    back = decode_documents(coded, ranks)
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = F.translate("text", upper, upper.lower())
+    tampered = F.when(text_crc32(F.col("doc_id").cast("string")) % 5 == 0,
+                      leaf_hash([lowered if f == "text" else F.col(f) for f in FIELDS]))
+    proofs = build_manifest(docs, carry={"tampered": tampered}).proofs()
+    return proofs.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"),
+        fold_path(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(find_runs(with_planted_runs(read_table(spark, sf_dir, "documents"))))
+
+
 REGISTRY = {
     "op1_personal_data": op1_personal_data,
     "op2_arc_to_warc": op2_arc_to_warc,
@@ -100,4 +135,7 @@ REGISTRY = {
     "op8_pack_windows": op8_pack_windows,
     "op9_toxicity": op9_toxicity,
     "op10_shard_rows": op10_shard_rows,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
