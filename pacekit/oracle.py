@@ -677,8 +677,8 @@ UNION ALL
 SELECT user_id, event_id, 2 FROM run2"""
 
 SQL["entity_pages"] = _with(_RUNS) + """
-SELECT user_id AS athlete_id, CAST(event_id // 200 AS INTEGER) AS page, event_id AS activity_id,
-  'ride ' || CAST(event_id AS VARCHAR) AS activity_name
+SELECT user_id AS athlete_id, event_id AS activity_id, 'ride ' || CAST(event_id AS VARCHAR) AS activity_name,
+  CAST((row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE), event_id) - 1) // 200 AS INTEGER) AS page
 FROM run2"""
 
 SQL["snapshot_rejects"] = """
@@ -705,6 +705,47 @@ SELECT user_id AS athlete_id, event_id AS activity_id,
 FROM events"""
 
 
+SQL["stream_event_time_upsert"] = """
+WITH seen AS (SELECT * FROM events),
+l3 AS (SELECT *, (ts < (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00') - INTERVAL 2 DAY) AS is_late
+  FROM seen WHERE ts >= TIMESTAMP '2024-01-18 00:00:00' OR event_id % 7 = 0),
+l2 AS (SELECT *, (ts < (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-12 00:00:00') - INTERVAL 2 DAY) AS is_late
+  FROM seen WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'),
+every AS (
+  SELECT user_id, event_id, ts, TIMESTAMP '2024-01-12 00:00:00' AS x, false AS is_late FROM seen WHERE ts < TIMESTAMP '2024-01-12 00:00:00'
+  UNION ALL SELECT user_id, event_id, ts, TIMESTAMP '2024-01-20 00:00:00', is_late FROM l2
+  UNION ALL SELECT user_id, event_id, ts, TIMESTAMP '2024-02-01 00:00:00', is_late FROM l3)
+SELECT user_id AS athlete_id, event_id AS activity_id, max(x) AS extracted_at_utc, any_value(ts) AS start_at, 'table' AS place
+FROM every WHERE NOT is_late GROUP BY user_id, event_id
+UNION ALL SELECT user_id, event_id, x, ts, 'late' FROM every WHERE is_late"""
+
+SQL["time_in_zone"] = _q("""
+SELECT athlete_id, zone_number, zone_label,
+  CAST(round(CAST(sum(part) AS DECIMAL(28,10)), 3) AS DOUBLE) AS seconds, count(*) AS intervals
+FROM (
+  SELECT i.athlete_id, z.zone_number, z.zone_label, CAST(sec * CASE
+      WHEN a = b THEN CASE WHEN a >= z.bpm_low AND a < z.bpm_high THEN 1.0 ELSE 0.0 END
+      ELSE greatest(least(greatest(a, b), z.bpm_high) - greatest(least(a, b), z.bpm_low), 0.0) / abs(b - a) END
+    AS DECIMAL(38,6)) AS part
+  FROM (SELECT athlete_id, least((t2 - t) / 1000000.0::DOUBLE, 14400.0::DOUBLE) AS sec, v AS a,
+          CASE WHEN (t2 - t) / 1000000.0::DOUBLE <= 14400 AND v2 IS NOT NULL THEN v2 ELSE v END AS b
+        FROM (SELECT athlete_id, epoch_us(start_date_utc) AS t, avg_hr AS v,
+                lead(epoch_us(start_date_utc)) OVER w AS t2, lead(avg_hr) OVER w AS v2
+              FROM staged WINDOW w AS (PARTITION BY athlete_id ORDER BY start_date_utc, activity_id))
+        WHERE t2 IS NOT NULL AND v IS NOT NULL) i
+  JOIN hrz z ON z.athlete_id = i.athlete_id AND z.is_current)
+WHERE part > 0 GROUP BY athlete_id, zone_number, zone_label""", [STAGED, ATH, HR_DEFS, HRZ])
+
+SQL["team_benchmark"] = _q("""
+SELECT athlete_id, team, power_w,
+  CASE WHEN power_w IS NOT NULL THEN percent_rank() OVER (PARTITION BY team, power_w IS NULL ORDER BY power_w) END AS rank_in_team,
+  CASE WHEN power_w IS NOT NULL THEN percent_rank() OVER (PARTITION BY power_w IS NULL ORDER BY power_w) END AS rank_in_all
+FROM (SELECT c.c_custkey AS athlete_id, c.c_nationkey AS team,
+        CAST(round(avg(CAST(s.weighted_average_watts AS DECIMAL(20,6))), 1) AS DOUBLE) AS power_w
+      FROM customer c LEFT JOIN (SELECT * FROM staged WHERE activity_type = 'purchase') s ON s.athlete_id = c.c_custkey
+      GROUP BY 1, 2)""", [STAGED])
+
+
 def _contract_sql() -> str:
     schema_rows = " UNION ALL\n".join(
         f"SELECT 'contract_type_{c}' AS check_name, '{c}' AS column_name, 'schema' AS kind, "

@@ -40,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def landed_activities(events: DataFrame, extracted_at: str = RUN_TS) -> DataFrame:
+def landed_activities(events: DataFrame, extracted_at: str = RUN_TS, also: dict | None = None) -> DataFrame:
+    """The raw landing rows; ``also`` adds columns of ``events`` by name."""
     eid = F.col("event_id")
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
     moving = F.lit(600) + eid % 5400
@@ -73,6 +74,7 @@ def landed_activities(events: DataFrame, extracted_at: str = RUN_TS) -> DataFram
         eid.alias("activity_id"),
         F.lit(extracted_at).cast("timestamp").alias("extracted_at_utc"),
         F.to_json(doc).alias("payload"),
+        *[c.alias(n) for n, c in (also or {}).items()],
     )
 
 

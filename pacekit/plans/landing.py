@@ -14,13 +14,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacekit.plans import analog as A
 from pacekit.session import scratch_dir
 from pacekit.sources import ingest as I
-from pacekit.sources.sinks import csv_export, layer_database, merge_table, register_view, write_table
+from pacekit.sources.keyed_table import KeyedTable
+from pacekit.sources.sinks import csv_export, layer_database, register_view, write_table
+from pacekit.streaming.event_time import EventTimeUpsert
 from pacekit.streaming.incremental import RAW_RECORD, read_current, start_incremental_upsert
 
 RUN1_TS, RUN2_TS = "2024-01-16 00:00:00", "2024-02-01 00:00:00"
@@ -35,11 +38,13 @@ def _build_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r1.unionByName(r2)
 
 
-def _runs(spark: SparkSession, sf_dir: str):
-    rows = _build_runs(spark, sf_dir)
-    at = F.col("extracted_at_utc")
-    return (rows.filter(at == F.lit(RUN1_TS).cast("timestamp")),
-            rows.filter(at == F.lit(RUN2_TS).cast("timestamp")))
+def _runs(spark: SparkSession, sf_dir: str, with_day: bool = False):
+    """The landing rows of run 1 and of run 2; ``with_day`` adds the day of the record."""
+    ev = A.table(spark, sf_dir, "events")
+    first = ev.filter(F.col("ts") < F.lit(RUN1_END).cast("timestamp_ntz"))
+    second = ev.filter(F.col("ts") >= F.lit(RUN2_START).cast("timestamp_ntz"))
+    also = {"day": F.col("ts").cast("date")} if with_day else {}
+    return (A.landed_activities(first, RUN1_TS, also), A.landed_activities(second, RUN2_TS, also))
 
 
 def _ntz(c):
@@ -52,8 +57,8 @@ def snapshot_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     r1, r2 = _runs(spark, sf_dir)
     for run, (df, ts) in {"20240116T000000Z": (r1, RUN1_TS),
                           "20240201T000000Z": (r2, RUN2_TS)}.items():
-        # one document per (athlete, id range of PAGE_SIZE): bounded arrays
-        docs = (df.groupBy("athlete_id", (F.col("activity_id") / PAGE_SIZE).cast("long").alias("_p"))
+        # a document per id range of PAGE_SIZE: bounded arrays, filled
+        docs = (df.groupBy(F.expr(f"activity_id div {PAGE_SIZE}").alias("_p"))
                   .agg(F.collect_list("payload").alias("activities")))
         # the payloads are JSON text already: assemble the document text around them
         text = F.concat(F.lit('{"extracted_at_utc":"' + ts.replace(" ", "T") + 'Z","activities":['),
@@ -76,25 +81,39 @@ def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land run 2 as pages per entity, athlete_id=<id>/page=<n>/, and read all pages of all entities."""
+    """Land run 2 as pages of PAGE_SIZE records per entity and read all pages of all entities.
+
+    A page is one JSON line with the records of one athlete; lines share files, so
+    the number of files follows the write tasks and not the number of athletes. Records are
+    paged by (day, id): the place in the athlete is the days' prefix sum plus the place in
+    the day, so an athlete with very many records is never sorted in one task.
+    """
     root = scratch_dir(spark, "entity-pages")
-    _, r2 = _runs(spark, sf_dir)
-    page = (F.col("activity_id") / PAGE_SIZE).cast("int")
-    (r2.select("athlete_id", page.alias("page"), "activity_id", "payload").repartition("athlete_id")
-     .write.partitionBy("athlete_id", "page").json(root))
+    _, r2 = _runs(spark, sf_dir, with_day=True)
+    days = r2.groupBy("athlete_id", "day").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("athlete_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    first = days.select("athlete_id", "day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    in_day = F.row_number().over(Window.partitionBy("athlete_id", "day").orderBy("activity_id")) - 1
+    placed = r2.withColumn("_in", in_day).join(first, ["athlete_id", "day"])
+    page = ((F.col("_first") + F.col("_in")) / PAGE_SIZE).cast("int").alias("page")
+    record = F.struct("activity_id", "payload")
+    (placed.groupBy("athlete_id", page).agg(F.collect_list(record).alias("activities"))
+     .write.json(f"{root}/run=2"))
     pages = I.read_pages(spark, root, schema=RAW_PAGE)
-    return pages.select(F.col("athlete_id").cast("bigint").alias("athlete_id"), F.col("page").cast("int").alias("page"),
-                        "activity_id", F.get_json_object("payload", "$.name").alias("activity_name"))
+    each = pages.select("athlete_id", "page", F.inline("activities"))
+    return each.select("athlete_id", "page", "activity_id",
+                       F.get_json_object("payload", "$.name").alias("activity_name"))
 
 
-RAW_PAGE = "activity_id bigint, payload string, athlete_id bigint, page int"
+RAW_PAGE = ("athlete_id bigint, page int, activities array<struct<activity_id: bigint, payload: string>>, "
+            "run int")
 
 
 def snapshot_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots with records that have no integer id: what the reader leaves out, and how much it keeps."""
     root = scratch_dir(spark, "dirty-snapshots")
     dirty = A.dirty_activities(A.table(spark, sf_dir, "events")).filter(F.col("activity_id") % 29 != 0)
-    docs = dirty.groupBy("athlete_id", (F.col("activity_id") / PAGE_SIZE).cast("long").alias("_p")).agg(
+    docs = dirty.groupBy(F.expr(f"activity_id div {PAGE_SIZE}").alias("_p")).agg(
         F.collect_list("payload").alias("activities"))
     text = F.concat(F.lit('{"extracted_at_utc":"2024-02-01T00:00:00Z","activities":['),
                     F.array_join("activities", ","), F.lit("]}"))
@@ -154,33 +173,67 @@ def stream_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.get_json_object("payload", "$.distance").cast("double").alias("distance_m"))
 
 
+MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}   # the JSON writer's own form has milliseconds
+EVENT_RECORD = T.StructType([*RAW_RECORD.fields, T.StructField("start_at", T.TimestampType())])
+
+
+def stream_event_time_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landings out of order through one event-time stream with a watermark two days behind.
+
+    Landing 1 has the days up to 2024-01-11, landing 2 the days from 2024-01-10 to 19 (so
+    two days come again), landing 3 the days from 2024-01-18 on, and with them every
+    seventh activity again in a newer version: those of the last two days before the
+    watermark's reach are updates, those that started before it are late. Returns the
+    table's rows and the late rows side by side.
+    """
+    base = scratch_dir(spark, "event-time")
+    table = EventTimeUpsert(spark, f"{base}/table", ["athlete_id", "activity_id"], "start_at",
+                            ["extracted_at_utc"], "2 days")
+    ev = A.table(spark, sf_dir, "events")
+    at, again = F.col("ts"), F.col("event_id") % 7 == 0
+
+    def day(d: str):
+        return F.lit(d).cast("timestamp_ntz")
+
+    also = {"start_at": F.col("ts").cast("timestamp")}
+    parts = [(at < day("2024-01-12"), "2024-01-12 00:00:00"),
+             ((at >= day("2024-01-10")) & (at < day("2024-01-20")), "2024-01-20 00:00:00"),
+             ((at >= day("2024-01-18")) | again, "2024-02-01 00:00:00")]
+    for n, (rows, run_ts) in enumerate(parts, 1):
+        A.landed_activities(ev.filter(rows), run_ts, also).write.options(**MICROS).json(f"{base}/landing/run={n}")
+        source = spark.readStream.schema(EVENT_RECORD).options(**MICROS).json(f"{base}/landing")
+        table.start(source, f"{base}/checkpoint").awaitTermination()
+    keep = ["athlete_id", "activity_id", _ntz("extracted_at_utc"), _ntz("start_at")]
+    current = table.read(EVENT_RECORD).select(*keep, F.lit("table").alias("place"))
+    return current.unionByName(table.read_late(EVENT_RECORD).select(*keep, F.lit("late").alias("place")))
+
+
 def incremental_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch incremental fact by unique key (activity_id), stored by month, ``created_at`` kept.
 
     Run 1 creates the keyed table from the landing rows extracted by then; run 2
     takes only landing rows newer than the table's watermark (max ``updated_at``, a
-    scalar subquery) and merges them: only the months they touch are rewritten,
-    re-landed activities are replaced, ``created_at`` keeps the first insert,
-    ``updated_at`` is the run time.
+    scalar subquery) and merges them: only the files that hold one of their keys are
+    rewritten, re-landed activities are replaced, ``created_at`` keeps the first
+    insert, ``updated_at`` is the run time.
     """
     from pacekit.plans import models as MD
     from pacekit.plans.queries import Inputs
 
     thr = Inputs(spark, sf_dir).thresholds
     landing = _build_runs(spark, sf_dir)
-    path = scratch_dir(spark, "fact-activities")
+    table = KeyedTable(spark, scratch_dir(spark, "fact-activities"), ["activity_id"], "month")
 
     def fact_of(batch: DataFrame, run_ts: str) -> DataFrame:
         f = MD.fact_activities(I.stage_activities(batch, A.MIN_START), thr, "current_only", run_ts=run_ts)
         return f.select("activity_id", "athlete_id", "activity_date", "tss", "created_at", "updated_at",
                         F.date_format("activity_date", "yyyyMM").cast("int").alias("month"))
 
-    def merge(batch: DataFrame, run_ts: str) -> int:
-        return merge_table(spark, path, fact_of(batch, run_ts), ["activity_id"], ["updated_at"], "month",
-                           insert_only_cols=["created_at"])
+    def merge(batch: DataFrame, run_ts: str) -> dict:
+        return table.merge(fact_of(batch, run_ts), ["updated_at"], insert_only_cols=["created_at"])
 
     at = F.col("extracted_at_utc")
     merge(landing.filter(at <= F.lit(RUN1_TS).cast("timestamp")), RUN1_TS)
-    watermark = spark.read.parquet(path).select(F.max("updated_at").cast("timestamp")).scalar()
+    watermark = table.read().select(F.max("updated_at").cast("timestamp")).scalar()
     merge(landing.filter(at > watermark), RUN2_TS)
-    return spark.read.parquet(path).drop("month")
+    return table.read().drop("month")

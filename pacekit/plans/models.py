@@ -296,16 +296,21 @@ def _with_rest_days(d: DataFrame, ids: list[str]) -> DataFrame:
     )
 
 
-def densified(entities: DataFrame, daily: DataFrame, rides: DataFrame, as_of: str) -> DataFrame:
-    """Entities x [first ride day .. as_of] with the day-grain rows of ``daily``.
+def dense_days(entities: DataFrame, daily: DataFrame, as_of: str) -> DataFrame:
+    """Entities x [first ride day .. as_of] with the columns of ``daily`` on days with rides.
 
-    The start is the global first ride day (a scalar subquery, no collect).
+    The start is the global first ride day (a scalar subquery over one column, no
+    collect). ``daily`` is read twice: pass a stored table.
     """
-    start = rides.select(F.min("activity_date")).scalar()
+    start = daily.select(F.min("activity_date")).scalar()
     ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
-    d = densify(ent, daily, ["athlete_id"], start, F.lit(as_of).cast("date"),
-                fact_day="activity_date", day_col="date", carry=["athlete_name"])
-    return _with_rest_days(d, [])
+    return densify(ent, daily, ["athlete_id"], start, F.lit(as_of).cast("date"),
+                   fact_day="activity_date", day_col="date", carry=["athlete_name"])
+
+
+def densified(entities: DataFrame, daily: DataFrame, as_of: str) -> DataFrame:
+    """:func:`dense_days` with the mart's measures; rest days get zeros."""
+    return _with_rest_days(dense_days(entities, daily, as_of), [])
 
 
 LOAD_SPANS = {"tss_7d": 7, "tss_28d": 28}
@@ -314,7 +319,8 @@ LOAD_SPANS = {"tss_7d": 7, "tss_28d": 28}
 def mart(entities: DataFrame, rides: DataFrame, as_of: str, daily: DataFrame | None = None) -> DataFrame:
     """The daily mart at per-activity grain with rest days and 7/28-day load.
 
-    1. ``daily`` - per-activity rollup of the rides (given, or built here);
+    1. ``daily`` - per-activity rollup of the rides (given, or built here). It is read
+       four times, so a caller whose rides are costly (parsed, joined) stores it first;
     2. load per (athlete, day) of days with rides. Rest days add nothing to a
        RANGE frame, so those days get their rolling sums from the days with
        rides alone, and meet the activity rows on (athlete, day);

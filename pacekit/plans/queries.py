@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from pacekit.functions import metrics as M
 from pacekit.operators import quality as Q
 from pacekit.operators.bands import band_join, make_bands
+from pacekit.operators.intervals import intervals, time_in_bands
 from pacekit.operators.lookup import lookup
+from pacekit.operators.ranking import percent_rank
 from pacekit.operators.rolling import load_ratio, rolling_sums
 from pacekit.operators.scd import interval_join, retest_gap, scd2
 from pacekit.operators.upsert import latest_per_key, upsert
@@ -27,6 +29,7 @@ from pacekit.plans import models as MD
 from pacekit.session import utc_session
 from pacekit.sources import ingest as I
 from pacekit.sources.literals import literal_row, values_relation
+from pacekit.sources.sinks import materialize
 
 
 class Inputs:
@@ -101,6 +104,11 @@ class Inputs:
     def daily_activity(self):
         return MD.daily_rollup(self.rides, "activity")
 
+    def stored(self, daily: DataFrame) -> DataFrame:
+        """A daily rollup written once: what follows reads it several times, the rides are
+        parsed and looked up once."""
+        return materialize(self.spark, daily, "daily")
+
 
 def _ntz(c: str):
     return F.col(c).cast("timestamp_ntz").alias(c)
@@ -271,16 +279,16 @@ def daily(spark, sf_dir):
     return Inputs(spark, sf_dir).daily_day
 
 
-def _dense_day(x: Inputs) -> DataFrame:
-    return MD.densified(x.athletes, x.daily_day, x.rides, A.AS_OF)
-
-
 def densified_daily(spark, sf_dir):
-    return _dense_day(Inputs(spark, sf_dir))
+    x = Inputs(spark, sf_dir)
+    return MD.densified(x.athletes, x.stored(x.daily_day), A.AS_OF)
 
 
 def rolling_load_7_28(spark, sf_dir, landed=False):
-    d = _dense_day(Inputs(spark, sf_dir, landed)).select("athlete_id", "date", "tss_total")
+    x = Inputs(spark, sf_dir, landed)
+    load = x.stored(x.daily_day.select("athlete_id", "activity_date", "tss_total"))
+    d = MD.dense_days(x.athletes, load, A.AS_OF).select(
+        "athlete_id", "date", F.coalesce(F.col("tss_total"), F.lit(0.0)).alias("tss_total"))
     return rolling_sums(d, ["athlete_id"], "date", "tss_total", MD.LOAD_SPANS)
 
 
@@ -330,7 +338,13 @@ def efficiency_trend(spark, sf_dir):
 
 def mart_full(spark, sf_dir):
     x = Inputs(spark, sf_dir, landed=True)
-    return MD.mart(x.athletes, x.rides, A.AS_OF, daily=x.daily_activity)
+    return MD.mart(x.athletes, x.rides, A.AS_OF, daily=x.stored(x.daily_activity))
+
+
+def _stored_mart(spark, sf_dir, *columns: str) -> DataFrame:
+    """The mart (or some columns of it) as a stored table, for checks that read it several times."""
+    m = mart_full(spark, sf_dir)
+    return materialize(spark, m.select(*columns) if columns else m, "mart")
 
 
 # The declared tests of the daily mart (limits, labels, expressions).
@@ -370,7 +384,7 @@ MART_CHECKS = [
 
 
 def quality_report(spark, sf_dir):
-    return Q.quality_report(mart_full(spark, sf_dir), MART_CHECKS)
+    return Q.quality_report(_stored_mart(spark, sf_dir), MART_CHECKS)
 
 
 # The mart's declared contract: column types and the declared primary key.
@@ -389,11 +403,12 @@ MART_PRIMARY_KEY = ["athlete_id", "activity_date", "activity_id"]
 
 
 def mart_contract(spark, sf_dir):
-    return Q.contract_report(mart_full(spark, sf_dir), MART_CONTRACT, MART_PRIMARY_KEY)
+    return Q.contract_report(_stored_mart(spark, sf_dir), MART_CONTRACT, MART_PRIMARY_KEY)
 
 
 def duplicate_keys(spark, sf_dir):
-    return Q.duplicate_keys(mart_full(spark, sf_dir), ["athlete_id", "activity_date"])
+    return Q.duplicate_keys(_stored_mart(spark, sf_dir, "athlete_id", "activity_date"),
+                            ["athlete_id", "activity_date"])
 
 
 def orphan_entities(spark, sf_dir):
@@ -483,6 +498,31 @@ def load_audit(spark, sf_dir):
 VALUE_BANDS = [("short", 600, 2400), ("medium", 2400, 4200), ("long", 4200, None)]
 
 
+SAMPLE_CAP_S = 4 * 3600    # a longer gap between samples is a pause
+
+
+def time_in_zone(spark, sf_dir):
+    """Seconds each athlete spent in its heart-rate zones, from samples over time."""
+    x = Inputs(spark, sf_dir)
+    samples = x.staged.select("athlete_id", "activity_id", "start_date_utc", "avg_hr")
+    spans = intervals(samples, ["athlete_id"], "start_date_utc", "avg_hr", ["activity_id"], SAMPLE_CAP_S)
+    zones = x.hr_zones.filter("is_current")
+    out = time_in_bands(spans, zones, ["athlete_id"], ["zone_number", "zone_label"], "bpm_low", "bpm_high")
+    return out.withColumn("seconds", M.round_half_up(F.col("seconds"), 3))
+
+
+def team_benchmark(spark, sf_dir):
+    """Each athlete's mean power, and its percent rank in the team (the customer's nation) and among all."""
+    x = Inputs(spark, sf_dir)
+    power = x.staged.filter(F.col("activity_type") == A.RIDE_TYPE).groupBy("athlete_id").agg(
+        M.round_half_up(F.avg(F.col("weighted_average_watts").cast("decimal(20,6)")), 1).alias("power_w"))
+    teams = x.t("customer").select(F.col("c_custkey").alias("athlete_id"), F.col("c_nationkey").alias("team"))
+    rows = materialize(spark, teams.join(power, "athlete_id", "left"), "team-power")
+    ranked = percent_rank(rows, "power_w", ["team"], "rank_in_team")
+    out = percent_rank(ranked, "power_w", [], "rank_in_all")
+    return out.select("athlete_id", "team", "power_w", "rank_in_team", "rank_in_all")
+
+
 def values_bands_join(spark, sf_dir):
     """Activities against a VALUES list of duration bands."""
     bands = values_relation(spark, VALUE_BANDS, "band string, low int, high int")
@@ -567,7 +607,10 @@ REGISTRY = {
     "snapshot_rejects": L.snapshot_rejects,
     "full_refresh_layers": L.full_refresh_layers,
     "csv_summary": L.csv_summary,
+    "time_in_zone": time_in_zone,
+    "team_benchmark": team_benchmark,
     "stream_incremental_upsert": L.stream_incremental_upsert,
+    "stream_event_time_upsert": L.stream_event_time_upsert,
     "incremental_fact_upsert": L.incremental_fact_upsert,
 }
 REGISTRY = {name: _pinned(fn) for name, fn in REGISTRY.items()}

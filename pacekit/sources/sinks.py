@@ -1,11 +1,10 @@
 """Sinks and materialisation: tables, views, CSV export, layer routing.
 
 * ``write_table`` - full-refresh table (Parquet), always to a fresh path;
-  upserts never overwrite the path they read (see ``operators.upsert``).
+  upserts never overwrite the path they read (see ``sources.keyed_table``).
 * ``materialize`` - write a DataFrame into the shared checkpoint folder and
   read it back: cuts lineage durably (survives executor loss, unlike a local
   checkpoint).
-* ``merge_table`` - keyed upsert into a stored table, only touched partitions rewritten.
 * ``register_view`` - view materialisation (``createOrReplaceTempView``).
 * ``csv_export`` - header CSV of a fixed column list.
 * ``layer_database`` - layer-to-database routing: a custom name is used
@@ -17,9 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pacekit.operators.upsert import latest_per_key, upsert
 from pacekit.session import scratch_dir
 
 
@@ -55,40 +52,6 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def merge_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
-                order_by: Sequence[str], partition_col: str, **rules) -> int:
-    """Upsert a batch into a stored keyed table; returns the number of keys written.
-
-    The table is created if absent, partitioned by ``partition_col`` (a value of
-    the row, e.g. its month). Only partitions that the batch touches are read
-    in full and rewritten: those of its rows, and those its keys are stored in
-    now, so a key whose partition value changed moves without a duplicate. The
-    others keep their files. NULL keys are an error. ``rules`` go to
-    ``operators.upsert.upsert``.
-    """
-    batch = materialize(spark, latest_per_key(new, keys, order_by), "merge-batch")
-    written = batch.agg(F.count(F.lit(1)).alias("n"),
-                        *[F.count_if(F.col(k).isNull()).alias(f"_{k}") for k in keys]).first()
-    if any(written[f"_{k}"] for k in keys):
-        raise ValueError("the batch has rows without a key")
-    if not folder_exists(spark, path):
-        columns = [c for c in batch.columns if c != partition_col]
-        batch.select(*columns, partition_col).write.partitionBy(partition_col).parquet(path)
-        return written["n"]
-    old = spark.read.parquet(path)
-    stored_in = old.join(batch.select(*keys), list(keys), "left_semi").select(partition_col)
-    touched = [r[0] for r in batch.select(partition_col).union(stored_in).distinct().collect()]
-    merged = upsert(old.filter(F.col(partition_col).isin(touched)), batch, keys, order_by, **rules)
-    merged = materialize(spark, merged, "merge-result")     # never read and overwrite one folder in a job
-    left = {r[0] for r in merged.select(partition_col).distinct().collect()}
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
-    for value in touched:
-        if value not in left:                                 # all its keys moved away
-            drop_folder(spark, f"{path}/{partition_col}={value}")
-    return written["n"]
-
-
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

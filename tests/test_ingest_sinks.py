@@ -129,30 +129,6 @@ def test_pages_csv_and_audit(spark, tmp_dir):
         I.require_loaded(I.load_audit(r, st.filter("false"), "athlete_id", entities=ents))
 
 
-def test_merge_table_rewrites_only_touched_partitions(spark, tmp_dir):
-    path = f"{tmp_dir}/fact"
-    schema = "id int, v string, created_at int, at int, month int"
-    first = spark.createDataFrame([(1, "a", 1, 1, 202401), (2, "b", 1, 1, 202402), (3, "c", 1, 1, 202403),
-                                   (4, "d", 1, 1, 202405)], schema)
-    keep = {"insert_only_cols": ["created_at"]}
-    assert S.merge_table(spark, path, first, ["id"], ["at"], "month", **keep) == 4
-    files = {m: sorted(os.listdir(f"{path}/month={m}")) for m in (202401, 202402, 202403)}
-    # 2 changes, 4 moves to another month, 5 is new, duplicates in the batch: the latest wins
-    batch = spark.createDataFrame([(2, "b1", 2, 2, 202402), (2, "b2", 2, 3, 202402), (4, "d2", 2, 2, 202402),
-                                   (5, "e", 2, 2, 202404)], schema)
-    for _ in range(2):                                              # applying a batch twice changes nothing
-        assert S.merge_table(spark, path, batch, ["id"], ["at"], "month", **keep) == 3
-        rows = sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "created_at", "month").collect())
-        assert rows == [(1, "a", 1, 202401), (2, "b2", 1, 202402), (3, "c", 1, 202403), (4, "d2", 1, 202402),
-                        (5, "e", 2, 202404)]
-    assert not os.path.exists(f"{path}/month=202405")
-    for m in (202401, 202403):
-        assert sorted(os.listdir(f"{path}/month={m}")) == files[m]
-    assert sorted(os.listdir(f"{path}/month=202402")) != files[202402]
-    with pytest.raises(ValueError):
-        S.merge_table(spark, path, batch.withColumn("id", F.lit(None).cast("int")), ["id"], ["at"], "month")
-
-
 def test_table_view_routing(spark, tmp_dir):
     df = spark.range(5)
     S.write_table(df, f"{tmp_dir}/t")
