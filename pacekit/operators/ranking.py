@@ -49,7 +49,7 @@ def percent_rank(df: DataFrame, value: str, groups: Sequence[str] = (), name: st
         first = [F.min("_before").alias("_start"), F.sum("_rows").alias("_all")]
         ranked = ranked.join(ranked.groupBy(*groups).agg(*first), list(groups))
     else:
-        ranked = ranked.crossJoin(F.broadcast(ranked.agg(F.lit(0).alias("_start"), F.sum("_rows").alias("_all"))))
+        ranked = ranked.withColumns({"_start": F.lit(0), "_all": counts.agg(F.sum("_rows")).scalar()})
     share = (F.col("_before") - F.col("_start")).cast("double") / (F.col("_all") - 1)
     ranks = ranked.select(*groups, value, F.when(F.col("_all") == 1, F.lit(0.0)).otherwise(share).alias(name))
     return meet(df, ranks, [*groups, value], "left")

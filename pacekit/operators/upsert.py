@@ -37,12 +37,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str],
            insert_only_cols: Sequence[str] = (), keep_if_null_cols: Sequence[str] = (),
-           touch_col: str | None = None, touch_value=None) -> DataFrame:
+           touch_col: str | None = None, touch_value=None, null_safe: bool = True) -> DataFrame:
     """Rows of ``old`` with keys absent from ``new``, plus merged ``new`` rows.
 
     The output has ``old``'s columns. Columns of ``old`` missing from ``new``
     keep their old value (partial-column upsert). ``touch_col`` is set to
     ``touch_value`` (e.g. the run timestamp) on every row written by ``new``.
+    ``null_safe=False`` joins by plain equality, for keys that are never null: a table
+    stored in buckets by the key is then not shuffled.
     """
     unknown = [c for c in new.columns if c not in old.columns and c not in order_by]
     if unknown:
@@ -52,7 +54,8 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequen
     n = batch.withColumn("_in_new", F.lit(True)).alias("_n")
     cond = None
     for k in keys:
-        c = F.col(f"_o.{k}").eqNullSafe(F.col(f"_n.{k}"))
+        left, right = F.col(f"_o.{k}"), F.col(f"_n.{k}")
+        c = left.eqNullSafe(right) if null_safe else left == right
         cond = c if cond is None else cond & c
     j = o.join(n, cond, "full_outer")
     from_new = F.col("_n._in_new").isNotNull()

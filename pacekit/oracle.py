@@ -746,6 +746,41 @@ FROM (SELECT c.c_custkey AS athlete_id, c.c_nationkey AS team,
       GROUP BY 1, 2)""", [STAGED])
 
 
+SQL["fact_as_of_merge"] = SQL["fact_as_of_threshold"]
+SQL["catalog_keyed_upsert"] = SQL["upsert_partial_columns"]
+SQL["snapshot_split"] = SQL["snapshot_explode"]
+
+SQL["secured_rides"] = _q("""
+SELECT s.activity_id, s.athlete_id, s.distance_km, 'coach-' || c.c_nationkey AS viewer
+FROM staged s JOIN customer c ON c.c_custkey = s.athlete_id WHERE c.c_nationkey IN (3, 7)""", [STAGED])
+
+SQL["load_anomalies"] = _q("""
+SELECT athlete_id, date, distance_km, base_days, round(CAST(mean AS DECIMAL(28,10)), 3)::DOUBLE AS base_mean,
+  round(CAST(std AS DECIMAL(28,10)), 3)::DOUBLE AS base_std,
+  CASE WHEN base_days >= 5 AND std > 0 THEN round(CAST((distance_km - mean) / std AS DECIMAL(28,10)), 3)::DOUBLE END AS z_score,
+  coalesce(CASE WHEN base_days >= 5 AND std > 0 THEN abs((distance_km - mean) / std) > 2.0 END, false) AS is_anomaly
+FROM (SELECT *, CASE WHEN base_days > 0 THEN total::DOUBLE / base_days END AS mean,
+        CASE WHEN base_days > 1 THEN sqrt((base_days * squares - total * total)::DOUBLE / (base_days * (base_days - 1))) END AS std
+      FROM (SELECT *, count(v) OVER w AS base_days, CAST(sum(v) OVER w AS DECIMAL(14,3)) AS total,
+              CAST(sum(CAST(v * v AS DECIMAL(24,6))) OVER w AS DECIMAL(28,6)) AS squares
+            FROM (SELECT *, CAST(distance_km AS DECIMAL(14,3)) AS v FROM (
+              SELECT athlete_id, CAST(start_date_utc AS DATE) AS date,
+                round(CAST(sum(CAST(distance_km AS DECIMAL(20,6))) AS DECIMAL(28,10)), 2)::DOUBLE AS distance_km
+              FROM staged GROUP BY 1, 2))
+            WINDOW w AS (PARTITION BY athlete_id ORDER BY date RANGE BETWEEN INTERVAL 14 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)))""", [STAGED])
+
+SQL["virtual_outdoor"] = _q("""
+SELECT *, round(CAST(efficiency_a / nullif(efficiency_b, 0) AS DECIMAL(28,10)), 3)::DOUBLE AS efficiency_ratio
+FROM (SELECT athlete_id, """ + ", ".join(f"""count(*) FILTER (WHERE activity_type = '{k}') AS rides_{n},
+  round(CAST(avg(CAST(duration_minutes AS DECIMAL(20,6))) FILTER (WHERE activity_type = '{k}') AS DECIMAL(28,10)), 2)::DOUBLE AS minutes_{n},
+  round(CAST(avg(CAST(normalized_power AS DECIMAL(20,6))) FILTER (WHERE activity_type = '{k}') AS DECIMAL(28,10)), 1)::DOUBLE AS power_{n},
+  round(CAST(avg(CAST(ef AS DECIMAL(20,6))) FILTER (WHERE activity_type = '{k}') AS DECIMAL(28,10)), 3)::DOUBLE AS efficiency_{n}"""
+    for n, k in (("a", "click"), ("b", "purchase"))) + """
+  FROM (SELECT *, CASE WHEN avg_hr > 0 AND normalized_power IS NOT NULL
+        THEN round(CAST(normalized_power / avg_hr AS DECIMAL(28,10)), 3)::DOUBLE END AS ef FROM fact)
+  WHERE activity_type IN ('click', 'purchase') GROUP BY athlete_id)""", [STAGED, TESTS, THR, FACT])
+
+
 def _contract_sql() -> str:
     schema_rows = " UNION ALL\n".join(
         f"SELECT 'contract_type_{c}' AS check_name, '{c}' AS column_name, 'schema' AS kind, "

@@ -23,6 +23,7 @@ from pacekit.session import scratch_dir
 from pacekit.sources import ingest as I
 from pacekit.sources.keyed_table import KeyedTable
 from pacekit.sources.sinks import csv_export, layer_database, register_view, write_table
+from pacekit.sources.snapshot_split import read_snapshot_split
 from pacekit.streaming.event_time import EventTimeUpsert
 from pacekit.streaming.incremental import RAW_RECORD, read_current, start_incremental_upsert
 
@@ -70,6 +71,28 @@ def snapshot_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
                        _ntz("extracted_at_utc"), "snapshot")
 
 
+def snapshot_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of one document a day, each read by several tasks and put together at records.
+
+    A day's document is one file: its head, a record a line, its end, written in order.
+    """
+    root = scratch_dir(spark, "big-snapshots")
+    _, r2 = _runs(spark, sf_dir, with_day=True)
+    in_day = Window.partitionBy("day").orderBy("activity_id")
+    line = F.concat(F.when(F.row_number().over(in_day) == 1, F.lit("")).otherwise(F.lit(", ")), F.col("payload"))
+    records = r2.select("day", F.lit(1).alias("part"), "activity_id", line.alias("value"))
+    days = r2.select("day").distinct()
+    head = '{"extracted_at_utc": "2024-02-01T00:00:00Z", "activities": ['
+    ends = [days.select("day", F.lit(p).alias("part"), F.lit(0).cast("long").alias("activity_id"),
+                        F.lit(v).alias("value")) for p, v in ((0, head), (2, "]}"))]
+    document = records.unionByName(ends[0]).unionByName(ends[1])
+    (document.repartition("day").sortWithinPartitions("day", "part", "activity_id").select("day", "value")
+     .write.partitionBy("day").text(f"{root}/activities_raw_20240201T000000Z"))
+    snap = read_snapshot_split(spark, root)
+    return snap.select("activity_id", F.get_json_object("payload", "$.distance").cast("double").alias("distance_m"),
+                       _ntz("extracted_at_utc"), "snapshot")
+
+
 def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land both runs as JSON record files under run=<n>/ and read the bag union."""
     root = scratch_dir(spark, "pages")

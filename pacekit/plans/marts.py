@@ -52,3 +52,25 @@ def efficiency_trend(rides: DataFrame) -> DataFrame:
                        .alias("watts_per_bpm_avg"),
                       M.round_half_up(F.avg(F.col("efficiency_factor").cast("decimal(20,6)")), 3)
                        .alias("efficiency_factor_avg")))
+
+
+def compare_types(facts: DataFrame, first: str, second: str) -> DataFrame:
+    """Two activity types side by side per athlete (e.g. virtual and outdoor rides).
+
+    One pass: both types are summed in one grouped aggregate, partial counts before the
+    shuffle. A ratio is null where an athlete lacks one of the types.
+    """
+    def of(kind: str, value: Column) -> Column:
+        return F.when(F.col("activity_type") == F.lit(kind), value)
+
+    aggs = []
+    for name, kind in (("a", first), ("b", second)):
+        power = of(kind, F.col("normalized_power").cast("decimal(20,6)"))
+        per_beat = of(kind, M.efficiency_factor("normalized_power", "avg_hr").cast("decimal(20,6)"))
+        aggs += [F.count_if(F.col("activity_type") == F.lit(kind)).alias(f"rides_{name}"),
+                 M.round_half_up(F.avg(of(kind, F.col("duration_minutes").cast("decimal(20,6)"))), 2).alias(f"minutes_{name}"),
+                 M.round_half_up(F.avg(power), 1).alias(f"power_{name}"),
+                 M.round_half_up(F.avg(per_beat), 3).alias(f"efficiency_{name}")]
+    out = facts.filter(F.col("activity_type").isin(first, second)).groupBy("athlete_id").agg(*aggs)
+    ratio = F.col("efficiency_a") / M.nullif_zero(F.col("efficiency_b"))
+    return out.withColumn("efficiency_ratio", M.round_half_up(ratio, 3))

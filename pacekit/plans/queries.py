@@ -7,6 +7,7 @@ typed exactly like the matching SQL in ``pacekit.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 
 from pacekit.functions import metrics as M
 from pacekit.operators import quality as Q
+from pacekit.operators.anomaly import anomaly_flags
+from pacekit.operators.asof import merge_asof
 from pacekit.operators.bands import band_join, make_bands
 from pacekit.operators.intervals import intervals, time_in_bands
 from pacekit.operators.lookup import lookup
@@ -26,9 +29,11 @@ from pacekit.plans import analog as A
 from pacekit.plans import landing as L
 from pacekit.plans import marts as D
 from pacekit.plans import models as MD
-from pacekit.session import utc_session
+from pacekit.session import scratch_dir, utc_session
 from pacekit.sources import ingest as I
+from pacekit.sources.catalog_table import CatalogTable
 from pacekit.sources.literals import literal_row, values_relation
+from pacekit.sources.secured_view import declare_viewer, secured_view, set_viewer
 from pacekit.sources.sinks import materialize
 
 
@@ -452,16 +457,18 @@ def _customer_tokens(spark, sf_dir):
                     F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"))
 
 
-def upsert_partial_columns(spark, sf_dir):
-    old = _customer_tokens(spark, sf_dir)
+def _token_batch(spark, sf_dir):
     o = A.table(spark, sf_dir, "orders")
-    batch = o.select(F.col("o_custkey").alias("entity_id"),
+    return o.select(F.col("o_custkey").alias("entity_id"),
                      F.col("o_totalprice").alias("balance"),
                      F.when(F.col("o_orderstatus") == "F", F.lit(None))
                       .otherwise(F.col("o_orderpriority")).alias("scope"),
                      F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
                      F.col("o_orderdate"), F.col("o_orderkey"))
-    return upsert(old, batch, ["entity_id"], ["o_orderdate", "o_orderkey"],
+
+
+def upsert_partial_columns(spark, sf_dir):
+    return upsert(_customer_tokens(spark, sf_dir), _token_batch(spark, sf_dir), ["entity_id"], ["o_orderdate", "o_orderkey"],
                   insert_only_cols=["created_at"], keep_if_null_cols=["scope"],
                   touch_col="updated_at", touch_value="2024-02-01 00:00:00")
 
@@ -488,11 +495,10 @@ def stale_entities(spark, sf_dir):
 
 
 def load_audit(spark, sf_dir):
-    """Audit of a load with bad values; customers in debt are loaded but not listed."""
+    """Audit of a load with bad values, in one pass; customers in debt are loaded but not listed."""
     x = Inputs(spark, sf_dir)
     ents = x.t("customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("athlete_id"))
-    return I.load_audit(x.dirty, I.stage_activities(x.dirty, None), "athlete_id", entities=ents,
-                        rejects=I.stage_rejects(x.dirty))
+    return I.audit_landing(x.dirty, "athlete_id", entities=ents)
 
 
 VALUE_BANDS = [("short", 600, 2400), ("medium", 2400, 4200), ("long", 4200, None)]
@@ -523,6 +529,52 @@ def team_benchmark(spark, sf_dir):
     return out.select("athlete_id", "team", "power_w", "rank_in_team", "rank_in_all")
 
 
+def fact_as_of_merge(spark, sf_dir):
+    """The as-of join by merging events and versions in time chunks (long histories)."""
+    x = Inputs(spark, sf_dir)
+    s = x.staged.select("activity_id", "athlete_id", F.col("start_date_utc").cast("date").alias("activity_date"))
+    return merge_asof(s, x.thresholds, ["athlete_id"], "activity_date", ["ftp_id", "ftp_watts"])
+
+
+def load_anomalies(spark, sf_dir):
+    """Days whose distance is far from the athlete's days before."""
+    d = Inputs(spark, sf_dir).staged.groupBy("athlete_id", F.col("start_date_utc").cast("date").alias("date")).agg(
+        M.round_half_up(M.exact_sum("distance_km"), 2).alias("distance_km"))
+    return anomaly_flags(d, ["athlete_id"], "date", "distance_km", days=14, least=5, over=2.0)
+
+
+def virtual_outdoor(spark, sf_dir):
+    """Two types of rides side by side per athlete."""
+    return D.compare_types(Inputs(spark, sf_dir).fact, "click", A.RIDE_TYPE)
+
+
+def secured_rides(spark, sf_dir):
+    """What two viewers see of the rides through one view: each nation's coach its own athletes."""
+    x = Inputs(spark, sf_dir)
+    name = f"rides_{uuid.uuid4().hex[:8]}"
+    coaches = x.t("customer").select(F.concat(F.lit("coach-"), F.col("c_nationkey")).alias("viewer"),
+                                     F.col("c_custkey").alias("athlete_id"))
+    declare_viewer(spark)
+    secured_view(spark, name, x.staged.select("activity_id", "athlete_id", "distance_km"), coaches, "athlete_id")
+    out = None
+    for viewer in ("coach-3", "coach-7"):
+        set_viewer(spark, viewer)
+        seen = materialize(spark, spark.table(name).withColumn("viewer", F.lit(viewer)), "seen")
+        out = seen if out is None else out.unionByName(seen)
+    set_viewer(spark, None)
+    return out
+
+
+def catalog_keyed_upsert(spark, sf_dir):
+    """The partial-column upsert on a catalog table bucketed by its key."""
+    name = f"tokens_{uuid.uuid4().hex[:8]}"
+    table = CatalogTable(spark, name, scratch_dir(spark, "tokens"))
+    table.create(_customer_tokens(spark, sf_dir), ["entity_id"], ["updated_at"], buckets=8)
+    table.merge(_token_batch(spark, sf_dir), ["o_orderdate", "o_orderkey"], insert_only_cols=["created_at"],
+                keep_if_null_cols=["scope"], touch_col="updated_at", touch_value="2024-02-01 00:00:00")
+    return table.read()
+
+
 def values_bands_join(spark, sf_dir):
     """Activities against a VALUES list of duration bands."""
     bands = values_relation(spark, VALUE_BANDS, "band string, low int, high int")
@@ -608,6 +660,12 @@ REGISTRY = {
     "full_refresh_layers": L.full_refresh_layers,
     "csv_summary": L.csv_summary,
     "time_in_zone": time_in_zone,
+    "fact_as_of_merge": fact_as_of_merge,
+    "load_anomalies": load_anomalies,
+    "virtual_outdoor": virtual_outdoor,
+    "secured_rides": secured_rides,
+    "catalog_keyed_upsert": catalog_keyed_upsert,
+    "snapshot_split": L.snapshot_split,
     "team_benchmark": team_benchmark,
     "stream_incremental_upsert": L.stream_incremental_upsert,
     "stream_event_time_upsert": L.stream_event_time_upsert,

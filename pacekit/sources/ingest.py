@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,11 @@ def stage_activities(raw: DataFrame, min_start: str | None = "2024-01-01",
     """
     parsed = _parsed(raw, schema).filter(F.col("_d").isNotNull() & F.col("_d._bad").isNull()
                                          & F.col("_d.id").isNotNull())
+    return _staged(parsed, min_start)
+
+
+def _staged(parsed: DataFrame, min_start: str | None) -> DataFrame:
+    """The flat projection of parsed documents."""
     out = parsed.select(
         "activity_id", "athlete_id",
         F.col("_d.start_date").alias("start_date_utc"),
@@ -98,9 +103,23 @@ def stage_rejects(raw: DataFrame, schema: T.StructType = ACTIVITY_DOC) -> DataFr
     and the whole text for a payload that is no JSON object. Only documents that
     the typed parse flags are looked at again.
     """
-    suspect = _parsed(raw, schema).filter(
-        F.col("_d").isNull() | F.col("_d._bad").isNotNull() | F.col("_d.id").isNull())
-    texts = suspect.withColumn("_t", F.from_json("payload", T.MapType(T.StringType(), T.StringType())))
+    suspect = _parsed(raw, schema).filter(_suspect())
+    texts = suspect.withColumn("_t", _texts())
+    each = F.explode(_rejected(schema))
+    return texts.select("activity_id", "athlete_id", each.alias("r")).select("activity_id", "athlete_id", "r.*")
+
+
+def _suspect() -> Column:
+    """A parsed document (see :func:`_parsed`) that is not staged."""
+    return F.col("_d").isNull() | F.col("_d._bad").isNotNull() | F.col("_d.id").isNull()
+
+
+def _texts() -> Column:
+    return F.from_json("payload", T.MapType(T.StringType(), T.StringType()))
+
+
+def _rejected(schema: T.StructType) -> Column:
+    """The rejected values of a suspect document with its texts ``_t``: array of (field, raw_text)."""
     fields = []
     for f in schema.fields:
         text = F.try_element_at("_t", F.lit(f.name))
@@ -109,8 +128,7 @@ def stage_rejects(raw: DataFrame, schema: T.StructType = ACTIVITY_DOC) -> DataFr
             bad = F.col("_t").isNotNull() & F.col("_d.id").isNull()
         fields.append(F.when(bad, F.struct(F.lit(f.name).alias("field"), text.alias("raw_text"))))
     whole = F.when(F.col("_t").isNull(), F.struct(F.lit("$").alias("field"), F.col("payload").alias("raw_text")))
-    each = F.explode(F.array_compact(F.array(*fields, whole)))
-    return texts.select("activity_id", "athlete_id", each.alias("r")).select("activity_id", "athlete_id", "r.*")
+    return F.array_compact(F.array(*fields, whole))
 
 
 class RejectedRowsError(RuntimeError):
@@ -144,17 +162,24 @@ SNAPSHOT_SCHEMA = T.StructType([
 ])
 
 
-def _snapshot_documents(spark: SparkSession, path: str, name_pattern: str, latest_only: bool) -> DataFrame:
-    """(snapshot, text, doc): every document of the chosen snapshots."""
+def snapshot_roots(spark: SparkSession, path: str, name_pattern: str, latest_only: bool) -> list[str]:
+    """The files or folders of the chosen snapshots, from the listing alone; raises when there is none."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
              .select(F.regexp_extract("path", f"^.*?({name_pattern})", 1).alias("name"),
                      F.regexp_extract("path", f"^(.*?{name_pattern}[^/]*)", 1).alias("root"))
              .filter("name <> ''"))                       # the listing alone: no content is read
-    if latest_only:
-        files = files.withColumn("newest", F.max("name").over(Window.partitionBy())).filter("name = newest")
+    if latest_only:                                       # names are counted once each, the greatest is looked up
+        newest = files.agg(F.max("name")).first()[0]
+        files = files.filter(F.col("name") == F.lit(newest))
     roots = [r["root"] for r in files.select("root").distinct().collect()]
     if not roots:
         raise FileNotFoundError(f"no snapshot under {path}")
+    return roots
+
+
+def _snapshot_documents(spark: SparkSession, path: str, name_pattern: str, latest_only: bool) -> DataFrame:
+    """(snapshot, text, doc): every document of the chosen snapshots."""
+    roots = snapshot_roots(spark, path, name_pattern, latest_only)
     text = (spark.read.text(roots, wholetext=True, recursiveFileLookup=True)
             .withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 0)))
     lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
@@ -251,6 +276,46 @@ def load_audit(fetched: DataFrame, loaded: DataFrame, entity: str,
         "ok", (F.col("upserted") > 0) & (F.col("errors") == 0))
 
 
+def audited(raw: DataFrame, schema: T.StructType = ACTIVITY_DOC) -> DataFrame:
+    """Parsed raw rows, each with ``_ok`` (it is staged) and ``_errors`` (its rejected values)."""
+    p = _parsed(raw, schema).withColumn("_ok", ~_suspect())
+    p = p.withColumn("_t", F.when(~F.col("_ok"), _texts()))
+    return p.withColumn("_errors", F.when(F.col("_ok"), 0).otherwise(F.size(_rejected(schema)))).drop("_t")
+
+
+def audit_landing(raw: DataFrame, entity: str, entities: DataFrame | None = None,
+                  schema: T.StructType = ACTIVITY_DOC) -> DataFrame:
+    """:func:`load_audit` of a landing table in one pass: each document is read and parsed once and
+    counted as fetched, loaded or rejected, with partial counts before the one shuffle."""
+    out = audited(raw, schema).groupBy(entity).agg(
+        F.count(F.lit(1)).alias("fetched"), F.count_if("_ok").alias("upserted"), F.sum("_errors").alias("errors"))
+    listed = F.lit(True)
+    if entities is not None:
+        out = out.join(entities.select(entity, F.lit(True).alias("_listed")), entity, "full_outer")
+        listed = F.coalesce("_listed", F.lit(False))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("fetched", "upserted", "errors")]
+    return out.select(entity, *counts, listed.alias("listed")).withColumn(
+        "ok", (F.col("upserted") > 0) & (F.col("errors") == 0))
+
+
+def load_staged(raw: DataFrame, path: str, min_start: str | None = None,
+                schema: T.StructType = ACTIVITY_DOC) -> dict:
+    """Stage a landing table into ``path``; the write itself counts what it sees.
+
+    Returns ``fetched``, ``upserted`` (staged and written) and ``errors`` (rejected values),
+    observed on the rows as they pass: nothing is read again. Raises when nothing was staged.
+    """
+    seen, kept = Observation(), Observation()
+    p = audited(raw, schema).observe(seen, F.count(F.lit(1)).alias("fetched"),
+                                     F.coalesce(F.sum("_errors"), F.lit(0)).alias("errors"))
+    staged = _staged(p.filter("_ok"), min_start).observe(kept, F.count(F.lit(1)).alias("upserted"))
+    staged.write.mode("overwrite").parquet(path)
+    totals = {**seen.get, **kept.get}
+    if not totals["upserted"]:
+        raise EmptyLoadError(f"no rows were loaded: {totals}")
+    return totals
+
+
 class EmptyLoadError(RuntimeError):
     pass
 

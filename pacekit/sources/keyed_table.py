@@ -109,7 +109,7 @@ class KeyedTable:
         out = batch
         if version:
             old = self._rows(hit) if hit else self.spark.createDataFrame([], self._rows(sorted(live)[:1]).schema)
-            out = upsert(old, batch, self.keys, order_by, **rules)
+            out = upsert(old, batch, self.keys, order_by, null_safe=False, **rules)
         added = self._write(out.select(*columns), version + 1, self.manifest(version) if version else None, hit)
         return {"rows": seen["n"], "kept": len(live) - len(hit), "rewritten": len(hit), "added": added}
 
