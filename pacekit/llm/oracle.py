@@ -80,3 +80,51 @@ SQL = {
                v.vec_id <= coalesce(m.j, v.vec_id) AS kept
         FROM v LEFT JOIN g ON g.i = v.vec_id LEFT JOIN m ON m.i = v.vec_id""",
 }
+
+
+def _merkle_sql(levels: int = 5, top: int = 3) -> str:
+    """The manifest for up to 16**levels leaves a source and 16**top sources."""
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    byte = "list_reduce(range(8), lambda v, k: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, b))"
+    crc = (f"xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), "
+           f"lambda a, b: {byte}, 4294967295::BIGINT))")
+    parts = [f"""d AS (SELECT *, {leaf('text')} AS leaf, {leaf('low')} AS lowered, {crc} % 5 = 0 AS tampered
+        FROM (SELECT *, translate(text, '{upper}', '{upper.lower()}') AS low FROM documents))""",
+             """l AS (SELECT doc_id, source, leaf, CASE WHEN tampered THEN lowered ELSE leaf END AS x,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY source) AS c FROM d)""",
+             "s0 AS (SELECT source, i, leaf AS h, c FROM l)"]
+
+    def tree(name: str, n: int, by: str) -> None:
+        for k in range(n):
+            run = f"PARTITION BY {by}, i // 16 ORDER BY i ROWS BETWEEN"
+            parts.append(f"""b{name}{k} AS (SELECT {by}, i, c > 1 AS has,
+        coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+        coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM {name}{k})""")
+            parts.append(f"""{name}{k + 1} AS (SELECT {by}, i // 16 AS i, CASE WHEN any_value(c) = 1 THEN any_value(h)
+        ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h, (any_value(c) + 15) // 16 AS c
+        FROM {name}{k} GROUP BY {by}, i // 16)""")
+
+    tree("s", levels, "source")
+    parts.append(f"""t0 AS (SELECT 0 AS one, source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i,
+        count(*) OVER () AS c FROM s{levels})""")
+    tree("t", top, "one")
+    parts.append(f"""x0 AS (SELECT l.*, t0.h AS subroot, t0.i AS g, t{top}.h AS root, '' AS proof
+        FROM l JOIN t0 ON l.source IS NOT DISTINCT FROM t0.source CROSS JOIN t{top})""")
+    steps = [("s", k, f"p.source IS NOT DISTINCT FROM x.source AND p.i = x.i // {16 ** k}") for k in range(levels)]
+    steps += [("t", k, f"p.i = x.g // {16 ** k}") for k in range(top)]
+    for n, (name, k, on) in enumerate(steps):
+        parts.append(f"""x{n + 1} AS (SELECT x.* REPLACE (CASE WHEN p.has THEN sha256(p.b || x.x || p.a) ELSE x.x END AS x,
+        x.proof || CASE WHEN p.has THEN p.b || p.a ELSE '' END AS proof) FROM x{n} x JOIN b{name}{k} p ON {on})""")
+    return "WITH " + ",\n".join(parts) + f"""
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, x AS folded_root, x = root AS verified
+        FROM x{len(steps)}"""
+
+
+SQL["op12_merkle_manifest"] = _merkle_sql()
