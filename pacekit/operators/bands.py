@@ -25,15 +25,11 @@ from pacekit.operators.lookup import folded_join
 
 def band_literals(defs: Sequence[Mapping], types: Mapping[str, str]) -> Column:
     """A literal ``array<struct>`` holding the band definitions."""
-    structs = []
-    for d in defs:
-        fields = []
-        for name, typ in types.items():
-            v = d[name]
-            lit = F.lit(str(v)).cast(typ) if typ.startswith("decimal") else F.lit(v).cast(typ)
-            fields.append(lit.alias(name))
-        structs.append(F.struct(*fields))
-    return F.array(*structs)
+    def literal(value) -> str:
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'" if value is not None else "null"
+
+    structs = [", ".join(f"'{name}', cast({literal(d[name])} as {typ})" for name, typ in types.items()) for d in defs]
+    return F.expr("array(" + ", ".join(f"named_struct({s})" for s in structs) + ")")
 
 
 def make_bands(ref: DataFrame, defs: Sequence[Mapping], types: Mapping[str, str],

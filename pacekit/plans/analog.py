@@ -40,6 +40,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan of fewer splits than there are cores, dealt out by ``key``; any other as it is.
+
+    The driver's tables are one file of one row group: one task, however many cores. A
+    table of many files has splits enough, and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if splits >= cores else df.repartition(cores, key)
+
+
 def landed_activities(events: DataFrame, extracted_at: str = RUN_TS, also: dict | None = None) -> DataFrame:
     """The raw landing rows; ``also`` adds columns of ``events`` by name."""
     eid = F.col("event_id")

@@ -33,7 +33,7 @@ PAGE_SIZE = 200   # records per landed page (API page size)
 
 
 def _build_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = A.table(spark, sf_dir, "events")
+    ev = A.spread(A.table(spark, sf_dir, "events"), "event_id")
     r1 = A.landed_activities(ev.filter(F.col("ts") < F.lit(RUN1_END).cast("timestamp_ntz")), RUN1_TS)
     r2 = A.landed_activities(ev.filter(F.col("ts") >= F.lit(RUN2_START).cast("timestamp_ntz")), RUN2_TS)
     return r1.unionByName(r2)
@@ -41,7 +41,7 @@ def _build_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _runs(spark: SparkSession, sf_dir: str, with_day: bool = False):
     """The landing rows of run 1 and of run 2; ``with_day`` adds the day of the record."""
-    ev = A.table(spark, sf_dir, "events")
+    ev = A.spread(A.table(spark, sf_dir, "events"), "event_id")
     first = ev.filter(F.col("ts") < F.lit(RUN1_END).cast("timestamp_ntz"))
     second = ev.filter(F.col("ts") >= F.lit(RUN2_START).cast("timestamp_ntz"))
     also = {"day": F.col("ts").cast("date")} if with_day else {}
@@ -135,7 +135,7 @@ RAW_PAGE = ("athlete_id bigint, page int, activities array<struct<activity_id: b
 def snapshot_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots with records that have no integer id: what the reader leaves out, and how much it keeps."""
     root = scratch_dir(spark, "dirty-snapshots")
-    dirty = A.dirty_activities(A.table(spark, sf_dir, "events")).filter(F.col("activity_id") % 29 != 0)
+    dirty = A.dirty_activities(A.spread(A.table(spark, sf_dir, "events"), "event_id")).filter(F.col("activity_id") % 29 != 0)
     docs = dirty.groupBy(F.expr(f"activity_id div {PAGE_SIZE}").alias("_p")).agg(
         F.collect_list("payload").alias("activities"))
     text = F.concat(F.lit('{"extracted_at_utc":"2024-02-01T00:00:00Z","activities":['),
@@ -212,7 +212,7 @@ def stream_event_time_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "event-time")
     table = EventTimeUpsert(spark, f"{base}/table", ["athlete_id", "activity_id"], "start_at",
                             ["extracted_at_utc"], "2 days")
-    ev = A.table(spark, sf_dir, "events")
+    ev = A.spread(A.table(spark, sf_dir, "events"), "event_id")
     at, again = F.col("ts"), F.col("event_id") % 7 == 0
 
     def day(d: str):

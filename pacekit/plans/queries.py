@@ -53,20 +53,24 @@ class Inputs:
     def t(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def events(self):
+        return A.spread(self.t("events"), "event_id")
+
     @cached_property
     def raw(self):
-        return A.landed_activities(self.t("events"))
+        return A.landed_activities(self.events)
 
     @cached_property
     def dirty(self):
-        return A.dirty_activities(self.t("events"))
+        return A.dirty_activities(self.events)
 
     def parse(self):
         return I.stage_activities(self.raw, A.MIN_START)
 
     @cached_property
     def staged(self):
-        return self.parse() if self.landed else A.staged_activities(self.t("events"))
+        return self.parse() if self.landed else A.staged_activities(self.events)
 
     @cached_property
     def tests(self):

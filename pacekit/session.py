@@ -32,6 +32,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # call sites for error messages cost a round trip per function; plans here have thousands
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

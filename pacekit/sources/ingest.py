@@ -56,10 +56,14 @@ def record_guard(df: DataFrame, payload: str = "payload", id_path: str = "$.id")
 
 
 def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Raw columns with the typed document ``_d``; ``_d._bad`` is set where a value does not parse."""
+    """Raw columns with the typed document ``_d``; ``_d._bad`` is set where a value does not parse.
+
+    The document is parsed by a generator of one row: filters on its fields stay above it,
+    where a projection would have them pushed down with a copy of the parser each.
+    """
     doc = F.from_json(F.col("payload"), T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]),
                       {**JSON_OPTIONS, "columnNameOfCorruptRecord": "_bad"})
-    return raw.withColumn("_d", doc)
+    return raw.select("*", F.explode(F.array(doc)).alias("_d"))
 
 
 def stage_activities(raw: DataFrame, min_start: str | None = "2024-01-01",
