@@ -9,7 +9,8 @@ A document is cut into full windows and a remainder, the remainder into pieces
 of at most ``cut`` tokens: small pieces are what differencing needs to balance.
 Full pieces are windows of their own. The rest is spread over groups by a hash
 of the document; a group holds about ``WINDOWS`` windows of tokens, whatever the
-corpus or the size of a source, and is packed in one task:
+corpus or the size of a source, and is packed in one task. A group far above that - the
+listings of one document all hash alike - is dealt out by listing:
 
 * every piece starts as a partial partition of k windows, one of them filled;
 * the two partitions with the largest spread are merged, the fullest windows of
@@ -91,18 +92,25 @@ class WordEncoder:
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words in a row, and the number of ids of each word."""
         plain = ~pc.match_substring_regex(words, self.NOT_PLAIN).to_numpy(zero_copy_only=False)
-        cut = pc.replace_substring_regex(pc.utf8_lower(words.filter(pa.array(plain))), self.PIECES, r"\1 ")
-        parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(cut))
-        coded = parts.flatten().dictionary_encode()
+        lower = pc.utf8_lower(words.filter(pa.array(plain)))
+        letters = pc.utf8_is_alpha(lower).to_numpy(zero_copy_only=False)    # one piece: nothing to cut
+        mixed = pc.replace_substring_regex(lower.filter(pa.array(~letters)), self.PIECES, r"\1 ")
+        parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(mixed))
+        single = lower.filter(pa.array(letters))
+        coded = pa.chunked_array([single, parts.flatten()]).combine_chunks().dictionary_encode()
         encoded = [self.piece(p) for p in coded.dictionary.to_pylist()]
         known = len(encoded)
         encoded += [self.long_way(w) for w in words.filter(pa.array(~plain)).to_pylist()]
         pieces = np.ones(len(words), np.int64)               # a word taken the long way is one piece
-        pieces[plain] = np.diff(np.asarray(parts.offsets))
-        own = np.repeat(plain, pieces)
+        cut = np.flatnonzero(plain)[~letters]
+        pieces[cut] = np.diff(np.asarray(parts.offsets))
+        kind = np.where(plain, 1, 0)                         # 0: the long way, 1: letters, 2: cut
+        kind[cut] = 2
+        own = np.repeat(kind, pieces)
         at = np.empty(len(own), np.int64)
-        at[own] = coded.indices.to_numpy(zero_copy_only=False)
-        at[~own] = known + np.arange(len(own) - int(own.sum()))
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        at[own == 1], at[own == 2] = index[:len(single)], index[len(single):]
+        at[own == 0] = known + np.arange(int((own == 0).sum()))
         size = np.fromiter(map(len, encoded), np.int64, len(encoded))
         pool = np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum()))
         ids, each = gather(pool, size, at)
@@ -277,12 +285,18 @@ def pack_items(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS) -> DataFrame:
     """Give every piece of :func:`token_pieces` its sequence_id and offset; if it has ids, ids_crc32 is
     taken from the packed sequence."""
-    rows = pieces.select("doc_id", "doc_tokens", F.explode("pieces").alias("p")).select(
-        "doc_id", "doc_tokens", "p.*")
+    rows = pieces.select("doc_id", "doc_tokens", F.monotonically_increasing_id().alias("_at"),
+                         F.explode("pieces").alias("p")).select("doc_id", "doc_tokens", "_at", "p.*")
     size = pieces.agg(F.sum("doc_tokens").alias("tokens"), F.sum(F.size("pieces")).alias("pieces")).first()
     groups = max(1, -(-(size["tokens"] or 0) // (capacity * windows)), -(-(size["pieces"] or 0) // GROUP_PIECES))
     group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("long")
-    carried = [c for c in rows.columns]
+    rows = rows.withColumn("_hash", group)
+    # a document listed very often fills one group: what is far above the mean is dealt out by listing
+    crowd = F.greatest(F.sum("length") / (3 * capacity * windows), F.count(F.lit(1)) / (2 * GROUP_PIECES))
+    crowded = (rows.groupBy("_hash").agg(F.ceil(crowd).alias("_parts")).filter("_parts > 1"))
+    rows = rows.join(crowded, "_hash", "left").withColumn(
+        "_group", F.col("_hash") + F.lit(groups) * F.pmod("_at", F.coalesce("_parts", F.lit(1))))
+    carried = [c for c in rows.columns if not c.startswith("_")]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.select(carried).sort_by(
@@ -310,7 +324,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS) ->
 
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in carried) + ", sequence_id long, offset long, sequence_tokens long"
-    return rows.withColumn("_group", group).groupBy("_group").applyInArrow(run, schema)
+    return rows.select("_group", *carried).groupBy("_group").applyInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
