@@ -293,9 +293,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS) ->
     rows = rows.withColumn("_hash", group)
     # a document listed very often fills one group: what is far above the mean is dealt out by listing
     crowd = F.greatest(F.sum("length") / (3 * capacity * windows), F.count(F.lit(1)) / (2 * GROUP_PIECES))
-    crowded = (rows.groupBy("_hash").agg(F.ceil(crowd).alias("_parts")).filter("_parts > 1"))
-    rows = rows.join(crowded, "_hash", "left").withColumn(
-        "_group", F.col("_hash") + F.lit(groups) * F.pmod("_at", F.coalesce("_parts", F.lit(1))))
+    crowded = stored(rows.groupBy("_hash").agg(F.ceil(crowd).alias("_parts")).filter("_parts > 1"), "crowded")
+    if crowded.isEmpty():                           # as a rule; the pieces are then shuffled once
+        rows = rows.withColumn("_group", F.col("_hash"))
+    else:
+        rows = rows.join(crowded, "_hash", "left").withColumn(
+            "_group", F.col("_hash") + F.lit(groups) * F.pmod("_at", F.coalesce("_parts", F.lit(1))))
     carried = [c for c in rows.columns if not c.startswith("_")]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
