@@ -781,6 +781,16 @@ FROM (SELECT athlete_id, """ + ", ".join(f"""count(*) FILTER (WHERE activity_typ
   WHERE activity_type IN ('click', 'purchase') GROUP BY athlete_id)""", [STAGED, TESTS, THR, FACT])
 
 
+SQL["rolling_incremental"] = """
+SELECT athlete_id, date, distance_km, CAST(sum(CAST(distance_km AS DECIMAL(38,6))) OVER (
+    PARTITION BY athlete_id ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) AS km_7d,
+  CAST(sum(CAST(distance_km AS DECIMAL(38,6))) OVER (
+    PARTITION BY athlete_id ORDER BY date RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) AS km_28d
+FROM (SELECT user_id AS athlete_id, CAST(ts AS DATE) AS date,
+        round(CAST(sum(CAST(value AS DECIMAL(20,6))) AS DECIMAL(28,10)), 2)::DOUBLE AS distance_km
+      FROM events WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1, 2)"""
+
+
 def _contract_sql() -> str:
     schema_rows = " UNION ALL\n".join(
         f"SELECT 'contract_type_{c}' AS check_name, '{c}' AS column_name, 'schema' AS kind, "

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pacekit.operators.rolling_state import RollingState
 from pacekit.plans import analog as A
 from pacekit.session import scratch_dir
 from pacekit.sources import ingest as I
@@ -197,6 +198,23 @@ def stream_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}   # the JSON writer's own form has milliseconds
+def rolling_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """7- and 28-day distance per athlete, kept up to date by three batches of day totals.
+
+    The second batch brings days 2024-01-09 to 15 again (unchanged), the third the rest.
+    """
+    from pacekit.functions import metrics as M
+
+    state = RollingState(spark, scratch_dir(spark, "rolling"), ["athlete_id"], "date", "distance_km",
+                         {"km_7d": 7, "km_28d": 28})
+    ev = A.table(spark, sf_dir, "events")
+    days = ev.groupBy(F.col("user_id").alias("athlete_id"), F.col("ts").cast("date").alias("date")).agg(
+        M.round_half_up(M.exact_sum("value"), 2).alias("distance_km"))
+    for first, last in (("2024-01-01", "2024-01-15"), ("2024-01-09", "2024-01-20"), ("2024-01-21", "9999-12-31")):
+        state.apply(days.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))))
+    return state.read()
+
+
 EVENT_RECORD = T.StructType([*RAW_RECORD.fields, T.StructField("start_at", T.TimestampType())])
 
 

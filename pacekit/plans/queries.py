@@ -671,6 +671,7 @@ REGISTRY = {
     "catalog_keyed_upsert": catalog_keyed_upsert,
     "snapshot_split": L.snapshot_split,
     "team_benchmark": team_benchmark,
+    "rolling_incremental": L.rolling_incremental,
     "stream_incremental_upsert": L.stream_incremental_upsert,
     "stream_event_time_upsert": L.stream_event_time_upsert,
     "incremental_fact_upsert": L.incremental_fact_upsert,

@@ -21,7 +21,7 @@ def reference_queries():
 
 FILE_ROUND_TRIPS = {"snapshot_explode", "snapshot_rejects", "page_union", "entity_pages", "csv_summary",
                     "full_refresh_layers", "stream_incremental_upsert", "incremental_fact_upsert",
-                    "stream_event_time_upsert", "snapshot_split"}
+                    "stream_event_time_upsert", "snapshot_split", "rolling_incremental"}
 # queries that write a rollup, the mart or team rows once and read it several times
 STORED_ONCE = {"densified_daily", "rolling_load_7_28", "load_ratio_label", "mart_full", "quality_report",
                "mart_contract", "duplicate_keys", "team_benchmark", "secured_rides", "catalog_keyed_upsert"}
