@@ -11,7 +11,9 @@
    told apart by their bytes. Copies collapse on the map side, so a hot group
    reaches its owner as one row per task.
 4. Owner tasks take whole buckets, number the chain of each key and write the
-   index to the shared folder; the rows then look their entry up.
+   index to the shared folder.
+5. Every row is routed through the same directory to its bucket, finds its key
+   there and walks the key's chain to the entry with its digest.
 
 Defined cases: a null text equals the empty one; in an empty table nothing is
 returned; of rows with the largest doc_id repeated (same id, same text) one is
@@ -43,33 +45,45 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DE
     return filled.groupBy("cell").agg(F.min(fits).alias("depth"))
 
 
-def build_index(rows: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
+def routed(rows: DataFrame, cells: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """``rows`` (with a key) and the ``depth`` and ``bucket`` that the directory gives them."""
+    cell = F.shiftrightunsigned(F.col("key"), 64 - max_depth)
+    bucket = F.expr(f"shiftrightunsigned(cell, {max_depth} - depth)")
+    return (rows.withColumn("cell", cell).join(F.broadcast(cells), "cell")      # at most 2**max_depth cells
+            .withColumn("bucket", bucket).drop("cell"))
+
+
+def build_index(rows: DataFrame, cells: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """The stored index: one entry per distinct text.
 
-    ``rows`` has (doc_id, text, key). Entries: bucket, depth, key, chain,
-    text_sha256, keep_id, group_size.
+    ``rows`` has (doc_id, text, key), ``cells`` is the directory. Entries: depth, bucket, key, chain,
+    entry_sha256, keep_id, group_size.
     """
-    d = F.broadcast(directory(rows, capacity, max_depth))
-    cell = F.shiftrightunsigned(F.col("key"), 64 - max_depth).alias("cell")
-    placed = rows.select("doc_id", "text", "key", cell).join(d, "cell")
-    bucket = F.expr(f"shiftrightunsigned(cell, {max_depth} - depth)")
-    entries = (placed.groupBy(bucket.alias("bucket"), "depth", "key", "text")
+    placed = routed(rows.select("doc_id", "text", "key"), cells, max_depth)
+    entries = (placed.groupBy("bucket", "depth", "key", "text")
                .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-               .select("bucket", "depth", "key", F.sha2(F.col("text"), 256).alias("text_sha256"),
+               .select("bucket", "depth", "key", F.sha2(F.col("text"), 256).alias("entry_sha256"),
                        "keep_id", "group_size"))
-    chain = F.row_number().over(Window.partitionBy("depth", "bucket", "key").orderBy("text_sha256"))
+    chain = F.row_number().over(Window.partitionBy("depth", "bucket", "key").orderBy("entry_sha256"))
     owned = entries.repartition("depth", "bucket").withColumn("chain", chain)
     return stored(owned, "dedup-index")
 
 
+def look_up(probe: DataFrame, index: DataFrame) -> DataFrame:
+    """Rows with (depth, bucket, key, text_sha256) and their entry: the bucket and key lead to a chain,
+    the digest of the bytes to the entry in it."""
+    return probe.join(index, ["depth", "bucket", "key"]).filter("text_sha256 = entry_sha256")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 capacity: int = CAPACITY) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
-    index = build_index(rows, capacity).select("key", "text_sha256", "keep_id", "group_size")
-    probe = rows.select("doc_id", "key", F.sha2(F.col("text"), 256).alias("text_sha256"))
-    found = probe.join(index, ["key", "text_sha256"])
+    cells = stored(directory(rows, capacity), "dedup-directory")
+    index = build_index(rows, cells)
+    probe = routed(rows.select("doc_id", "key", F.sha2(F.col("text"), 256).alias("text_sha256")), cells)
+    found = look_up(probe, index)
     # a listing of one document twice must not survive twice
     again = F.row_number().over(Window.partitionBy("doc_id", "text_sha256").orderBy("key"))
     return found.select(
@@ -79,13 +93,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; one listing of each kept document."""
+    """The rows of ``docs`` that stay, all columns; one listing of each kept document. The id and
+    the text must be unambiguous column names."""
+    for name in (id_col, text_col):
+        if docs.columns.count(name) != 1:
+            raise ValueError(f"{name} must name one column")
     kept = exact_dedup(docs, id_col, text_col).filter("kept").select(
         F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
     rows = docs.withColumn("_sha", F.sha2(whole_text(text_col), 256))
     cond = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
     left = rows.join(kept, cond, "left_semi")
-    if left.columns.count(id_col) == 1:
-        w = Window.partitionBy(id_col, "_sha").orderBy(F.lit(0))
-        left = left.withColumn("_again", F.row_number().over(w)).filter("_again = 1").drop("_again")
+    w = Window.partitionBy(id_col, "_sha").orderBy(F.lit(0))
+    left = left.withColumn("_again", F.row_number().over(w)).filter("_again = 1").drop("_again")
     return left.drop("_sha")

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from pacekit.llm.exact_dedup import directory, drop_exact_copies, exact_dedup
+from pacekit.llm.exact_dedup import build_index, directory, drop_exact_copies, exact_dedup, look_up, routed
 from pacekit.llm.mixing import mix, targets
 from pacekit.llm.sharding import communication_matrix, shuffle_to_shards
 from tests.llm.helpers import awkward, clashing, docs
@@ -134,3 +134,20 @@ def test_shards_carry_every_column_of_repeated_and_null_rows(spark):
     assert got.columns == [*df.columns, "shard", "slot"]
     assert Counter(got.select(df.columns).collect()) == Counter(df.collect())
     assert len(got.select("shard", "slot").distinct().collect()) == df.count()
+
+
+def test_rows_find_their_entry_by_bucket_and_chain(spark):
+    """Keys are made to collide: chains tell texts apart, and a row sent to another bucket finds nothing."""
+    rows = docs(spark, [(k, f"text {k % 40}") for k in range(300)]).select(
+        "doc_id", "text", ((F.crc32("text") % 3 - 1) * (1 << 62)).cast("long").alias("key"))
+    cells = directory(rows, capacity=1, max_depth=8)
+    index = build_index(rows, cells, 8)
+    assert index.agg(F.max("chain")).first()[0] > 5 and index.count() == 40
+    probe = routed(rows.select("doc_id", "key", F.sha2("text", 256).alias("text_sha256")), cells, 8)
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in look_up(probe, index).collect()}
+    size = {k: sum(1 for j in range(300) if j % 40 == k) for k in range(40)}
+    assert got == {k: (max(j for j in range(300) if j % 40 == k % 40), size[k % 40]) for k in range(300)}
+    astray = probe.withColumn("bucket", F.col("bucket") + 1)
+    assert look_up(astray, index).count() == 0
+    with pytest.raises(ValueError):
+        drop_exact_copies(docs(spark, [(1, "a")]).withColumnRenamed("lang", "doc_id"))
