@@ -140,9 +140,12 @@ def scan(text: str) -> list[dict]:
             if m.end(2) - m.start(2) >= LEAST["assign"]:
                 covered.append(m.span())
                 out.append((m.start(), 0, m.end(), guess_cost(m.group(2))))
+        at = 0                                               # both lists ascend and do not overlap
         for m in CONTEXT.finditer(text):
             a, b = m.span(m.lastindex)
-            if not any(s < b and a < e for s, e in covered):
+            while at < len(covered) and covered[at][1] <= a:
+                at += 1
+            if at == len(covered) or covered[at][0] >= b:
                 cost = guess_cost(m.group(m.lastindex))
                 if cost >= THRESHOLD:
                     out.append((a, 3, b, cost))

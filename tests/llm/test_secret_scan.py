@@ -97,3 +97,18 @@ def test_query_digest(spark, tmp_path):
         text = ",".join(f"{names[k]}:{s}:{e}" for s, k, e in want)
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(1 for w in want if w[1] == k) for k in range(3)]
+
+
+def test_many_assignments_are_one_walk():
+    """Contexts beside long assignments: the same spans as comparing every pair, in linear time."""
+    import time
+
+    text = "password: hunter2hunter2x passwd is Zq9!kk token=abcdefghijkl my secret is correct horse\n" * 6000
+    began = time.perf_counter()
+    found = scan(text)
+    assert time.perf_counter() - began < 20
+    assert len([s for s in found if s["kind"] == "assign"]) == 12_000
+    unit = len(text) // 6000
+    first = [(s["kind"], s["start"], s["end"]) for s in found if s["end"] <= unit]
+    last = [(s["kind"], s["start"] - 5999 * unit, s["end"] - 5999 * unit) for s in found if s["start"] >= 5999 * unit]
+    assert first == last
