@@ -33,7 +33,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pacekit.llm.common import stored, whole_text
@@ -282,12 +282,16 @@ def pack_items(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
         k += 1
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS) -> DataFrame:
+def totals() -> list[Column]:
+    return [F.sum("doc_tokens").alias("tokens"), F.sum(F.size("pieces")).alias("pieces")]
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS, size: dict | None = None) -> DataFrame:
     """Give every piece of :func:`token_pieces` its sequence_id and offset; if it has ids, ids_crc32 is
-    taken from the packed sequence."""
+    taken from the packed sequence. ``size`` has the :func:`totals` where they are known."""
     rows = pieces.select("doc_id", "doc_tokens", F.monotonically_increasing_id().alias("_at"),
                          F.explode("pieces").alias("p")).select("doc_id", "doc_tokens", "_at", "p.*")
-    size = pieces.agg(F.sum("doc_tokens").alias("tokens"), F.sum(F.size("pieces")).alias("pieces")).first()
+    size = size or pieces.agg(*totals()).first().asDict()
     groups = max(1, -(-(size["tokens"] or 0) // (capacity * windows)), -(-(size["pieces"] or 0) // GROUP_PIECES))
     group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("long")
     rows = rows.withColumn("_hash", group)
@@ -334,7 +338,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
                    with_ids: bool = False, **kw) -> DataFrame:
     """One row per piece: doc_id, doc_tokens, start, length, ids_crc32[, ids], sequence_id, offset,
     sequence_tokens, padded_length (the capacity, or the tokens where they are a power of two)."""
-    pieces = stored(token_pieces(docs, tokenizer_path, capacity=capacity, with_ids=with_ids, **kw), "pieces")
-    out = pack(pieces, capacity)
+    seen = Observation()                            # the write counts what it writes
+    pieces = token_pieces(docs, tokenizer_path, capacity=capacity, with_ids=with_ids, **kw)
+    pieces = stored(pieces.observe(seen, *totals()), "pieces")
+    out = pack(pieces, capacity, size=seen.get)
     power = F.expr("sequence_tokens & (sequence_tokens - 1)") == 0
     return out.withColumn("padded_length", F.when(power, F.col("sequence_tokens")).otherwise(F.lit(capacity)).cast("long"))
