@@ -98,7 +98,10 @@ class WordEncoder:
         parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(mixed))
         single = lower.filter(pa.array(letters))
         coded = pa.chunked_array([single, parts.flatten()]).combine_chunks().dictionary_encode()
-        encoded = [self.piece(p) for p in coded.dictionary.to_pylist()]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        encoded = list(map(self.cache.get, distinct))
+        for i in [i for i, ids in enumerate(encoded) if ids is None]:
+            encoded[i] = self.piece(distinct[i])
         known = len(encoded)
         encoded += [self.long_way(w) for w in words.filter(pa.array(~plain)).to_pylist()]
         pieces = np.ones(len(words), np.int64)               # a word taken the long way is one piece
