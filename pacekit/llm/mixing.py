@@ -11,7 +11,7 @@ so a source's taken words stay near its target whatever the offset.
 The order is cut into blocks of at most about 20,000 rows (size band, then a
 hash range, each block in size order), so a source with a third of all rows is ranked by many tasks and
 joined by one prefix sum over the blocks. Only the source table (one row per
-source) is ordered as a whole.
+source) is ordered as a whole. The texts are read once, to store every document's size.
 
 Defined cases: null texts have size 0; sources with no words have target 0 and
 are taken 0 times; null sources form one source, ordered last; repeated rows
@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacekit.llm.common import add_blocks, blocked_rank, n_words, null_safe_join, whole_text
+from pacekit.llm.common import add_blocks, blocked_rank, n_words, null_safe_join, stored, whole_text
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -62,6 +62,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: doc_id, size, source_size, target, taken, copies, source."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        n_words(whole_text(text_col)).alias("size"))
+    # sizes, bands, ranks and copies are all read from this; the texts are read once, here
+    rows = stored(rows, "mix-sizes")
     rows = rows.withColumn("band", F.floor(F.sqrt(F.col("size").cast("double"))).cast("long"))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
     rows = rows.withColumn("h", key).withColumn(

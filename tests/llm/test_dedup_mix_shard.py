@@ -83,6 +83,13 @@ def test_mix_is_near_targets_and_reruns_agree(spark):
     assert sum(t for _, t in by.values()) == pytest.approx(1.5 * sum(r.size for r in got), rel=0.01)
 
 
+def test_mix_reads_the_texts_once(spark, tmp_path):
+    docs(spark, [(i, "w " * (i % 9), f"s{i % 2}") for i in range(50)]).write.parquet(f"{tmp_path}/d")
+    out = mix(spark.read.parquet(f"{tmp_path}/d"))
+    assert out.count() == 50
+    assert not [f for f in out.inputFiles() if str(tmp_path) + "/d" in f]     # sizes were stored, and are read from there
+
+
 def test_mix_awkward_rows(spark):
     df = clashing(awkward(spark))
     got = mix(df).collect()
