@@ -30,8 +30,11 @@ def version_block(version: int, name: str) -> str:
 
 
 def header_safe(value: Column) -> Column:
-    """A value as one space-free field: white space and controls as %XX, ``-`` if empty."""
-    out = F.regexp_replace(value, "%", "%25")
+    """A value as one space-free field: white space and controls as %XX, ``-`` if empty.
+
+    Percent signs stay, so a URL that is escaped already is not escaped again.
+    """
+    out = value
     for c in (*range(0x21), 0x7F):
         out = F.replace(out, F.lit(chr(c)), F.lit(f"%{c:02X}"))
     return F.when(F.coalesce(F.length(value), F.lit(0)) == 0, F.lit("-")).otherwise(out)

@@ -215,5 +215,8 @@ def convert_pages(pages: DataFrame, min_bytes: int = 0, file_bytes: int = FILE_B
     write_warc(arc_path, read_arc(spark, arc_path, False), warc_path, min_bytes)
     back = read_warc(spark, warc_path)
     targets = back.filter("record_type = 'response'").select(
-        F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"))
-    return back.join(targets, "refers_to_record", "left")
+        F.col("record_id").alias("_target"), F.col("page_id").alias("_page"))
+    # a response looks itself up: it has no record to refer to, and a null key would be one hot key
+    found = back.join(targets, F.coalesce("refers_to_record", "record_id") == F.col("_target"), "left")
+    return found.withColumn("refers_to", F.when(F.col("refers_to_record").isNotNull(), F.col("_page"))).drop(
+        "_target", "_page")

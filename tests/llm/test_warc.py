@@ -59,5 +59,12 @@ def test_round_trip_matches_brute_force(spark, min_bytes):
     assert len({r.record_id for r in got}) == len(got)
 
 
+def test_escaped_urls_stay_and_responses_refer_to_nothing(spark):
+    urls = ["http://h/a%20b", "http://h/a b\t%41", "", None]
+    got = convert_pages(spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], SCHEMA)).collect()
+    assert {r.page_id: r.url for r in got} == {0: "http://h/a%20b", 1: "http://h/a%20b%09%41", 2: "-", 3: "-"}
+    assert {(r.record_type, r.refers_to_record, r.refers_to) for r in got} == {("response", None, None)}
+
+
 def test_empty_table(spark):
     assert convert_pages(spark.createDataFrame([], SCHEMA)).count() == 0
