@@ -10,7 +10,8 @@
    rates, length. Words are dictionary-encoded per batch, so every distinct word
    is judged once and counts are gathered.
 3. Spark ML's gradient-boosted trees are fitted on those features, and isotonic
-   regression maps their probability to a calibrated score.
+   regression maps their probability to a calibrated score. It learns from
+   out-of-fold probabilities: each half of the rows by trees fitted on the other.
 
 Training uses labelled rows outside the held-out fold (crc32 of the id as text,
 mod 3, is 1), at most ``TRAIN_ROWS`` of them, taken by hash; that bound is the
@@ -19,7 +20,9 @@ only sample. Labels, language, source and id are not features.
 Defined cases: null and empty texts have all-zero features and get the score of
 those; null or missing labels are not used; several labels of one document
 count as toxic if any is; with fewer than two classes to learn from, the score
-is the share of toxic labels (0 without labels); an empty table gives no rows.
+is the share of toxic labels (0 without labels); with fewer than two classes in
+either half, the calibration uses the probabilities of the trees of all rows;
+an empty table gives no rows. Rows that share an id get one score each, by their text.
 """
 
 from __future__ import annotations
@@ -195,17 +198,34 @@ def features(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...] =
     return docs.select("doc_id", "text", *keep).mapInArrow(run, schema)
 
 
+def first_half():
+    """True for one half of the training rows, by hash."""
+    return F.xxhash64(F.lit("half"), "doc_id") % 2 == 0
+
+
 def cross_features(train: DataFrame) -> DataFrame:
     """Features of the training rows, each half by the lexicon of the other half.
 
     A lexicon always fits the rows it was learned from; trees that saw those
     features would trust its chance entries.
     """
-    half = F.xxhash64(F.lit("half"), "doc_id") % 2 == 0
-    a, b = train.filter(half), train.filter(~half)
+    a, b = train.filter(first_half()), train.filter(~first_half())
     return features(a, learn_lexicon(b), ("toxic",)).unionByName(features(b, learn_lexicon(a), ("toxic",)))
 
 
+def margins(model, rows: DataFrame) -> DataFrame:
+    """(toxic, margin): the probability that the trees give each row."""
+    return model.transform(rows).select("toxic", vector_to_array("probability")[1].alias("margin"))
+
+
+def out_of_fold(rows: DataFrame, trees: GBTClassifier) -> DataFrame | None:
+    """Margins of each half by trees fitted on the other half; none if a half lacks one of the classes."""
+    halves = [rows.filter(first_half()), rows.filter(~first_half())]
+    if rows.groupBy(first_half(), "toxic").count().count() < 4:
+        return None
+    return margins(trees.fit(halves[0]), halves[1]).unionByName(margins(trees.fit(halves[1]), halves[0]))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    train_limit: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
@@ -221,11 +241,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         seen = stored(cross_features(train), "toxicity-features").select(
             "doc_id", "toxic", array_to_vector("features").alias("features"))
         seed_rows = seen.repartition(4).cache()
-        trees_model = GBTClassifier(labelCol="toxic", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7,
-                                    maxBins=64, cacheNodeIds=False).fit(seed_rows)
-        margin = trees_model.transform(seed_rows).select(
-            "toxic", vector_to_array("probability")[1].alias("margin"))
-        level = IsotonicRegression(featuresCol="margin", labelCol="toxic").fit(margin)
+        boosted = GBTClassifier(labelCol="toxic", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7,
+                                maxBins=64, cacheNodeIds=False)
+        trees_model = boosted.fit(seed_rows)
+        learned = out_of_fold(seed_rows, boosted)
+        level = IsotonicRegression(featuresCol="margin", labelCol="toxic").fit(
+            margins(trees_model, seed_rows) if learned is None else learned)
         xs, ys = level.boundaries.toArray().tolist(), level.predictions.toArray().tolist()
         seed_rows.unpersist()
         every = features(rows, lexicon).select("doc_id", array_to_vector("features").alias("features"))
