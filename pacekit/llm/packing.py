@@ -44,7 +44,7 @@ CUT = 256
 WINDOWS = 128
 GROUP_PIECES = 20_000
 BATCH_BYTES = 8 << 20
-CACHE_WORDS = 200_000
+JOINED = 256                                   # pieces that go through the merges in one call
 
 
 class WordEncoder:
@@ -54,9 +54,10 @@ class WordEncoder:
     concatenation of its words. Texts are split, and words that occur again in a
     batch are told, by Arrow's kernels. Words of plain letters, digits and signs
     are lower-cased and cut by the tokenizer's published rule, and each distinct
-    piece is encoded once per worker; any other word, and any text with unusual
-    white space, control characters or an added token's literal, goes through the
-    whole tokenizer.
+    piece of a batch goes through the tokenizer's merges once, many to a call: the
+    last token of a piece is marked as such in the vocabulary. Any other word, and
+    any text with unusual white space, control characters or an added token's
+    literal, goes through the whole tokenizer.
     """
 
     # Unusual white space and controls, in RE2 syntax.
@@ -68,54 +69,66 @@ class WordEncoder:
     PIECES = r"(\pL+|\pN|[^\pL\pN]+)"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = "|".join([self.ODD, *[f"(?i:{re.escape(t)})" for t in added]])
-        self.model = self.tokenizer.model
-        self.cache: dict[str, list[int]] = {}
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.letters = byte_letters()
 
     def long_way(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def piece(self, p: str) -> list[int]:
-        ids = self.cache.get(p)
-        if ids is None:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            seen = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
-            ids = self.cache[p] = [t.id for t in self.model.tokenize(seen)]
-        return ids
+    def merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in a row, and the number of ids of each."""
+        out = [np.zeros(0, np.uint32)]
+        for i in range(0, len(pieces), JOINED):
+            seen = [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
+                    for p in pieces[i:i + JOINED]]
+            coded, = self.merges.encode_batch_fast([" ".join(seen)], add_special_tokens=False)
+            out.append(np.array(coded.ids, np.uint32))
+        ids = np.concatenate(out)
+        each = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        if len(each) != len(pieces) - pieces.count(""):
+            raise ValueError("the vocabulary does not mark the last token of a word")
+        size = np.zeros(len(pieces), np.int64)               # none for an empty piece
+        size[[p != "" for p in pieces]] = each
+        return ids, size
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words in a row, and the number of ids of each word."""
         plain = ~pc.match_substring_regex(words, self.NOT_PLAIN).to_numpy(zero_copy_only=False)
         lower = pc.utf8_lower(words.filter(pa.array(plain)))
         letters = pc.utf8_is_alpha(lower).to_numpy(zero_copy_only=False)    # one piece: nothing to cut
-        mixed = pc.replace_substring_regex(lower.filter(pa.array(~letters)), self.PIECES, r"\1 ")
+        single, rest = lower.filter(pa.array(letters)), lower.filter(pa.array(~letters))
+        stem, sign = pc.utf8_slice_codeunits(rest, 0, -1), pc.utf8_slice_codeunits(rest, -1)
+        ended = pc.and_not(pc.utf8_is_alpha(stem), pc.utf8_is_alpha(sign))    # letters and one sign: two pieces
+        stem, sign = stem.filter(ended), sign.filter(ended)
+        mixed = pc.replace_substring_regex(rest.filter(pc.invert(ended)), self.PIECES, r"\1 ")
         parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(mixed))
-        single = lower.filter(pa.array(letters))
-        coded = pa.chunked_array([single, parts.flatten()]).combine_chunks().dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        encoded = list(map(self.cache.get, distinct))
-        for i in [i for i, ids in enumerate(encoded) if ids is None]:
-            encoded[i] = self.piece(distinct[i])
-        known = len(encoded)
-        encoded += [self.long_way(w) for w in words.filter(pa.array(~plain)).to_pylist()]
-        pieces = np.ones(len(words), np.int64)               # a word taken the long way is one piece
-        cut = np.flatnonzero(plain)[~letters]
-        pieces[cut] = np.diff(np.asarray(parts.offsets))
-        kind = np.where(plain, 1, 0)                         # 0: the long way, 1: letters, 2: cut
-        kind[cut] = 2
+        coded = pa.chunked_array([single, stem, sign, parts.flatten()]).combine_chunks().dictionary_encode()
+        pool, size = self.merged(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        others = [np.array(self.long_way(w), np.uint32) for w in words.filter(pa.array(~plain)).to_pylist()]
+        known = len(size)
+        size = np.concatenate([size, np.array([len(x) for x in others], np.int64)])
+        pool = np.concatenate([pool, *others])
+        two = ended.to_numpy(zero_copy_only=False)
+        kind = np.where(plain, 1, 0)                         # 0: the long way, 1: letters, 2: letters and sign, 3: cut
+        kind[np.flatnonzero(plain)[~letters]] = np.where(two, 2, 3)
+        pieces = np.maximum(kind, 1)                         # a word taken the long way is one piece
+        pieces[kind == 3] = np.diff(np.asarray(parts.offsets))
         own = np.repeat(kind, pieces)
         at = np.empty(len(own), np.int64)
         index = coded.indices.to_numpy(zero_copy_only=False)
-        at[own == 1], at[own == 2] = index[:len(single)], index[len(single):]
-        at[own == 0] = known + np.arange(int((own == 0).sum()))
-        size = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        pool = np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum()))
+        a, b, c = np.cumsum([len(single), len(stem), len(sign)])
+        at[own == 0] = known + np.arange(len(others))
+        at[own == 1], at[own == 3] = index[:a], index[c:]
+        at[own == 2] = np.column_stack([index[a:b], index[b:c]]).ravel()
         ids, each = gather(pool, size, at)
         return ids, counted(each, pieces)
 
