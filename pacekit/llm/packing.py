@@ -77,9 +77,10 @@ class WordEncoder:
         self.merges = Tokenizer(self.tokenizer.model)
         self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last = np.zeros(max(END_ID, *vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.letters = byte_letters()
+        self.kept = np.dtype("<u2" if len(self.last) <= 1 << 16 else "<u4")   # holds every id of the vocabulary
 
     def long_way(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -204,8 +205,11 @@ def cuts(n: int, capacity: int = CAPACITY, cut: int = CUT) -> list[tuple[int, in
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                  text_col: str = "text", capacity: int = CAPACITY, cut: int = CUT,
                  with_ids: bool = False) -> DataFrame:
-    """Rows (doc_id, doc_tokens, pieces array<(start, length, ids_crc32[, ids])>)."""
-    ids_type = ", ids: array<int>" if with_ids else ""
+    """Rows (doc_id, doc_tokens, pieces array<(start, length, ids_crc32[, ids])>).
+
+    ``ids`` has the ids as little-endian integers of two bytes, of four where the vocabulary needs them.
+    """
+    ids_type = ", ids: binary" if with_ids else ""
     kind = f"doc_id long, doc_tokens long, pieces array<struct<start: long, length: long, ids_crc32: long{ids_type}>>"
 
     def run(batches):
@@ -226,7 +230,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 at = np.repeat(first, each) + start
                 fields = [pa.array(start), pa.array(length), pa.array(checksums(tokens, at, length))]
                 if with_ids:                               # the pieces lie in a row in ``tokens``
-                    fields.append(runs(at, pa.array(tokens.view(np.int32))))
+                    fields.append(byte_runs(at, tokens.astype(enc.kept)))
                 pieces = pa.StructArray.from_arrays(fields, fields=list(arrow_kind(with_ids).value_type))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(counts + 1),
@@ -248,9 +252,22 @@ def runs(at: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(at, len(values)).astype(np.int32)), values)
 
 
+def byte_runs(at: np.ndarray, values: np.ndarray) -> pa.Array:
+    """The bytes of runs that begin ``at`` and cover the values."""
+    ends = (np.append(at, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def run_values(data: pa.Array, values: int) -> np.ndarray:
+    """What :func:`byte_runs` holds, as 32-bit integers; ``values`` is their number."""
+    ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1]
+    width = int(ends[-1] - ends[0]) // max(1, values)
+    return np.frombuffer(data.buffers()[2], f"<u{width}", values, int(ends[0])).astype("<u4")
+
+
 def arrow_kind(with_ids: bool) -> pa.DataType:
     fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-    return pa.list_(pa.struct(fields + ([("ids", pa.list_(pa.int32()))] if with_ids else [])))
+    return pa.list_(pa.struct(fields + ([("ids", pa.binary())] if with_ids else [])))
 
 
 def difference(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -337,15 +354,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, windows: int = WINDOWS, si
         tokens = np.add.reduceat(length, starts)
         table = table.take(pa.array(order))
         if "ids" in carried:                        # in a row, the sequences one after another
-            packed = table["ids"].combine_chunks().flatten().to_numpy().astype("<u4")
+            packed = run_values(pa.concat_arrays(table["ids"].chunks).cast(pa.binary()), int(length.sum()))
             table = table.set_column(carried.index("ids_crc32"), "ids_crc32",
                                      pa.array(checksums(packed, before, length)))
+            table = table.set_column(carried.index("ids"), "ids", runs(before, pa.array(packed.view(np.int32))))
         for name, values in (("sequence_id", key[0].as_py() * (1 << 24) + window),
                              ("offset", before - before[starts][run_of]), ("sequence_tokens", tokens[run_of])):
             table = table.append_column(name, pa.array(values.astype(np.int64)))
         return table
 
-    kinds = dict(rows.dtypes)
+    kinds = dict(rows.dtypes) | {"ids": "array<int>"}
     schema = ", ".join(f"{c} {kinds[c]}" for c in carried) + ", sequence_id long, offset long, sequence_tokens long"
     return rows.select("_group", *carried).groupBy("_group").applyInArrow(run, schema)
 
