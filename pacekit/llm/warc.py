@@ -9,7 +9,8 @@
    ``response``, the others are ``revisit`` records that refer to it and carry HTTP
    headers only. Equal means equal SHA-1, SHA-256 and length. The choice is
    an aggregation over digests; a revisit's payload is never shuffled.
-4. The WARC files are read back by their declared lengths.
+4. The WARC files are read back by their declared lengths, once: a revisit has the
+   id of the record it refers to, and in a field of its own that record's page id.
 
 Files are gzipped and written and read by Spark alone, so any file system that
 Spark reads will do. Defined cases: null html is an empty payload; payloads
@@ -116,6 +117,8 @@ def warc_record(row: dict, payload: bytes) -> str:
         lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(row['first_rec'])}",
                   f"WARC-Refers-To-Target-URI: {row['first_url']}",
                   f"WARC-Refers-To-Date: {iso_date(row['first_date'])}"]
+        if row["first_page"] is not None:
+            lines.append(f"X-Refers-To-Page-Id: {row['first_page']}")
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(lines) + "\r\n\r\n" + block.decode("utf-8")
 
@@ -186,10 +189,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         raise ValueError("block digest")
                     if f["WARC-Type"] == "response" and base32_sha1(payload) != digest:
                         raise ValueError("payload digest")
-                    page = http_field(head, "X-Page-Id")
+                    page, first = http_field(head, "X-Page-Id"), f.get("X-Refers-To-Page-Id")
                     rows.append((int(page) if page else None, f["WARC-Record-ID"], f["WARC-Type"], f["WARC-Date"],
                                  f["WARC-Target-URI"], digest, int(http_field(head, "Content-Length")),
-                                 zlib.crc32(payload), f.get("WARC-Refers-To")))
+                                 zlib.crc32(payload), f.get("WARC-Refers-To"), int(first) if first else None))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), OUT_WARC, strict=True)],
@@ -197,26 +200,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     return whole_files(spark, path, "*.txt.gz").mapInArrow(
         run, "page_id long, record_id string, record_type string, date string, url string, payload_digest string, "
-             "payload_bytes long, payload_crc32 long, refers_to_record string")
+             "payload_bytes long, payload_crc32 long, refers_to_record string, refers_to long")
 
 
 OUT_WARC = pa.schema([("page_id", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()),
                       ("date", pa.string()), ("url", pa.string()), ("payload_digest", pa.string()),
-                      ("payload_bytes", pa.int64()), ("payload_crc32", pa.int64()), ("refers_to_record", pa.string())])
+                      ("payload_bytes", pa.int64()), ("payload_crc32", pa.int64()), ("refers_to_record", pa.string()),
+                      ("refers_to", pa.int64())])
 
 
 def convert_pages(pages: DataFrame, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Pages through ARC and WARC files; the rows of :func:`read_warc` with refers_to as a page id."""
+    """Pages through ARC and WARC files; the rows of :func:`read_warc`."""
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     arc_path, warc_path = scratch_dir(spark, "arc"), scratch_dir(spark, "warc")
     write_arc(rows, arc_path, file_bytes)
     write_warc(arc_path, read_arc(spark, arc_path, False), warc_path, min_bytes)
-    back = read_warc(spark, warc_path)
-    targets = back.filter("record_type = 'response'").select(
-        F.col("record_id").alias("_target"), F.col("page_id").alias("_page"))
-    # a response looks itself up: it has no record to refer to, and a null key would be one hot key
-    found = back.join(targets, F.coalesce("refers_to_record", "record_id") == F.col("_target"), "left")
-    return found.withColumn("refers_to", F.when(F.col("refers_to_record").isNotNull(), F.col("_page"))).drop(
-        "_target", "_page")
+    return read_warc(spark, warc_path)

@@ -57,6 +57,8 @@ def test_round_trip_matches_brute_force(spark, min_bytes):
     assert sorted((r.page_id is None, r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type,
                    -1 if r.refers_to is None else r.refers_to) for r in got) == sorted(want)
     assert len({r.record_id for r in got}) == len(got)
+    page = {r.record_id: r.page_id for r in got if r.record_type == "response"}
+    assert all(page[r.refers_to_record] == r.refers_to for r in got if r.record_type == "revisit")
 
 
 def test_escaped_urls_stay_and_responses_refer_to_nothing(spark):
