@@ -76,7 +76,7 @@ def write_arc(pages: DataFrame, path: str, file_bytes: int) -> None:
     rows = arc_records(pages, file_bytes)
     rows = rows.repartition("_file").sortWithinPartitions("_file", "_part", "_seq")
     (rows.select("_file", "value").write.partitionBy("_file").option("lineSep", "\n")
-     .option("compression", "gzip").text(path))
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def parse_arc(data: bytes) -> Iterator[tuple[int, dict, memoryview]]:
