@@ -182,21 +182,35 @@ def snapshot_roots(spark: SparkSession, path: str, name_pattern: str, latest_onl
 
 
 def _snapshot_documents(spark: SparkSession, path: str, name_pattern: str, latest_only: bool) -> DataFrame:
-    """(snapshot, text, doc): every document of the chosen snapshots."""
+    """(snapshot, text, doc): every document of the chosen snapshots.
+
+    A file is read line by line, by as many tasks as it has splits, when each of its lines is
+    one document; that is found in a first pass over the lines. Only a file whose one document
+    spans lines is read as a whole.
+    """
     roots = snapshot_roots(spark, path, name_pattern, latest_only)
-    text = (spark.read.text(roots, wholetext=True, recursiveFileLookup=True)
-            .withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 0)))
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
-    by_line = F.forall(lines, lambda x: F.trim(x).rlike(r"^\{.*\}$"))
-    docs = text.select("snapshot", F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("text"))
-    return docs.withColumn("doc", F.from_json("text", SNAPSHOT_SCHEMA))
+
+    def text(**how) -> DataFrame:
+        return spark.read.text(roots, recursiveFileLookup=True, **how).select(
+            F.col("_metadata.file_path").alias("file"), "value")
+
+    lines = text(lineSep="\n").withColumn("value", F.regexp_replace("value", r"\r\z", "")).filter(F.trim("value") != "")
+    by_line = F.bool_and(F.trim("value").rlike(r"^\{.*\}$"))
+    # only the names of files whose document spans lines come here, as the listing does
+    spans = [r["file"] for r in lines.groupBy("file").agg(by_line.alias("by_line")).filter("not by_line").collect()]
+    docs = lines
+    if spans:
+        docs = lines.filter(~F.col("file").isin(spans)).unionByName(text(wholetext=True).filter(F.col("file").isin(spans)))
+    return docs.select(F.regexp_extract("file", name_pattern, 0).alias("snapshot"), F.col("value").alias("text"),
+                       F.from_json("value", SNAPSHOT_SCHEMA).alias("doc"))
 
 
 def read_snapshot(spark: SparkSession, path: str, name_pattern: str = r"activities_raw_[^/.]*",
                   latest_only: bool = True, key: str = "$.id") -> DataFrame:
     """Snapshot documents ``{"extracted_at_utc": ..., "activities": [...]}`` -> one row per activity.
 
-    A file is one document (pretty-printed or not) or one per line. Each activity
+    A file is one document (pretty-printed or not) or one per line; for one that fits no task
+    there is ``snapshot_split``. Each activity
     object is read as its raw JSON text (a ``string`` field over a JSON object
     keeps the text verbatim, non-ASCII included). A snapshot is named by the
     ``activities_raw_<run>`` part of its path; with ``latest_only`` the listing

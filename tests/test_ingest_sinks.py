@@ -169,3 +169,33 @@ def test_compaction_bounds_the_batches(spark, tmp_dir):
     assert batches == {3, 4}
     cur = read_current(spark, table, ["athlete_id", "activity_id"])
     assert cur.count() == 3 and cur.filter("extracted_at_utc = '2024-04-05 00:00:00'").count() == 3
+
+
+def test_documents_on_lines_are_read_by_many_tasks(spark, tmp_dir):
+    """A file of many documents is never one row; files whose document spans lines lie beside it."""
+    name = f"{tmp_dir}/snap/activities_raw_20240201T000000Z"
+    os.makedirs(name)
+    docs = [json.dumps({"extracted_at_utc": "2024-02-01T00:00:00Z", "activities": [{"id": 100 * d + i} for i in range(20)]})
+            for d in range(50)]
+    docs[7] = '{"extracted_at_utc": "2024-02-01T00:00:00Z", "activities": [{"id": }]}'
+    with open(f"{name}/a.json", "w", newline="") as fh:
+        fh.write("\r\n".join(docs) + "\r\n\r\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = I.read_snapshot(spark, f"{tmp_dir}/snap")
+        assert lines.rdd.getNumPartitions() >= 4
+        assert "wholetext" not in lines._jdf.queryExecution().executedPlan().toString().lower()
+        assert len({r[0] for r in lines.select(F.spark_partition_id()).distinct().collect()}) >= 4
+        want = {100 * d + i for d in range(50) if d != 7 for i in range(20)}
+        assert {r.activity_id for r in lines.collect()} == want and lines.count() == len(want)
+        with open(f"{name}/b.json", "w") as fh:
+            fh.write(json.dumps({"extracted_at_utc": "2024-02-01T00:00:00Z", "activities": [{"id": 9001}, {"x": 1}]}, indent=1))
+        open(f"{name}/c.json", "w").close()
+        assert {r.activity_id for r in I.read_snapshot(spark, f"{tmp_dir}/snap").collect()} == want | {9001}
+        left = sorted((r.field, "".join(r.raw_text.split())) for r in I.snapshot_rejects(spark, f"{tmp_dir}/snap").collect())
+        assert left == [("$", "".join(docs[7].split())), ("id", '{"x":1}')]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
