@@ -3,11 +3,13 @@
 A dimension is folded to one row per entity that holds its versions or bands
 in an array (a handful per entity: threshold tests, zone bands). The facts meet
 it in a single equi-join on the entity and the row in force is picked by a
-higher-order function. Nothing is counted while the plan is built: AQE
-broadcasts the folded side when its measured size allows and otherwise
-sort-merges and splits a hot entity's fact partition, which it can, because the
-join stands alone in its stage - several dimensions are folded into one row
-(:func:`fold_all`) instead of being joined one after the other.
+higher-order function. Nothing is counted while the plan is built: the join is a
+sort-merge join at every size, and AQE splits a hot entity's fact partition, which it
+can, because the join stands alone in its stage - several dimensions are folded into
+one row (:func:`fold_all`) instead of being joined one after the other. The folded side
+grows with the entities, and what Spark expects of its size before it runs (the scan's
+bytes; generated rows and their arrays count for nothing) is far too small: as a
+broadcast every executor would hold all of it.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ def meet(facts: DataFrame, folded: DataFrame, keys: Sequence[str], how: str = "l
     """
     kinds = dict(facts.dtypes)
     d = folded.withColumns({k: F.col(k).cast(kinds[k]) for k in keys}).withColumn("_h", F.xxhash64(*keys))
-    return facts.withColumn("_h", F.xxhash64(*keys)).join(d, [*keys, "_h"], how).drop("_h")
+    return facts.withColumn("_h", F.xxhash64(*keys)).join(d.hint("merge"), [*keys, "_h"], how).drop("_h")
 
 
 def fold(dim: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str = "_versions") -> DataFrame:

@@ -7,8 +7,7 @@ small even when one entity owns a large share of the *facts*.
 
 ``interval_join`` is one equi-join on the entity key to the versions folded into
 an array per entity; the version in force is picked by a higher-order function.
-Spark broadcasts the folded side when its measured size allows and sort-merges
-otherwise, never a nested loop, and splits a hot entity's fact partition.
+Spark sort-merges, never a nested loop, and splits a hot entity's fact partition.
 """
 
 from __future__ import annotations

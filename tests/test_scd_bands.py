@@ -123,3 +123,14 @@ def test_hot_athlete_partitions_are_split(spark):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_a_folded_dimension_is_never_broadcast(spark):
+    """Its size before it runs is guessed from the scan: many entities would be held by every executor."""
+    thr = spark.range(0, 1000).selectExpr("id AS athlete_id", "CAST(id AS int) AS ftp_id", "200 AS ftp_watts")
+    f = spark.range(0, 2000).selectExpr("id AS activity_id", "CAST(id % 1000 AS int) AS ftp_id", "150.0D AS np")
+    j = band_join(f, MD.power_zone_dim(thr), "np", ["zone_number"], keys=["ftp_id"], how="inner",
+                  low="watts_low", high="watts_high", open_upper=True)
+    assert {r.zone_number for r in j.collect()} == {3} and j.count() == 2000
+    p = j._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in p and "Broadcast" not in p
