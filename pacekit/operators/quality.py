@@ -1,4 +1,4 @@
-"""Declarative data-quality checks evaluated in one pass.
+"""Declarative data-quality checks: one pass for all row checks, one for all unique checks.
 
 A check is a small dict:
 
@@ -11,11 +11,11 @@ Semantics follow the usual warehouse test conventions: ``accepted_values``,
 ``accepted_range`` (inclusive) and ``expression`` let NULL pass; ``where``
 filters rows first; ``unique`` counts key combinations seen more than once.
 
-The rows are read once: they are grouped by the finest key that the unique checks
-name, with partial counts of every row check, and all checks are answered from
-those counts (Spark reuses the exchange), unpivoted into
-``(check_name, column_name, kind, failures, severity, status)``. Without unique
-checks it is a single aggregate.
+The row checks are one aggregate without keys: a task holds one row of counts. Unique
+checks read their key columns alone, grouped once by the finest key that they name, and
+are answered from those counts (Spark reuses the exchange). Such groups are about as many
+as the rows, so they carry no counts of the row checks. All is unpivoted into
+``(check_name, column_name, kind, failures, severity, status)``.
 """
 
 from __future__ import annotations
@@ -59,15 +59,14 @@ def quality_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
     uniq_checks = [c for c in checks if c["kind"] == "unique"]
     fails = [F.sum(F.when(_fail_condition(c), 1).otherwise(0)).cast("long").alias(f"_q{i}")
              for i, c in enumerate(row_checks)]
-    # one pass: rows are counted per finest key, every check reads those counts
+    # rows are counted per finest key, every unique check reads those counts
     finest = list(dict.fromkeys(c for u in uniq_checks for c in u["columns"]))
     kept = [F.sum(F.when(F.expr(u["where"]) if u.get("where") else F.lit(True), 1).otherwise(0)).cast("long")
             .alias(f"_u{i}") for i, u in enumerate(uniq_checks)]
-    grouped = df.groupBy(*finest).agg(*fails, *kept) if finest else None
+    grouped = df.groupBy(*finest).agg(*kept) if finest else None
     parts = []
     if row_checks:
-        counted = df.agg(*fails) if grouped is None else grouped.agg(
-            *[F.sum(f"_q{i}").alias(f"_q{i}") for i in range(len(row_checks))])
+        counted = df.agg(*fails)
         stack_args = ", ".join(
             f"'{c['name']}', '{c.get('column') or ''}', '{c['kind']}', "
             f"coalesce(_q{i}, 0L), '{c.get('severity', 'error')}'"

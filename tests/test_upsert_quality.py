@@ -96,3 +96,16 @@ def test_null_keys_match_and_new_columns_are_an_error(spark):
     assert rows == sorted(map(tuple, once.collect()), key=str) == [(1, "a"), (2, "b"), (None, "m")]
     with pytest.raises(ValueError):
         upsert(old, new.withColumn("extra", new.o), ["k"], ["o"])
+
+
+def test_row_checks_are_not_counted_per_key(spark):
+    """Groups of a unique key are as many as the rows; they hold the key and one count."""
+    df = spark.createDataFrame([(1, "x", 1.0), (1, "x", -1.0), (2, None, None)], "k long, s string, v double")
+    checks = [{"name": "s", "kind": "not_null", "column": "s"},
+              {"name": "v", "kind": "accepted_range", "column": "v", "min": 0},
+              {"name": "u", "kind": "unique", "columns": ["k"]}, {"name": "w", "kind": "unique", "columns": ["k", "s"], "where": "v > 0"}]
+    rep = Q.quality_report(df, checks)
+    assert {r.check_name: r.failures for r in rep.collect()} == {"s": 1, "v": 1, "u": 1, "w": 0}
+    p = rep._jdf.queryExecution().optimizedPlan().toString()
+    keyed = [ln for ln in p.split("\n") if "Aggregate [k" in ln and "s#" in ln.split("]")[0]]
+    assert keyed and not any("_q" in ln for ln in keyed)
