@@ -62,9 +62,19 @@ def spine(entities: DataFrame, keys: Sequence[str], start, end_inclusive,
     return entities.select(*keys, *carry, day_series(start, end_inclusive).alias(day_col))
 
 
+DENSE_ROWS = 250_000    # generated rows of one task, about
+
+
+def dealt(entities: DataFrame, start, end_inclusive, rows: int = DENSE_ROWS) -> int:
+    """Partitions for entities x days, in proportion to them. Counts the entities (a job)."""
+    cores = entities.sparkSession.sparkContext.defaultParallelism
+    days = (end_inclusive - start).days + 1 if start is not None else 0
+    return max(cores, -(-entities.count() * days // rows))
+
+
 def densify(entities: DataFrame, facts: DataFrame, keys: Sequence[str], start,
             end_inclusive, fact_day: str, day_col: str = "date",
-            carry: Sequence[str] = ()) -> DataFrame:
+            carry: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Entities x days with the facts of each (entity, day); rest days have NULL facts.
 
     Same rows as left-joining the facts onto the spine, without joining it: each
@@ -76,12 +86,18 @@ def densify(entities: DataFrame, facts: DataFrame, keys: Sequence[str], start,
 
     Use it on facts aggregated to (entity, day): an entity then has at most one
     row per calendar day in its window partition, however hot it is.
+
+    The days are generated after the shuffle, so its bytes say little about the rows of
+    a task: ``partitions`` deals entities and facts over that many (see :func:`dealt`).
     """
     start, end = _col(start).cast("date"), _col(end_inclusive).cast("date")
     fact_cols = [c for c in facts.columns if c not in keys and c != day_col]
     day = F.col(fact_day)
     inside = facts.select(*keys, *fact_cols).filter((day >= start) & (day <= end))
-    rows = entities.select(*keys, *carry).join(inside, list(keys), "left")
+    ent = entities.select(*keys, *carry)
+    if partitions:
+        ent, inside = ent.repartition(partitions, *keys), inside.repartition(partitions, *keys).hint("merge")
+    rows = ent.join(inside, list(keys), "left")
     w = Window.partitionBy(*keys).orderBy(day)
     rows = rows.withColumn("_next", F.lead(day).over(w)).withColumn("_nth", F.row_number().over(w))
     first = F.when(F.col("_nth") == 1, start).otherwise(day)

@@ -17,12 +17,14 @@ Scale design (the facts are the big side; every dimension is per entity):
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacekit.functions import metrics as M
 from pacekit.operators.bands import band_holds, band_join, make_bands
-from pacekit.operators.calendar import date_dim, densify
+from pacekit.operators.calendar import date_dim, dealt, densify
 from pacekit.operators.lookup import first_match, fold_all, meet
 from pacekit.operators.rolling import rolling_sums
 from pacekit.operators.scd import in_force, interval_join, scd2
@@ -299,13 +301,20 @@ def _with_rest_days(d: DataFrame, ids: list[str]) -> DataFrame:
 def dense_days(entities: DataFrame, daily: DataFrame, as_of: str) -> DataFrame:
     """Entities x [first ride day .. as_of] with the columns of ``daily`` on days with rides.
 
-    The start is the global first ride day (a scalar subquery over one column, no
-    collect). ``daily`` is read twice: pass a stored table.
+    The start is the global first ride day (a scalar subquery over one column).
+    ``daily`` is read three times: pass a stored table.
     """
     start = daily.select(F.min("activity_date")).scalar()
     ent = entities.select("athlete_id", F.col("first_name").alias("athlete_name"))
     return densify(ent, daily, ["athlete_id"], start, F.lit(as_of).cast("date"),
-                   fact_day="activity_date", day_col="date", carry=["athlete_name"])
+                   fact_day="activity_date", day_col="date", carry=["athlete_name"],
+                   partitions=_day_partitions(entities, daily, as_of))
+
+
+def _day_partitions(entities: DataFrame, daily: DataFrame, as_of: str) -> int:
+    """Partitions for the days of all entities, in proportion to them."""
+    first = daily.select(F.min("activity_date")).first()[0]
+    return dealt(entities, first, date.fromisoformat(as_of))
 
 
 def densified(entities: DataFrame, daily: DataFrame, as_of: str) -> DataFrame:
@@ -320,7 +329,7 @@ def mart(entities: DataFrame, rides: DataFrame, as_of: str, daily: DataFrame | N
     """The daily mart at per-activity grain with rest days and 7/28-day load.
 
     1. ``daily`` - per-activity rollup of the rides (given, or built here). It is read
-       four times, so a caller whose rides are costly (parsed, joined) stores it first;
+       five times, so a caller whose rides are costly (parsed, joined) stores it first;
     2. load per (athlete, day) of days with rides. Rest days add nothing to a
        RANGE frame, so those days get their rolling sums from the days with
        rides alone, and meet the activity rows on (athlete, day);
@@ -342,7 +351,8 @@ def mart(entities: DataFrame, rides: DataFrame, as_of: str, daily: DataFrame | N
                     & (F.col("_r.date") == F.col("_d.activity_date")))
     ridden = ridden.select("_r.*", *[F.col(f"_d.{c}") for c in daily.columns if c != "athlete_id"])
     days = densify(ent, day_tss.withColumn("ride_day", F.col("date")), ["athlete_id"], start, end,
-                   fact_day="ride_day", day_col="date", carry=["athlete_name"])
+                   fact_day="ride_day", day_col="date", carry=["athlete_name"],
+                   partitions=_day_partitions(entities, daily, as_of))
     rest = (rolling_sums(days, ["athlete_id"], "date", "day_tss", LOAD_SPANS)
             .filter(F.col("ride_day").isNull())
             .select("athlete_id", "athlete_name", "date", *LOAD_SPANS))

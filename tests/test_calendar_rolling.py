@@ -59,3 +59,21 @@ def test_load_ratio_labels(spark):
     ratio, label = load_ratio("s", "l")
     got = [(r[0], r[1]) for r in df.select(ratio, label).collect()]
     assert got == [(2.0, "over"), (0.143, "under"), (1.0, "optimal"), (None, "no_load")]
+
+
+def test_generated_days_are_dealt_in_proportion_to_them(spark):
+    """Shuffled bytes say nothing of the days made after the shuffle: tasks follow entities x days."""
+    from pacekit.operators.calendar import dealt
+
+    ent = spark.range(0, 3000, 1, 4).select(F.col("id").alias("athlete_id"))
+    first, last = D(2024, 1, 1), D(2024, 1, 30)
+    cores = spark.sparkContext.defaultParallelism
+    assert dealt(ent, first, last, rows=3000) == 30 and dealt(ent, first, last) == cores
+    assert dealt(ent, None, last) == dealt(ent, D(2024, 2, 2), last) == cores        # no days
+    facts = spark.createDataFrame([(1, D(2024, 1, 5), 2.0), (7, D(2024, 1, 9), 1.0)],
+                                  "athlete_id bigint, day date, v double")
+    whole = densify(ent, facts, ["athlete_id"], "2024-01-01", "2024-01-30", "day")
+    parts = densify(ent, facts, ["athlete_id"], "2024-01-01", "2024-01-30", "day", partitions=30)
+    sizes = [r["n"] for r in parts.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 30 and max(sizes) < 3 * 3000
+    assert sorted(parts.collect(), key=str) == sorted(whole.collect(), key=str)
