@@ -1,4 +1,4 @@
-"""Helpers shared by the corpus operators: stored tables, whole-text rules, blocked ranks.
+"""Helpers shared by the corpus operators: stored tables, whole-text rules, blocked ranks, memory of Python workers.
 
 Every operator takes only the columns it needs under internal names, so extra
 columns of the caller, clashing names included, never reach its joins.
@@ -6,8 +6,11 @@ columns of the caller, clashing names included, never reach its joins.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +34,45 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int):
+    """What is written inside the block reaches Python in Arrow batches of about ``limit`` bytes of rows.
+
+    By Spark's own limits (64 MB, 10,000 rows) a batch is a whole input split, held by the JVM, on its way
+    and by the worker; the caller's limit comes back after the block.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc's; other C libraries have none
+
+
+def release_memory() -> None:
+    """Give this process's freed memory back to the system: idle workers stand beside the next stage's tasks."""
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim:
+        _malloc_trim(0)
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function for mapInArrow that gives back what ``run`` freed once the task's batches are through."""
+
+    def task(batches):
+        yield from run(batches)
+        release_memory()                           # the batches and arrays of ``run`` are gone with its frame
+
+    return task
+
+
 def whole_text(col: str = "text") -> Column:
     """The text as a string; null counts as empty."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

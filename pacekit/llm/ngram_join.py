@@ -40,10 +40,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacekit.llm.common import stored, whole_text
+from pacekit.llm.common import arrow_batches, release_memory, released, stored, whole_text
 from pacekit.llm.components import components
 from pacekit.llm.embedding_dedup import local_roots
-from pacekit.llm.packing import slices
+from pacekit.llm.packing import ARROW_BYTES, slices
 from pacekit.llm.shingles import SliceKeys, set_key, shingle_sets
 
 REGION_DOCS = 2048
@@ -74,7 +74,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
         half = x @ x.T
         np.fill_diagonal(half, 0)
         out += np.triu(half)
-    out = np.maximum(out, 0)
+    np.maximum(out, 0, out=out)
     out = out + out.T
     out[np.arange(n), np.arange(n)] = [len(s) for s in sets]
     return out
@@ -104,7 +104,9 @@ def windows(d: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
 def exact_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Spanning edges (i, j) of the links among the sets."""
     size = np.array([len(s) for s in sets])
-    root = local_roots(linked(intersections(sets), size[:, None], size[None, :], percent))
+    shared, part = intersections(sets), 256                 # whole numbers of 64 bits for some rows at a time
+    root = local_roots(np.concatenate([linked(shared[a:a + part], size[a:a + part, None], size[None, :], percent)
+                                       for a in range(0, len(sets), part)]))
     i = np.flatnonzero(root != np.arange(len(sets)))
     return np.column_stack([i, root[i]])
 
@@ -161,7 +163,7 @@ def shingled(docs: DataFrame, width: int, keys: SliceKeys | None, carried: tuple
                     names=["doc_id", *carried, "n_shingles", "k1", "k2", "items", "forgo"])
             pa.default_memory_pool().release_unused()
 
-    return docs.select("doc_id", "text", *carried).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", *carried).mapInArrow(released(run), schema)
 
 
 def column_sets(column) -> list[np.ndarray]:
@@ -187,6 +189,8 @@ def join_many(percent: int):
         cut = np.flatnonzero(np.diff(region)) + 1
         for a, b in zip([0, *cut], [*cut, len(region)], strict=True):
             out.append(a + join_region(sets[a:b], home[a:b], percent))
+        del sets
+        release_memory()
         return edge_table(ids, out)
 
     return run
@@ -290,7 +294,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        width: int = 3, region_docs: int = REGION_DOCS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    base = stored(shingled(rows, width, SliceKeys(percent)), "jaccard-keys")
+    with arrow_batches(docs.sparkSession, ARROW_BYTES):
+        base = stored(shingled(rows, width, SliceKeys(percent)), "jaccard-keys")
     filled = base.filter("n_shingles > 0")
     sets = stored(filled.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "jaccard-sets")
 
@@ -340,7 +345,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if edges is None:
         by_set = sets.select("k1", "k2", "n_shingles", F.col("rep").alias("_root"))
     else:
-        roots = components(edges.filter("u <> v").distinct())
+        with arrow_batches(docs.sparkSession, ARROW_BYTES):           # the edges are found as they are stored
+            roots = components(edges.filter("u <> v").distinct())
         by_set = sets.join(roots, F.col("rep") == F.col("id"), "left").select(
             "k1", "k2", "n_shingles", F.coalesce("root", "rep").alias("_root"))
     return out.join(stored(by_set, "jaccard-roots"), ["k1", "k2", "n_shingles"], "left").select(

@@ -36,14 +36,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pacekit.llm.common import stored, whole_text
+from pacekit.llm.common import arrow_batches, released, stored, whole_text
 
 END_ID = 1
 CAPACITY = 2048
 CUT = 256
 WINDOWS = 128
 GROUP_PIECES = 20_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20                          # of text at a time; a worker holds about 20 bytes for each
+ARROW_BYTES = BATCH_BYTES - (512 << 10)        # of rows that reach a worker in one Arrow batch: one slice of text
 JOINED = 256                                   # pieces that go through the merges in one call
 
 
@@ -239,7 +240,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(run, kind)
+    return rows.mapInArrow(released(run), kind)
 
 
 def checksums(tokens: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -374,7 +375,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     sequence_tokens, padded_length (the capacity, or the tokens where they are a power of two)."""
     seen = Observation()                            # the write counts what it writes
     pieces = token_pieces(docs, tokenizer_path, capacity=capacity, with_ids=with_ids, **kw)
-    pieces = stored(pieces.observe(seen, *totals()), "pieces")
+    with arrow_batches(docs.sparkSession, ARROW_BYTES):
+        pieces = stored(pieces.observe(seen, *totals()), "pieces")
     out = pack(pieces, capacity, size=seen.get)
     power = F.expr("sequence_tokens & (sequence_tokens - 1)") == 0
     return out.withColumn("padded_length", F.when(power, F.col("sequence_tokens")).otherwise(F.lit(capacity)).cast("long"))

@@ -38,7 +38,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacekit.llm.common import stored, whole_text
+from pacekit.llm.common import released, stored, whole_text
 from pacekit.llm.packing import slices
 
 TRAIN_ROWS = 20_000
@@ -96,7 +96,7 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON_SIZE) -> dict[str, float
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.string()))],
                                              names=["toxic", "grams"])
 
-    seen = train.select("text", "toxic").mapInArrow(own, "toxic double, grams array<string>")
+    seen = train.select("text", "toxic").mapInArrow(released(own), "toxic double, grams array<string>")
     t = F.sum("toxic")
     counted = seen.select("toxic", F.explode("grams").alias("gram")).groupBy("gram").agg(
         t.alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
@@ -195,7 +195,7 @@ def features(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...] =
                     names=["doc_id", *keep, "features"])
             pa.default_memory_pool().release_unused()
 
-    return docs.select("doc_id", "text", *keep).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", *keep).mapInArrow(released(run), schema)
 
 
 def first_half():

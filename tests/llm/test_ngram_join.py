@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -174,3 +175,15 @@ def test_awkward_rows(spark):
     assert next(r.component_id for r in got if r.doc_id == 6) == 5
     assert one_per_component(df).columns == df.columns
     assert jaccard_components(docs(spark, [])).count() == 0
+
+
+def test_a_region_is_compared_without_wide_matrices():
+    """A region that does not shrink is compared whole: its links are told for some rows at a time."""
+    n = 1024
+    sets = [np.array([10 * (i // 2), 10 * (i // 2) + 1], np.uint64) for i in range(n)]
+    tracemalloc.start()
+    edges = exact_links(sets, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(map(tuple, edges.tolist())) == [(i + 1, i) for i in range(0, n, 2)]
+    assert peak < 16 * n * n                                # 13 bytes a pair; 21 as one matrix of whole numbers

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from pacekit.llm import common, ngram_join, packing
+from pacekit.llm.common import arrow_batches, released
 from pacekit.llm.packing import (
-    GROUP_PIECES, WordEncoder, cuts, difference, pack, pack_documents, pack_items, token_pieces)
+    ARROW_BYTES, BATCH_BYTES, GROUP_PIECES, WordEncoder, cuts, difference, pack, pack_documents, pack_items, token_pieces)
 from pacekit.llm.queries import op8_pack_windows, word_tokenizer
 from tests.llm.helpers import awkward, clashing, docs
 
@@ -141,3 +143,52 @@ def test_one_document_listed_very_often_is_many_groups(spark):
     filled = got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("sequence_tokens").alias("t"))
     assert filled.filter("n <> t or n > 2048").count() == 0
     assert filled.count() <= got.agg(F.sum("length")).first()[0] / 2048 * 1.05 + 8
+
+
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.mark.parametrize("module, name, run", [
+    (packing, "pieces", lambda df: pack_documents(df, word_tokenizer(), with_ids=True)),
+    (ngram_join, "jaccard-keys", lambda df: ngram_join.jaccard_components(df)),
+])
+def test_whole_texts_reach_the_workers_in_small_batches(spark, monkeypatch, module, name, run):
+    seen, before = {}, spark.conf.get(ARROW_LIMIT)
+    write = module.stored
+
+    def watched(df, name, *a):
+        seen.setdefault(name, spark.conf.get(ARROW_LIMIT))
+        return write(df, name, *a)
+
+    monkeypatch.setattr(module, "stored", watched)
+    df = docs(spark, [(1, "a cat sat on a mat"), (2, "a cat sat on a mat"), (3, None)])
+    assert run(df).count() == 3
+    assert int(seen[name]) == ARROW_BYTES <= BATCH_BYTES <= 4 << 20
+    assert spark.conf.get(ARROW_LIMIT) == before
+
+
+def test_arrow_batches_bound_what_a_worker_gets(spark):
+    df = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))     # 12 MB in one split
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]})
+
+    with arrow_batches(spark, 1 << 20):
+        got = df.mapInArrow(run, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 6000 and max(r.bytes for r in got) < 2 << 20
+
+
+def test_a_task_gives_its_memory_back_after_its_last_batch(monkeypatch):
+    said = []
+    monkeypatch.setattr(common, "release_memory", lambda: said.append("released"))
+
+    def run(batches):
+        try:
+            for b in batches:
+                yield b + 1
+        finally:
+            said.append("over")
+
+    assert list(released(run)(iter([1, 2]))) == [2, 3]
+    assert said == ["over", "released"]
