@@ -5,6 +5,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from pacekit.llm import sharding
+from pacekit.llm.common import stored, unit_hash
 from pacekit.llm.exact_dedup import build_index, directory, drop_exact_copies, exact_dedup, look_up, routed
 from pacekit.llm.mixing import mix, targets
 from pacekit.llm.sharding import communication_matrix, shuffle_to_shards
@@ -143,6 +145,46 @@ def test_shards_carry_every_column_of_repeated_and_null_rows(spark):
     assert len(got.select("shard", "slot").distinct().collect()) == df.count()
 
 
+def test_a_task_writes_one_shard_in_the_order_of_its_slots(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+        out = stored(shuffle_to_shards(df), "shards-test", ["shard"])
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(out.inputFiles()) == 16                     # one a task; 8 a task if a task holds rows of all shards
+    files = {}
+    for r in out.select("slot", "_metadata.file_path", "_metadata.row_index").collect():
+        files.setdefault(r.file_path, []).append((r.row_index, r.slot))
+    for rows in files.values():
+        slots = [slot for _, slot in sorted(rows)]
+        assert slots == list(range(slots[0], slots[0] + len(slots)))
+
+
+@pytest.mark.parametrize("shards", [1, 3, 8])
+def test_shards_by_brute_force_where_repeated_keys_lie_across_cuts(spark, monkeypatch, shards):
+    monkeypatch.setattr(sharding, "PARTITION_ROWS", 300)
+    null, few, one = F.col("id") < 900, F.col("id") < 1500, F.col("id")
+    df = spark.range(3000).select(F.when(~null, F.when(few, one % 7).otherwise(one)).alias("doc_id"), "id")
+    parts, seed = 10, 20240
+    rows = df.select("doc_id", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(parts)).alias("p"),
+                     F.xxhash64(F.lit(seed + 1), "doc_id").alias("h"), unit_hash(F.lit(seed + 2), "doc_id").alias("u")).collect()
+    of = [sorted((r for r in rows if r.p == p), key=lambda r: r.h) for p in range(parts)]
+    want, members = [], [[] for _ in range(shards)]
+    for part, sizes in zip(of, communication_matrix([len(x) for x in of], shards, seed)):
+        for s, n in enumerate(sizes):
+            members[s] += part[:n]
+            part = part[n:]
+    for s, m in enumerate(members):
+        want += [(r.doc_id, s, slot) for slot, r in enumerate(sorted(m, key=lambda r: r.u))]
+    got = shuffle_to_shards(df, shards=shards).collect()
+    assert Counter((r.doc_id, r.shard, r.slot) for r in got) == Counter(want)
+    assert sorted(r.id for r in got) == list(range(3000))
+
+
 def test_rows_find_their_entry_by_bucket_and_chain(spark):
     """Keys are made to collide: chains tell texts apart, and a row sent to another bucket finds nothing."""
     rows = docs(spark, [(k, f"text {k % 40}") for k in range(300)]).select(
