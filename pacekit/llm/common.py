@@ -7,6 +7,7 @@ columns of the caller, clashing names included, never reach its joins.
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -34,6 +35,19 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: shuffle files go once nothing there refers to their plan.
+
+    Left to themselves they stay until a collection happens to run, and what the steps of a long
+    operator have shuffled adds up on disk.
+    """
+    gc.collect()
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
+        pass
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, limit: int):
     """What is written inside the block reaches Python in Arrow batches of about ``limit`` bytes of rows.

@@ -9,10 +9,10 @@ twice the threshold replicates nearly every document into nearly every region
    slices by hash ranges (``shingles.SliceKeys``); a pair within the threshold
    has several equal slices, that is, both lie at distance 0 from the same
    slice pivots. Of those keys a set forgoes the most frequent ones (passages
-   that many texts share) as far as a common one is sure to remain. Sets that
-   share a key are joined to the key's smallest id; the components of those
-   edges are the regions. No link leaves a region, and unrelated texts hardly
-   ever share one.
+   that many texts share) as far as a common one is sure to remain. The sets
+   that share a key meet in the region of the key's pivot, one of them. Regions
+   overlap and are never united: chance meetings of a corpus chain nearly all
+   of it together, while a region only holds what meets its pivot.
 2. Voronoi regions within. A region picks pivots among its documents, computes
    exact distances, links what lies within the threshold of a pivot, and sends
    each document to its nearest pivot. By the triangle inequality a document
@@ -22,9 +22,9 @@ twice the threshold replicates nearly every document into nearly every region
    are small or do not shrink, and those are compared exactly.
 
 Regions of at most ``REGION_DOCS`` documents recurse within a task, many to a
-task; larger ones recurse as Spark rounds, one group per (region, salt), and a
-large region that does not shrink is compared as pairs of bounded chunks. Only
-spanning links leave a task, so a large group never becomes all its pairs.
+task; larger ones recurse as Spark rounds, one group per (region, salt), as long
+as that halves the work, and are compared as pairs of bounded chunks otherwise.
+Only spanning links leave a task, so a large group never becomes all its pairs.
 
 Defined cases: null and empty texts have an empty set and link with nothing;
 repeated rows and equal sets are linked; a row without an id is in the component of
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacekit.llm.common import arrow_batches, release_memory, released, stored, whole_text
+from pacekit.llm.common import arrow_batches, free_shuffles, release_memory, released, stored, whole_text
 from pacekit.llm.components import components
 from pacekit.llm.embedding_dedup import local_roots
 from pacekit.llm.packing import ARROW_BYTES, slices
@@ -50,6 +50,7 @@ REGION_DOCS = 2048
 LEAF_DOCS = 256
 PIVOTS = 8
 TASK_SHINGLES = 1_000_000
+SPREAD_CHUNKS = 8
 ROUNDS = 6
 
 
@@ -206,7 +207,7 @@ def split_regions(members: DataFrame, percent: int, salts: int) -> DataFrame:
     """One Spark round over large regions: links to pivots, and the members of the Voronoi regions.
 
     ``members`` has region, rep, home, items. Rows of the result with ``u`` set are
-    links; the others are members of new regions, with the size of the old one.
+    links; the others are members of new regions, with the old one, but without their sets.
     """
     order = F.xxhash64("region", "rep")
     picked = (members.filter("home").groupBy("region", F.pmod(order, F.lit(PIVOTS)).alias("_slot"))
@@ -228,116 +229,159 @@ def split_regions(members: DataFrame, percent: int, salts: int) -> DataFrame:
         d, shared = distances(sets, pivot_sets)
         size, pivot_size = np.array([len(s) for s in sets]), np.array([len(s) for s in pivot_sets])
         i, r = np.nonzero(linked(shared, size[:, None], pivot_size[None, :], percent))
-        links = pa.table({"u": ids[i], "v": pivot_ids[r], "region": pa.nulls(len(i), pa.int64()),
-                          "rep": pa.nulls(len(i), pa.int64()), "home": pa.nulls(len(i), pa.bool_()),
-                          "items": pa.nulls(len(i), pa.list_(pa.int64()))}, schema=OUT)
+        links = pa.table({"u": ids[i], "v": pivot_ids[r], "old": pa.nulls(len(i), pa.int64()),
+                          "region": pa.nulls(len(i), pa.int64()), "rep": pa.nulls(len(i), pa.int64()),
+                          "home": pa.nulls(len(i), pa.bool_())}, schema=OUT)
         near, seen = windows(d, percent)
         i, r = np.nonzero(seen)
         old = left["region"][0].as_py()
         names = np.array([hash((old, int(p))) for p in pivot_ids], np.int64)
-        parts = pa.table({"u": pa.nulls(len(i), pa.int64()), "v": pa.nulls(len(i), pa.int64()), "region": names[r],
-                          "rep": ids[i], "home": home[i] & (near[i] == r),
-                          "items": left["items"].combine_chunks().take(pa.array(i))}, schema=OUT)
+        parts = pa.table({"u": pa.nulls(len(i), pa.int64()), "v": pa.nulls(len(i), pa.int64()),
+                          "old": np.full(len(i), old), "region": names[r], "rep": ids[i],
+                          "home": home[i] & (near[i] == r)}, schema=OUT)
         return pa.concat_tables([links, parts])
 
     return salted.groupBy("region", "salt").cogroup(spread.groupBy("p_region", "p_salt")).applyInArrow(
-        run, "u long, v long, region long, rep long, home boolean, items array<long>")
+        run, "u long, v long, old long, region long, rep long, home boolean")
 
 
-OUT = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("region", pa.int64()), ("rep", pa.int64()),
-                 ("home", pa.bool_()), ("items", pa.list_(pa.int64()))])
+OUT = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("old", pa.int64()), ("region", pa.int64()),
+                 ("rep", pa.int64()), ("home", pa.bool_())])
+
+
+def chunk_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int, block: int) -> np.ndarray:
+    """Edges that connect what links between the left and the right sets (or among them, if they are the same)."""
+    one, two = ([x[a:a + block] for a in range(0, len(x), block)] for x in (left, right))
+    same, out = np.array_equal(left, right), [np.empty((0, 2), np.int64)]
+    for i, x in enumerate(one):
+        for y in two[i:] if same else two:
+            part = x if x is y or np.array_equal(x, y) else np.concatenate([x, y])
+            out.append(part[exact_links([sets[k] for k in part], percent)])
+    return np.concatenate(out)
 
 
 def chunked_regions(members: DataFrame, percent: int, chunk: int) -> DataFrame:
-    """All links of large regions that do not shrink: pairs of chunks, one task each."""
-    sizes = members.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("_chunks"))
+    """All links of large regions that do not shrink: pairs of chunks, one task each.
+
+    A set goes to as many tasks as its region has chunks: ``SPREAD_CHUNKS``, fewer if they would hold
+    less than ``chunk`` sets, more from four times that or ``TASK_SHINGLES`` on.
+    """
+    n = F.count(F.lit(1))
+    sizes = members.groupBy("region").agg(F.greatest(
+        F.least(F.ceil(n / F.lit(chunk)), F.lit(SPREAD_CHUNKS)), F.ceil(n / F.lit(4 * chunk)),
+        F.ceil(F.sum(F.size("items")) / F.lit(TASK_SHINGLES))).cast("int").alias("_chunks"))
     own = F.pmod(F.xxhash64(F.lit("chunk"), "rep"), F.col("_chunks")).cast("int")
-    paired = members.join(sizes, "region").withColumn("_own", own).withColumn(
+    paired = members.join(F.broadcast(sizes), "region").withColumn("_own", own).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
     paired = paired.withColumn("_a", F.least("_own", "_other")).withColumn("_b", F.greatest("_own", "_other"))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        return edge_table(table["rep"].to_numpy(), [exact_links(column_sets(table["items"]), percent)])
+        own, a, b = (table[c].to_numpy() for c in ("_own", "_a", "_b"))
+        sets = column_sets(table["items"])
+        edges = chunk_links(sets, np.flatnonzero(own == a), np.flatnonzero(own == b), percent, chunk)
+        del sets
+        release_memory()
+        return edge_table(table["rep"].to_numpy(), [edges])
 
-    return paired.select("region", "rep", "items", "_a", "_b").groupBy("region", "_a", "_b").applyInArrow(
+    return paired.select("region", "rep", "items", "_own", "_a", "_b").groupBy("region", "_a", "_b").applyInArrow(
         run, "u long, v long")
 
 
 def large_regions(members: DataFrame, percent: int, region_docs: int) -> list[DataFrame]:
-    """Links of regions too large for a task, by rounds of splitting."""
-    out = []
+    """Links of regions too large for a task, by rounds of splitting as long as that halves what is compared."""
+    out, chunk = [], max(1, region_docs // 2)
+    n, whole = F.col("_n"), F.col("_n") * F.ceil(F.col("_n") / F.lit(chunk))
     active = stored(members.select("region", "rep", "home", "items"), "jaccard-large")
-    before = None
     for _ in range(ROUNDS):
-        n = active.count()
-        if not n:
+        olds = active.groupBy("region").agg(F.count(F.lit(1)).alias("_n"))
+        largest = olds.agg(F.max("_n")).first()[0]
+        if not largest:
             return out
-        if before is not None and n > 0.8 * before:          # the regions do not shrink
-            break
-        before = n
-        largest = active.groupBy("region").count().agg(F.max("count")).first()[0]
         salts = max(1, -(-largest // region_docs))
         done = stored(split_regions(active, percent, salts), "jaccard-split")
         out.append(done.filter("u is not null").select("u", "v"))
-        parts = done.filter("u is null").select("region", "rep", "home", "items")
-        sizes = parts.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), F.max("home").alias("_any")).filter("_any")
-        sized = parts.join(sizes, "region")
-        fits = sized.filter(F.col("_n") <= region_docs).withColumn("bucket", F.col("region"))
+        parts = done.filter("u is null").select("old", "region", "rep", "home")
+        sizes = parts.groupBy("old", "region").agg(F.count(F.lit(1)).alias("_n"), F.max("home").alias("_any"))
+        sizes = sizes.filter("_any").select("old", "region", "_n")
+        split = sizes.groupBy("old").agg(F.sum(F.when(n <= region_docs, n).otherwise(whole)).alias("_parts"))
+        pays = stored(split.join(olds.withColumnRenamed("region", "old"), "old").filter(2 * F.col("_parts") <= whole)
+                      .select("old"), "jaccard-pays")
+        stuck = active.join(F.broadcast(pays), F.col("region") == F.col("old"), "left_anti")
+        out.append(chunked_regions(stuck, percent, chunk))
+        sets = active.select(F.col("region").alias("old"), "rep", "items").join(F.broadcast(pays), "old", "left_semi")
+        sized = parts.join(sizes, ["old", "region"]).join(sets, ["old", "rep"])
+        fits = sized.filter(n <= region_docs).withColumn("bucket", F.col("region"))
         out.append(small_regions(fits, percent))
-        active = stored(sized.filter(F.col("_n") > region_docs).select("region", "rep", "home", "items"), "jaccard-large")
-    out.append(chunked_regions(active, percent, region_docs // 2))
+        active = stored(sized.filter(n > region_docs).select("region", "rep", "home", "items"), "jaccard-large")
+    out.append(chunked_regions(active, percent, chunk))
     return out
 
 
+def cells(kept: DataFrame) -> DataFrame:
+    """(rep, key) -> (rep, region): whoever shares a key with others is in the region of the key's pivot.
+
+    The pivot is the one with most keys, so that the keys of a group of near copies name few pivots.
+    """
+    held = kept.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("rep")))
+    pivots = held.groupBy("key").agg(F.min(F.struct((-F.col("held")).alias("h"), "rep")).alias("p")).select(
+        "key", F.col("p.rep").alias("region"))
+    near = kept.join(pivots, "key").filter("rep <> region").select("rep", "region").distinct()
+    near = stored(near, "jaccard-near")
+    return near.unionAll(near.select(F.col("region").alias("rep"), "region").distinct())
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90,
                        width: int = 3, region_docs: int = REGION_DOCS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    with arrow_batches(docs.sparkSession, ARROW_BYTES):
+    spark = docs.sparkSession
+    with arrow_batches(spark, ARROW_BYTES):
         base = stored(shingled(rows, width, SliceKeys(percent)), "jaccard-keys")
     filled = base.filter("n_shingles > 0")
     sets = stored(filled.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "jaccard-sets")
 
-    # regions at distance 0 of a slice
+    # regions at distance 0 of a slice; only the keys that several rows share meet the sets' first documents,
+    # as a join of whole key lists would write all of them to disk again
     first = sets.select("k1", "k2", "n_shingles", F.col("rep").alias("doc_id"))
-    keyed = filled.join(first, ["k1", "k2", "n_shingles", "doc_id"], "left_semi").select(
-        F.col("doc_id").alias("rep"), F.explode("items").alias("key"))
+    keyed = filled.filter("doc_id is not null").select(F.col("doc_id").alias("rep"), F.explode("items").alias("key"))
     shared = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "jaccard-shared")
-    met = keyed.join(shared, "key").withColumn("class", F.col("key").bitwiseAND(255))
-    may = filled.join(first, ["k1", "k2", "n_shingles", "doc_id"], "left_semi").select(
-        F.col("doc_id").alias("rep"), "forgo").filter("size(forgo) > 0").select("rep", F.explode(F.transform(
-            F.sequence(F.lit(0), F.size("forgo") - 2, F.lit(2)), lambda i: F.struct(
-                F.get("forgo", i).alias("class"), F.get("forgo", i + 1).alias("may")))).alias("f")).select("rep", "f.*")
-    # every set forgoes its most frequent keys, as far as its class allows: those of shared passages
+    free_shuffles(spark)
+    may = filled.select("k1", "k2", "n_shingles", "doc_id", "forgo").join(
+        first, ["k1", "k2", "n_shingles", "doc_id"], "left_semi").filter("size(forgo) > 0").select(
+        F.col("doc_id").alias("rep"), "forgo").distinct()
+    met = keyed.join(shared, "key").join(may, "rep").withColumn("class", F.col("key").bitwiseAND(255))
+    # every set forgoes its most frequent keys, as far as its class (the first or the second) allows
     often = F.row_number().over(Window.partitionBy("rep", "class").orderBy(F.col("n").desc(), "key"))
-    kept = met.withColumn("often", often).join(may.distinct(), ["rep", "class"]).filter("often > may")
-    kept = stored(kept.select("rep", "key"), "jaccard-kept")
-    pivots = kept.groupBy("key").agg(F.min("rep").alias("pivot"))
-    near = kept.join(pivots, "key").filter("rep > pivot").select(F.col("rep").alias("u"), F.col("pivot").alias("v"))
-    regions = stored(components(near.distinct()).join(
-        sets.select(F.col("rep").alias("id"), "k1", "k2"), "id"), "jaccard-regions")
-
-    sizes = regions.groupBy(F.col("root").alias("region")).agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    allowed = F.when(F.get("forgo", F.lit(0)) == F.col("class"), F.get("forgo", F.lit(1))).when(
+        F.get("forgo", F.lit(2)) == F.col("class"), F.get("forgo", F.lit(3)))
+    kept = stored(met.withColumn("often", often).filter(F.col("often") > allowed).select("rep", "key"), "jaccard-kept")
+    free_shuffles(spark)
+    regions = stored(cells(kept), "jaccard-regions")
+
+    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("_n"))
+    fit = F.col("_n") <= region_docs
+    total = sizes.agg(F.sum(F.when(fit, F.col("_n"))), F.sum(F.when(~fit, F.col("_n")))).first()
     edges = None
-    if total[0]:
-        wanted = regions.select(F.col("id").alias("doc_id"), F.col("root").alias("region"),
-                                F.col("k1").alias("w1"), F.col("k2").alias("w2")).join(sizes, "region")
-        docs_per_task = REGION_DOCS
-        buckets = max(1, -(-total[0] // docs_per_task))
-
-        def members(part: DataFrame) -> DataFrame:
-            # one plan at every size: a broadcast here would only hold while regions are few
-            text = rows.join(part.hint("merge"), "doc_id")
-            got = shingled(text, width, None, ("region", "w1", "w2"))
-            return got.filter("k1 = w1 and k2 = w2").select(
-                "region", F.col("doc_id").alias("rep"), F.lit(True).alias("home"), "items",
-                F.pmod(F.xxhash64("region"), F.lit(buckets)).alias("bucket"))
-
-        found = [small_regions(members(wanted.filter(F.col("_n") <= region_docs)), percent)]
-        if total[1] > region_docs:
-            found += large_regions(members(wanted.filter(F.col("_n") > region_docs)), percent, region_docs)
+    if total[0] or total[1]:
+        wanted = regions.join(sizes, "region").groupBy("rep").agg(
+            F.collect_list(F.when(fit, F.col("region"))).alias("small"),
+            F.collect_list(F.when(~fit, F.col("region"))).alias("large"))
+        wanted = wanted.join(sets.select("rep", F.col("k1").alias("w1"), F.col("k2").alias("w2")), "rep")
+        # one plan at every size: a broadcast here would only hold while regions are few
+        text = rows.join(wanted.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id")
+        with arrow_batches(spark, ARROW_BYTES):
+            members = stored(shingled(text, width, None, ("small", "large", "w1", "w2")).filter(
+                "k1 = w1 and k2 = w2").select(F.col("doc_id").alias("rep"), "small", "large", "items"), "jaccard-members")
+        free_shuffles(spark)
+        buckets = max(1, -(-(total[0] or 0) // REGION_DOCS))
+
+        def placed(which: str) -> DataFrame:
+            return members.select(F.explode(which).alias("region"), "rep", F.lit(True).alias("home"), "items")
+
+        found = [small_regions(placed("small").withColumn("bucket", F.pmod(F.xxhash64("region"), F.lit(buckets))), percent)]
+        if total[1]:
+            found += large_regions(placed("large"), percent, region_docs)
         edges = found[0]
         for e in found[1:]:
             edges = edges.unionAll(e)
@@ -345,8 +389,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if edges is None:
         by_set = sets.select("k1", "k2", "n_shingles", F.col("rep").alias("_root"))
     else:
-        with arrow_batches(docs.sparkSession, ARROW_BYTES):           # the edges are found as they are stored
-            roots = components(edges.filter("u <> v").distinct())
+        with arrow_batches(spark, ARROW_BYTES):                       # the edges are found as they are stored
+            edges = stored(edges.filter("u <> v").distinct(), "jaccard-links")
+        free_shuffles(spark)
+        roots = components(edges)
         by_set = sets.join(roots, F.col("rep") == F.col("id"), "left").select(
             "k1", "k2", "n_shingles", F.coalesce("root", "rep").alias("_root"))
     return out.join(stored(by_set, "jaccard-roots"), ["k1", "k2", "n_shingles"], "left").select(

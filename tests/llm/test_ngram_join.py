@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pacekit.llm import ngram_join
 from pacekit.llm.components import components
-from pacekit.llm.ngram_join import (chunked_regions, exact_links, intersections, jaccard_components, join_region,
+from pacekit.llm.ngram_join import (chunk_links, chunked_regions, exact_links, intersections, jaccard_components, join_region,
                                     one_per_component, windows)
 from pacekit.llm.shingles import SliceKeys, shingle_sets
 from tests.llm.helpers import awkward, clashing, docs
@@ -166,6 +167,93 @@ def test_chunk_pairs_find_all_links(spark):
     assert roots_of(len(sets), edges) == roots_of(len(sets), exact_links(sets, 90))
 
 
+@pytest.mark.parametrize("n_left, n_right", [(50, 34), (84, 0), (1, 83), (0, 0)])
+def test_blocks_of_two_chunks_miss_no_link_between_them(n_left, n_right):
+    rng = random.Random(6)
+    sets = sets_of(variants(rng, 4, 20, 50, 60))
+    left = np.array(rng.sample(range(len(sets)), n_left), int)
+    right = np.setdiff1d(np.arange(len(sets)), left)[:n_right] if n_right else left
+    both = np.union1d(left, right)
+    roots = dict(zip(both.tolist(), roots_of(len(both), np.searchsorted(both, e := chunk_links(
+        sets, left, right, 90, 16)).tolist()), strict=True))
+    assert np.isin(e, both).all()
+    for i in left.tolist():
+        for j in right.tolist():
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            assert 100 * shared < 90 * (len(sets[i]) + len(sets[j]) - shared) or roots[i] == roots[j]
+
+
+def chained(rng, n):
+    """Documents of which each shares a passage with the next, and some have a near copy."""
+    passages = [" ".join(f"p{i}x{k}" for k in range(30)) for i in range(n + 1)]
+    texts = []
+    for i in range(n):
+        own = [f"w{rng.randint(0, 99999)}" for _ in range(60)]
+        texts.append(" ".join([passages[i], *own, passages[i + 1]]))
+        if i % 5 == 0:
+            texts.append(" ".join([passages[i], *own[:-1], "other", passages[i + 1]]))
+    return list(enumerate(texts))
+
+
+def test_chance_meetings_do_not_chain_regions_together(spark, monkeypatch):
+    """Neighbours share keys all along the chain; no region is large for that."""
+    rows = chained(random.Random(17), 100)
+
+    def none(members, *a):
+        raise AssertionError("a region became large")
+
+    monkeypatch.setattr(ngram_join, "large_regions", none)
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in jaccard_components(docs(spark, rows), region_docs=16).collect()}
+    assert got == brute(rows)
+
+
+@pytest.mark.parametrize("n_copies", [80])
+def test_a_region_that_does_not_shrink_is_not_multiplied(spark, monkeypatch, n_copies):
+    """Near copies of one text lie within every pivot's window: they are compared once, not once a pivot."""
+    rng = random.Random(19)
+    rows = list(enumerate(variants(rng, 1, n_copies, 200, 210)))
+    seen, compare = [], ngram_join.chunked_regions
+
+    def watched(members, percent, chunk):
+        seen.append(members.count())
+        return compare(members, percent, chunk)
+
+    monkeypatch.setattr(ngram_join, "chunked_regions", watched)
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in jaccard_components(docs(spark, rows), region_docs=48).collect()}
+    assert got == brute(rows)
+    assert 48 < sum(seen) <= 2 * len(rows)
+
+
+def test_a_large_region_that_shrinks_is_split(spark, monkeypatch):
+    """Groups far from each other in one region: the rounds divide it, and lose no link."""
+    rng = random.Random(23)
+    sets = sets_of(variants(rng, 4, 74, 40, 60))
+    members = spark.createDataFrame(
+        [(7, i, True, s.astype(np.int64).tolist()) for i, s in enumerate(sets)],
+        "region long, rep long, home boolean, items array<long>")
+    seen, compare = [], ngram_join.chunked_regions
+    monkeypatch.setattr(ngram_join, "chunked_regions", lambda m, *a: seen.append(m.count()) or compare(m, *a))
+    edges = [(r.u, r.v) for e in ngram_join.large_regions(members, 90, 80) for r in e.collect()]
+    assert roots_of(len(sets), edges) == roots_of(len(sets), exact_links(sets, 90))
+    assert seen[0] == 0
+
+
+def test_key_lists_are_not_shuffled_whole(spark, monkeypatch):
+    """Keys go by themselves: no join or sort of the stored lists before they are counted."""
+    plans, write = {}, ngram_join.stored
+
+    def watched(df, name, *a):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name, *a)
+
+    monkeypatch.setattr(ngram_join, "stored", watched)
+    rows = list(enumerate(variants(random.Random(3), 5, 3, 30, 60)))
+    assert jaccard_components(docs(spark, rows)).count() == len(rows)
+    assert "Join" not in plans["jaccard-shared"]
+
+
 def test_awkward_rows(spark):
     df = clashing(awkward(spark))
     got = jaccard_components(df).collect()
