@@ -9,7 +9,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,10 +39,12 @@ def free_shuffles(spark: SparkSession) -> None:
     """Have the driver collect its garbage: shuffle files go once nothing there refers to their plan.
 
     Left to themselves they stay until a collection happens to run, and what the steps of a long
-    operator have shuffled adds up on disk.
+    operator have shuffled adds up on disk. Events that listeners have not taken yet refer to plans too.
     """
     gc.collect()
     try:
+        with suppress(Exception):                  # they may take longer; what they hold stays for now
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
         spark.sparkContext._jvm.System.gc()
     except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
         pass
